@@ -132,7 +132,8 @@ def _header_first() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBa
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([header.encode()], pa.binary())], names=["value"])
-        yield from batches
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("value")], names=["value"])
 
     return lines
 
