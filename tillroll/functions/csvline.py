@@ -1,9 +1,8 @@
-"""One physical line to event fields, as column expressions."""
+"""One physical line to event fields."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tillroll.functions.text import strip_bom, strip_cr, trim_blanks
 from tillroll.model import (
@@ -17,20 +16,14 @@ from tillroll.model import (
 
 _N = len(EVENT_COLUMNS)
 # Possessive quantifiers never backtrack, so a 64 KiB field cannot exhaust the regex stack.
-_FIELD = r'"[^"]*+(?:""[^"]*+)*+"\p{javaWhitespace}*+|[^",][^,]*+|'
+_QUOTED = r'"([^"]*+(?:""[^"]*+)*+)"\p{javaWhitespace}*+'
+_BARE = r'([^",][^,]*+|)'
 # The line is matched behind an added comma, so that every field starts with one.
-_RECORD = rf"\A(?:,(?:{_FIELD})){{{_N}}}\z"
-_EACH_FIELD = rf",({_FIELD})"
+_FIELD = f",(?:{_QUOTED}|{_BARE})"
+_RECORD = rf"\A(?:{_FIELD}){{{_N}}}\z"
 _QUOTED_HEADER = r"\A" + ",".join(rf'(?:{c}|"{c}"\p{{javaWhitespace}}*+)' for c in EVENT_COLUMNS) + r"\z"
 
 
-def _plain_value(raw: Column) -> Column:
-    """A raw CSV field without its quotes."""
-    closed = F.regexp_replace(raw, r"\p{javaWhitespace}+\z", "")
-    inner = F.substring(closed, F.lit(2), F.length(closed) - 2)
-    return F.when(raw.startswith('"'), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(raw)
-
-
 def parse_event_lines(lines: DataFrame, fast_path: bool = True) -> DataFrame:
     """Add ``kind`` and the four used fields to a frame with a ``value`` column of lines.
 
@@ -38,40 +31,42 @@ def parse_event_lines(lines: DataFrame, fast_path: bool = True) -> DataFrame:
     bad records as soon as the optimizer prunes a column. ``fast_path`` splits quote-free lines at
     their commas; without it every line takes the quoted route. Both give the same rows.
     """
+    kept = [f"`{c}`" for c in lines.columns]
     # Separate selects keep each step computed once: Spark merges them only where that is free.
-    staged = lines.withColumn("_line", strip_cr(F.col("value")))
-    line = F.col("_line")
-    usable = (
-        (F.octet_length(line) <= MAX_LINE_BYTES)
-        & ~line.contains("\r")
-        & ~line.contains("\n")
-        & F.is_valid_utf8(line)
+    staged = lines.selectExpr("*", f"{strip_cr('value')} AS _line")
+    staged = staged.selectExpr(
+        *kept,
+        f"""CASE WHEN octet_length(_line) <= {MAX_LINE_BYTES} AND NOT contains(_line, '\\r')
+                 AND NOT contains(_line, '\\n') AND is_valid_utf8(_line) THEN {strip_bom("_line")} END AS _body""",
     )
-    staged = staged.withColumn("_body", F.when(usable, strip_bom(line)))
-    has_quote = F.col("_body").contains('"')
-    anchored = F.concat(F.lit(","), F.col("_body"))
-    by_regex = F.when(anchored.rlike(_RECORD), F.regexp_extract_all(anchored, F.lit(_EACH_FIELD), F.lit(1)))
-    fields = F.when(~has_quote, F.split("_body", ",", -1)).otherwise(by_regex) if fast_path else by_regex
-    staged = staged.withColumn("_fields", fields)
-    record = F.size("_fields") == _N
-    header = F.when(has_quote, F.col("_body").rlike(_QUOTED_HEADER)).otherwise(F.col("_body") == HEADER_LINE)
-    staged = staged.withColumn(
-        "kind",
-        F.when(F.col("_fields").isNull() | ~record, F.lit(KIND_MALFORMED))
-        .when(header, F.lit(KIND_HEADER))
-        .otherwise(F.lit(KIND_EVENT)),
+    # A line holds neither LF nor CR by now, so they can set off the fields, and what was inside
+    # quotes from what was not: LF, quoted text, CR, bare text.
+    marked = rf"""CASE WHEN concat(',', _body) RLIKE r'{_RECORD}' THEN
+        slice(split(regexp_replace(concat(',', _body), r'{_FIELD}', '\n$1\r$2'), '\n', -1), 2, {_N}) END"""
+    quoted = """contains(_body, '"')""" if fast_path else "true"
+    staged = staged.selectExpr("*", f"{quoted} AS _quoted")
+    staged = staged.selectExpr("*", f"if(_quoted, {marked}, split(_body, ',', -1)) AS _fields")
+    staged = staged.selectExpr(
+        "*",
+        f"""CASE WHEN _fields IS NULL OR size(_fields) <> {_N} THEN '{KIND_MALFORMED}'
+            WHEN if(_quoted, _body RLIKE r'{_QUOTED_HEADER}', _body = '{HEADER_LINE}') THEN '{KIND_HEADER}'
+            ELSE '{KIND_EVENT}' END AS kind""",
     )
+    # Null for headers and malformed lines, and so are the fields taken from it.
+    staged = staged.selectExpr(*kept, "kind", "_quoted", f"if(kind = '{KIND_EVENT}', _fields, NULL) AS _fields")
 
-    def field(name: str) -> Column:
-        raw = F.col("_fields")[EVENT_COLUMNS.index(name)]
-        value = F.when(has_quote, _plain_value(raw)).otherwise(raw)
-        return F.when(F.col("kind") == KIND_EVENT, value)
+    def field(name: str) -> str:
+        raw = f"_fields[{EVENT_COLUMNS.index(name)}]"
+        inner = rf"""replace(split_part({raw}, '\r', 1), '""', '"')"""
+        return rf"if(_quoted, concat({inner}, split_part({raw}, '\r', 2)), {raw})"
 
-    return staged.select(
-        *lines.columns,
+    return staged.selectExpr(
+        *kept,
         "kind",
-        trim_blanks(field("event_type")).alias("event_type"),
-        field("category_id").alias("category_id"),
-        field("category_code").alias("category_code"),
-        field("price").alias("price_text"),
+        f"{field('event_type')} AS event_type",
+        f"{field('category_id')} AS category_id",
+        f"{field('category_code')} AS category_code",
+        f"{field('price')} AS price_text",
+    ).selectExpr(
+        *kept, "kind", f"{trim_blanks('event_type')} AS event_type", "category_id", "category_code", "price_text"
     )

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import unicodedata
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tillroll.functions.text import trim_blanks
 
+# The common spelling: digits that need only lose their point.
+_PLAIN = r"\A[0-9]{1,16}\.[0-9]{2}\z"
 # Amounts whose digits beyond the second decimal are zeros, so that a cast drops nothing.
-_PLAIN = r"\A[0-9]{1,15}(?:\.[0-9]{1,2})?\z"
 _EXACT = r"\A(?:\+?(?=\.?[0-9])[0-9]*(?:\.[0-9]{0,2}0*)?|-(?=\.?0)0*(?:\.0*)?)\z"
 _SCIENTIFIC = r"\A[+-]?(?:([0-9]+)\.?([0-9]*)|\.([0-9]+))[eE]([+-]?[0-9]+)\z"
 _WIDE_DIGITS = [c for c in map(chr, range(0x80, 0x10000)) if unicodedata.category(c) == "Nd"]
@@ -19,54 +19,56 @@ _WIDE_TO = "".join(str(unicodedata.digit(c)) for c in _WIDE_DIGITS)
 _INT_MIN, _INT_MAX = -(2**31), 2**31 - 1
 
 
-def parse_minor(text: Column) -> Column:
-    """Minor units of a decimal text, or null when it is not an exact non-negative two-decimal amount.
+def with_minor(rows: DataFrame, text: str, name: str) -> DataFrame:
+    """Add ``name``: minor units of a decimal text, or null unless it is an exact amount of at least 0.
 
     A cast to a decimal would round ``12.301`` instead of refusing it, so a pattern first makes sure
     that nothing is lost. Signs, exponents and digits of other scripts are understood.
+
+    The steps are columns of their own (``_name_text`` and so on, for the caller to leave behind),
+    each computed once, because the common row needs only the first. As one expression the
+    generated method grows beyond what the JVM will compile.
     """
-    trimmed = trim_blanks(text)
-    ascii_text = F.translate(trimmed, _WIDE_FROM, _WIDE_TO)
-    hundredfold = ascii_text.try_cast("decimal(38,2)") * F.lit(100)
-    return (
-        F.when(trimmed.rlike(_PLAIN), (trimmed.cast("decimal(17,2)") * F.lit(100)).cast("bigint"))
-        .when(ascii_text.rlike(_EXACT), hundredfold.try_cast("bigint"))
-        .when(ascii_text.rlike(_SCIENTIFIC), _scientific(ascii_text))
+    plain, odd, digits, shift = (f"_{name}_{part}" for part in ("text", "odd", "digits", "shift"))
+    length = f"(length({digits}) + {shift})"
+    dropped = f"(length({digits}) - length(rtrim('0', {digits})) + {shift})"
+    staged = rows.selectExpr("*", f"{text} AS {plain}").selectExpr(
+        "*",
+        f"if({plain} RLIKE r'{_PLAIN}', NULL, translate({trim_blanks(plain)}, '{_WIDE_FROM}', '{_WIDE_TO}')) AS {odd}",
     )
-
-
-def _scientific(text: Column) -> Column:
-    """Digits with an exponent: the digits shifted by ``shift`` places, if only zeros fall off."""
-    digits = F.ltrim(F.regexp_replace(text, _SCIENTIFIC, "$1$2$3"), F.lit("0"))
-    decimals = F.length(F.regexp_replace(text, _SCIENTIFIC, "$2$3"))
-    exponent = F.regexp_extract(text, _SCIENTIFIC, 4).try_cast("int").cast("bigint")
-    shift = exponent + F.lit(2) - decimals
-    trailing = F.length(digits) - F.length(F.rtrim(digits, F.lit("0")))
-    lengthened = F.concat(digits, F.repeat(F.lit("0"), shift.cast("int")))
-    shortened = F.substring(digits, F.lit(1), (F.length(digits) + shift).cast("int"))
-    # The exponent and the resulting scale must fit an int, even for a zero amount.
-    return (
-        F.when(~shift.between(2 - _INT_MAX, 2 - _INT_MIN) | shift.isNull(), F.lit(None))
-        .when(digits == "", F.lit(0))
-        .when(text.startswith("-"), F.lit(None))
-        .when((shift >= 0) & (F.length(digits) + shift <= 19), lengthened.try_cast("bigint"))
-        .when((shift < 0) & (trailing + shift >= 0), shortened.try_cast("bigint"))
-        .cast("bigint")
+    # An exponent moves the digits by ``shift`` places; it is null when there is none or it is no int.
+    staged = staged.selectExpr(
+        "*",
+        f"ltrim('0', regexp_replace({odd}, r'{_SCIENTIFIC}', '$1$2$3')) AS {digits}",
+        f"CAST(try_cast(regexp_extract({odd}, r'{_SCIENTIFIC}', 4) AS INT) AS BIGINT) + 2"
+        f" - length(regexp_replace({odd}, r'{_SCIENTIFIC}', '$2$3')) AS {shift}",
+    )
+    # Moving adds zeros behind the digits or takes digits away there, of which only zeros may go.
+    # The resulting scale must fit an int, even for a zero amount.
+    return staged.selectExpr(
+        "*",
+        f"""CASE
+            WHEN {odd} IS NULL THEN CAST(replace({plain}, '.', '') AS BIGINT)
+            WHEN {odd} RLIKE r'{_EXACT}' THEN try_cast(try_cast({odd} AS DECIMAL(38,2)) * 100 AS BIGINT)
+            WHEN {shift} IS NULL OR {shift} NOT BETWEEN {2 - _INT_MAX} AND {2 - _INT_MIN} THEN NULL
+            WHEN {digits} = '' THEN 0
+            WHEN NOT startswith({odd}, '-') AND {length} <= 19 AND {dropped} >= 0
+                THEN try_cast(rpad({digits}, CAST({length} AS INT), '0') AS BIGINT)
+            END AS {name}""",
     )
 
 
-def format_minor(minor: Column) -> Column:
+def format_minor(minor: str) -> str:
     """Plain text with two decimals."""
-    return (minor.cast("decimal(20,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(22,2)").cast("string")
+    return f"CAST(CAST(CAST({minor} AS DECIMAL(20,0)) * 0.01BD AS DECIMAL(22,2)) AS STRING)"
 
 
-def average_minor(total: Column, count: Column) -> Column:
+def average_minor(total: str, count: str) -> str:
     """``total / count`` rounded half up to a whole minor unit; null unless ``count`` is positive.
 
     The remainder is below ``count``, so no intermediate value leaves the range of ``bigint``.
     """
-    quotient = F.call_function("div", total, count)
-    return F.when(
-        (count > 0) & (total >= 0),
-        quotient + (2 * (total % count) >= count).cast("bigint"),
+    return (
+        f"CASE WHEN {count} > 0 AND {total} >= 0 "
+        f"THEN {total} div {count} + if(2 * ({total} % {count}) >= {count}, 1, 0) END"
     )

@@ -24,8 +24,8 @@ _SALTS = 64
 
 def exact_sum(column: str) -> Column:
     """A ``bigint`` sum that fails on overflow whether or not the session runs in ANSI mode."""
-    overflow = F.try_sum(column).isNull() & (F.count(column) > 0)
-    return fail_if(overflow, f"Sum of {column} leaves the range of bigint", F.try_sum(column))
+    total, message = f"try_sum({column})", f"Sum of {column} leaves the range of bigint"
+    return F.expr(f"if({total} IS NULL AND count({column}) > 0, raise_error('{message}'), {total})")
 
 
 def _states(grouped, amount: str = "price_minor") -> DataFrame:
@@ -87,7 +87,7 @@ def pack(prepared: DataFrame, dictionary: DataFrame, slice_column: str, buckets:
     encoded = encode(prepared, dictionary, slice_column)
     states = _states(encoded.groupBy(slice_column, "id"))
     entry = F.struct("id", "sum_minor", "purchase_count")
-    return states.groupBy(slice_column, owner(F.col("id"), buckets).alias("bucket")).agg(
+    return states.groupBy(slice_column, F.expr(owner("id", buckets)).alias("bucket")).agg(
         F.array_sort(F.collect_list(entry)).alias("entries")
     )
 
@@ -95,7 +95,7 @@ def pack(prepared: DataFrame, dictionary: DataFrame, slice_column: str, buckets:
 def unpack(packed: DataFrame, buckets: int) -> DataFrame:
     """The entries of packed rows; an entry outside the bucket that owns it fails the job."""
     entries = packed.select("bucket", F.inline("entries"))
-    stray = (owner(F.col("id"), buckets) != F.col("bucket")) | ~F.col("id").between(0, MAX_GROUPS - 1)
+    stray = F.expr(f"{owner('id', buckets)} <> bucket OR id NOT BETWEEN 0 AND {MAX_GROUPS - 1}")
     return entries.withColumn("id", fail_if(stray, "Packed entry in a bucket that does not own it", F.col("id")))
 
 
@@ -130,10 +130,10 @@ def aggregate(
 
 def result_rows(states: DataFrame) -> DataFrame:
     """States with their total and average as plain two-decimal text."""
-    return states.select(
+    return states.selectExpr(
         "group_key",
         "sum_minor",
         "purchase_count",
-        format_minor(F.col("sum_minor")).alias("total_revenue"),
-        format_minor(average_minor(F.col("sum_minor"), F.col("purchase_count"))).alias("average_revenue"),
+        f"{format_minor('sum_minor')} AS total_revenue",
+        f"{format_minor(average_minor('sum_minor', 'purchase_count'))} AS average_revenue",
     )

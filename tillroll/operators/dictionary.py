@@ -27,7 +27,7 @@ def build_dictionary(groups: DataFrame, max_keys: int = MAX_GROUPS) -> DataFrame
     if max_keys < 1:
         raise ValueError("max_keys must be positive")
     bounded = at_most(groups.select("group_key"), max_keys, "group_key", _TOO_MANY.format(max_keys))
-    order = Window.orderBy(utf16_order(F.col("group_key")))
+    order = Window.orderBy(F.expr(utf16_order("group_key")))
     return bounded.select((F.row_number().over(order) - 1).cast("int").alias("id"), "group_key")
 
 
@@ -65,7 +65,7 @@ def dictionary_checksum(dictionary: DataFrame, fingerprint: Column, mode: GroupM
     """
     bounded = at_most(dictionary.select("id", "group_key"), MAX_GROUPS, "id", _TOO_MANY.format(MAX_GROUPS))
     key = F.col("group_key")
-    line = F.concat(F.lit("\n"), utf16_length(key).cast("string"), F.lit(":"), key)
+    line = F.concat(F.lit("\n"), F.expr(utf16_length("group_key")).cast("string"), F.lit(":"), key)
     lines = bounded.agg(
         F.array_sort(F.collect_list(F.struct("id", line.alias("line")))).alias("lines"),
         F.count(F.lit(1)).cast("int").alias("groups"),
@@ -94,8 +94,8 @@ def dictionary_violations(dictionary: DataFrame) -> DataFrame:
     rules = {
         "empty_key": key.isNull() | (key == ""),
         "key_too_long": size > MAX_KEY_BYTES,
-        "unsafe_character": has_line_break_or_tab(key),
-        "not_ascending": utf16_order(F.col("previous")) >= utf16_order(key),
+        "unsafe_character": F.expr(has_line_break_or_tab("group_key")),
+        "not_ascending": F.expr(f"{utf16_order('previous')} >= {utf16_order('group_key')}"),
         "beyond_guard": F.col("id") >= MAX_GROUPS,
     }
     broken = F.array(*(F.when(test, F.lit(name)) for name, test in rules.items()))

@@ -100,7 +100,7 @@ def manifest_fingerprint(manifest: DataFrame) -> DataFrame:
     entries = at_most(manifest.select("uri", "bytes", "sha256"), _MAX_ENTRIES, "uri", message)
     sound = F.col("uri").isNotNull() & (F.col("bytes") >= 0) & F.col("sha256").rlike(r"\A[0-9a-f]{64}\z")
     line = F.concat_ws("\t", "uri", F.col("bytes").cast("string"), "sha256")
-    entry = F.struct(utf16_order(F.col("uri")).alias("order"), F.concat(line, F.lit("\n")).alias("line"))
+    entry = F.struct(F.expr(utf16_order("uri")).alias("order"), F.concat(line, F.lit("\n")).alias("line"))
     gathered = entries.agg(
         F.array_sort(F.collect_list(entry)).alias("entries"),
         F.count(F.lit(1)).alias("files"),

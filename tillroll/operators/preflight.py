@@ -19,23 +19,21 @@ LINE_RULES = ("invalid_utf8", "line_too_long", "missing_header", "malformed_line
 NO_HEADER = "no_header"
 
 
-def _flagged(lines: DataFrame, mode: GroupMode, first_line: Column) -> DataFrame:
+def _flagged(lines: DataFrame, mode: GroupMode, first_line: str) -> DataFrame:
     """Parsed lines with one flag per rule.
 
     The group field is judged as it stands in the file: before trimming, on every event of any
     type, and with the full code even when only its root is used.
     """
     field = "category_id" if mode is GroupMode.CATEGORY_ID else "category_code"
-    kind = F.col("kind")
-    bad_text = ~F.is_valid_utf8("value")
-    too_long = F.octet_length("value") > M.MAX_LINE_BYTES
-    return parse_event_lines(lines).select(
+    too_long = f"octet_length(value) > {M.MAX_LINE_BYTES}"
+    return parse_event_lines(lines).selectExpr(
         "*",
-        bad_text.alias("invalid_utf8"),
-        too_long.alias("line_too_long"),
-        (first_line & (kind != M.KIND_HEADER)).alias("missing_header"),
-        ((kind == M.KIND_MALFORMED) & ~bad_text & ~too_long).alias("malformed_line"),
-        F.coalesce(F.octet_length(field) > M.MAX_KEY_BYTES, F.lit(False)).alias("group_field_too_long"),
+        "NOT is_valid_utf8(value) AS invalid_utf8",
+        f"{too_long} AS line_too_long",
+        f"{first_line} AND kind <> '{M.KIND_HEADER}' AS missing_header",
+        f"kind = '{M.KIND_MALFORMED}' AND is_valid_utf8(value) AND NOT {too_long} AS malformed_line",
+        f"coalesce(octet_length({field}) > {M.MAX_KEY_BYTES}, false) AS group_field_too_long",
     )
 
 
@@ -45,7 +43,7 @@ def line_violations(lines: DataFrame, mode: GroupMode | str) -> DataFrame:
     The first line of a file is the one at offset 0. A line that is not a header there breaks
     ``missing_header`` besides the rules of its own.
     """
-    flagged = _flagged(lines, GroupMode.of(mode), F.col("offset") == 0)
+    flagged = _flagged(lines, GroupMode.of(mode), "offset = 0")
     broken = F.array(*(F.when(F.col(rule), F.lit(rule)) for rule in LINE_RULES))
     return flagged.select("uri", "offset", F.explode(F.array_compact(broken)).alias("rule"))
 
@@ -64,7 +62,7 @@ def file_statistics(lines: DataFrame, mode: GroupMode | str, position: Column, s
     """
     mode = GroupMode.of(mode)
     placed = lines.withColumn("_position", F.when(starts_file, position))
-    flagged = _flagged(placed, mode, F.lit(False))
+    flagged = _flagged(placed, mode, "false")
     counted = ("invalid_utf8", "line_too_long", "malformed_line", "group_field_too_long")
     prepared = prepare(flagged, mode, keep=("uri", "_position", *counted))
     opening = F.min(F.col("_position") * 2 + (F.col("reason") != M.HEADER).cast("bigint"))

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll import model as M
-from tillroll.functions.keys import group_key, missing_code
-from tillroll.functions.money import parse_minor
+from tillroll.functions.keys import group_key, trimmed_code
+from tillroll.functions.money import with_minor
 from tillroll.functions.text import trim_blanks
 from tillroll.model import GroupMode
 
@@ -23,49 +23,46 @@ def prepare(events: DataFrame, mode: GroupMode | str, keep: tuple[str, ...] = ()
     valid purchases only.
     """
     mode = GroupMode.of(mode)
-    kind = F.col("kind") if "kind" in events.columns else F.lit(M.KIND_EVENT)
+    kind = "kind" if "kind" in events.columns else f"'{M.KIND_EVENT}'"
+    known = ", ".join(f"'{t}'" for t in (M.PURCHASE, *M.OTHER_KNOWN_TYPES))
     # One select per step: the amount and the key are worked out once and used several times.
-    typed = events.select(
+    typed = events.selectExpr(
         *keep,
-        kind.alias("kind"),
-        trim_blanks(F.coalesce("event_type", F.lit(""))).alias("event_type"),
+        f"{kind} AS kind",
+        f"if(event_type IN ({known}), event_type, {trim_blanks("coalesce(event_type, '')")}) AS event_type",
         "category_id",
-        "category_code",
-        F.coalesce("price_text", F.lit("")).alias("price_text"),
+        f"{trimmed_code('category_code')} AS code",
+        "price_text",
     )
-    is_purchase = (F.col("kind") == M.KIND_EVENT) & (F.col("event_type") == M.PURCHASE)
-    valued = typed.select(
+    is_purchase = f"kind = '{M.KIND_EVENT}' AND event_type = '{M.PURCHASE}'"
+    keyed = typed.selectExpr(
         *keep,
         "kind",
         "event_type",
-        F.when(is_purchase, parse_minor(F.col("price_text"))).alias("amount"),
-        F.when(is_purchase, group_key(F.col("category_id"), F.col("category_code"), mode)).alias("key"),
-        missing_code(F.col("category_code")).alias("no_code"),
+        f"if({is_purchase}, {group_key('category_id', 'code', mode)}, NULL) AS key",
+        "code = '' AS no_code",
+        f"if({is_purchase}, coalesce(price_text, ''), NULL) AS price_text",
     )
-    judged = valued.select(*keep, _reason().alias("reason"), "amount", "key", "no_code")
-    valid = F.col("reason") == M.VALID_PURCHASE
-    counts_missing = F.lit(mode is not GroupMode.CATEGORY_ID) & F.col("no_code")
-    return judged.select(
+    judged = with_minor(keyed, "price_text", "amount").selectExpr(*keep, f"{_REASON} AS reason", "amount", "key", "no_code")
+    counts_missing = "no_code" if mode is not GroupMode.CATEGORY_ID else "false"
+    return judged.selectExpr(
         *keep,
         "reason",
-        F.when(valid, F.col("key")).alias("group_key"),
-        F.when(valid, F.col("amount")).alias("price_minor"),
-        (valid & counts_missing).alias("missing_code"),
+        f"if(reason = '{M.VALID_PURCHASE}', key, NULL) AS group_key",
+        f"if(reason = '{M.VALID_PURCHASE}', amount, NULL) AS price_minor",
+        f"reason = '{M.VALID_PURCHASE}' AND {counts_missing} AS missing_code",
     )
 
 
-def _reason() -> Column:
-    """The first rule that applies decides; price is judged before group."""
-    kind, event_type = F.col("kind"), F.col("event_type")
-    return (
-        F.when(kind == M.KIND_HEADER, M.HEADER)
-        .when(kind == M.KIND_MALFORMED, M.MALFORMED_CSV)
-        .when(event_type.isin(*M.OTHER_KNOWN_TYPES), M.NON_PURCHASE)
-        .when(event_type != M.PURCHASE, M.UNKNOWN_EVENT)
-        .when(F.col("amount").isNull(), M.INVALID_PRICE)
-        .when(F.col("key").isNull(), M.INVALID_GROUP)
-        .otherwise(M.VALID_PURCHASE)
-    )
+# The first rule that applies decides; price is judged before group.
+_REASON = f"""CASE
+    WHEN kind = '{M.KIND_HEADER}' THEN '{M.HEADER}'
+    WHEN kind = '{M.KIND_MALFORMED}' THEN '{M.MALFORMED_CSV}'
+    WHEN event_type IN ({", ".join(f"'{t}'" for t in M.OTHER_KNOWN_TYPES)}) THEN '{M.NON_PURCHASE}'
+    WHEN event_type <> '{M.PURCHASE}' THEN '{M.UNKNOWN_EVENT}'
+    WHEN amount IS NULL THEN '{M.INVALID_PRICE}'
+    WHEN key IS NULL THEN '{M.INVALID_GROUP}'
+    ELSE '{M.VALID_PURCHASE}' END"""
 
 
 def purchases_only(events: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ def group_counts(prepared: DataFrame, max_keys: int = MAX_GROUPS) -> DataFrame:
     """Valid purchases per group in key order; more than ``max_keys`` groups fail the job."""
     message = f"Profile cardinality exceeds the guard of {max_keys}"
     bounded = at_most(counted_groups(prepared), max_keys, "group_key", message)
-    return bounded.orderBy(utf16_order(F.col("group_key")))
+    return bounded.orderBy(F.expr(utf16_order("group_key")))
 
 
 def tally(prepared: DataFrame) -> DataFrame:
@@ -61,7 +61,7 @@ def record_reduction(prepared: DataFrame, dictionary: DataFrame, slice_column: s
     encoded = encode(prepared, dictionary, slice_column)
     states = encoded.groupBy(slice_column, "id").agg(F.count("price_minor").alias("purchases"))
     states = states.where(F.col("purchases") > 0)
-    packed = states.groupBy(slice_column, owner(F.col("id"), buckets).alias("bucket")).agg(
+    packed = states.groupBy(slice_column, F.expr(owner("id", buckets)).alias("bucket")).agg(
         F.sum("purchases").alias("purchases"), F.count(F.lit(1)).alias("states")
     )
     totals = packed.agg(

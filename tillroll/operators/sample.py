@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tillroll.functions.keys import sample_bucket
 from tillroll.model import DEFAULT_SEED, SAMPLE_BUCKETS
@@ -22,5 +21,4 @@ def hash_sample(rows: DataFrame, rate: float, seed: int = DEFAULT_SEED) -> DataF
 
     Rows need ``uri`` and ``offset``. Rows of every event type are kept alike.
     """
-    threshold = sample_threshold(rate)
-    return rows.where(sample_bucket(F.col("uri"), F.col("offset"), seed, SAMPLE_BUCKETS) < threshold)
+    return rows.where(f"{sample_bucket('uri', 'offset', seed, SAMPLE_BUCKETS)} < {sample_threshold(rate)}")

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.csvline import parse_event_lines
 from tillroll.functions.keys import sample_bucket
-from tillroll.functions.money import average_minor, format_minor, parse_minor
-from tillroll.model import SAMPLE_BUCKETS, GroupMode
+from tillroll.functions.money import average_minor, format_minor, with_minor
+from tillroll.model import GroupMode
 from tillroll.operators import aggregate as agg
 from tillroll.operators import compare, manifest, preflight, profile, sample, summary
 from tillroll.operators import dictionary as dic
@@ -113,49 +113,45 @@ def event_tally(spark: SparkSession, sf: str) -> DataFrame:
 
 def _price_spellings(spark: SparkSession, sf: str) -> DataFrame:
     """Each event's amount in one of twelve spellings, half of them not exact amounts."""
-    events = tables.read_table(spark, sf, "events")
-    cents = F.round(F.col("value") * 100).cast("bigint")
-    digits = cents.cast("string")
-    text = tables.amount_text(F.col("value"))
-    spellings = [
-        text,
-        F.concat(text, F.lit("000")),
-        F.concat(F.lit(" \t+"), text, F.lit("\n")),
-        F.concat(digits, F.lit("e-2")),
-        F.concat(digits, F.lit("0E-03")),
-        F.concat(F.lit("0000000000000000000000"), digits, F.lit(".")),
-        F.concat(text, F.lit("1")),
-        F.concat(digits, F.lit("1e-3")),
-        F.concat(F.lit("-"), text),
-        F.concat(text, F.lit(" x")),
-        F.concat(digits, F.lit("e30")),
-        F.lit("-0.000"),
-    ]
-    choice = F.pmod(F.col("event_id"), F.lit(len(spellings))).cast("int")
-    return events.select("event_id", F.get(F.array(*spellings), choice).alias("price_text"))
+    events = tables.read_table(spark, sf, "events").selectExpr(
+        "event_id", "CAST(round(value * 100) AS BIGINT) AS cents", f"{tables.amount_text('value')} AS text"
+    )
+    spellings = (
+        "text",
+        "concat(text, '000')",
+        "concat(' \\t+', text, '\\n')",
+        "concat(cents, 'e-2')",
+        "concat(cents, '0E-03')",
+        "concat('0000000000000000000000', cents, '.')",
+        "concat(text, '1')",
+        "concat(cents, '1e-3')",
+        "concat('-', text)",
+        "concat(text, ' x')",
+        "concat(cents, 'e30')",
+        "'-0.000'",
+    )
+    return events.selectExpr("event_id", f"elt(1 + event_id % {len(spellings)}, {', '.join(spellings)}) AS price_text")
 
 
 def money_parse(spark: SparkSession, sf: str) -> DataFrame:
-    minor = parse_minor(F.col("price_text"))
-    return _price_spellings(spark, sf).select("event_id", minor.alias("price_minor"))
+    return with_minor(_price_spellings(spark, sf), "price_text", "price_minor").select("event_id", "price_minor")
 
 
 def money_average(spark: SparkSession, sf: str) -> DataFrame:
     """Spend per user over all events, as text: total, and average rounded half up."""
     events = tables.read_table(spark, sf, "events")
-    minor = parse_minor(tables.amount_text(F.col("value")))
-    per_user = events.select("user_id", minor.alias("minor")).groupBy("user_id")
+    per_user = with_minor(events, tables.amount_text("value"), "minor").groupBy("user_id")
     states = per_user.agg(agg.exact_sum("minor").alias("total"), F.count("minor").alias("n"))
-    average = average_minor(F.col("total"), F.col("n"))
-    return states.select(
-        "user_id", format_minor(F.col("total")).alias("total_text"), format_minor(average).alias("average_text")
+    return states.selectExpr(
+        "user_id",
+        f"{format_minor('total')} AS total_text",
+        f"{format_minor(average_minor('total', 'n'))} AS average_text",
     )
 
 
 def sample_buckets(spark: SparkSession, sf: str) -> DataFrame:
     events = tables.read_table(spark, sf, "events")
-    bucket = sample_bucket(F.lit(SAMPLE_URI), F.col("event_id"), -SAMPLE_SEED, 1000)
-    return events.select("event_id", bucket.alias("bucket"))
+    return events.selectExpr("event_id", f"{sample_bucket(repr(SAMPLE_URI), 'event_id', -SAMPLE_SEED, 1000)} AS bucket")
 
 
 # Lines

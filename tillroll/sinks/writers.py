@@ -92,10 +92,10 @@ def export_lines(rows: DataFrame) -> DataFrame:
     """
     bounded = at_most(rows, MAX_GROUPS, "group_key", f"Output cardinality exceeds {MAX_GROUPS}")
     body = bounded.select(
-        utf16_order(F.col("group_key")).alias("position"),
+        F.expr(utf16_order("group_key")).alias("position"),
         F.concat_ws(
             ",",
-            csv_key_field(F.col("group_key")),
+            F.expr(csv_key_field("group_key")),
             "total_revenue",
             F.col("purchase_count").cast("string"),
             "average_revenue",

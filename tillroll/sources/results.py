@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tillroll.functions.money import average_minor, format_minor, parse_minor
+from tillroll.functions.money import average_minor, format_minor, with_minor
 from tillroll.sources.files import InputError, hadoop_path
 
 # Counts are written without a leading plus or blanks, but a reader of longs takes a sign.
+_CELLS = ("group_key", "total_revenue", "_count", "average_revenue")
 _LONG = r"\A[+-]?[0-9]+\z"
 
 
@@ -27,27 +27,28 @@ def parse_result_lines(lines: DataFrame) -> DataFrame:
     The writer of a result knows one spelling only, so the total must be canonical and the average
     must equal the one recomputed from total and count.
     """
-    cells = lines.withColumn("_cells", F.split("value", "\t", -1))
-    whole = F.size("_cells") == 4
-
-    def cell(i: int):
-        return F.when(whole, F.col("_cells")[i])
-
-    parsed = cells.select(
-        *lines.columns,
-        cell(0).alias("group_key"),
-        cell(1).alias("total_revenue"),
-        cell(3).alias("average_revenue"),
-        parse_minor(cell(1)).alias("sum_minor"),
-        F.when(cell(2).rlike(_LONG), cell(2).try_cast("bigint")).alias("purchase_count"),
+    kept = [f"`{c}`" for c in lines.columns]
+    cells = lines.selectExpr("*", "split(value, '\\t', -1) AS _cells")
+    named = cells.selectExpr(
+        *kept,
+        *(f"if(size(_cells) = 4, _cells[{i}], NULL) AS {name}" for i, name in enumerate(_CELLS)),
     )
-    total, count = F.col("sum_minor"), F.col("purchase_count")
-    violation = (
-        F.when(F.col("group_key").isNull(), "columns")
-        .when(F.col("group_key") == "", "empty_key")
-        .when(total.isNull(), "total")
-        .when(count.isNull() | (count <= 0), "count")
-        .when(F.col("total_revenue") != format_minor(total), "total")
-        .when(F.col("average_revenue") != format_minor(average_minor(total, count)), "average")
+    parsed = with_minor(named, "total_revenue", "sum_minor").selectExpr(
+        *kept,
+        "group_key",
+        "total_revenue",
+        "average_revenue",
+        "sum_minor",
+        f"if(_count RLIKE r'{_LONG}', try_cast(_count AS BIGINT), NULL) AS purchase_count",
+    )
+    return parsed.selectExpr(
+        "*",
+        f"""CASE
+            WHEN group_key IS NULL THEN 'columns'
+            WHEN group_key = '' THEN 'empty_key'
+            WHEN sum_minor IS NULL THEN 'total'
+            WHEN purchase_count IS NULL OR purchase_count <= 0 THEN 'count'
+            WHEN total_revenue <> {format_minor("sum_minor")} THEN 'total'
+            WHEN average_revenue <> {format_minor(average_minor("sum_minor", "purchase_count"))} THEN 'average'
+            END AS violation""",
     )
-    return parsed.withColumn("violation", violation)

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.model import EVENT_COLUMNS, HEADER_LINE
 
@@ -12,9 +11,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def amount_text(amount: Column) -> Column:
-    """A double that holds an amount in cents, as two-decimal text."""
-    return amount.cast("decimal(18,2)").cast("string")
+def amount_text(amount: str) -> str:
+    """A number that holds whole cents, as two-decimal text."""
+    return f"CAST(CAST({amount} AS DECIMAL(18,2)) AS STRING)"
 
 
 def events_as_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,28 +21,21 @@ def events_as_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Category ``k`` comes from the properties; codes are missing, top-level or two-level by ``k``.
     """
-    events = read_table(spark, sf_dir, "events")
-    k = F.get_json_object("props", "$.k")
-    keyed = events.withColumn("category_id", k)
-    number = F.col("category_id").cast("int")
-    top = F.concat(F.lit("d"), (number % 7).cast("string"))
-    code = (
-        F.when(number % 10 == 0, F.lit(""))
-        .when(number % 10 == 1, top)
-        .otherwise(F.concat(top, F.lit(".c"), number.cast("string")))
-    )
-    return keyed.select(
+    events = read_table(spark, sf_dir, "events").selectExpr("*", "get_json_object(props, '$.k') AS category_id")
+    numbered = events.selectExpr("*", "CAST(category_id AS INT) AS k")
+    return numbered.selectExpr(
         "event_id",
-        F.date_format("ts", "yyyy-MM-dd").alias("day"),
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss 'UTC'").alias("event_time"),
+        "date_format(ts, 'yyyy-MM-dd') AS day",
+        "date_format(ts, \"yyyy-MM-dd HH:mm:ss 'UTC'\") AS event_time",
         "event_type",
-        F.col("event_id").cast("string").alias("product_id"),
+        "CAST(event_id AS STRING) AS product_id",
         "category_id",
-        code.alias("category_code"),
-        F.lit("brand").alias("brand"),
-        amount_text(F.col("value")).alias("price_text"),
-        F.col("user_id").cast("string").alias("user_id"),
-        F.lit("").alias("user_session"),
+        "CASE WHEN k % 10 = 0 THEN '' WHEN k % 10 = 1 THEN concat('d', k % 7) "
+        "ELSE concat('d', k % 7, '.c', k) END AS category_code",
+        "'brand' AS brand",
+        f"{amount_text('value')} AS price_text",
+        "CAST(user_id AS STRING) AS user_id",
+        "'' AS user_session",
     )
 
 
@@ -53,25 +45,18 @@ def events_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``kind`` marks the rows that stand for a header or a damaged line; those faults replace the
     whole row and win over the others.
     """
-    raw = events_as_raw(spark, sf_dir)
-    number = F.col("event_id")
-    price = (
-        F.when(number % 97 == 0, F.lit("NaN"))
-        .when(number % 101 == 0, F.lit("12.301"))
-        .when(number % 83 == 0, F.lit("-1"))
-        .otherwise(F.col("price_text"))
-    )
-    return raw.select(
+    return events_as_raw(spark, sf_dir).selectExpr(
         "event_id",
         "day",
-        F.when(number % 499 == 0, "HEADER").when(number % 503 == 0, "MALFORMED").otherwise("EVENT").alias("kind"),
+        "CASE WHEN event_id % 499 = 0 THEN 'HEADER' WHEN event_id % 503 = 0 THEN 'MALFORMED' ELSE 'EVENT' END AS kind",
         "event_time",
         "event_type",
         "product_id",
-        F.when(number % 89 == 0, F.lit("")).otherwise(F.col("category_id")).alias("category_id"),
-        F.when(number % 79 == 0, F.lit(".x")).otherwise(F.col("category_code")).alias("category_code"),
+        "if(event_id % 89 = 0, '', category_id) AS category_id",
+        "if(event_id % 79 = 0, '.x', category_code) AS category_code",
         "brand",
-        price.alias("price_text"),
+        "CASE WHEN event_id % 97 = 0 THEN 'NaN' WHEN event_id % 101 = 0 THEN '12.301' "
+        "WHEN event_id % 83 = 0 THEN '-1' ELSE price_text END AS price_text",
         "user_id",
         "user_session",
     )
@@ -83,39 +68,34 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     Every seventh line quotes its brand, with a comma and doubled quotes inside, and every eleventh
     ends in a carriage return.
     """
-    dirty = events_dirty(spark, sf_dir)
-    number = F.col("event_id")
-    brand = F.when(number % 7 == 0, F.lit('"say ""hi"", twice"')).otherwise(F.col("brand"))
-    columns = [brand if c == "brand" else F.col("price_text" if c == "price" else c) for c in EVENT_COLUMNS]
-    full = F.concat_ws(",", *columns)
-    short = F.concat_ws(",", *columns[:-1])
-    line = F.when(F.col("kind") == "HEADER", F.lit(HEADER_LINE)).when(F.col("kind") == "MALFORMED", short)
-    ending = F.when(number % 11 == 0, F.lit("\r")).otherwise(F.lit(""))
-    return dirty.select(
-        F.concat(F.lit("events/day="), "day").alias("uri"),
-        number.alias("offset"),
-        F.concat(line.otherwise(full), ending).alias("value"),
+    brand = """if(event_id % 7 = 0, '"say ""hi"", twice"', brand)"""
+    columns = [{"brand": brand, "price": "price_text"}.get(c, c) for c in EVENT_COLUMNS]
+    full, short = ", ".join(columns), ", ".join(columns[:-1])
+    line = f"""CASE kind WHEN 'HEADER' THEN '{HEADER_LINE}' WHEN 'MALFORMED' THEN concat_ws(',', {short})
+               ELSE concat_ws(',', {full}) END"""
+    return events_dirty(spark, sf_dir).selectExpr(
+        "concat('events/day=', day) AS uri",
+        "event_id AS offset",
+        f"concat({line}, if(event_id % 11 = 0, '\\r', '')) AS value",
     )
 
 
 def lineitem_as_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order line as a purchase of its part at its extended price."""
-    lines = read_table(spark, sf_dir, "lineitem")
-    return lines.select(
-        F.lit("purchase").alias("event_type"),
-        F.col("l_partkey").cast("string").alias("category_id"),
-        F.lit("").alias("category_code"),
-        amount_text(F.col("l_extendedprice")).alias("price_text"),
+    return read_table(spark, sf_dir, "lineitem").selectExpr(
+        "'purchase' AS event_type",
+        "CAST(l_partkey AS STRING) AS category_id",
+        "'' AS category_code",
+        f"{amount_text('l_extendedprice')} AS price_text",
     )
 
 
 def orders_as_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order as a purchase by its customer, coded by priority and status."""
-    orders = read_table(spark, sf_dir, "orders")
-    return orders.select(
-        F.col("o_orderkey").alias("order_id"),
-        F.lit("purchase").alias("event_type"),
-        F.col("o_custkey").cast("string").alias("category_id"),
-        F.concat_ws(".", "o_orderpriority", "o_orderstatus").alias("category_code"),
-        amount_text(F.col("o_totalprice")).alias("price_text"),
+    return read_table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS order_id",
+        "'purchase' AS event_type",
+        "CAST(o_custkey AS STRING) AS category_id",
+        "concat_ws('.', o_orderpriority, o_orderstatus) AS category_code",
+        f"{amount_text('o_totalprice')} AS price_text",
     )
