@@ -21,6 +21,8 @@ _BARE = r'([^",][^,]*+|)'
 # The line is matched behind an added comma, so that every field starts with one.
 _FIELD = f",(?:{_QUOTED}|{_BARE})"
 _RECORD = rf"\A(?:{_FIELD}){{{_N}}}\z"
+# A doubled quote inside quoted text, found from the LF before it or right behind another one.
+_DOUBLED = r'(\G(?!\A)|\n)([^"\r\n]*+)""'
 _QUOTED_HEADER = r"\A" + ",".join(rf'(?:{c}|"{c}"\p{{javaWhitespace}}*+)' for c in EVENT_COLUMNS) + r"\z"
 
 
@@ -41,32 +43,29 @@ def parse_event_lines(lines: DataFrame, fast_path: bool = True) -> DataFrame:
     )
     # A line holds neither LF nor CR by now, so they can set off the fields, and what was inside
     # quotes from what was not: LF, quoted text, CR, bare text.
-    marked = rf"""CASE WHEN concat(',', _body) RLIKE r'{_RECORD}' THEN
-        slice(split(regexp_replace(concat(',', _body), r'{_FIELD}', '\n$1\r$2'), '\n', -1), 2, {_N}) END"""
+    marked = rf"regexp_replace(concat(',', _body), r'{_FIELD}', '\n$1\r$2')"
+    unquoted = rf"""replace(regexp_replace({marked}, r'{_DOUBLED}', '$1$2"'), '\r', '')"""
+    split = rf"slice(split({unquoted}, '\n', -1), 2, {_N})"
     quoted = """contains(_body, '"')""" if fast_path else "true"
     staged = staged.selectExpr("*", f"{quoted} AS _quoted")
-    staged = staged.selectExpr("*", f"if(_quoted, {marked}, split(_body, ',', -1)) AS _fields")
+    staged = staged.selectExpr(
+        "*",
+        f"if(_quoted, CASE WHEN concat(',', _body) RLIKE r'{_RECORD}' THEN {split} END, split(_body, ',', -1)) AS _fields",
+    )
     staged = staged.selectExpr(
         "*",
         f"""CASE WHEN _fields IS NULL OR size(_fields) <> {_N} THEN '{KIND_MALFORMED}'
             WHEN if(_quoted, _body RLIKE r'{_QUOTED_HEADER}', _body = '{HEADER_LINE}') THEN '{KIND_HEADER}'
             ELSE '{KIND_EVENT}' END AS kind""",
     )
+    field = {name: f"_fields[{EVENT_COLUMNS.index(name)}]" for name in EVENT_COLUMNS}
     # Null for headers and malformed lines, and so are the fields taken from it.
-    staged = staged.selectExpr(*kept, "kind", "_quoted", f"if(kind = '{KIND_EVENT}', _fields, NULL) AS _fields")
-
-    def field(name: str) -> str:
-        raw = f"_fields[{EVENT_COLUMNS.index(name)}]"
-        inner = rf"""replace(split_part({raw}, '\r', 1), '""', '"')"""
-        return rf"if(_quoted, concat({inner}, split_part({raw}, '\r', 2)), {raw})"
-
+    staged = staged.selectExpr(*kept, "kind", f"if(kind = '{KIND_EVENT}', _fields, NULL) AS _fields")
     return staged.selectExpr(
         *kept,
         "kind",
-        f"{field('event_type')} AS event_type",
-        f"{field('category_id')} AS category_id",
-        f"{field('category_code')} AS category_code",
-        f"{field('price')} AS price_text",
-    ).selectExpr(
-        *kept, "kind", f"{trim_blanks('event_type')} AS event_type", "category_id", "category_code", "price_text"
+        f"{trim_blanks(field['event_type'])} AS event_type",
+        f"{field['category_id']} AS category_id",
+        f"{field['category_code']} AS category_code",
+        f"{field['price']} AS price_text",
     )

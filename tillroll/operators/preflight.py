@@ -14,26 +14,24 @@ from tillroll.operators.aggregate import exact_sum
 from tillroll.operators.prepare import prepare
 from tillroll.sources.files import InputFile, scan_splits
 
-# In the order in which a line is judged.
-LINE_RULES = ("invalid_utf8", "line_too_long", "missing_header", "malformed_line", "group_field_too_long")
+# The faults a single line can have. At most one applies, judged in this order.
+LINE_FAULTS = ("line_too_long", "invalid_utf8", "malformed_line", "group_field_too_long")
+MISSING_HEADER = "missing_header"
 NO_HEADER = "no_header"
 
 
-def _flagged(lines: DataFrame, mode: GroupMode, first_line: str) -> DataFrame:
-    """Parsed lines with one flag per rule.
+def _with_fault(lines: DataFrame, mode: GroupMode) -> DataFrame:
+    """Parsed lines with their ``fault``, if any.
 
     The group field is judged as it stands in the file: before trimming, on every event of any
     type, and with the full code even when only its root is used.
     """
     field = "category_id" if mode is GroupMode.CATEGORY_ID else "category_code"
-    too_long = f"octet_length(value) > {M.MAX_LINE_BYTES}"
     return parse_event_lines(lines).selectExpr(
         "*",
-        "NOT is_valid_utf8(value) AS invalid_utf8",
-        f"{too_long} AS line_too_long",
-        f"{first_line} AND kind <> '{M.KIND_HEADER}' AS missing_header",
-        f"kind = '{M.KIND_MALFORMED}' AND is_valid_utf8(value) AND NOT {too_long} AS malformed_line",
-        f"coalesce(octet_length({field}) > {M.MAX_KEY_BYTES}, false) AS group_field_too_long",
+        f"""CASE WHEN octet_length(value) > {M.MAX_LINE_BYTES} THEN 'line_too_long'
+            WHEN kind = '{M.KIND_MALFORMED}' THEN if(is_valid_utf8(value), 'malformed_line', 'invalid_utf8')
+            WHEN octet_length({field}) > {M.MAX_KEY_BYTES} THEN 'group_field_too_long' END AS fault""",
     )
 
 
@@ -43,9 +41,9 @@ def line_violations(lines: DataFrame, mode: GroupMode | str) -> DataFrame:
     The first line of a file is the one at offset 0. A line that is not a header there breaks
     ``missing_header`` besides the rules of its own.
     """
-    flagged = _flagged(lines, GroupMode.of(mode), "offset = 0")
-    broken = F.array(*(F.when(F.col(rule), F.lit(rule)) for rule in LINE_RULES))
-    return flagged.select("uri", "offset", F.explode(F.array_compact(broken)).alias("rule"))
+    headless = F.when((F.col("offset") == 0) & (F.col("kind") != M.KIND_HEADER), MISSING_HEADER)
+    rules = F.array_compact(F.array(headless, F.col("fault")))
+    return _with_fault(lines, GroupMode.of(mode)).select("uri", "offset", F.explode(rules).alias("rule"))
 
 
 def first_errors(violations: DataFrame, limit: int = M.MAX_REPORTED_ERRORS) -> DataFrame:
@@ -53,27 +51,36 @@ def first_errors(violations: DataFrame, limit: int = M.MAX_REPORTED_ERRORS) -> D
     return violations.orderBy("uri", "offset", "rule").limit(limit)
 
 
-def file_statistics(lines: DataFrame, mode: GroupMode | str, position: Column, starts_file: Column) -> DataFrame:
+def file_statistics(
+    lines: DataFrame, mode: GroupMode | str, position: Column, starts_file: Column, listed: DataFrame | None = None
+) -> DataFrame:
     """One row per file: lines, valid purchases, broken rules, and whether it opens with a header.
 
     ``position`` orders the lines of a file and ``starts_file`` marks rows that can be its first.
     Position and header flag share one number, whose minimum says what the first line was; all
-    aggregates are plain numbers, so one row per file and task is all that is shuffled.
+    aggregates are plain numbers, so a few rows per file and task are all that is shuffled. Files
+    named in ``listed`` get a row even if they hold no line.
     """
     mode = GroupMode.of(mode)
-    placed = lines.withColumn("_position", F.when(starts_file, position))
-    flagged = _flagged(placed, mode, "false")
-    counted = ("invalid_utf8", "line_too_long", "malformed_line", "group_field_too_long")
-    prepared = prepare(flagged, mode, keep=("uri", "_position", *counted))
-    opening = F.min(F.col("_position") * 2 + (F.col("reason") != M.HEADER).cast("bigint"))
-    return prepared.groupBy("uri").agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.count_if(F.col("reason") == M.VALID_PURCHASE).alias("valid_purchases"),
-        F.count_if("invalid_utf8").alias("invalid_utf8"),
-        F.count_if("line_too_long").alias("line_too_long"),
-        F.count_if("malformed_line").alias("malformed_line"),
-        F.count_if("group_field_too_long").alias("group_field_too_long"),
-        F.coalesce(opening % 2 == 0, F.lit(False)).alias("has_header"),
+    faulty = _with_fault(lines.withColumn("_position", F.when(starts_file, position)), mode)
+    prepared = prepare(faulty, mode, keep=("uri", "_position", "fault"))
+    # Lines are first counted per file and outcome, in each task; the few counts are laid out after.
+    outcome = F.coalesce("fault", F.when(F.col("reason") == M.VALID_PURCHASE, "valid_purchases"), F.lit("other"))
+    opening = F.col("_position") * 2 + (F.col("reason") != M.HEADER).cast("bigint")
+    counted = prepared.select("uri", outcome.alias("outcome"), opening.alias("opening")).groupBy("uri", "outcome")
+    counted = counted.agg(F.count(F.lit(1)).alias("n"), F.min("opening").alias("opening"))
+    if listed is not None:
+        counted = counted.unionByName(
+            listed.selectExpr("uri", "'other' AS outcome", "0L AS n", "CAST(NULL AS BIGINT) AS opening")
+        )
+
+    def lines_with(name: str) -> Column:
+        return F.expr(f"sum(if(outcome = '{name}', n, 0))").alias(name)
+
+    return counted.groupBy("uri").agg(
+        F.sum("n").alias("lines"),
+        *(lines_with(name) for name in ("valid_purchases", *LINE_FAULTS)),
+        F.expr("coalesce(min(opening) % 2 = 0, false)").alias("has_header"),
     )
 
 
@@ -83,28 +90,17 @@ def rule_counts(statistics: DataFrame) -> DataFrame:
     A file with lines but no header at its start breaks ``missing_header`` and ``no_header``; an
     empty one only the latter.
     """
-    headless = ~F.col("has_header")
-    counts = F.create_map(
-        *(
-            part
-            for rule in ("invalid_utf8", "line_too_long", "malformed_line", "group_field_too_long")
-            for part in (F.lit(rule), F.col(rule))
-        ),
-        F.lit("missing_header"),
-        (headless & (F.col("lines") > 0)).cast("bigint"),
-        F.lit(NO_HEADER),
-        headless.cast("bigint"),
+    counts = ", ".join(f"'{name}', {name}" for name in LINE_FAULTS)
+    headers = (
+        f"'{MISSING_HEADER}', CAST(NOT has_header AND lines > 0 AS BIGINT), '{NO_HEADER}', CAST(NOT has_header AS BIGINT)"
     )
-    return statistics.select("uri", F.explode(counts).alias("rule", "n")).where(F.col("n") > 0)
+    return statistics.selectExpr("uri", f"explode(map({counts}, {headers})) AS (rule, n)").where("n > 0")
 
 
 def preflight_totals(statistics: DataFrame) -> DataFrame:
     """Files, lines, valid purchases and broken rules over the whole input, as one row."""
-    errors = sum(
-        (F.col(c) for c in ("invalid_utf8", "line_too_long", "malformed_line", "group_field_too_long")),
-        F.when(F.col("has_header"), 0).when(F.col("lines") > 0, 2).otherwise(1).cast("bigint"),
-    )
-    counted = statistics.withColumn("errors", errors)
+    header_errors = "CASE WHEN has_header THEN 0 WHEN lines > 0 THEN 2 ELSE 1 END"
+    counted = statistics.selectExpr("*", f"{' + '.join(LINE_FAULTS)} + {header_errors} AS errors")
     return counted.agg(
         F.count(F.lit(1)).alias("files"),
         F.coalesce(exact_sum("lines"), F.lit(0)).alias("lines"),
@@ -119,11 +115,10 @@ def inspect_files(spark: SparkSession, files: Sequence[InputFile], mode: GroupMo
     One JVM-only pass; byte offsets are not needed. The rows of a task keep file order, so the
     generated id orders the lines of the split that opens a file.
     """
-    lines = scan_splits(spark, files)
-    found = file_statistics(
-        lines, mode, position=F.monotonically_increasing_id(), starts_file=F.col("split_start") == 0
+    return file_statistics(
+        scan_splits(spark, files),
+        mode,
+        position=F.monotonically_increasing_id(),
+        starts_file=F.col("split_start") == 0,
+        listed=spark.createDataFrame([(f.uri,) for f in files], "uri string"),
     )
-    listed = spark.createDataFrame([(f.uri, f.bytes) for f in files], "uri string, bytes bigint")
-    counts = [c for c in found.columns if c not in ("uri", "has_header")]
-    return listed.join(found, "uri", "left").na.fill(0, counts).na.fill({"has_header": False})
-

@@ -58,8 +58,10 @@ def run_summary(
         F.max("job_ms").alias("job_max_ms"),
         F.array_join(F.array_sort(F.collect_set("effective_variant")), ",").alias("effective_variant"),
     )
-    wide = _medians(measured).groupBy("variant").pivot("metric", list(_METRICS)).agg(F.first("median"))
-    asked = records.sparkSession.createDataFrame([(v,) for v in variants], "variant string")
+    metric = {m: F.max(F.when(F.col("metric") == m, F.col("median"))).alias(m) for m in _METRICS}
+    wide = _medians(measured).groupBy("variant").agg(*metric.values())
+    names = F.array(*(F.lit(v) for v in variants))
+    asked = records.sparkSession.range(1).select(F.explode(names).alias("variant"))
     summary = asked.join(extent, "variant", "left").join(wide, "variant", "left")
     baseline_ms = wide.where(F.col("variant") == baseline).select("job_ms").scalar()
     runs = F.coalesce("runs", F.lit(0))

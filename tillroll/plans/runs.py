@@ -31,8 +31,8 @@ class RunFailed(RuntimeError):
 class Preflight:
     files: list[InputFile]
     mode: GroupMode
-    statistics: DataFrame  # a row per file
-    manifest: DataFrame  # a row per file
+    statistics: DataFrame  # a row per file; using it again scans the files again
+    manifest: DataFrame  # a row per file, stored
     fingerprint: str
     lines: int
     valid_purchases: int
@@ -46,7 +46,7 @@ class Preflight:
 def run_preflight(spark: SparkSession, files: Sequence[InputFile], mode: GroupMode | str) -> Preflight:
     """Check and digest event files. Offsets of broken lines are looked up only when there are any."""
     mode = GroupMode.of(mode)
-    statistics = materialize(preflight.inspect_files(spark, files, mode))
+    statistics = preflight.inspect_files(spark, files, mode)
     digests = materialize(manifest.file_manifest(spark, files))
     totals = preflight.preflight_totals(statistics).first()
     fingerprint = manifest.manifest_fingerprint(digests).first()["input_fingerprint"]
@@ -202,9 +202,9 @@ def run_aggregate(
         writers.stage_result(states, staged)
         parsed = parse_result_lines(read_result_lines(spark, staged))
         checks = compare.validate_result(parsed, checked.valid_purchases).first()
-        agreed = compare.reconciliation(tallied, checked.statistics, states).first()
-        if not (checks["valid"] and agreed["reconciled"]):
-            raise RunFailed(f"Result does not add up: {checks.asDict()} {agreed.asDict()}")
+        counted = counters.get(M.VALID_PURCHASE, 0)
+        if not checks["valid"] or counted != checked.valid_purchases:
+            raise RunFailed(f"Result does not add up: {checks.asDict()}, counted {counted}")
         _unchanged(checked.manifest, manifest.file_manifest(spark, files))
         record = {
             "schemaVersion": 2,
