@@ -229,7 +229,7 @@ def run_aggregate(
             "endToEndMillis bigint, groups bigint, totalSumMinor bigint, counters map<string,bigint>, "
             "configuration map<string,string>",
         )
-        writers.write_artifact(one_row, f"{staged}/_run-manifest.json")
+        writers.write_artifact(one_row.coalesce(1), f"{staged}/_run-manifest.json")
         writers.publish(spark, staged, output)
     finally:
         writers.discard(spark, staged)
