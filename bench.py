@@ -42,7 +42,6 @@ HEADLINE = (
     "line_value_by_part",
     "line_value_by_brand",
     "event_reason_counts",
-    "projected_event_lines",
     "line_value_by_category_code",
     "strategy_direct",
     "strategy_dictionary",

@@ -28,19 +28,31 @@ def exact_sum(column: str) -> Column:
     return F.expr(f"if({total} IS NULL AND count({column}) > 0, raise_error('{message}'), {total})")
 
 
+def key_or_blank() -> Column:
+    """The group key, or an empty text, which is no key, on rows that are no valid purchase.
+
+    Spark filters null keys ahead of a join, which would work out every key twice; this is never null.
+    """
+    return F.expr("coalesce(group_key, '') AS group_key")
+
+
+def id_or_none() -> Column:
+    return F.expr("coalesce(id, -1) AS id")
+
+
 def _states(grouped, amount: str = "price_minor") -> DataFrame:
     """States of the keys that hold at least one valid purchase.
 
-    Rows without a valid purchase carry a null amount, and meet in a null group that the count
+    Rows without a valid purchase carry a null amount, and meet in a blank group that the count
     drops. Filtering them first would make Spark evaluate key and amount twice, once in the filter.
     """
     states = grouped.agg(exact_sum(amount).alias("sum_minor"), F.count(amount).alias("purchase_count"))
-    return states.where(F.col("purchase_count") > 0)
+    return states.where("purchase_count > 0")
 
 
 def partial(prepared: DataFrame) -> DataFrame:
     """Pre-aggregate in each task, shuffle states only. The default: a hot key costs one row a task."""
-    return _states(prepared.groupBy("group_key"))
+    return _states(prepared.groupBy(key_or_blank()))
 
 
 def direct(prepared: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -50,8 +62,8 @@ def direct(prepared: DataFrame, partitions: int | None = None) -> DataFrame:
     third of all rows does not end in one task; a second, small exchange merges its states. The
     salt is fixed for an input partition, so a task that runs again sends its rows the same way.
     """
-    salted = prepared.select("group_key", "price_minor", F.pmod(F.spark_partition_id(), F.lit(_SALTS)).alias("salt"))
-    purchases = salted.where(F.col("price_minor").isNotNull())
+    salted = prepared.select(key_or_blank(), "price_minor", F.expr(f"pmod(spark_partition_id(), {_SALTS}) AS salt"))
+    purchases = salted.where("price_minor IS NOT NULL")
     spread = purchases.repartition(*([partitions] if partitions else []), "group_key", "salt")
     salted_states = _states(spread.groupBy("group_key", "salt"))
     return merge_states(salted_states)
@@ -62,18 +74,18 @@ def merge_states(states: DataFrame, *keys: str) -> DataFrame:
     merged = states.groupBy(*(keys or ("group_key",))).agg(
         exact_sum("sum_minor").alias("sum_minor"), exact_sum("purchase_count").alias("purchase_count")
     )
-    return merged.where(F.col("purchase_count") > 0)
+    return merged.where("purchase_count > 0")
 
 
 def partial_states(prepared: DataFrame, slice_column: str) -> DataFrame:
     """One state per slice and key, to be kept and merged later."""
-    return _states(prepared.groupBy(slice_column, "group_key"))
+    return _states(prepared.groupBy(slice_column, key_or_blank()))
 
 
 def by_dictionary(prepared: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Aggregate on dense integer ids and put the names back on the few result rows."""
     encoded = encode(prepared, dictionary)
-    return decode(_states(encoded.groupBy("id")), dictionary).select("group_key", "sum_minor", "purchase_count")
+    return decode(_states(encoded.groupBy(id_or_none())), dictionary).select("group_key", "sum_minor", "purchase_count")
 
 
 def pack(prepared: DataFrame, dictionary: DataFrame, slice_column: str, buckets: int) -> DataFrame:
@@ -85,7 +97,7 @@ def pack(prepared: DataFrame, dictionary: DataFrame, slice_column: str, buckets:
     if buckets < 1:
         raise ValueError("buckets must be positive")
     encoded = encode(prepared, dictionary, slice_column)
-    states = _states(encoded.groupBy(slice_column, "id"))
+    states = _states(encoded.groupBy(slice_column, id_or_none()))
     entry = F.struct("id", "sum_minor", "purchase_count")
     return states.groupBy(slice_column, F.expr(owner("id", buckets)).alias("bucket")).agg(
         F.array_sort(F.collect_list(entry)).alias("entries")

@@ -13,8 +13,8 @@ _TOO_MANY = "Group cardinality exceeds the guard of {}; use the partial strategy
 
 
 def counted_groups(prepared: DataFrame) -> DataFrame:
-    """Valid purchases per key. The null group of all other rows counts zero and falls away."""
-    counted = prepared.groupBy("group_key").agg(F.count("price_minor").alias("purchase_count"))
+    """Valid purchases per key. The blank group of all other rows counts zero and falls away."""
+    counted = prepared.groupBy(F.expr("coalesce(group_key, '') AS group_key")).agg(F.count("price_minor").alias("purchase_count"))
     return counted.where(F.col("purchase_count") > 0)
 
 

@@ -70,9 +70,9 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     brand = """if(event_id % 7 = 0, '"say ""hi"", twice"', brand)"""
     columns = [{"brand": brand, "price": "price_text"}.get(c, c) for c in EVENT_COLUMNS]
-    full, short = ", ".join(columns), ", ".join(columns[:-1])
-    line = f"""CASE kind WHEN 'HEADER' THEN '{HEADER_LINE}' WHEN 'MALFORMED' THEN concat_ws(',', {short})
-               ELSE concat_ws(',', {full}) END"""
+    # A null is left out of the line: a malformed one lacks its last column.
+    columns[-1] = f"if(kind = 'MALFORMED', NULL, {columns[-1]})"
+    line = f"if(kind = 'HEADER', '{HEADER_LINE}', concat_ws(',', {', '.join(columns)}))"
     return events_dirty(spark, sf_dir).selectExpr(
         "concat('events/day=', day) AS uri",
         "event_id AS offset",
