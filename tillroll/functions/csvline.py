@@ -13,6 +13,7 @@ from tillroll.model import (
     KIND_MALFORMED,
     MAX_LINE_BYTES,
 )
+from tillroll.session import select_in_steps
 
 _N = len(EVENT_COLUMNS)
 # Possessive quantifiers never backtrack, so a 64 KiB field cannot exhaust the regex stack.
@@ -34,38 +35,42 @@ def parse_event_lines(lines: DataFrame, fast_path: bool = True) -> DataFrame:
     their commas; without it every line takes the quoted route. Both give the same rows.
     """
     kept = [f"`{c}`" for c in lines.columns]
-    # Separate selects keep each step computed once: Spark merges them only where that is free.
-    staged = lines.selectExpr("*", f"{strip_cr('value')} AS _line")
-    staged = staged.selectExpr(
-        *kept,
-        f"""CASE WHEN octet_length(_line) <= {MAX_LINE_BYTES} AND NOT contains(_line, '\\r')
-                 AND NOT contains(_line, '\\n') AND is_valid_utf8(_line) THEN {strip_bom("_line")} END AS _body""",
-    )
+    quoted = """contains(_body, '"')""" if fast_path else "true"
     # A line holds neither LF nor CR by now, so they can set off the fields, and what was inside
     # quotes from what was not: LF, quoted text, CR, bare text.
     marked = rf"regexp_replace(concat(',', _body), r'{_FIELD}', '\n$1\r$2')"
     unquoted = rf"""replace(regexp_replace({marked}, r'{_DOUBLED}', '$1$2"'), '\r', '')"""
     split = rf"slice(split({unquoted}, '\n', -1), 2, {_N})"
-    quoted = """contains(_body, '"')""" if fast_path else "true"
-    staged = staged.selectExpr("*", f"{quoted} AS _quoted")
-    staged = staged.selectExpr(
-        "*",
-        f"if(_quoted, CASE WHEN concat(',', _body) RLIKE r'{_RECORD}' THEN {split} END, split(_body, ',', -1)) AS _fields",
-    )
-    staged = staged.selectExpr(
-        "*",
-        f"""CASE WHEN _fields IS NULL OR size(_fields) <> {_N} THEN '{KIND_MALFORMED}'
+    field = {name: f"_fields[{EVENT_COLUMNS.index(name)}]" for name in EVENT_COLUMNS}
+    # Separate selects keep each step computed once: Spark merges them only where that is free.
+    return select_in_steps(
+        lines,
+        ["*", f"{strip_cr('value')} AS _line"],
+        [
+            *kept,
+            f"""CASE WHEN octet_length(_line) <= {MAX_LINE_BYTES} AND NOT contains(_line, '\\r')
+            AND NOT contains(_line, '\\n') AND is_valid_utf8(_line) THEN {strip_bom("_line")} END AS _body""",
+        ],
+        ["*", f"{quoted} AS _quoted"],
+        [
+            "*",
+            f"""if(_quoted, CASE WHEN concat(',', _body) RLIKE r'{_RECORD}' THEN {split} END,
+            split(_body, ',', -1)) AS _fields""",
+        ],
+        [
+            "*",
+            f"""CASE WHEN _fields IS NULL OR size(_fields) <> {_N} THEN '{KIND_MALFORMED}'
             WHEN if(_quoted, _body RLIKE r'{_QUOTED_HEADER}', _body = '{HEADER_LINE}') THEN '{KIND_HEADER}'
             ELSE '{KIND_EVENT}' END AS kind""",
-    )
-    field = {name: f"_fields[{EVENT_COLUMNS.index(name)}]" for name in EVENT_COLUMNS}
-    # Null for headers and malformed lines, and so are the fields taken from it.
-    staged = staged.selectExpr(*kept, "kind", f"if(kind = '{KIND_EVENT}', _fields, NULL) AS _fields")
-    return staged.selectExpr(
-        *kept,
-        "kind",
-        f"{trim_blanks(field['event_type'])} AS event_type",
-        f"{field['category_id']} AS category_id",
-        f"{field['category_code']} AS category_code",
-        f"{field['price']} AS price_text",
+        ],
+        # Null for headers and malformed lines, and so are the fields taken from it.
+        [*kept, "kind", f"if(kind = '{KIND_EVENT}', _fields, NULL) AS _fields"],
+        [
+            *kept,
+            "kind",
+            f"{trim_blanks(field['event_type'])} AS event_type",
+            f"{field['category_id']} AS category_id",
+            f"{field['category_code']} AS category_code",
+            f"{field['price']} AS price_text",
+        ],
     )

@@ -7,6 +7,7 @@ import unicodedata
 from pyspark.sql import DataFrame
 
 from tillroll.functions.text import trim_blanks
+from tillroll.session import select_in_steps
 
 # The common spelling: digits that need only lose their point.
 _PLAIN = r"\A[0-9]{1,16}\.[0-9]{2}\z"
@@ -19,8 +20,8 @@ _WIDE_TO = "".join(str(unicodedata.digit(c)) for c in _WIDE_DIGITS)
 _INT_MIN, _INT_MAX = -(2**31), 2**31 - 1
 
 
-def with_minor(rows: DataFrame, text: str, name: str) -> DataFrame:
-    """Add ``name``: minor units of a decimal text, or null unless it is an exact amount of at least 0.
+def minor_steps(text: str, name: str) -> list[list[str]]:
+    """Selects that add ``name``: minor units of a decimal text, or null unless it is an exact amount of at least 0.
 
     A cast to a decimal would round ``12.301`` instead of refusing it, so a pattern first makes sure
     that nothing is lost. Signs, exponents and digits of other scripts are understood.
@@ -32,22 +33,22 @@ def with_minor(rows: DataFrame, text: str, name: str) -> DataFrame:
     plain, odd, digits, shift = (f"_{name}_{part}" for part in ("text", "odd", "digits", "shift"))
     length = f"(length({digits}) + {shift})"
     dropped = f"(length({digits}) - length(rtrim('0', {digits})) + {shift})"
-    staged = rows.selectExpr("*", f"{text} AS {plain}").selectExpr(
-        "*",
-        f"if({plain} RLIKE r'{_PLAIN}', NULL, translate({trim_blanks(plain)}, '{_WIDE_FROM}', '{_WIDE_TO}')) AS {odd}",
-    )
+    spelled = f"translate({trim_blanks(plain)}, '{_WIDE_FROM}', '{_WIDE_TO}')"
     # An exponent moves the digits by ``shift`` places; it is null when there is none or it is no int.
-    staged = staged.selectExpr(
-        "*",
-        f"ltrim('0', regexp_replace({odd}, r'{_SCIENTIFIC}', '$1$2$3')) AS {digits}",
-        f"CAST(try_cast(regexp_extract({odd}, r'{_SCIENTIFIC}', 4) AS INT) AS BIGINT) + 2"
-        f" - length(regexp_replace({odd}, r'{_SCIENTIFIC}', '$2$3')) AS {shift}",
-    )
     # Moving adds zeros behind the digits or takes digits away there, of which only zeros may go.
     # The resulting scale must fit an int, even for a zero amount.
-    return staged.selectExpr(
-        "*",
-        f"""CASE
+    return [
+        ["*", f"{text} AS {plain}"],
+        ["*", f"if({plain} RLIKE r'{_PLAIN}', NULL, {spelled}) AS {odd}"],
+        [
+            "*",
+            f"ltrim('0', regexp_replace({odd}, r'{_SCIENTIFIC}', '$1$2$3')) AS {digits}",
+            f"CAST(try_cast(regexp_extract({odd}, r'{_SCIENTIFIC}', 4) AS INT) AS BIGINT) + 2"
+            f" - length(regexp_replace({odd}, r'{_SCIENTIFIC}', '$2$3')) AS {shift}",
+        ],
+        [
+            "*",
+            f"""CASE
             WHEN {odd} IS NULL THEN CAST(replace({plain}, '.', '') AS BIGINT)
             WHEN {odd} RLIKE r'{_EXACT}' THEN try_cast(try_cast({odd} AS DECIMAL(38,2)) * 100 AS BIGINT)
             WHEN {shift} IS NULL OR {shift} NOT BETWEEN {2 - _INT_MAX} AND {2 - _INT_MIN} THEN NULL
@@ -55,7 +56,13 @@ def with_minor(rows: DataFrame, text: str, name: str) -> DataFrame:
             WHEN NOT startswith({odd}, '-') AND {length} <= 19 AND {dropped} >= 0
                 THEN try_cast(rpad({digits}, CAST({length} AS INT), '0') AS BIGINT)
             END AS {name}""",
-    )
+        ],
+    ]
+
+
+def with_minor(rows: DataFrame, text: str, name: str) -> DataFrame:
+    """Add ``name``, the minor units of a decimal text, by :func:`minor_steps`."""
+    return select_in_steps(rows, *minor_steps(text, name))
 
 
 def format_minor(minor: str) -> str:

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from tillroll import model as M
 from tillroll.functions.keys import group_key, trimmed_code
-from tillroll.functions.money import with_minor
+from tillroll.functions.money import minor_steps
 from tillroll.functions.text import trim_blanks
 from tillroll.model import GroupMode
+from tillroll.session import select_in_steps
 
 PREPARED_COLUMNS = ("reason", "group_key", "price_minor", "missing_code")
 
@@ -25,32 +26,38 @@ def prepare(events: DataFrame, mode: GroupMode | str, keep: tuple[str, ...] = ()
     mode = GroupMode.of(mode)
     kind = "kind" if "kind" in events.columns else f"'{M.KIND_EVENT}'"
     known = ", ".join(f"'{t}'" for t in (M.PURCHASE, *M.OTHER_KNOWN_TYPES))
-    # One select per step: the amount and the key are worked out once and used several times.
-    typed = events.selectExpr(
-        *keep,
-        f"{kind} AS kind",
-        f"if(event_type IN ({known}), event_type, {trim_blanks("coalesce(event_type, '')")}) AS event_type",
-        "category_id",
-        f"{trimmed_code('category_code')} AS code",
-        "price_text",
-    )
     is_purchase = f"kind = '{M.KIND_EVENT}' AND event_type = '{M.PURCHASE}'"
-    keyed = typed.selectExpr(
-        *keep,
-        "kind",
-        "event_type",
-        f"if({is_purchase}, {group_key('category_id', 'code', mode)}, NULL) AS key",
-        "code = '' AS no_code",
-        f"if({is_purchase}, coalesce(price_text, ''), NULL) AS price_text",
-    )
-    judged = with_minor(keyed, "price_text", "amount").selectExpr(*keep, f"{_REASON} AS reason", "amount", "key", "no_code")
+    is_valid = f"reason = '{M.VALID_PURCHASE}'"
     counts_missing = "no_code" if mode is not GroupMode.CATEGORY_ID else "false"
-    return judged.selectExpr(
-        *keep,
-        "reason",
-        f"if(reason = '{M.VALID_PURCHASE}', key, NULL) AS group_key",
-        f"if(reason = '{M.VALID_PURCHASE}', amount, NULL) AS price_minor",
-        f"reason = '{M.VALID_PURCHASE}' AND {counts_missing} AS missing_code",
+    kept = [f"`{c}`" for c in keep]
+    # One select per step: the amount and the key are worked out once and used several times.
+    return select_in_steps(
+        events,
+        [
+            *kept,
+            f"{kind} AS kind",
+            f"if(event_type IN ({known}), event_type, {trim_blanks("coalesce(event_type, '')")}) AS event_type",
+            "category_id",
+            f"{trimmed_code('category_code')} AS code",
+            "price_text",
+        ],
+        [
+            *kept,
+            "kind",
+            "event_type",
+            f"if({is_purchase}, {group_key('category_id', 'code', mode)}, NULL) AS key",
+            "code = '' AS no_code",
+            f"if({is_purchase}, coalesce(price_text, ''), NULL) AS price_text",
+        ],
+        *minor_steps("price_text", "amount"),
+        [*kept, f"{_REASON} AS reason", "amount", "key", "no_code"],
+        [
+            *kept,
+            "reason",
+            f"if({is_valid}, key, NULL) AS group_key",
+            f"if({is_valid}, amount, NULL) AS price_minor",
+            f"{is_valid} AND {counts_missing} AS missing_code",
+        ],
     )
 
 

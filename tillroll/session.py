@@ -40,6 +40,18 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def select_in_steps(df: DataFrame, *steps: list[str]) -> DataFrame:
+    """One select after another, each seeing the columns of the one before, as a single statement.
+
+    Spark analyses a statement once; a chain of ``selectExpr`` calls would be analysed at every link.
+    """
+    query = "{source}"
+    for step in steps:
+        columns = ", ".join(step).replace("{", "{{").replace("}", "}}")
+        query = f"(SELECT {columns} FROM {query})"
+    return df.sparkSession.sql(query[1:-1], source=df)
+
+
 def fail_if(condition: Column, message: Column | str, value: Column) -> Column:
     """``value``, or a failed job as soon as one row meets ``condition``."""
     text = F.lit(message) if isinstance(message, str) else message

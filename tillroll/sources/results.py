@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.functions.money import average_minor, format_minor, with_minor
+from tillroll.functions.money import average_minor, format_minor, minor_steps
+from tillroll.session import select_in_steps
 from tillroll.sources.files import InputError, hadoop_path
 
 # Counts are written without a leading plus or blanks, but a reader of longs takes a sign.
@@ -28,22 +29,22 @@ def parse_result_lines(lines: DataFrame) -> DataFrame:
     must equal the one recomputed from total and count.
     """
     kept = [f"`{c}`" for c in lines.columns]
-    cells = lines.selectExpr("*", "split(value, '\\t', -1) AS _cells")
-    named = cells.selectExpr(
-        *kept,
-        *(f"if(size(_cells) = 4, _cells[{i}], NULL) AS {name}" for i, name in enumerate(_CELLS)),
-    )
-    parsed = with_minor(named, "total_revenue", "sum_minor").selectExpr(
-        *kept,
-        "group_key",
-        "total_revenue",
-        "average_revenue",
-        "sum_minor",
-        f"if(_count RLIKE r'{_LONG}', try_cast(_count AS BIGINT), NULL) AS purchase_count",
-    )
-    return parsed.selectExpr(
-        "*",
-        f"""CASE
+    return select_in_steps(
+        lines,
+        ["*", "split(value, '\\t', -1) AS _cells"],
+        [*kept, *(f"if(size(_cells) = 4, _cells[{i}], NULL) AS {name}" for i, name in enumerate(_CELLS))],
+        *minor_steps("total_revenue", "sum_minor"),
+        [
+            *kept,
+            "group_key",
+            "total_revenue",
+            "average_revenue",
+            "sum_minor",
+            f"if(_count RLIKE r'{_LONG}', try_cast(_count AS BIGINT), NULL) AS purchase_count",
+        ],
+        [
+            "*",
+            f"""CASE
             WHEN group_key IS NULL THEN 'columns'
             WHEN group_key = '' THEN 'empty_key'
             WHEN sum_minor IS NULL THEN 'total'
@@ -51,4 +52,5 @@ def parse_result_lines(lines: DataFrame) -> DataFrame:
             WHEN total_revenue <> {format_minor("sum_minor")} THEN 'total'
             WHEN average_revenue <> {format_minor(average_minor("sum_minor", "purchase_count"))} THEN 'average'
             END AS violation""",
+        ],
     )

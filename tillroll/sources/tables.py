@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.model import EVENT_COLUMNS, HEADER_LINE
+from tillroll.session import select_in_steps
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,9 +22,7 @@ def events_as_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Category ``k`` comes from the properties; codes are missing, top-level or two-level by ``k``.
     """
-    events = read_table(spark, sf_dir, "events").selectExpr("*", "get_json_object(props, '$.k') AS category_id")
-    numbered = events.selectExpr("*", "CAST(category_id AS INT) AS k")
-    return numbered.selectExpr(
+    columns = [
         "event_id",
         "date_format(ts, 'yyyy-MM-dd') AS day",
         "date_format(ts, \"yyyy-MM-dd HH:mm:ss 'UTC'\") AS event_time",
@@ -36,6 +35,12 @@ def events_as_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{amount_text('value')} AS price_text",
         "CAST(user_id AS STRING) AS user_id",
         "'' AS user_session",
+    ]
+    return select_in_steps(
+        read_table(spark, sf_dir, "events"),
+        ["*", "get_json_object(props, '$.k') AS category_id"],
+        ["*", "CAST(category_id AS INT) AS k"],
+        columns,
     )
 
 
