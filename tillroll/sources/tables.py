@@ -24,8 +24,8 @@ def events_as_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     columns = [
         "event_id",
-        "date_format(ts, 'yyyy-MM-dd') AS day",
-        "date_format(ts, \"yyyy-MM-dd HH:mm:ss 'UTC'\") AS event_time",
+        "left(CAST(ts AS STRING), 10) AS day",
+        "concat(left(CAST(ts AS STRING), 19), ' UTC') AS event_time",
         "event_type",
         "CAST(event_id AS STRING) AS product_id",
         "category_id",
