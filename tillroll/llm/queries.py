@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, packing, sharding, simhash, topk
+from tillroll.llm import bpe, linededup, packing, sharding, simhash, topk
 from tillroll.llm.common import table
 
 
@@ -21,6 +21,17 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), path, capacity=4096, end_id=1)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = linededup.deduplicate(table(spark, sf_dir, "documents"), percent=80)
+    return done.select(
+        "doc_id",
+        "n_lines",
+        F.size("removed_lines").alias("n_removed"),
+        F.array_join("removed_lines", ",").alias("removed_lines"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.quantise(table(spark, sf_dir, "embeddings"), scale=1024)
     return topk.search(vectors.where(F.col("vec_id") % 100 == 0), vectors, k=10)
@@ -37,6 +48,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_line_dedup": op5_line_dedup,
     "op7_top_k": op7_top_k,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_sharding": op10_sharding,
