@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, linededup, packing, sharding, simhash, topk
+from tillroll.llm import bpe, linededup, packing, sharding, simhash, spotsigs, topk
 from tillroll.llm.common import table
 
 
@@ -32,6 +32,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.fingerprints(table(spark, sf_dir, "documents"), percent=80)
+
+
 def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.quantise(table(spark, sf_dir, "embeddings"), scale=1024)
     return topk.search(vectors.where(F.col("vec_id") % 100 == 0), vectors, k=10)
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_line_dedup": op5_line_dedup,
+    "op6_spotsigs": op6_spotsigs,
     "op7_top_k": op7_top_k,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_sharding": op10_sharding,
