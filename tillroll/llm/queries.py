@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, linededup, packing, sharding, simhash, spotsigs, topk
+from tillroll.llm import bpe, licenses, linededup, packing, sharding, simhash, spotsigs, topk
 from tillroll.llm.common import table
 
 
@@ -41,6 +41,10 @@ def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(vectors.where(F.col("vec_id") % 100 == 0), vectors, k=10)
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_line_dedup": op5_line_dedup,
     "op6_spotsigs": op6_spotsigs,
     "op7_top_k": op7_top_k,
+    "op8_licenses": op8_licenses,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_sharding": op10_sharding,
 }
