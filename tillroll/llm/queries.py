@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, licenses, linededup, packing, sharding, simhash, spotsigs, topk
+from tillroll.llm import bpe, licenses, linededup, packing, sharding, simhash, spotsigs, topk, toxicity
 from tillroll.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, max_bits=2)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(table(spark, sf_dir, "documents"), path, capacity=4096, end_id=1)
@@ -55,6 +59,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_toxicity": op2_toxicity,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_line_dedup": op5_line_dedup,
     "op6_spotsigs": op6_spotsigs,
