@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, licenses, linededup, packing, sharding, simhash, spotsigs, topk, toxicity
+from tillroll.llm import bpe, licenses, linededup, packing, sharding, simhash, spotsigs, topk, toxicity, urlrules
 from tillroll.llm.common import table
 
 
@@ -20,6 +20,14 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+#: The rules that come with the query, as (verdict, rule).
+URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+
+
+def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlrules.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), URL_RULES)
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(table(spark, sf_dir, "documents"), path, capacity=4096, end_id=1)
@@ -60,6 +68,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_toxicity": op2_toxicity,
+    "op3_url_rules": op3_url_rules,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_line_dedup": op5_line_dedup,
     "op6_spotsigs": op6_spotsigs,

@@ -44,15 +44,21 @@ def simhash(text: str | None, words: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """``doc_id, fp`` of every row; a null text counts as empty. ``fp`` holds the 64 bits as a signed long."""
+    """``doc_id, digest, fp`` of every row; a null text counts as empty. ``fp`` holds the 64 bits as a signed long, and
+    the digest of the text tells rows of one id apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = np.array([simhash(t.as_py(), words) for t in batch.column(1)], "<u8").view("<i8")
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.int64())], ["doc_id", "fp"])
+            prints = np.array([simhash(t.as_py(), words) for t in batch.column(2)], "<u8").view("<i8")
+            columns = [batch.column(0), batch.column(1), pa.array(prints, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "fp"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _digest().alias("digest"), F.col("text").cast("string"))
+    return rows.mapInArrow(run, "doc_id long, digest long, fp long")
+
+
+def _digest() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
 def _signed(value: int) -> int:
@@ -112,10 +118,29 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataF
     """
     prints = stored(fingerprints(docs, words), "fingerprints")
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    labels = components(links(prints, max_bits)).select(F.col("node").alias("fp"), "component")
-    named = distinct.join(labels, "fp", "left").select(
-        "fp", "first", F.coalesce("component", "fp").alias("component")
-    )
+    named = _components(prints, distinct, max_bits)
     smallest = named.groupBy("component").agg(F.min("first").alias("component_id"))
     named = named.join(smallest, "component").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    fingerprint = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return prints.join(named, "fp").select("doc_id", fingerprint, "component_id")
+
+
+def _components(prints: DataFrame, distinct: DataFrame, max_bits: int) -> DataFrame:
+    """``distinct`` (a row for each ``fp``) with the smallest fingerprint of its component."""
+    labels = components(links(prints, max_bits)).select(F.col("node").alias("fp"), "component")
+    return distinct.join(labels, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+
+
+def keep_one(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each component of ``near_duplicates`` the document of smallest
+    ``doc_id`` stays (one without an id only if none has one; of several texts under one id that of smallest digest). Of
+    repeated rows one stays."""
+    prints = stored(fingerprints(docs, words), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "digest")
+    named = _components(prints, prints.groupBy("fp").agg(F.min(order).alias("first")), max_bits)
+    firsts = named.groupBy("component").agg(F.min("first").alias("first"))
+    kept = firsts.select(F.struct("first.doc_id", "first.digest").alias("kept"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), _digest().alias("digest"), F.struct("*").alias("row"))
+    rows = rows.join(kept, F.expr("id <=> kept.doc_id AND digest = kept.digest"), "left_semi")
+    rows = rows.groupBy("id", "digest").agg(F.min("row").alias("row"))
+    return rows.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
