@@ -18,13 +18,21 @@ def test_ids_follow_utf16_order(spark):
 
 
 def test_guard(spark):
-    with pytest.raises(Exception, match="cardinality exceeds the guard of 2"):
+    with pytest.raises(Exception, match="More than 2 groups"):
         dic.build_dictionary(groups(spark, "abc"), max_keys=2).collect()
     assert dic.build_dictionary(groups(spark, "abc"), max_keys=3).count() == 3
     with pytest.raises(ValueError):
         dic.build_dictionary(groups(spark, "a"), max_keys=0)
 
 
+def test_ids_over_many_ranges(spark):
+    keys = [str(i * 7919 % 100_003) for i in range(5000)]
+    spread = groups(spark, keys).repartition(7)
+    got = [(r.id, r.group_key) for r in dic.build_dictionary(spread).orderBy("id").collect()]
+    assert got == list(enumerate(sorted(keys)))
+    assert dic.build_dictionary(groups(spark, [])).count() == 0
+
+
 def test_checksum(spark):
     # A published dictionary of the identifiers 0 to 31.
     fingerprint = "b9b93dd70a65f2831506f6407365b5f60711005ee594f0f566d1d7f1068599f3"

@@ -12,13 +12,17 @@ from tillroll.sources.results import parse_result_lines, read_result_lines
 from tillroll.operators import compare, profile
 from tillroll.operators.aggregate import partial
 from tillroll.operators.prepare import prepare
+from tillroll.operators.summary import run_summary
 from tillroll.functions.csvline import parse_event_lines
 
 EVENTS = [
-    "2019-10-01 00:00:00 UTC,purchase,1,1,a.b,brand,10.00,u,s", "t,purchase,1,1,a.b,brand,20.00,u,s",
-    "t,purchase,1,1,a.b,brand,30.00,u,s", "t,view,1,1,a.b,brand,99.00,u,s", "t,purchase,1,2,,brand,0.00,u,s",
-    't,purchase,1,2,,"br,and",0.01,u,', "t,purchase,1,2,,brand,0.02,u,s",
+    "2024-05-04 07:00:00 UTC,purchase,77,31,tools.saw,acme,4.50,u7,s1",
+    "2024-05-04 07:01:00 UTC,purchase,78,31,tools.saw,acme,8.00,u7,s1",
+    "2024-05-04 07:02:00 UTC,cart,78,31,tools.saw,acme,70.00,u8,s2",
+    '2024-05-04 07:03:00 UTC,purchase,12,9,,"Saw, Sons",1.01,u9,',
+    "2024-05-04 07:04:00 UTC,purchase,12,9,,acme,2.00,u9,s3",
 ]
+RESULT = ["31\t12.50\t2\t6.25", "9\t3.01\t2\t1.51"]
 
 
 @pytest.fixture
@@ -36,31 +40,35 @@ def result(path):
 def test_every_route_gives_one_result(spark, events, tmp_path):
     files = list_csv(spark, str(events.parent))
     profiled = runs.run_profile(spark, files, "category_id")
-    assert {tuple(r) for r in profiled.reasons.collect()} == {("HEADER", 1), ("VALID_PURCHASE", 6), ("NON_PURCHASE", 1)}
+    assert {tuple(r) for r in profiled.reasons.collect()} == {("HEADER", 1), ("VALID_PURCHASE", 4), ("NON_PURCHASE", 1)}
     runs.write_dictionary(profiled, str(tmp_path / "groups.json"))
     dictionary = read_dictionary(spark, str(tmp_path / "groups.json"))
     for strategy in ("v1", "v2", "v4", "v5"):
         out = str(tmp_path / strategy)
         record = runs.run_aggregate(spark, files, out, "category_id", strategy, dictionary)
-        assert record["validationStatus"] == "valid" and record["counters"]["VALID_PURCHASE"] == 6
-        assert result(out) == ["1\t60.00\t3\t20.00", "2\t0.03\t3\t0.01"]
+        assert record["success"] and record["counters"]["VALID_PURCHASE"] == 4
+        assert result(out) == RESULT
         assert runs.run_compare(spark, str(tmp_path / "v1"), out).count() == 0
         stored = json.loads(next(Path(out, "_run-manifest.json").glob("part-*")).read_text())
         assert stored["inputFingerprint"] == profiled.preflight.fingerprint
-    runs.run_export(spark, str(tmp_path / "v5"), str(tmp_path / "out.csv"))
-    exported = (tmp_path / "out.csv").read_bytes()
-    assert exported == b"group_key,total_revenue,purchase_count,average_revenue\r\n1,60.00,3,20.00\r\n2,0.03,3,0.01\r\n"
+    expected = b"group_key,total_revenue,purchase_count,average_revenue\r\n31,12.50,2,6.25\r\n9,3.01,2,1.51\r\n"
+    runs.run_export(spark, str(tmp_path / "v5"), str(tmp_path / "out.csv"), single=True)
+    assert (tmp_path / "out.csv").read_bytes() == expected
+    runs.run_export(spark, str(tmp_path / "v5"), str(tmp_path / "out"))
+    assert b"".join(p.read_bytes() for p in sorted((tmp_path / "out").glob("part-*"))) == expected
     # A dictionary of other input, or a damaged one, is refused.
-    with pytest.raises(runs.RunFailed, match="provenance or checksum"):
+    with pytest.raises(runs.RunFailed, match="of another input or damaged"):
         runs.check_dictionary(dictionary, "other", "category_id")
-    with pytest.raises(runs.RunFailed, match="provenance or checksum"):
+    with pytest.raises(runs.RunFailed, match="of another input or damaged"):
         runs.check_dictionary(dictionary.where("id = 0"), profiled.preflight.fingerprint, "category_id")
-    with pytest.raises(Exception, match="guard"):
+    with pytest.raises(Exception, match="More than 1 groups"):
         runs.run_profile(spark, files, "category_id", max_keys=1)
+    with pytest.raises(runs.RunFailed, match="2 groups, more than 1"):
+        runs.run_aggregate(spark, files, str(tmp_path / "limited"), max_keys=1)
 
 
 def test_no_purchase(spark, tmp_path):
-    (tmp_path / "e.csv").write_text(f"{HEADER_LINE}\n{EVENTS[3]}\n")
+    (tmp_path / "e.csv").write_text(f"{HEADER_LINE}\n{EVENTS[2]}\n")
     record = runs.run_aggregate(spark, list_csv(spark, str(tmp_path / "e.csv")), str(tmp_path / "out"))
     assert record["groups"] == 0 and result(tmp_path / "out") == []
 
@@ -75,15 +83,15 @@ def test_failures_publish_nothing(spark, events, tmp_path, monkeypatch):
 
     # The input changes after the manifest: a changed price keeps every count.
     original = events.read_text()
-    events.write_text(original.replace("10.00", "11.00"))
-    with pytest.raises(runs.RunFailed, match="Input changed"):
+    events.write_text(original.replace("4.50", "4.60"))
+    with pytest.raises(runs.RunFailed, match="not the same any more"):
         runs.run_aggregate(spark, files, str(out), stored_manifest=entries)
     events.write_text(original)
 
     # The input changes during the run.
     stage = writers.stage_result
-    monkeypatch.setattr(writers, "stage_result", lambda s, p: (stage(s, p), events.write_text(original.replace("20.00", "21.00"))))
-    with pytest.raises(runs.RunFailed, match="Input changed"):
+    monkeypatch.setattr(writers, "stage_result", lambda s, p: (stage(s, p), events.write_text(original.replace("8.00", "8.10"))))
+    with pytest.raises(runs.RunFailed, match="not the same any more"):
         runs.run_aggregate(spark, files, str(out))
     monkeypatch.undo()
 
@@ -91,19 +99,33 @@ def test_failures_publish_nothing(spark, events, tmp_path, monkeypatch):
     events.write_text(original + "broken\n")
     with pytest.raises(runs.RunFailed, match="malformed_line"):
         runs.run_aggregate(spark, list_csv(spark, str(events)), str(out))
-    monkeypatch.setattr(runs, "run_preflight", lambda *a: checked)
-    with pytest.raises(runs.RunFailed, match="Malformed lines at run time"):
-        runs.run_aggregate(spark, files, str(out))
+    late = runs.run_preflight(spark, list_csv(spark, str(events)), "category_id", tally=True)
+    late.errors.clear()
+    monkeypatch.setattr(runs, "run_preflight", lambda *a, **b: late)
+    with pytest.raises(runs.RunFailed, match="malformed during the run"):
+        runs.run_aggregate(spark, files, str(out), failed_record=str(tmp_path / "failed.json"))
     monkeypatch.undo()
     events.write_text(original)
+    failed = runs.read_records(spark, [str(tmp_path / "failed.json")]).first()
+    assert (failed.success, failed.variant, failed.job_ms) == (False, "partial", None) and failed.end_to_end_ms >= 0
+
+    # A stored report of another mode, or of an input that has changed since.
+    with pytest.raises(runs.RunFailed, match="another input or mode"):
+        runs.run_aggregate(spark, files, str(out), "category_code", stored_report=str(tmp_path / "p.json"))
+    events.write_text(original.replace("4.50", "4.60"))
+    with pytest.raises(runs.RunFailed, match="another input or mode"):
+        runs.run_aggregate(spark, files, str(out), stored_report=str(tmp_path / "p.json"))
+    events.write_text(original)
+    ok = str(tmp_path / "ok")
+    assert runs.run_aggregate(spark, files, ok, stored_manifest=entries, stored_report=str(tmp_path / "p.json"))["success"]
 
     # An existing output stays as it is; output and input may not overlap.
     out.mkdir()
     (out / "keep").write_text("x")
-    with pytest.raises(writers.OutputError, match="already exists"):
+    with pytest.raises(writers.OutputError, match="there already"):
         runs.run_aggregate(spark, files, str(out))
     assert [p.name for p in out.iterdir()] == ["keep"]
-    with pytest.raises(writers.OutputError, match="overlap"):
+    with pytest.raises(writers.OutputError, match="lies in"):
         runs.run_aggregate(spark, files, str(events / "x"))
     assert not list(tmp_path.glob("out.tmp-*"))
 
@@ -117,6 +139,81 @@ def test_first_errors_are_capped(spark, tmp_path):
         runs.write_preflight(checked, str(tmp_path / "m"), str(tmp_path / "p"))
 
 
+def test_profile_belongs_to_its_input(spark, events, tmp_path, monkeypatch):
+    files = list_csv(spark, str(events))
+    profiled = runs.run_profile(spark, files, "category_id")
+    runs.write_profile(profiled, str(tmp_path / "profile"))
+    report = runs.read_profiles(spark, [str(tmp_path / "profile")]).first()
+    assert report.inputFingerprint == profiled.preflight.fingerprint and report.validPurchaseCount == 4
+    assert report.counters == {"HEADER": 1, "VALID_PURCHASE": 4, "NON_PURCHASE": 1}
+    groups = read_artifact(spark, str(tmp_path / "profile" / "groups.json"), "group_key string, purchase_count bigint")
+    assert {tuple(r) for r in spark.read.schema(groups.schema).json(str(tmp_path / "profile" / "groups.json")).collect()} == {
+        ("31", 2), ("9", 2)
+    }
+    build = runs.dic.build_dictionary
+
+    def meanwhile(*a):
+        events.write_text(events.read_text().replace(",31,", ",32,"))
+        return build(*a)
+
+    monkeypatch.setattr(runs.dic, "build_dictionary", meanwhile)
+    with pytest.raises(runs.RunFailed, match="not the same any more"):
+        runs.run_profile(spark, files, "category_id")
+
+
+def test_records_to_summary(spark, events, tmp_path):
+    files = list_csv(spark, str(events))
+    profiled = runs.run_profile(spark, files, "category_id")
+    runs.write_profile(profiled, str(tmp_path / "profile"))
+    paths = []
+    for variant in ("v2", "v4"):
+        for number in range(3):
+            out = str(tmp_path / f"{variant}-{number}")
+            runs.run_aggregate(spark, files, out, "category_id", variant, profiled.dictionary, warmup=number == 0)
+            paths.append(f"{out}/_run-manifest.json")
+    records = runs.read_records(spark, paths, runs.read_profiles(spark, [str(tmp_path / "profile")]))
+    rows = {r.variant: r for r in records.where("NOT warmup").collect()}
+    assert rows["v2"].profile_ms == 0 and rows["v4"].profile_ms == profiled.elapsed_ms
+    got = {r.variant: r for r in run_summary(records, ["v2", "v4"], repeats=2).collect()}
+    assert got["v2"].runs == got["v4"].runs == 2 and got["v4"].effective_variant == "dictionary"
+    assert got["v4"].with_profile_median_ms == got["v4"].end_to_end_median_ms + profiled.elapsed_ms
+    assert got["v2"].speedup == 1.0 and got["v2"].shuffle_median_bytes is None
+
+
+def test_more_than_a_hundred_thousand_groups(spark, tmp_path):
+    rows = (f"t,purchase,1,{i},a,b,1.00,u,s" for i in range(100_001))
+    (tmp_path / "e.csv").write_text("\n".join([HEADER_LINE, *rows]) + "\n")
+    files = list_csv(spark, str(tmp_path / "e.csv"))
+    groups = runs.run_profile(spark, files, "category_id").dictionary
+    for strategy in ("partial", "packed"):
+        out = str(tmp_path / strategy)
+        assert runs.run_aggregate(spark, files, out, strategy=strategy, dictionary=groups)["groups"] == 100_001
+    runs.run_export(spark, str(tmp_path / "packed"), str(tmp_path / "csv"))
+    lines = b"".join(p.read_bytes() for p in sorted((tmp_path / "csv").glob("part-*"))).decode().split("\r\n")
+    assert len(lines) == 100_003 and lines[1:-1] == sorted(lines[1:-1], key=lambda x: x.split(",")[0])
+
+
+def test_empty_sample_is_one_header(spark, tmp_path):
+    (tmp_path / "e.csv").write_text(f"{HEADER_LINE}\n")
+    files = list_csv(spark, str(tmp_path / "e.csv"))
+    checked = runs.run_preflight(spark, files, "category_id")
+    runs.run_sample(spark, files, checked.manifest, str(tmp_path / "s"), 0.5)
+    assert [p.read_text() for p in (tmp_path / "s").glob("*.csv")] == [HEADER_LINE + "\n"]
+
+
+def test_failed_sample_leaves_nothing(spark, events, tmp_path, monkeypatch):
+    files = list_csv(spark, str(events))
+    checked = runs.run_preflight(spark, files, "category_id")
+
+    def broken(*a):
+        raise OSError("no space")
+
+    monkeypatch.setattr(runs, "write_preflight", broken)
+    with pytest.raises(OSError):
+        runs.run_sample(spark, files, checked.manifest, str(tmp_path / "s"), 1.0)
+    assert not list(tmp_path.glob("s*"))
+
+
 def test_sample(spark, tmp_path):
     lines = [f"t,{'view' if i % 2 else 'purchase'},{i},{i % 5},a,b,{i}.00,u,s" for i in range(400)]
     (tmp_path / "e.csv").write_text("\n".join([HEADER_LINE, *lines]) + "\n")
@@ -170,7 +267,7 @@ def test_export_quotes_unusual_keys(spark, tmp_path):
     rows = spark.createDataFrame([(k, 100, 1) for k in keys], "group_key string, sum_minor bigint, purchase_count bigint")
     from tillroll.operators.aggregate import result_rows
 
-    writers.export_csv(result_rows(rows), str(tmp_path / "x.csv"))
+    writers.export_csv(result_rows(rows), str(tmp_path / "x.csv"), single=True)
     got = (tmp_path / "x.csv").read_bytes().decode().split("\r\n")[1:-1]
     fields = [line.removesuffix(",1.00,1,1.00") for line in got]
     assert fields == ['"#1"', '"a,b"', '"end "', "mid dle", "plain", '"say ""x"""', '"é"']
@@ -181,9 +278,9 @@ def test_artifacts(spark, tmp_path):
     writers.write_artifact(one, str(tmp_path / "a.json"))
     with pytest.raises(writers.OutputError):
         writers.write_artifact(one, str(tmp_path / "a.json"))
-    (tmp_path / "big.json").write_bytes(b" " * (32 * 1024 * 1024 + 1))
-    with pytest.raises(InputError, match="32 MiB"):
-        read_artifact(spark, str(tmp_path / "big.json"))
+    (tmp_path / "big.json").write_bytes(b" " * 1025)
+    with pytest.raises(InputError, match="more than 1024 bytes"):
+        read_artifact(spark, str(tmp_path / "big.json"), max_bytes=1024)
     foreign = {"schemaVersion": 1, "policyHash": "other", "files": [{"uri": "file:/x.csv", "sha256": "0" * 64, "bytes": 1}]}
     (tmp_path / "m.json").write_text(json.dumps(foreign, indent=1))
     with pytest.raises(Exception, match="schema or policy"):
@@ -199,6 +296,6 @@ def test_reconciliation(spark):
     prepared = prepare(parse_event_lines(lines), "category_id")
     statistics = file_statistics(lines, "category_id", F.col("offset"), F.lit(True))
     row = compare.reconciliation(profile.tally(prepared), statistics, partial(prepared)).first()
-    assert tuple(row) == (6, 6, 6, True)
-    short = partial(prepared).where("group_key = '1'")
+    assert tuple(row) == (4, 4, 4, True)
+    short = partial(prepared).where("group_key = '9'")
     assert compare.reconciliation(profile.tally(prepared), statistics, short).first().reconciled is False

@@ -49,8 +49,3 @@ def sample_bucket(uri: str, offset: str, seed: int, buckets: int) -> str:
     head = f"CAST(conv(left(sha2({position}, 256), 8), 16, 10) AS BIGINT)"
     # Shifting up and back by 32 bits gives the head its sign.
     return f"CAST(pmod(shiftright(shiftleft({head}, 32), 32), {buckets}) AS INT)"
-
-
-def owner(group_id: str, buckets: int) -> str:
-    """The packed bucket that owns a dictionary id."""
-    return f"CAST(pmod({group_id}, {buckets}) AS INT)"

@@ -7,7 +7,7 @@ import hashlib
 
 from pyspark.sql import types as T
 
-# The event file contract and the names of the row outcomes.
+# The event file contract, its limits, and the names of row kinds, outcomes and columns.
 EVENT_COLUMNS = (
     "event_time",
     "event_type",
@@ -28,9 +28,7 @@ POLICY_HASH = hashlib.sha256(POLICY.encode()).hexdigest()
 SCHEMA_VERSION = 1
 MAX_LINE_BYTES = 65_536
 MAX_KEY_BYTES = 256
-MAX_GROUPS = 100_000
 MAX_REPORTED_ERRORS = 20
-MAX_ARTIFACT_BYTES = 32 * 1024 * 1024
 SAMPLE_BUCKETS = 1_000_000
 DEFAULT_SEED = 21
 
@@ -56,9 +54,9 @@ REASONS = (
     INVALID_GROUP,
     VALID_PURCHASE,
 )
+EXPORT_COLUMNS = ("group_key", "total_revenue", "purchase_count", "average_revenue")
 
 RAW_EVENT_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in EVENT_COLUMNS])
-EXPORT_COLUMNS = ("group_key", "total_revenue", "purchase_count", "average_revenue")
 
 
 class GroupMode(str, enum.Enum):

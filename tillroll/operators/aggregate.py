@@ -1,4 +1,4 @@
-"""Total, count and half-up average per group, by four physical routes with one result.
+"""Total, count and half-up average per group, by three routes with one result.
 
 All routes end in partial states ``(sum_minor, purchase_count)`` per key. States merge in any
 order; an average is formed once, from the final state.
@@ -9,17 +9,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.keys import owner
 from tillroll.functions.money import average_minor, format_minor
-from tillroll.model import MAX_GROUPS
 from tillroll.operators.dictionary import decode, encode
-from tillroll.session import fail_if
 
-STRATEGIES = ("direct", "partial", "dictionary", "packed")
-# The reference's names for its routes. Its bounded in-task cache (v3) is what
-# Spark's hash aggregation does by itself.
-VARIANTS = {"v1": "direct", "v2": "partial", "v3": "partial", "v4": "dictionary", "v5": "packed"}
-_SALTS = 64
+STRATEGIES = ("partial", "dictionary", "packed")
+# Names of the routes. Spark aggregates in each task before it shuffles, and spills,
+# so routes without (v1), with (v2) and with a bounded cache for it (v3) are one here.
+VARIANTS = {"v1": "partial", "v2": "partial", "v3": "partial", "v4": "dictionary", "v5": "packed"}
+#: Ids to a packed row.
+PACKED_IDS = 1024
 
 
 def exact_sum(column: str) -> Column:
@@ -36,10 +34,6 @@ def key_or_blank() -> Column:
     return F.expr("coalesce(group_key, '') AS group_key")
 
 
-def id_or_none() -> Column:
-    return F.expr("coalesce(id, -1) AS id")
-
-
 def _states(grouped, amount: str = "price_minor") -> DataFrame:
     """States of the keys that hold at least one valid purchase.
 
@@ -55,20 +49,6 @@ def partial(prepared: DataFrame) -> DataFrame:
     return _states(prepared.groupBy(key_or_blank()))
 
 
-def direct(prepared: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Shuffle every purchase before any aggregation, as a baseline for the other routes.
-
-    A key is spread over several reducers by the input partition a row comes from, so a key with a
-    third of all rows does not end in one task; a second, small exchange merges its states. The
-    salt is fixed for an input partition, so a task that runs again sends its rows the same way.
-    """
-    salted = prepared.select(key_or_blank(), "price_minor", F.expr(f"pmod(spark_partition_id(), {_SALTS}) AS salt"))
-    purchases = salted.where("price_minor IS NOT NULL")
-    spread = purchases.repartition(*([partitions] if partitions else []), "group_key", "salt")
-    salted_states = _states(spread.groupBy("group_key", "salt"))
-    return merge_states(salted_states)
-
-
 def merge_states(states: DataFrame, *keys: str) -> DataFrame:
     """Merge partial states by key; associative, commutative, with ``(0, 0)`` as identity."""
     merged = states.groupBy(*(keys or ("group_key",))).agg(
@@ -83,36 +63,32 @@ def partial_states(prepared: DataFrame, slice_column: str) -> DataFrame:
 
 
 def by_dictionary(prepared: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Aggregate on dense integer ids and put the names back on the few result rows."""
-    encoded = encode(prepared, dictionary)
-    return decode(_states(encoded.groupBy(id_or_none())), dictionary).select("group_key", "sum_minor", "purchase_count")
+    """States on integer ids, each key looked up once, with the names put back at the end."""
+    return decode(encode(partial(prepared), dictionary), dictionary).select("group_key", "sum_minor", "purchase_count")
 
 
-def pack(prepared: DataFrame, dictionary: DataFrame, slice_column: str, buckets: int) -> DataFrame:
-    """One row per slice and owning bucket, holding that bucket's states as an array.
+def pack(prepared: DataFrame, dictionary: DataFrame, slice_column: str, ids: int = PACKED_IDS) -> DataFrame:
+    """``slice, bucket, entries``: the states of a slice, those of ``ids`` neighbouring ids in one row.
 
-    The arrays are bounded: at most one entry per dictionary id, and a dictionary has no more than
-    100,000. Rows are reduced to states before anything is collected.
+    Rows are reduced to states before ids are looked up and before anything is collected; an array
+    has ``ids`` entries at most.
     """
-    if buckets < 1:
-        raise ValueError("buckets must be positive")
-    encoded = encode(prepared, dictionary, slice_column)
-    states = _states(encoded.groupBy(slice_column, id_or_none()))
+    if ids < 1:
+        raise ValueError("ids must be positive")
+    states = encode(partial_states(prepared, slice_column), dictionary)
     entry = F.struct("id", "sum_minor", "purchase_count")
-    return states.groupBy(slice_column, F.expr(owner("id", buckets)).alias("bucket")).agg(
+    return states.groupBy(slice_column, F.expr(f"id div {ids} AS bucket")).agg(
         F.array_sort(F.collect_list(entry)).alias("entries")
     )
 
 
-def unpack(packed: DataFrame, buckets: int) -> DataFrame:
-    """The entries of packed rows; an entry outside the bucket that owns it fails the job."""
-    entries = packed.select("bucket", F.inline("entries"))
-    stray = F.expr(f"{owner('id', buckets)} <> bucket OR id NOT BETWEEN 0 AND {MAX_GROUPS - 1}")
-    return entries.withColumn("id", fail_if(stray, "Packed entry in a bucket that does not own it", F.col("id")))
+def unpack(packed: DataFrame) -> DataFrame:
+    return packed.select(F.inline("entries"))
 
 
-def merge_packed(packed: DataFrame, dictionary: DataFrame, buckets: int) -> DataFrame:
-    merged = merge_states(unpack(packed, buckets), "id")
+def merge_packed(packed: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """The states of all slices, by key; an entry that the dictionary does not list fails the job."""
+    merged = merge_states(unpack(packed), "id")
     return decode(merged, dictionary).select("group_key", "sum_minor", "purchase_count")
 
 
@@ -120,8 +96,8 @@ def aggregate(
     prepared: DataFrame,
     strategy: str = "partial",
     dictionary: DataFrame | None = None,
-    buckets: int = 2,
     slice_column: str | None = None,
+    packed_ids: int = PACKED_IDS,
 ) -> DataFrame:
     """``group_key, sum_minor, purchase_count`` by the named route (or its variant name)."""
     strategy = VARIANTS.get(strategy, strategy)
@@ -129,15 +105,13 @@ def aggregate(
         raise ValueError(f"Unknown strategy: {strategy}")
     if strategy == "partial":
         return partial(prepared)
-    if strategy == "direct":
-        return direct(prepared)
     if dictionary is None:
         raise ValueError(f"Strategy {strategy} needs a dictionary")
     if strategy == "dictionary":
         return by_dictionary(prepared, dictionary)
     if slice_column is None:
         prepared, slice_column = prepared.withColumn("slice", F.spark_partition_id()), "slice"
-    return merge_packed(pack(prepared, dictionary, slice_column, buckets), dictionary, buckets)
+    return merge_packed(pack(prepared, dictionary, slice_column, packed_ids), dictionary)
 
 
 def result_rows(states: DataFrame) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.model import MAX_GROUPS
 from tillroll.operators.profile import result_totals
 from tillroll.session import row_count
 
@@ -28,8 +27,12 @@ def result_violations(parsed: DataFrame) -> DataFrame:
     return broken.where(F.col("n") > 0).unionByName(repeated.where(F.col("n") > 1))
 
 
-def validate_result(parsed: DataFrame, expected_count: int) -> DataFrame:
-    """One row: totals, the broken rules, and ``valid`` when the result may be published."""
+def validate_result(parsed: DataFrame, expected_count: int, max_keys: int | None = None) -> DataFrame:
+    """One row: totals, the broken rules, and ``valid`` when the result may be published.
+
+    ``too_many_groups`` tells a result beyond ``max_keys``, for callers that have such a limit, from
+    one that does not add up.
+    """
     sound = F.col("violation").isNull()
     totals = result_totals(
         parsed.select(
@@ -37,13 +40,10 @@ def validate_result(parsed: DataFrame, expected_count: int) -> DataFrame:
             F.when(sound, F.col("sum_minor")).alias("sum_minor"),
         )
     )
-    checked = totals.withColumn("violations", row_count(result_violations(parsed)))
-    return checked.withColumn(
-        "valid",
-        (F.col("violations") == 0)
-        & (F.col("group_count") <= MAX_GROUPS)
-        & (F.col("total_count") == F.lit(expected_count)),
-    )
+    over = F.lit(False) if max_keys is None else F.col("group_count") > max_keys
+    checked = totals.withColumn("violations", row_count(result_violations(parsed))).withColumn("too_many_groups", over)
+    sums = (F.col("violations") == 0) & (F.col("total_count") == F.lit(expected_count))
+    return checked.withColumn("valid", sums & ~F.col("too_many_groups"))
 
 
 def result_diff(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -70,9 +70,9 @@ def state_violations(states: DataFrame, *keep: str) -> DataFrame:
     return judged.where(F.col("rule").isNotNull())
 
 
-def packed_violations(packed: DataFrame, *keep: str) -> DataFrame:
-    """Packed rows that are too long or hold an entry no state can have."""
-    too_long = packed.where(F.size("entries") > MAX_GROUPS).select(*keep, "bucket", F.lit("batch_too_long").alias("rule"))
+def packed_violations(packed: DataFrame, *keep: str, max_entries: int) -> DataFrame:
+    """Packed rows of more than ``max_entries`` or with an entry that no state can be."""
+    too_long = packed.where(F.size("entries") > max_entries).select(*keep, "bucket", F.lit("batch_too_long").alias("rule"))
     entries = packed.select(*keep, "bucket", F.inline("entries"))
     bad = (F.col("id") < 0) | (F.col("sum_minor") < 0) | (F.col("purchase_count") <= 0)
     return too_long.unionByName(entries.where(bad).select(*keep, "bucket", F.lit("invalid_entry").alias("rule")))

@@ -6,11 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.text import has_line_break_or_tab, utf16_length, utf16_order
-from tillroll.model import MAX_GROUPS, MAX_KEY_BYTES, POLICY_HASH, SCHEMA_VERSION, GroupMode
-from tillroll.session import at_most, fail_if
-
-_TOO_MANY = "Group cardinality exceeds the guard of {}; use the partial strategy"
-
+from tillroll.model import MAX_KEY_BYTES, POLICY_HASH, SCHEMA_VERSION, GroupMode
+from tillroll.session import at_most, fail_if, materialize
 
 def counted_groups(prepared: DataFrame) -> DataFrame:
     """Valid purchases per key. The blank group of all other rows counts zero and falls away."""
@@ -18,44 +15,50 @@ def counted_groups(prepared: DataFrame) -> DataFrame:
     return counted.where(F.col("purchase_count") > 0)
 
 
-def build_dictionary(groups: DataFrame, max_keys: int = MAX_GROUPS) -> DataFrame:
-    """``id, group_key`` with ids 0..K-1 in key order, from a frame of distinct keys.
-
-    Ranking runs in one task. That is safe because more than ``max_keys`` keys fail the job before
-    the first one is sent there.
-    """
+def guarded(groups: DataFrame, max_keys: int | None) -> DataFrame:
+    """``groups`` as it is, or a failed job if it has more than ``max_keys`` rows."""
+    if max_keys is None:
+        return groups
     if max_keys < 1:
         raise ValueError("max_keys must be positive")
-    bounded = at_most(groups.select("group_key"), max_keys, "group_key", _TOO_MANY.format(max_keys))
-    order = Window.orderBy(F.expr(utf16_order("group_key")))
-    return bounded.select((F.row_number().over(order) - 1).cast("int").alias("id"), "group_key")
+    return at_most(groups, max_keys, "group_key", f"More than {max_keys} groups")
 
 
-def _lookup(dictionary: DataFrame) -> DataFrame:
-    """A dictionary small enough to broadcast: at most 100,000 keys of at most 256 bytes, about 30 MB.
+def build_dictionary(groups: DataFrame, max_keys: int | None = None) -> DataFrame:
+    """``id, group_key`` with ids 0..K-1 in key order, from a frame of distinct keys.
 
-    Ids are dense, so an entry beyond the bound carries an id that fails the job before anything is
-    broadcast. Inputs with more groups take the partial strategy, which has no bound.
+    Keys are dealt by range and stored once; an id is the place in the range behind the keys of the
+    ranges before it. Only the number of ranges is known to one task. ``max_keys`` is a guard for
+    callers that want one.
     """
-    return F.broadcast(
-        dictionary.selectExpr(
-            f"if(id >= {MAX_GROUPS}, raise_error('{_TOO_MANY.format(MAX_GROUPS)}'), id) AS id",
-            f"if(octet_length(group_key) > {MAX_KEY_BYTES}, raise_error('Dictionary key exceeds 256 bytes'), group_key)"
-            " AS group_key",
-        )
-    )
+    keys = guarded(groups.select("group_key"), max_keys)
+    ranged = keys.repartitionByRange(F.expr(utf16_order("group_key"))).withColumn("part", F.spark_partition_id())
+    ranged = materialize(ranged)
+    sizes = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = sizes.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy(F.expr(utf16_order("group_key"))))
+    placed = ranged.withColumn("place", place).join(firsts, "part")
+    return placed.select((F.col("first") + F.col("place") - 1).alias("id"), "group_key")
 
 
-def encode(prepared: DataFrame, dictionary: DataFrame, *keep: str) -> DataFrame:
-    """Attach ids; a valid purchase whose key is not listed fails the job, it is never dropped."""
-    joined = prepared.select(*keep, "group_key", "price_minor").join(_lookup(dictionary), "group_key", "left")
-    missing = F.col("group_key").isNotNull() & F.col("id").isNull()
-    message = F.concat(F.lit("Group absent from dictionary: "), F.col("group_key"))
-    return joined.select(*keep, fail_if(missing, message, F.col("id")).alias("id"), "price_minor")
+def encode(states: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Put ids in the place of keys; a key that is not listed fails the job, it is never dropped.
+
+    States are joined, a row per key (and slice), not the purchases that went into them.
+    """
+    joined = states.join(dictionary.select("id", "group_key"), "group_key", "left")
+    message = F.concat(F.lit("Not in the dictionary: "), F.col("group_key"))
+    others = [c for c in states.columns if c != "group_key"]
+    return joined.select(fail_if(F.col("id").isNull(), message, F.col("id")).alias("id"), *others)
 
 
 def decode(states: DataFrame, dictionary: DataFrame) -> DataFrame:
-    return states.join(_lookup(dictionary), "id")
+    """Put keys in the place of ids; an id that is not listed fails the job."""
+    joined = states.join(dictionary.select("id", "group_key"), "id", "left")
+    message = F.concat(F.lit("Not an id of the dictionary: "), F.col("id").cast("string"))
+    others = [c for c in states.columns if c != "id"]
+    return joined.select(fail_if(F.col("group_key").isNull(), message, F.col("group_key")).alias("group_key"), *others)
 
 
 def dictionary_misses(prepared: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -66,12 +69,13 @@ def dictionary_misses(prepared: DataFrame, dictionary: DataFrame) -> DataFrame:
 def dictionary_checksum(dictionary: DataFrame, fingerprint: Column, mode: GroupMode | str) -> DataFrame:
     """SHA-256 over provenance and every key with its UTF-16 length, in id order.
 
-    The canonical text is at most 100,000 keys of 256 bytes: about 26 MB in one row.
+    The published format is one digest over one text, and one JSON object with all keys, so the text
+    is one row: a stored dictionary suits thousands of groups, and callers that publish it name a
+    ``max_keys``. Ids and lookups need neither.
     """
-    bounded = at_most(dictionary.select("id", "group_key"), MAX_GROUPS, "id", _TOO_MANY.format(MAX_GROUPS))
     key = F.col("group_key")
     line = F.concat(F.lit("\n"), F.expr(utf16_length("group_key")).cast("string"), F.lit(":"), key)
-    lines = bounded.agg(
+    lines = dictionary.select("id", "group_key").agg(
         F.array_sort(F.collect_list(F.struct("id", line.alias("line")))).alias("lines"),
         F.count(F.lit(1)).cast("int").alias("groups"),
     )
@@ -86,7 +90,7 @@ def dictionary_checksum(dictionary: DataFrame, fingerprint: Column, mode: GroupM
     return provenance.withColumn("checksum", F.sha2(F.concat(head, "body"), 256)).drop("body")
 
 
-def dictionary_violations(dictionary: DataFrame) -> DataFrame:
+def dictionary_violations(dictionary: DataFrame, max_keys: int | None = None) -> DataFrame:
     """``id, group_key, rule`` for every entry that breaks a rule.
 
     Neighbours meet in an equi-join on the position, so a damaged dictionary of any size is checked
@@ -101,7 +105,8 @@ def dictionary_violations(dictionary: DataFrame) -> DataFrame:
         "key_too_long": size > MAX_KEY_BYTES,
         "unsafe_character": F.expr(has_line_break_or_tab("group_key")),
         "not_ascending": F.expr(f"{utf16_order('previous')} >= {utf16_order('group_key')}"),
-        "beyond_guard": F.col("id") >= MAX_GROUPS,
     }
+    if max_keys is not None:
+        rules["beyond_guard"] = F.col("id") >= max_keys
     broken = F.array(*(F.when(test, F.lit(name)) for name, test in rules.items()))
     return paired.select("id", "group_key", F.explode(F.array_compact(broken)).alias("rule"))

@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.text import utf16_order
 from tillroll.model import POLICY_HASH, SCHEMA_VERSION
-from tillroll.session import at_most, fail_if
+from tillroll.session import fail_if
 from tillroll.sources.files import InputFile
 
 # Files up to this size are hashed as one value; larger ones are streamed.
 _WHOLE_FILE_BYTES = 64 * 1024 * 1024
-_MAX_ENTRIES = 1_000_000
-_WORDS = 4
+# A digest is combined as eight words of 32 bits, each of which fits a bigint.
+_WORDS = 8
 
 
 def _file_hasher() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
@@ -70,9 +70,9 @@ def file_manifest(spark: SparkSession, files: Sequence[InputFile]) -> DataFrame:
 def line_manifest(lines: DataFrame) -> DataFrame:
     """``uri, bytes, sha256`` per file or slice from ``uri, offset, value``, in one splittable aggregate.
 
-    Each line is hashed with its position and the hashes are combined bit by bit, so order and task
-    boundaries do not matter and nothing is collected. The digest notices changed, lost, added and
-    moved lines; it is not the digest of the file's bytes.
+    Each line is hashed with its position and all 256 bits of the hashes are combined one by one, so
+    order and task boundaries do not matter and nothing is collected. The digest notices changed,
+    lost, added and moved lines; it is not the digest of the file's bytes.
     """
     hashed = lines.select(
         "uri",
@@ -80,9 +80,7 @@ def line_manifest(lines: DataFrame) -> DataFrame:
         F.sha2(F.concat_ws(":", F.col("offset").cast("string"), "value").cast("binary"), 256).alias("hash"),
     )
     width = 64 // _WORDS
-    words = [
-        F.bit_xor(F.conv(F.substring("hash", 1 + i * width, width - 1), 16, 10).cast("bigint")) for i in range(_WORDS)
-    ]
+    words = [F.bit_xor(F.conv(F.substring("hash", 1 + i * width, width), 16, 10).cast("bigint")) for i in range(_WORDS)]
     combined = hashed.groupBy("uri").agg(
         F.sum("size").alias("bytes"), *(word.alias(f"w{i}") for i, word in enumerate(words))
     )
@@ -90,14 +88,22 @@ def line_manifest(lines: DataFrame) -> DataFrame:
     return combined.select("uri", "bytes", F.sha2(text.cast("binary"), 256).alias("sha256"))
 
 
+def row_text(*columns: str) -> str:
+    """SQL for all of a row's ``columns`` as one text: the length of each, and nulls, are written out.
+
+    Different rows have different texts, whatever the columns hold.
+    """
+    cells = (f"coalesce(concat(char_length(CAST(`{c}` AS STRING)), ':', CAST(`{c}` AS STRING)), '-')" for c in columns)
+    return f"concat_ws(';', {', '.join(cells)})"
+
+
 def manifest_fingerprint(manifest: DataFrame) -> DataFrame:
     """One row with ``input_fingerprint``: SHA-256 over the policy and all entries sorted by uri.
 
-    Entries are file names, not data; more than a million of them, or an entry that is repeated or
-    damaged, fail the job.
+    The published formula is one digest over one text, so the entries (names and digests of files,
+    not data) meet in one row. An entry that is repeated or damaged fails the job.
     """
-    message = f"Manifest exceeds {_MAX_ENTRIES} entries"
-    entries = at_most(manifest.select("uri", "bytes", "sha256"), _MAX_ENTRIES, "uri", message)
+    entries = manifest.select("uri", "bytes", "sha256")
     sound = F.col("uri").isNotNull() & (F.col("bytes") >= 0) & F.col("sha256").rlike(r"\A[0-9a-f]{64}\z")
     line = F.concat_ws("\t", "uri", F.col("bytes").cast("string"), "sha256")
     entry = F.struct(F.expr(utf16_order("uri")).alias("order"), F.concat(line, F.lit("\n")).alias("line"))

@@ -84,6 +84,40 @@ def file_statistics(
     )
 
 
+def tally_files(spark: SparkSession, files: Sequence[InputFile], mode: GroupMode | str) -> DataFrame:
+    """Everything a run needs to know of its lines, from one scan.
+
+    A row per file, fault, outcome and group: ``n, sum_minor, missing_code`` and ``opening``, which
+    says what the first line of the file was. :func:`statistics_of` rolls it up to preflight
+    statistics; outcome counts and group states are plain sums over it.
+    """
+    starts = F.when(F.col("split_start") == 0, F.monotonically_increasing_id())
+    faulty = _with_fault(scan_splits(spark, files).withColumn("_position", starts), GroupMode.of(mode))
+    prepared = prepare(faulty, mode, keep=("uri", "_position", "fault"))
+    opening = F.col("_position") * 2 + (F.col("reason") != M.HEADER).cast("bigint")
+    return prepared.withColumn("opening", opening).groupBy("uri", "fault", "reason", "group_key").agg(
+        F.count(F.lit(1)).alias("n"),
+        exact_sum("price_minor").alias("sum_minor"),
+        F.count_if("missing_code").alias("missing_code"),
+        F.min("opening").alias("opening"),
+    )
+
+
+def statistics_of(tallied: DataFrame, files: Sequence[InputFile]) -> DataFrame:
+    """:func:`inspect_files` from the tally, with a row for every file."""
+    listed = tallied.sparkSession.createDataFrame([(f.uri,) for f in files], "uri string")
+    rows = tallied.select("uri", "fault", "reason", "n", "opening").unionByName(
+        listed.selectExpr("uri", "NULL AS fault", "'' AS reason", "0L AS n", "CAST(NULL AS BIGINT) AS opening")
+    )
+    counts = {"valid_purchases": f"fault IS NULL AND reason = '{M.VALID_PURCHASE}'"}
+    counts |= {name: f"fault <=> '{name}'" for name in LINE_FAULTS}
+    return rows.groupBy("uri").agg(
+        F.sum("n").alias("lines"),
+        *(F.expr(f"sum(if({test}, n, 0))").alias(name) for name, test in counts.items()),
+        F.expr("coalesce(min(opening) % 2 = 0, false)").alias("has_header"),
+    )
+
+
 def rule_counts(statistics: DataFrame) -> DataFrame:
     """``uri, rule, n`` for the rules a file breaks.
 

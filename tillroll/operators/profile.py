@@ -1,16 +1,13 @@
-"""Counts that describe a dataset: outcomes, groups, totals and what each route would shuffle."""
+"""Counts that describe a dataset: outcomes, groups, totals and the sizes of its state tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.keys import owner
 from tillroll.functions.text import utf16_order
-from tillroll.model import MAX_GROUPS
 from tillroll.operators.aggregate import exact_sum
-from tillroll.operators.dictionary import counted_groups, encode
-from tillroll.session import at_most
+from tillroll.operators.dictionary import counted_groups, guarded
 
 
 def reason_counts(prepared: DataFrame) -> DataFrame:
@@ -23,11 +20,9 @@ def missing_code_count(prepared: DataFrame) -> DataFrame:
     return prepared.agg(F.count_if("missing_code").alias("missing_code"))
 
 
-def group_counts(prepared: DataFrame, max_keys: int = MAX_GROUPS) -> DataFrame:
-    """Valid purchases per group in key order; more than ``max_keys`` groups fail the job."""
-    message = f"Profile cardinality exceeds the guard of {max_keys}"
-    bounded = at_most(counted_groups(prepared), max_keys, "group_key", message)
-    return bounded.orderBy(F.expr(utf16_order("group_key")))
+def group_counts(prepared: DataFrame, max_keys: int | None = None) -> DataFrame:
+    """Valid purchases per group in key order; with ``max_keys`` set, more groups fail the job."""
+    return guarded(counted_groups(prepared), max_keys).orderBy(F.expr(utf16_order("group_key")))
 
 
 def tally(prepared: DataFrame) -> DataFrame:
@@ -51,25 +46,12 @@ def result_totals(states: DataFrame) -> DataFrame:
     )
 
 
-def record_reduction(prepared: DataFrame, dictionary: DataFrame, slice_column: str, buckets: int) -> DataFrame:
-    """``strategy, records``: the rows each route hands to its shuffle, for the given slices.
-
-    Direct hands over every purchase, the partial and dictionary routes one state per slice and
-    key, the packed route one row per slice and owning bucket. Each count is rolled up from the one
-    before, so nothing is counted distinct.
-    """
-    encoded = encode(prepared, dictionary, slice_column)
-    states = encoded.groupBy(slice_column, "id").agg(F.count("price_minor").alias("purchases"))
-    states = states.where(F.col("purchases") > 0)
-    packed = states.groupBy(slice_column, F.expr(owner("id", buckets)).alias("bucket")).agg(
-        F.sum("purchases").alias("purchases"), F.count(F.lit(1)).alias("states")
-    )
-    totals = packed.agg(
-        F.coalesce(F.sum("purchases"), F.lit(0)).alias("direct"),
-        F.coalesce(F.sum("states"), F.lit(0)).alias("partial"),
-        F.count(F.lit(1)).alias("packed"),
-    )
-    per_route = F.create_map(
-        F.lit("direct"), "direct", F.lit("partial"), "partial", F.lit("dictionary"), "partial", F.lit("packed"), "packed"
+def state_sizes(states: DataFrame, packed: DataFrame) -> DataFrame:
+    """``strategy, records``: purchases, and the rows that hold them as states per slice and as packed states."""
+    counts = states.agg(
+        F.coalesce(F.sum("purchase_count"), F.lit(0)).alias("direct"),
+        F.count(F.lit(1)).alias("partial"),
+        F.count(F.lit(1)).alias("dictionary"),
     )
-    return totals.select(F.explode(per_route).alias("strategy", "records"))
+    rows = counts.unpivot([], ["direct", "partial", "dictionary"], "strategy", "records")
+    return rows.unionByName(packed.agg(F.lit("packed").alias("strategy"), F.count(F.lit(1)).alias("records")))

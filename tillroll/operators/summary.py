@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.session import fail_if
+from tillroll.session import fail_if, materialize
 
 _METRICS = ("job_ms", "end_to_end_ms", "with_profile_ms", "shuffle_bytes", "map_records", "reduce_records")
 
@@ -15,29 +15,39 @@ _METRICS = ("job_ms", "end_to_end_ms", "with_profile_ms", "shuffle_bytes", "map_
 def _medians(runs: DataFrame) -> DataFrame:
     """``variant, metric, median``, null where a run lacks the metric.
 
-    Equal values are counted first. The middle is then found by a running count over the distinct
-    values, which spills to disk, instead of by gathering a variant's values in memory.
+    Equal values are counted first and dealt by range of variant, metric and value. Totals of the
+    few ranges say which of them hold the middle; only those are counted through, each by itself.
     """
-    metrics = F.create_map(*(part for m in _METRICS for part in (F.lit(m), F.col(m).cast("double"))))
+    exact = {m: F.col(m).cast("decimal(38,6)") for m in _METRICS}
+    metrics = F.create_map(*(part for m, value in exact.items() for part in (F.lit(m), value)))
     long = runs.select("variant", F.explode(metrics).alias("metric", "value"))
     counted = long.groupBy("variant", "metric", "value").agg(F.count(F.lit(1)).alias("n"))
+    ranged = counted.repartitionByRange("variant", "metric", "value").withColumn("part", F.spark_partition_id())
+    ranged = materialize(ranged)
     group = Window.partitionBy("variant", "metric")
-    upto = group.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counted.select(
+    sizes = ranged.groupBy("variant", "metric", "part").agg(
+        F.sum("n").alias("size"), F.sum(F.when(F.col("value").isNull(), F.col("n"))).alias("nulls")
+    )
+    # A row for each range, variant and metric.
+    sizes = sizes.select(
         "variant",
         "metric",
-        "value",
-        F.sum("n").over(upto).alias("last"),
-        (F.sum("n").over(upto) - F.col("n") + 1).alias("first"),
-        F.sum("n").over(group).alias("total"),
+        "part",
+        "size",
+        (F.sum("size").over(group.orderBy("part")) - F.col("size")).alias("before"),
+        F.sum("size").over(group).alias("total"),
+        F.coalesce(F.sum("nulls").over(group), F.lit(0)).alias("nulls"),
     )
     lower = F.call_function("div", F.col("total") + 1, F.lit(2))
     upper = F.call_function("div", F.col("total") + 2, F.lit(2))
+    middle = sizes.where((upper > F.col("before")) & (lower <= F.col("before") + F.col("size")))
+    upto = Window.partitionBy("variant", "metric", "part").orderBy("value")
+    ranked = ranged.join(middle, ["variant", "metric", "part"]).withColumn("last", F.col("before") + F.sum("n").over(upto))
 
     def at(rank):
-        return F.max(F.when(rank.between(F.col("first"), F.col("last")), F.col("value")))
+        return F.max(F.when(rank.between(F.col("last") - F.col("n") + 1, F.col("last")), F.col("value")))
 
-    median = F.when(F.count_if(F.col("value").isNull()) == 0, (at(lower) + at(upper)) / 2)
+    median = F.when(F.max("nulls") == 0, ((at(lower) + at(upper)) / 2).cast("double"))
     return ranked.groupBy("variant", "metric").agg(median.alias("median"))
 
 
@@ -56,7 +66,7 @@ def run_summary(
         F.count(F.lit(1)).alias("runs"),
         F.min("job_ms").alias("job_min_ms"),
         F.max("job_ms").alias("job_max_ms"),
-        F.array_join(F.array_sort(F.collect_set("effective_variant")), ",").alias("effective_variant"),
+        F.array_join(F.array_sort(F.collect_set("effective_variant")), ",").alias("effective_variant"),  # names of routes
     )
     metric = {m: F.max(F.when(F.col("metric") == m, F.col("median"))).alias(m) for m in _METRICS}
     wide = _medians(measured).groupBy("variant").agg(*metric.values())

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from tillroll.functions.csvline import parse_event_lines
 from tillroll.functions.keys import sample_bucket
 from tillroll.functions.money import average_minor, format_minor, with_minor
-from tillroll.model import GroupMode
+from tillroll.model import EVENT_COLUMNS, GroupMode
 from tillroll.operators import aggregate as agg
 from tillroll.operators import compare, manifest, preflight, profile, sample, summary
 from tillroll.operators import dictionary as dic
 from tillroll.operators.prepare import PREPARED_COLUMNS, prepare, purchases_only
-from tillroll.session import materialize, new_shared_path
+from tillroll.session import fail_if, materialize, new_shared_path
 from tillroll.sinks import writers
 from tillroll.sources import tables
 from tillroll.sources.files import list_csv, scan_lines
@@ -24,10 +24,11 @@ from tillroll.sources.workload import synthetic_events
 
 Query = Callable[[SparkSession, str], DataFrame]
 ID, CODE, ROOT = GroupMode.CATEGORY_ID, GroupMode.CATEGORY_CODE, GroupMode.CATEGORY_ROOT
+EVENT_FIELDS = [{"price": "price_text"}.get(c, c) for c in EVENT_COLUMNS]
 SAMPLE_URI = "table:events"
 SAMPLE_RATE = 0.25
 SAMPLE_SEED = 21
-BUCKETS = 4
+PACKED_IDS = 32
 
 
 def _purchases(spark: SparkSession, sf: str, mode: GroupMode, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -75,12 +76,16 @@ def line_value_by_part(spark: SparkSession, sf: str) -> DataFrame:
 def line_value_by_brand(spark: SparkSession, sf: str) -> DataFrame:
     """Lines become one state per part before they meet ``part``, so a hot part is one row in the join.
 
-    Both sides grow with the data, so neither is broadcast by hand; Spark decides by their sizes.
+    Both sides grow with the data, so neither is broadcast by hand; Spark decides by their sizes. A
+    line whose part is not listed fails the job.
     """
     per_part = agg.partial(prepare(tables.lineitem_as_events(spark, sf), ID))
     part = tables.read_table(spark, sf, "part")
     brands = part.select(F.col("p_partkey").cast("string").alias("group_key"), F.col("p_brand").alias("brand"))
-    merged = agg.merge_states(per_part.join(brands, "group_key"), "brand")
+    joined = per_part.join(brands, "group_key", "left")
+    message = F.concat(F.lit("Part without a brand: "), F.col("group_key"))
+    joined = joined.withColumn("brand", fail_if(F.col("brand").isNull(), message, F.col("brand")))
+    merged = agg.merge_states(joined, "brand")
     return agg.result_rows(merged.withColumnRenamed("brand", "group_key"))
 
 
@@ -178,7 +183,8 @@ def line_value_by_category_code(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def strategy_direct(spark: SparkSession, sf: str) -> DataFrame:
-    return agg.result_rows(agg.direct(_purchases(spark, sf, ID)))
+    """The route without pre-aggregation by name; in Spark it is the partial one."""
+    return agg.result_rows(agg.aggregate(_purchases(spark, sf, ID), "v1"))
 
 
 def strategy_partial(spark: SparkSession, sf: str) -> DataFrame:
@@ -191,12 +197,12 @@ def strategy_dictionary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _packed(spark: SparkSession, sf: str, dictionary: DataFrame) -> DataFrame:
-    return agg.pack(_purchases(spark, sf, ID, keep=("day",)), dictionary, "day", BUCKETS)
+    return agg.pack(_purchases(spark, sf, ID, keep=("day",)), dictionary, "day", PACKED_IDS)
 
 
 def strategy_packed(spark: SparkSession, sf: str) -> DataFrame:
     dictionary = _dictionary(spark, sf)
-    return agg.result_rows(agg.merge_packed(_packed(spark, sf, dictionary), dictionary, BUCKETS))
+    return agg.result_rows(agg.merge_packed(_packed(spark, sf, dictionary), dictionary))
 
 
 def packed_entries(spark: SparkSession, sf: str) -> DataFrame:
@@ -239,8 +245,9 @@ def result_totals(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def record_reduction(spark: SparkSession, sf: str) -> DataFrame:
-    prepared = _purchases(spark, sf, ID, keep=("day",))
-    return profile.record_reduction(prepared, _dictionary(spark, sf), "day", BUCKETS)
+    """How far states per day, plain and packed, reduce the purchases."""
+    states = agg.partial_states(_purchases(spark, sf, ID, keep=("day",)), "day")
+    return profile.state_sizes(states, _packed(spark, sf, _dictionary(spark, sf)))
 
 
 # Samples
@@ -308,8 +315,9 @@ def result_diff(spark: SparkSession, sf: str) -> DataFrame:
     return compare.result_diff(clean, _states(spark, sf, CODE))
 
 
-def _line_table(spark: SparkSession, sf: str, events: DataFrame) -> DataFrame:
-    text = F.concat_ws("|", "kind", "event_type", "category_id", "price_text")
+def _line_table(events: DataFrame) -> DataFrame:
+    """Every column of the event as one text."""
+    text = F.expr(manifest.row_text("kind", "event_id", "day", *EVENT_FIELDS))
     return events.select(F.col("day").alias("uri"), F.col("event_id").alias("offset"), text.alias("value"))
 
 
@@ -318,8 +326,8 @@ def _manifests(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     clean = tables.events_as_raw(spark, sf).withColumn("kind", F.lit("EVENT"))
     dirty = tables.events_dirty(spark, sf)
     return (
-        manifest.line_manifest(_line_table(spark, sf, clean)),
-        manifest.line_manifest(_line_table(spark, sf, dirty)),
+        manifest.line_manifest(_line_table(clean)),
+        manifest.line_manifest(_line_table(dirty)),
     )
 
 
@@ -382,7 +390,7 @@ def packed_violations(spark: SparkSession, sf: str) -> DataFrame:
             F.struct("id", "sum_minor", (F.col("purchase_count") - 1).alias("purchase_count"))
         ).alias("entries")
     )
-    found = compare.packed_violations(lowered, "day")
+    found = compare.packed_violations(lowered, "day", max_entries=PACKED_IDS - 2)
     return found.groupBy("day", "bucket", "rule").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -420,9 +428,9 @@ def result_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def export_sorted(spark: SparkSession, sf: str) -> DataFrame:
-    """The lines of the CSV export, read back from the one file it writes."""
+    """The lines of the CSV export, read back from one file."""
     path = new_shared_path(spark, "export") + ".csv"
-    writers.export_csv(agg.result_rows(_states(spark, sf, CODE)), path)
+    writers.export_csv(agg.result_rows(_states(spark, sf, CODE)), path, single=True)
     lines = spark.read.option("lineSep", "\r\n").text(path)
     return lines.select(F.monotonically_increasing_id().alias("position"), "value")
 

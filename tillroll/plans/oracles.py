@@ -112,29 +112,55 @@ FROM dirty"""
 def dictionary(mode: str) -> str:
     return f"""{judged(mode)},
 dictionary AS (
-  SELECT CAST(row_number() OVER (ORDER BY group_key) - 1 AS INTEGER) AS id, group_key
+  SELECT row_number() OVER (ORDER BY group_key) - 1 AS id, group_key
   FROM (SELECT DISTINCT group_key FROM valid))"""
 
 
 PACKED = f"""{dictionary("id")},
 entries AS (
-  SELECT v.day, CAST(d.id % 4 AS INTEGER) AS bucket, d.id, CAST(SUM(v.minor) AS BIGINT) AS sum_minor,
+  SELECT v.day, d.id // 32 AS bucket, d.id, CAST(SUM(v.minor) AS BIGINT) AS sum_minor,
          COUNT(*) AS purchase_count
   FROM valid v JOIN dictionary d USING (group_key) GROUP BY v.day, d.id)"""
 
 
+def cell(value: str) -> str:
+    return f"coalesce(length(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+# What a day's digest covers: each column of the nine an event has, and its kind, number and day.
+ROW_TEXT = " || ';' || ".join(
+    map(
+        cell,
+        (
+            "kind",
+            "event_id",
+            "day",
+            "event_time",
+            "event_type",
+            "event_id",
+            "category_id",
+            "category_code",
+            "'brand'",
+            "price_text",
+            "user_id",
+            "''",
+        ),
+    )
+)
+
+
 def manifest(name: str, source: str, kind: str) -> str:
     """CTEs ending in ``name``: one digest per day over position and content of the day's events."""
     words = ", ".join(
-        f"bit_xor(('0x' || substr(hash, {1 + 16 * i}, 15))::BIGINT) AS w{i}" for i in range(4)
+        f"bit_xor(('0x' || substr(hash, {1 + 8 * i}, 8))::BIGINT) AS w{i}" for i in range(8)
     )
     return f"""{name}_hashed AS (
   SELECT day, value, sha256(event_id || ':' || value) AS hash
-  FROM (SELECT day, event_id, concat_ws('|', {kind}, event_type, category_id, price_text) AS value FROM {source})),
+  FROM (SELECT day, event_id, {ROW_TEXT.replace("kind", kind)} AS value FROM {source})),
 {name}_words AS (
   SELECT day, CAST(SUM(strlen(value) + 1) AS BIGINT) AS bytes, {words} FROM {name}_hashed GROUP BY day),
 {name} AS (
-  SELECT day AS uri, bytes, sha256(w0 || ':' || w1 || ':' || w2 || ':' || w3) AS sha256 FROM {name}_words)"""
+  SELECT day AS uri, bytes, sha256({" || ':' || ".join(f"w{i}" for i in range(8))}) AS sha256 FROM {name}_words)"""
 
 
 POLICY_HASH = "e8cfaa885aa0cabdc51d54c4ee15e5c7a82b70c3cb69406582ed58c47ed2e117"
@@ -342,7 +368,9 @@ ruled AS (
                  WHEN purchase_count = 0 AND sum_minor <> 0 THEN 'sum_without_count' END AS rule FROM damaged)
 SELECT day, group_key, sum_minor, CAST(purchase_count AS BIGINT) AS purchase_count, rule FROM ruled WHERE rule IS NOT NULL""",
     "packed_violations": f"""WITH {PACKED}
-SELECT day, bucket, 'invalid_entry' AS rule, COUNT(*) AS n FROM entries WHERE purchase_count = 1 GROUP BY day, bucket""",
+SELECT day, bucket, 'invalid_entry' AS rule, COUNT(*) AS n FROM entries WHERE purchase_count = 1 GROUP BY day, bucket
+UNION ALL
+SELECT day, bucket, 'batch_too_long', 1 FROM entries GROUP BY day, bucket HAVING COUNT(*) > 30""",
     "preflight_file_statistics": f"WITH {STATISTICS} SELECT * FROM statistics",
     "preflight_rule_counts": f"WITH {STATISTICS} SELECT uri, rule, CAST(n AS BIGINT) AS n FROM rules",
     "preflight_totals": f"""WITH {STATISTICS}

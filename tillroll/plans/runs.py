@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -18,7 +19,7 @@ from tillroll.operators import dictionary as dic
 from tillroll.operators.prepare import prepare
 from tillroll.session import materialize
 from tillroll.sinks import writers
-from tillroll.sources.artifacts import read_manifest
+from tillroll.sources.artifacts import read_artifact, read_manifest
 from tillroll.sources.files import InputFile, files_at, list_csv, scan_lines, scan_splits
 from tillroll.sources.results import parse_result_lines, read_result_lines
 
@@ -27,27 +28,65 @@ class RunFailed(RuntimeError):
     """A check failed; no output was published."""
 
 
+_REPORT = (
+    "schemaVersion int, inputFingerprint string, groupMode string, validPurchaseCount bigint, lines bigint, "
+    "errors array<string>"
+)
+_PROFILE = (
+    "schemaVersion int, inputFingerprint string, groupMode string, policyHash string, validPurchaseCount bigint, "
+    "lines bigint, elapsedMillis bigint, counters map<string,bigint>"
+)
+_RECORD = (
+    "schemaVersion int, variant string, effectiveVariant string, inputFingerprint string, groupMode string, "
+    "policyHash string, startedAt string, warmup boolean, success boolean, error string, "
+    "preprocessingMillis bigint, jobMillis bigint, endToEndMillis bigint, groups bigint, totalSumMinor bigint, "
+    "counters map<string,bigint>, configuration map<string,string>"
+)
+
+
 @dataclass
 class Preflight:
     files: list[InputFile]
     mode: GroupMode
-    statistics: DataFrame  # a row per file; using it again scans the files again
+    statistics: DataFrame  # a row per file; using it again scans the files again unless there is a tally
     manifest: DataFrame  # a row per file, stored
     fingerprint: str
     lines: int
     valid_purchases: int
     errors: list[str] = field(default_factory=list)
+    tallied: DataFrame | None = None  # outcomes and states of the same scan, stored
 
     @property
     def valid(self) -> bool:
         return not self.errors
 
+    @property
+    def counters(self) -> dict[str, int]:
+        """Lines per outcome."""
+        rows = self.tallied.groupBy("reason").agg(F.sum("n").alias("n"))
+        return {r.reason: r.n for r in rows.collect()}
+
+    @property
+    def states(self) -> DataFrame:
+        valid = self.tallied.where(F.col("reason") == M.VALID_PURCHASE)
+        return agg.merge_states(valid.select("group_key", "sum_minor", F.col("n").alias("purchase_count")))
+
+
+def run_preflight(
+    spark: SparkSession,
+    files: Sequence[InputFile],
+    mode: GroupMode | str,
+    max_errors: int = M.MAX_REPORTED_ERRORS,
+    tally: bool = False,
+) -> Preflight:
+    """Check and digest event files. Offsets of broken lines are looked up only when there are any.
 
-def run_preflight(spark: SparkSession, files: Sequence[InputFile], mode: GroupMode | str) -> Preflight:
-    """Check and digest event files. Offsets of broken lines are looked up only when there are any."""
+    With ``tally`` the scan that checks the lines also yields outcomes and group states.
+    """
     mode = GroupMode.of(mode)
-    statistics = preflight.inspect_files(spark, files, mode)
     digests = materialize(manifest.file_manifest(spark, files))
+    tallied = materialize(preflight.tally_files(spark, files, mode)) if tally else None
+    statistics = preflight.statistics_of(tallied, files) if tally else preflight.inspect_files(spark, files, mode)
     totals = preflight.preflight_totals(statistics).first()
     fingerprint = manifest.manifest_fingerprint(digests).first()["input_fingerprint"]
     errors: list[str] = []
@@ -56,19 +95,19 @@ def run_preflight(spark: SparkSession, files: Sequence[InputFile], mode: GroupMo
         headless = preflight.rule_counts(statistics).where(F.col("rule") == preflight.NO_HEADER)
         # A missing header is reported at the end of its file.
         end = headless.select("uri", F.lit(2**62).alias("offset"), "rule")
-        reported = preflight.first_errors(located.unionByName(end))
+        reported = preflight.first_errors(located.unionByName(end), max_errors)
         errors = [
             f"{r.rule}: {r.uri}" + ("" if r.rule == preflight.NO_HEADER else f"@{r.offset}") for r in reported.collect()
         ]
     return Preflight(
-        list(files), mode, statistics, digests, fingerprint, totals["lines"], totals["valid_purchases"], errors
+        list(files), mode, statistics, digests, fingerprint, totals["lines"], totals["valid_purchases"], errors, tallied
     )
 
 
 def write_preflight(checked: Preflight, manifest_path: str, report_path: str) -> None:
     """Publish the manifest and the report of a valid preflight."""
     if not checked.valid:
-        raise RunFailed(f"Preflight failed: {checked.errors}")
+        raise RunFailed(f"The input breaks rules: {checked.errors}")
     spark = checked.manifest.sparkSession
     writers.ensure_new(spark, manifest_path)
     writers.ensure_new(spark, report_path)
@@ -93,10 +132,18 @@ def files_of_manifest(spark: SparkSession, path: str) -> tuple[list[InputFile],
     return files_at(spark, [r.uri for r in entries.select("uri").orderBy("uri").toLocalIterator()]), entries
 
 
-def _unchanged(stored: DataFrame, current: DataFrame) -> None:
-    changed = manifest.input_drift(stored, current).limit(M.MAX_REPORTED_ERRORS).collect()
+def _unchanged(stored: DataFrame, current: DataFrame, max_errors: int = M.MAX_REPORTED_ERRORS) -> None:
+    changed = manifest.input_drift(stored, current).orderBy("uri", "change").limit(max_errors).collect()
     if changed:
-        raise RunFailed(f"Input changed: {[f'{r.change} {r.uri}' for r in changed]}")
+        raise RunFailed(f"The input is not the same any more: {[f'{r.change} {r.uri}' for r in changed]}")
+
+
+def _matches_report(spark: SparkSession, path: str, checked: Preflight) -> None:
+    """The stored preflight report at ``path`` speaks of this input, mode and number of purchases."""
+    report = read_artifact(spark, path, _REPORT).first()
+    mine = (M.SCHEMA_VERSION, checked.fingerprint, checked.mode.value, checked.valid_purchases, checked.lines)
+    if report is None or tuple(report)[:5] != mine or report.errors:
+        raise RunFailed(f"The preflight report is of another input or mode: {report}, now {mine}")
 
 
 @dataclass
@@ -105,27 +152,59 @@ class Profile:
     reasons: DataFrame
     groups: DataFrame
     dictionary: DataFrame
+    elapsed_ms: int = 0
 
 
 def run_profile(
-    spark: SparkSession, files: Sequence[InputFile], mode: GroupMode | str, max_keys: int = M.MAX_GROUPS
+    spark: SparkSession, files: Sequence[InputFile], mode: GroupMode | str, max_keys: int | None = None
 ) -> Profile:
-    """Outcome counts, purchases per group and the group dictionary, from one pass over the lines."""
-    checked = run_preflight(spark, files, mode)
+    """Outcome counts, purchases per group and the group dictionary, from one pass over the lines.
+
+    All of it belongs to the files as digested before that pass; if they are others afterwards, the
+    run fails.
+    """
+    began = time.monotonic()
+    checked = run_preflight(spark, files, mode, tally=True)
     if not checked.valid:
-        raise RunFailed(f"Preflight failed: {checked.errors}")
-    tallied = materialize(profile.tally(prepare(parse_event_lines(scan_splits(spark, files)), checked.mode)))
-    reasons = tallied.groupBy("reason").agg(F.sum("n").alias("n"))
-    counted = tallied.where(F.col("reason") == M.VALID_PURCHASE)
-    groups = counted.select("group_key", F.col("n").alias("purchase_count"))
-    return Profile(checked, reasons, groups, materialize(dic.build_dictionary(groups, max_keys)))
+        raise RunFailed(f"The input breaks rules: {checked.errors}")
+    reasons = checked.tallied.groupBy("reason").agg(F.sum("n").alias("n"))
+    groups = materialize(checked.states.select("group_key", "purchase_count"))
+    dictionary = materialize(dic.build_dictionary(groups, max_keys))
+    _unchanged(checked.manifest, manifest.file_manifest(spark, files))
+    return Profile(checked, reasons, groups, dictionary, round((time.monotonic() - began) * 1000))
 
 
-def write_dictionary(profiled: Profile, path: str) -> None:
-    """Publish the dictionary with its provenance and checksum as one JSON object.
+def write_profile(profiled: Profile, directory: str) -> None:
+    """Publish the profile: a report of one object, and the purchases per group as JSON lines."""
+    checked, spark = profiled.preflight, profiled.groups.sparkSession
+    writers.ensure_new(spark, directory)
+    staged = writers.staging_path(directory)
+    counters = F.create_map(*(part for k, n in sorted(checked.counters.items()) for part in (F.lit(k), F.lit(n))))
+    report = spark.range(1).select(
+        F.lit(M.SCHEMA_VERSION).alias("schemaVersion"),
+        F.lit(checked.fingerprint).alias("inputFingerprint"),
+        F.lit(checked.mode.value).alias("groupMode"),
+        F.lit(M.POLICY_HASH).alias("policyHash"),
+        F.lit(checked.valid_purchases).cast("bigint").alias("validPurchaseCount"),
+        F.lit(checked.lines).cast("bigint").alias("lines"),
+        F.lit(profiled.elapsed_ms).cast("bigint").alias("elapsedMillis"),
+        counters.alias("counters"),
+    )
+    try:
+        writers.write_artifact(profiled.groups, f"{staged}/groups.json")
+        writers.write_artifact(report, f"{staged}/profile.json")
+        writers.publish(spark, staged, directory)
+    finally:
+        writers.discard(spark, staged)
 
-    At most 100,000 keys of at most 256 bytes, which building the dictionary has enforced.
-    """
+
+def read_profiles(spark: SparkSession, directories: Sequence[str]) -> DataFrame:
+    """The reports of stored profiles, a row each."""
+    return spark.read.schema(_PROFILE).json([f"{d.rstrip('/')}/profile.json" for d in directories])
+
+
+def write_dictionary(profiled: Profile, path: str) -> None:
+    """Publish the dictionary with its provenance and checksum as one JSON object."""
     fingerprint = F.lit(profiled.preflight.fingerprint)
     head = dic.dictionary_checksum(profiled.dictionary, fingerprint, profiled.preflight.mode).first()
     gathered = profiled.dictionary.agg(F.array_sort(F.collect_list(F.struct("id", "group_key"))).alias("entries"))
@@ -149,9 +228,9 @@ def check_dictionary(stored: DataFrame, fingerprint: str, mode: GroupMode | str)
     if head:
         recomputed = dic.dictionary_checksum(rows, F.lit(fingerprint), mode).first()
         if len(head) > 1 or any(head[0][c] != recomputed[c] for c in provenance):
-            raise RunFailed("Dictionary provenance or checksum mismatch")
+            raise RunFailed("The dictionary is of another input or damaged")
     if not dic.dictionary_violations(rows).isEmpty():
-        raise RunFailed("Dictionary groups must be sorted, unique and printable")
+        raise RunFailed("The dictionary breaks rules of its keys or their order")
     return rows
 
 
@@ -162,90 +241,128 @@ def run_aggregate(
     mode: GroupMode | str = GroupMode.CATEGORY_ID,
     strategy: str = "partial",
     dictionary: DataFrame | None = None,
-    buckets: int = 2,
     stored_manifest: DataFrame | None = None,
+    stored_report: str | None = None,
+    max_keys: int | None = None,
+    warmup: bool = False,
+    failed_record: str | None = None,
 ) -> dict:
     """Aggregate event files into a new result table and return the run record.
 
-    Published only if the input passes preflight and matches its manifest, no damaged line turned
-    up, the written result validates and adds up to the counted purchases, and the input is still
-    the same afterwards. Otherwise :class:`RunFailed` is raised and the target does not exist.
+    Published only if the input passes preflight and matches its manifest and preflight report (if
+    given), no damaged line turned up, the written result validates and adds up to the counted
+    purchases, and the input is still the same afterwards. Otherwise :class:`RunFailed` is raised
+    and the target does not exist; the record of the failed run is written to ``failed_record``.
     """
-    mode = GroupMode.of(mode)
-    strategy = agg.VARIANTS.get(strategy, strategy)
+    began, started = time.monotonic(), datetime.datetime.now(datetime.timezone.utc)
+    record = {
+        "schemaVersion": 3,
+        "variant": strategy,
+        "effectiveVariant": agg.VARIANTS.get(strategy, strategy),
+        "groupMode": GroupMode.of(mode).value,
+        "policyHash": M.POLICY_HASH,
+        "startedAt": started.isoformat(),
+        "warmup": warmup,
+        "success": False,
+        "configuration": {"spark.version": spark.version, "spark.master": spark.sparkContext.master},
+    }
     writers.ensure_new(spark, output)
     writers.ensure_apart(spark, output, *(f.uri for f in files))
-    began = time.monotonic()
-    checked = run_preflight(spark, files, mode)
-    if not checked.valid:
-        raise RunFailed(f"Preflight failed: {checked.errors}")
-    if stored_manifest is not None:
-        _unchanged(stored_manifest, checked.manifest)
-    if dictionary is not None and "checksum" in dictionary.columns:
-        dictionary = check_dictionary(dictionary, checked.fingerprint, mode)
-    preflighted = time.monotonic()
-
-    prepared = prepare(parse_event_lines(scan_splits(spark, files)), mode)
-    tallied = materialize(profile.tally(prepared))
-    counters = {r.reason: r.n for r in tallied.groupBy("reason").agg(F.sum("n").alias("n")).collect()}
-    if counters.get(M.MALFORMED_CSV, 0):
-        raise RunFailed("Malformed lines at run time")
-    if strategy == "partial":
-        valid = tallied.where(F.col("reason") == M.VALID_PURCHASE)
-        states = valid.select("group_key", "sum_minor", F.col("n").alias("purchase_count"))
-    else:
-        states = materialize(agg.aggregate(prepared, strategy, dictionary, buckets))
-    aggregated = time.monotonic()
-
     staged = writers.staging_path(output)
     try:
+        checked = run_preflight(spark, files, mode, tally=True)
+        record |= {"inputFingerprint": checked.fingerprint, "preprocessingMillis": _since(began)}
+        record |= {"counters": checked.counters}
+        if not checked.valid:
+            raise RunFailed(f"The input breaks rules: {checked.errors}")
+        if stored_manifest is not None:
+            _unchanged(stored_manifest, checked.manifest)
+        if stored_report is not None:
+            _matches_report(spark, stored_report, checked)
+        if dictionary is not None and "checksum" in dictionary.columns:
+            dictionary = check_dictionary(dictionary, checked.fingerprint, mode)
+        if checked.counters.get(M.MALFORMED_CSV, 0):
+            raise RunFailed("Lines turned out malformed during the run")
+        preflighted = time.monotonic()
+        if agg.VARIANTS.get(strategy, strategy) == "partial":
+            states = checked.states
+        else:
+            prepared = prepare(parse_event_lines(scan_splits(spark, files)), mode)
+            states = agg.aggregate(prepared, strategy, dictionary)
         writers.stage_result(states, staged)
-        parsed = parse_result_lines(read_result_lines(spark, staged))
-        checks = compare.validate_result(parsed, checked.valid_purchases).first()
-        counted = counters.get(M.VALID_PURCHASE, 0)
+        record["jobMillis"] = _since(preflighted)
+        checks = compare.validate_result(
+            parse_result_lines(read_result_lines(spark, staged)), checked.valid_purchases, max_keys
+        ).first()
+        record |= {"groups": checks["group_count"], "totalSumMinor": checks["total_sum_minor"]}
+        counted = checked.counters.get(M.VALID_PURCHASE, 0)
+        if checks["too_many_groups"]:
+            raise RunFailed(f"The result has {checks['group_count']} groups, more than {max_keys}")
         if not checks["valid"] or counted != checked.valid_purchases:
-            raise RunFailed(f"Result does not add up: {checks.asDict()}, counted {counted}")
+            raise RunFailed(f"Sums or counts differ: {checks.asDict()}, counted {counted}")
         _unchanged(checked.manifest, manifest.file_manifest(spark, files))
-        record = {
-            "schemaVersion": 2,
-            "strategy": strategy,
-            "inputFingerprint": checked.fingerprint,
-            "groupMode": mode.value,
-            "policyHash": M.POLICY_HASH,
-            "validationStatus": "valid",
-            "buckets": buckets,
-            "preprocessingMillis": round((preflighted - began) * 1000),
-            "jobMillis": round((aggregated - preflighted) * 1000),
-            "endToEndMillis": round((time.monotonic() - began) * 1000),
-            "groups": checks["group_count"],
-            "totalSumMinor": checks["total_sum_minor"],
-            "counters": counters,
-            "configuration": {"spark.version": spark.version, "spark.master": spark.sparkContext.master},
-        }
-        one_row = spark.createDataFrame(
-            [record],
-            "schemaVersion int, strategy string, inputFingerprint string, groupMode string, policyHash string, "
-            "validationStatus string, buckets int, preprocessingMillis bigint, jobMillis bigint, "
-            "endToEndMillis bigint, groups bigint, totalSumMinor bigint, counters map<string,bigint>, "
-            "configuration map<string,string>",
-        )
-        writers.write_artifact(one_row.coalesce(1), f"{staged}/_run-manifest.json")
+        record |= {"success": True, "endToEndMillis": _since(began)}
+        writers.write_artifact(_record_row(spark, record), f"{staged}/_run-manifest.json")
         writers.publish(spark, staged, output)
+    except Exception as error:
+        if failed_record is not None:
+            failed = record | {"success": False, "error": str(error)[:4000], "endToEndMillis": _since(began)}
+            writers.write_artifact(_record_row(spark, failed), failed_record)
+        raise
     finally:
         writers.discard(spark, staged)
     return record
 
 
+def _since(began: float) -> int:
+    return round((time.monotonic() - began) * 1000)
+
+
+def _record_row(spark: SparkSession, record: dict) -> DataFrame:
+    return spark.createDataFrame([record], _RECORD).coalesce(1)
+
+
+def read_records(spark: SparkSession, paths: Sequence[str], profiles: DataFrame | None = None) -> DataFrame:
+    """Stored run records in the shape that :func:`tillroll.operators.summary.run_summary` takes.
+
+    Routes with a dictionary cost a profile; its time comes from the profile of the same input,
+    mode and policy (the fastest, if there are several), and is missing without one. What a run
+    does not record (bytes and records of shuffles) is null.
+    """
+    records = spark.read.schema(_RECORD).json([f"{p.rstrip('/')}" for p in paths])
+    keys = ["inputFingerprint", "groupMode", "policyHash"]
+    if profiles is None:
+        profiles = spark.createDataFrame([], _PROFILE)
+    cost = profiles.groupBy(*keys).agg(F.min("elapsedMillis").alias("profiled"))
+    needs = F.col("effectiveVariant").isin("dictionary", "packed")
+    return records.join(cost, keys, "left").select(
+        "variant",
+        F.col("effectiveVariant").alias("effective_variant"),
+        "success",
+        "warmup",
+        F.col("jobMillis").alias("job_ms"),
+        F.col("endToEndMillis").alias("end_to_end_ms"),
+        F.when(needs, F.col("profiled")).otherwise(F.lit(0)).alias("profile_ms"),
+        *(F.lit(None).cast("bigint").alias(c) for c in ("shuffle_bytes", "map_records", "reduce_records")),
+    )
+
+
 def run_sample(
     spark: SparkSession, files: Sequence[InputFile], stored_manifest: DataFrame, directory: str, rate: float,
     seed: int = DEFAULT_SEED, mode: GroupMode | str = GroupMode.CATEGORY_ID,
 ) -> Preflight:
-    """Write a deterministic sample of the lines with its manifest, preflight and provenance."""
+    """Write a deterministic sample of the lines, then its manifest, preflight and provenance.
+
+    The sample is renamed to its place and checked there, since a manifest names files by their
+    place. If anything fails after that, all of it is taken away again.
+    """
     sample.sample_threshold(rate)
-    writers.ensure_new(spark, directory)
+    extras = [f"{directory}.{name}.json" for name in ("manifest", "preflight", "sample")]
+    for path in (directory, *extras):
+        writers.ensure_new(spark, path)
     source = run_preflight(spark, files, mode)
     if not source.valid:
-        raise RunFailed(f"Preflight failed: {source.errors}")
+        raise RunFailed(f"The input breaks rules: {source.errors}")
     _unchanged(stored_manifest, source.manifest)
     lines = parse_event_lines(scan_lines(spark, files))
     kept = sample.hash_sample(lines.where(F.col("kind") != M.KIND_HEADER), rate, seed)
@@ -256,24 +373,29 @@ def run_sample(
         writers.publish(spark, staged, directory)
     finally:
         writers.discard(spark, staged)
-    sampled = run_preflight(spark, list_csv(spark, directory), mode)
-    write_preflight(sampled, f"{directory}.manifest.json", f"{directory}.preflight.json")
-    provenance = spark.range(1).select(
-        F.lit(source.fingerprint).alias("sourceFingerprint"),
-        F.lit(float(rate)).alias("rate"),
-        F.lit(seed).cast("bigint").alias("seed"),
-        F.lit(sampled.fingerprint).alias("sampleFingerprint"),
-    )
-    writers.write_artifact(provenance, f"{directory}.sample.json")
+    try:
+        sampled = run_preflight(spark, list_csv(spark, directory), mode)
+        write_preflight(sampled, extras[0], extras[1])
+        provenance = spark.range(1).select(
+            F.lit(source.fingerprint).alias("sourceFingerprint"),
+            F.lit(float(rate)).alias("rate"),
+            F.lit(seed).cast("bigint").alias("seed"),
+            F.lit(sampled.fingerprint).alias("sampleFingerprint"),
+        )
+        writers.write_artifact(provenance, extras[2])
+    except Exception:
+        for path in (directory, *extras):
+            writers.discard(spark, path)
+        raise
     return sampled
 
 
 def read_result(spark: SparkSession, directory: str) -> DataFrame:
     """A valid result table; a broken rule or repeated key fails."""
     parsed = parse_result_lines(read_result_lines(spark, directory))
-    broken = compare.result_violations(parsed).limit(M.MAX_REPORTED_ERRORS).collect()
+    broken = compare.result_violations(parsed).orderBy("violation", "group_key").limit(M.MAX_REPORTED_ERRORS).collect()
     if broken:
-        raise RunFailed(f"Invalid result: {[f'{r.violation} {r.group_key}' for r in broken]}")
+        raise RunFailed(f"The result breaks rules: {[f'{r.violation} {r.group_key}' for r in broken]}")
     return parsed.drop("value", "violation")
 
 
@@ -282,6 +404,6 @@ def run_compare(spark: SparkSession, left: str, right: str) -> DataFrame:
     return compare.result_diff(read_result(spark, left), read_result(spark, right))
 
 
-def run_export(spark: SparkSession, result: str, path: str) -> None:
-    """A result table as one CSV file in key order."""
-    writers.export_csv(read_result(spark, result), path)
+def run_export(spark: SparkSession, result: str, path: str, single: bool = False) -> None:
+    """A result table as CSV in key order: part files of a folder, or a ``single`` file."""
+    writers.export_csv(read_result(spark, result), path, single)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import re
 import tempfile
 import uuid
 
@@ -12,8 +15,8 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
-    A private temporary folder is used only in local mode with the setting absent, since there
-    driver and executors are one process on one disk.
+    A private temporary folder is used only with ``local`` or ``local[n]`` as master and the setting
+    absent: there driver and executors are one process.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -21,15 +24,31 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("Set spark.checkpoint.dir to a folder all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tillroll-"))
     return spark.sparkContext.getCheckpointDir()
 
 
+_USED: list[tuple[SparkSession, str]] = []
+
+
 def new_shared_path(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that nobody has used yet."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A path below the shared folder that nobody has used yet; it is deleted when the program ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if not _USED:
+        atexit.register(drop_intermediate)
+    _USED.append((spark, path))
+    return path
+
+
+def drop_intermediate() -> None:
+    """Delete what lies at the paths of :func:`new_shared_path`; frames that read it are spent then."""
+    while _USED:
+        spark, path = _USED.pop()
+        with contextlib.suppress(Exception):  # the session may be gone, and its folder with it
+            jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+            jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -14,9 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.text import csv_key_field, utf16_order
-from tillroll.model import EXPORT_COLUMNS, HEADER_LINE, MAX_GROUPS
+from tillroll.model import EXPORT_COLUMNS, HEADER_LINE
 from tillroll.operators.aggregate import result_rows
-from tillroll.session import at_most
 from tillroll.sources.files import hadoop_path
 
 
@@ -27,7 +26,7 @@ class OutputError(ValueError):
 def ensure_new(spark: SparkSession, path: str) -> None:
     jpath, fs = hadoop_path(spark, path)
     if fs.exists(jpath):
-        raise OutputError(f"Output already exists: {path}")
+        raise OutputError(f"{path} is there already")
 
 
 def ensure_apart(spark: SparkSession, output: str, *inputs: str) -> None:
@@ -41,7 +40,7 @@ def ensure_apart(spark: SparkSession, output: str, *inputs: str) -> None:
     for path in inputs:
         other = qualified(path)
         if target.startswith(other) or other.startswith(target):
-            raise OutputError(f"Input and output overlap: {path}")
+            raise OutputError(f"The output lies in {path}, or that in the output")
 
 
 def staging_path(path: str) -> str:
@@ -53,7 +52,7 @@ def publish(spark: SparkSession, staged: str, target: str) -> None:
     source, fs = hadoop_path(spark, staged)
     destination, _ = hadoop_path(spark, target)
     if fs.exists(destination) or not fs.rename(source, destination):
-        raise OutputError(f"Cannot publish: {target}")
+        raise OutputError(f"{target} cannot take the finished output")
 
 
 def discard(spark: SparkSession, staged: str) -> None:
@@ -86,12 +85,8 @@ def write_result(states: DataFrame, path: str) -> None:
 
 
 def export_lines(rows: DataFrame) -> DataFrame:
-    """``position, value``: the CSV records of a result in key order, the header first.
-
-    A result has at most 100,000 groups; a larger one fails before it is brought to one task.
-    """
-    bounded = at_most(rows, MAX_GROUPS, "group_key", f"Output cardinality exceeds {MAX_GROUPS}")
-    body = bounded.select(
+    """``position, value``: the CSV records of a result; in the order of ``position`` the header is first."""
+    body = rows.select(
         F.expr(utf16_order("group_key")).alias("position"),
         F.concat_ws(
             ",",
@@ -108,15 +103,19 @@ def export_lines(rows: DataFrame) -> DataFrame:
     return header.unionByName(body)
 
 
-def export_csv(rows: DataFrame, path: str) -> None:
-    """One RFC 4180 file with a header and CRLF line ends."""
+def export_csv(rows: DataFrame, path: str, single: bool = False) -> None:
+    """RFC 4180 records with CRLF line ends, sorted over the part files of a folder; the first has the header.
+
+    ``single`` asks for one file instead, which one task writes.
+    """
     spark = rows.sparkSession
     ensure_new(spark, path)
     staged = staging_path(path)
     try:
-        ordered = export_lines(rows).repartition(1).sortWithinPartitions("position").select("value")
-        ordered.write.mode("errorifexists").text(staged, lineSep="\r\n")
-        publish(spark, _parts(spark, staged)[0], path)
+        lines = export_lines(rows)
+        ordered = lines.repartition(1).sortWithinPartitions("position") if single else lines.orderBy("position")
+        ordered.select("value").write.mode("errorifexists").text(staged, lineSep="\r\n")
+        publish(spark, _parts(spark, staged)[0] if single else staged, path)
     finally:
         discard(spark, staged)
 
@@ -127,12 +126,25 @@ def _parts(spark: SparkSession, directory: str) -> list[str]:
     return sorted(p.toString() for p in paths if p.getName().startswith("part-"))
 
 
+def _filled(spark: SparkSession, directory: str) -> list[str]:
+    """The part files that hold something; Spark writes one without rows for the first task."""
+    jpath, fs = hadoop_path(spark, directory)
+    found = [s for s in fs.listStatus(jpath) if s.getPath().getName().startswith("part-")]
+    for status in found:
+        if status.getLen() == 0:
+            fs.delete(status.getPath(), False)
+    return sorted(s.getPath().toString() for s in found if s.getLen() > 0)
+
+
 def _header_first() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     header = HEADER_LINE
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield pa.RecordBatch.from_arrays([pa.array([header.encode()], pa.binary())], names=["value"])
+        begun = False
         for batch in batches:
+            if batch.num_rows and not begun:
+                yield pa.RecordBatch.from_arrays([pa.array([header.encode()], pa.binary())], names=["value"])
+                begun = True
             yield pa.RecordBatch.from_arrays([batch.column("value")], names=["value"])
 
     return lines
@@ -141,7 +153,8 @@ def _header_first() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBa
 def write_sample(lines: DataFrame, directory: str) -> None:
     """Kept lines, verbatim, as ``.csv`` files that each start with a header.
 
-    One file per scanned partition: a sample of a large input is itself large and stays spread out.
+    One file per scanned partition that has kept lines: a sample of a large input is itself large and
+    stays spread out. A sample without lines is one file with a header.
     """
     spark = lines.sparkSession
     ensure_new(spark, directory)
@@ -149,7 +162,12 @@ def write_sample(lines: DataFrame, directory: str) -> None:
     try:
         headed = lines.select(F.col("value").cast("binary")).mapInArrow(_header_first(), "value binary")
         headed.select(F.col("value").cast("string")).write.mode("errorifexists").text(staged)
-        for part in _parts(spark, staged):
+        parts = _filled(spark, staged)
+        if not parts:
+            empty = spark.range(1).select(F.lit(HEADER_LINE).alias("value")).coalesce(1)
+            empty.write.mode("overwrite").text(staged)
+            parts = _filled(spark, staged)
+        for part in parts:
             source, fs = hadoop_path(spark, part)
             fs.rename(source, hadoop_path(spark, part.removesuffix(".txt") + ".csv")[0])
         publish(spark, staged, directory)

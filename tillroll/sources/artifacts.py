@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.model import MAX_ARTIFACT_BYTES, POLICY_HASH, SCHEMA_VERSION
+from tillroll.model import POLICY_HASH, SCHEMA_VERSION
 from tillroll.session import fail_if
 from tillroll.sources.files import InputError, hadoop_path
 
@@ -19,15 +19,17 @@ _DICTIONARY = (
 )
 
 
-def read_artifact(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """One JSON object per file, at most 32 MiB in any file."""
+def read_artifact(
+    spark: SparkSession, path: str, schema: str | None = None, max_bytes: int | None = None
+) -> DataFrame:
+    """One JSON object per file; with ``max_bytes`` set, no file may be larger."""
     jpath, fs = hadoop_path(spark, path)
     if not fs.exists(jpath):
-        raise InputError(f"No such artifact: {path}")
+        raise InputError(f"There is no artifact at {path}")
     status = fs.getFileStatus(jpath)
     statuses = [status] if status.isFile() else [s for s in fs.listStatus(jpath) if s.isFile()]
-    if any(s.getLen() > MAX_ARTIFACT_BYTES for s in statuses):
-        raise InputError(f"Artifact exceeds 32 MiB: {path}")
+    if max_bytes is not None and any(s.getLen() > max_bytes for s in statuses):
+        raise InputError(f"A file of {path} has more than {max_bytes} bytes")
     reader = spark.read.schema(schema) if schema else spark.read
     return reader.json(path, multiLine=True)
 

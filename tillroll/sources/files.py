@@ -12,8 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# A broadcast split table stays below this many rows (about 60 MB with its file names).
-_BROADCAST_SPLITS = 200_000
+# A broadcast split table stays below this many rows of four numbers (about 150 MB).
+_BROADCAST_SPLITS = 2_000_000
 
 
 class InputError(ValueError):
@@ -51,7 +51,7 @@ def list_csv(spark: SparkSession, location: str) -> list[InputFile]:
         children = (s for s in fs.listStatus(jpath) if s.isFile())
         found = [_input_file(spark, fs, s) for s in children if s.getPath().getName().endswith(".csv")]
     if not found:
-        raise InputError(f"No .csv files: {location}")
+        raise InputError(f"{location} has no file that ends in .csv")
     return check_inputs(sorted(found, key=lambda f: f.spark_path))
 
 
@@ -69,11 +69,11 @@ def files_at(spark: SparkSession, uris: Sequence[str]) -> list[InputFile]:
 
 def check_inputs(files: Sequence[InputFile]) -> list[InputFile]:
     if not files:
-        raise InputError("No input files")
+        raise InputError("There is nothing to read")
     if len({f.uri for f in files}) < len(files):
-        raise InputError("Duplicate input")
+        raise InputError("A file is named twice")
     if not all(f.uri.endswith(".csv") for f in files):
-        raise InputError("Input must be uncompressed .csv")
+        raise InputError("Event files end in .csv and are not compressed")
     return list(files)
 
 
@@ -128,8 +128,11 @@ def _split_bytes(spark: SparkSession, files: Sequence[InputFile]) -> int:
     """A lower bound of the split size Spark picks for these files."""
     setting = spark.conf.get("spark.sql.files.maxPartitionBytes").lower()
     largest = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(setting))
-    per_task = sum(f.bytes for f in files) // max(1, spark.sparkContext.defaultParallelism)
-    return max(1, min(largest, max(per_task, 4 << 20)))
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    open_cost = int(size(spark.conf.get("spark.sql.files.openCostInBytes").lower()))
+    wanted = spark.conf.get("spark.sql.files.minPartitionNum", None) or spark.sparkContext.defaultParallelism
+    per_task = sum(f.bytes + open_cost for f in files) // max(1, int(wanted))
+    return max(1, min(largest, max(per_task, open_cost)))
 
 
 def scan_lines(spark: SparkSession, files: Sequence[InputFile]) -> DataFrame:
@@ -137,7 +140,8 @@ def scan_lines(spark: SparkSession, files: Sequence[InputFile]) -> DataFrame:
 
     A line's offset is the bytes in earlier splits of its file plus the bytes before it in its own
     split. The first part is one small aggregate (a row per split); the second runs inside the
-    scanning task. The lines themselves are never shuffled or sorted.
+    scanning task. The lines meet the small table in a broadcast join, unless there are more than two
+    million splits (256 TB in splits of 128 MiB); files are told apart by a 64-bit hash there.
     """
     lines = scan_splits(spark, files)
     per_split = lines.groupBy("uri", "split_start").agg(
@@ -148,7 +152,7 @@ def scan_lines(spark: SparkSession, files: Sequence[InputFile]) -> DataFrame:
     earlier = whole.orderBy("split_start").rowsBetween(Window.unboundedPreceding, -1)
     # The reader swallows a byte order mark at the start of a file; the file size gives it away.
     bases = per_split.select(
-        "uri",
+        F.xxhash64("uri").alias("file"),
         "split_start",
         F.coalesce(F.sum("split_bytes").over(earlier), F.lit(0)).alias("base"),
         F.when(F.col("file_size") - F.sum("split_bytes").over(whole) >= 2, 3).otherwise(0).alias("mark"),
@@ -160,7 +164,7 @@ def scan_lines(spark: SparkSession, files: Sequence[InputFile]) -> DataFrame:
         _position_counter(), "value binary, uri string, split_start bigint, within bigint"
     )
     position = F.col("base") + F.col("within")
-    return placed.join(bases, ["uri", "split_start"]).select(
+    return placed.withColumn("file", F.xxhash64("uri")).join(bases, ["file", "split_start"]).select(
         "uri",
         F.when(position > 0, position + F.col("mark")).otherwise(position).alias("offset"),
         F.col("value").cast("string").alias("value"),

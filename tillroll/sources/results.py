@@ -18,7 +18,7 @@ def read_result_lines(spark: SparkSession, directory: str) -> DataFrame:
     jpath, fs = hadoop_path(spark, directory)
     parts = fs.exists(jpath) and [s for s in fs.listStatus(jpath) if s.getPath().getName().startswith("part-")]
     if not parts:
-        raise InputError(f"Missing output parts: {directory}")
+        raise InputError(f"{directory} holds no part of a result")
     return spark.read.text(directory, pathGlobFilter="part-*")
 
 

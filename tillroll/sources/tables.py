@@ -13,8 +13,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def amount_text(amount: str) -> str:
-    """A number that holds whole cents, as two-decimal text."""
-    return f"CAST(CAST({amount} AS DECIMAL(18,2)) AS STRING)"
+    """A number of whole cents as two-decimal text; one with a fraction of a cent fails the job."""
+    cents = f"CAST({amount} AS DECIMAL(18,2))"
+    fraction = f"abs({amount} - CAST({cents} AS DOUBLE)) > 0.000001"
+    return f"if({fraction}, raise_error('An amount has a fraction of a cent'), CAST({cents} AS STRING))"
 
 
 def events_as_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
