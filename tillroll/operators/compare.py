@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.operators.profile import result_totals
@@ -27,7 +27,7 @@ def result_violations(parsed: DataFrame) -> DataFrame:
     return broken.where(F.col("n") > 0).unionByName(repeated.where(F.col("n") > 1))
 
 
-def validate_result(parsed: DataFrame, expected_count: int, max_keys: int | None = None) -> DataFrame:
+def validate_result(parsed: DataFrame, expected_count: int | Column, max_keys: int | None = None) -> DataFrame:
     """One row: totals, the broken rules, and ``valid`` when the result may be published.
 
     ``too_many_groups`` tells a result beyond ``max_keys``, for callers that have such a limit, from

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,12 +11,13 @@ from pyspark.sql import functions as F
 from tillroll.functions.csvline import parse_event_lines
 from tillroll.functions.keys import sample_bucket
 from tillroll.functions.money import average_minor, format_minor, with_minor
-from tillroll.model import EVENT_COLUMNS, GroupMode
+from tillroll.model import EVENT_COLUMNS, HEADER_LINE, GroupMode
 from tillroll.operators import aggregate as agg
 from tillroll.operators import compare, manifest, preflight, profile, sample, summary
 from tillroll.operators import dictionary as dic
 from tillroll.operators.prepare import PREPARED_COLUMNS, prepare, purchases_only
-from tillroll.session import fail_if, materialize, new_shared_path
+from tillroll.plans import runs
+from tillroll.session import fail_if, materialize, new_shared_path, row_count
 from tillroll.sinks import writers
 from tillroll.sources import tables
 from tillroll.sources.files import list_csv, scan_lines
@@ -304,6 +306,19 @@ def result_violations(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def validated_result(spark: SparkSession, sf: str) -> DataFrame:
+    """The orders result as lines, held against the number of orders."""
+    parsed = parse_result_lines(writers.result_lines(_order_result(spark, sf)))
+    return compare.validate_result(parsed, row_count(tables.read_table(spark, sf, "orders")))
+
+
+def rejected_result(spark: SparkSession, sf: str) -> DataFrame:
+    """The damaged orders result held against the number of orders."""
+    parsed = parse_result_lines(_damaged_result_lines(spark, sf))
+    checked = compare.validate_result(parsed, row_count(tables.read_table(spark, sf, "orders")), max_keys=10)
+    return checked.select("too_many_groups", "valid")
+
+
 def duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
     """Orders placed twice by a customer with the same priority and status."""
     return compare.duplicate_keys(tables.orders_as_events(spark, sf), "category_id", "category_code")
@@ -411,6 +426,15 @@ def preflight_first_errors(spark: SparkSession, sf: str) -> DataFrame:
     return preflight.first_errors(preflight.line_violations(tables.event_lines(spark, sf), CODE))
 
 
+def damaged_line_rules(spark: SparkSession, sf: str) -> DataFrame:
+    found = preflight.line_violations(tables.damaged_lines(spark, sf), CODE)
+    return found.groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
+
+
+def damaged_first_errors(spark: SparkSession, sf: str) -> DataFrame:
+    return preflight.first_errors(preflight.line_violations(tables.damaged_lines(spark, sf), CODE))
+
+
 def reconciliation(spark: SparkSession, sf: str) -> DataFrame:
     tallied = profile.tally(prepare(parse_event_lines(tables.event_lines(spark, sf)), CODE))
     return compare.reconciliation(tallied, preflight_file_statistics(spark, sf), _states(spark, sf, CODE))
@@ -449,6 +473,53 @@ def csv_file_offsets(spark: SparkSession, sf: str) -> DataFrame:
     return rows.agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.sum(F.abs("gap")).alias("gaps"))
 
 
+def _written_events(spark: SparkSession, sf: str, broken: bool) -> list:
+    """The dirty events as CSV files, with or without their malformed lines."""
+    lines = tables.event_lines(spark, sf)
+    path = new_shared_path(spark, "events")
+    writers.write_sample(lines if broken else lines.where("offset % 503 <> 0 OR offset % 499 = 0"), path)
+    return list_csv(spark, path)
+
+
+def stored_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """A manifest of event files written, read back, and its files found and digested anew."""
+    files = _written_events(spark, sf, broken=True)
+    path = new_shared_path(spark, "manifest") + ".json"
+    writers.write_artifact(runs.manifest_entries(manifest.file_manifest(spark, files)), path)
+    named, entries = runs.files_of_manifest(spark, path)
+    drifted = row_count(manifest.input_drift(entries, manifest.file_manifest(spark, named)))
+    lines = F.sum("bytes") - F.count(F.lit(1)) * (len(HEADER_LINE) + 1)
+    return entries.agg(lines.alias("bytes"), F.count_if(~F.col("uri").endswith(".csv")).alias("strays")).withColumn(
+        "drifted", drifted
+    )
+
+
+def run_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Checked runs over event files by three routes and one that fails on malformed lines, by their records."""
+    files, out = _written_events(spark, sf, broken=False), new_shared_path(spark, "runs")
+    profiled = runs.run_profile(spark, files, ID)
+    runs.write_profile(profiled, f"{out}/profile")
+    paths = []
+    for variant in ("v2", "v4", "v5"):
+        runs.run_aggregate(spark, files, f"{out}/{variant}", ID, variant, profiled.dictionary)
+        paths.append(f"{out}/{variant}/_run-manifest.json")
+    paths.append(f"{out}/failed.json")
+    with contextlib.suppress(runs.RunFailed):
+        runs.run_aggregate(spark, _written_events(spark, sf, broken=True), f"{out}/v1", ID, "v1", failed_record=paths[-1])
+    records = runs.read_records(spark, paths, runs.read_profiles(spark, [f"{out}/profile"]))
+    return records.select(
+        "variant",
+        "effective_variant",
+        "success",
+        "purchases",
+        "malformed",
+        "groups",
+        "total_sum_minor",
+        F.col("error").isNotNull().alias("has_error"),
+        (F.col("profile_ms") > 0).alias("profiled"),
+    )
+
+
 # Workloads and run records
 
 
@@ -532,6 +603,8 @@ QUERIES: dict[str, Query] = {
         hash_sample,
         hash_sample_type_shares,
         result_violations,
+        validated_result,
+        rejected_result,
         duplicate_keys,
         result_diff,
         slice_manifest,
@@ -546,10 +619,14 @@ QUERIES: dict[str, Query] = {
         preflight_rule_counts,
         preflight_totals,
         preflight_first_errors,
+        damaged_line_rules,
+        damaged_first_errors,
         reconciliation,
         result_roundtrip,
         export_sorted,
         csv_file_offsets,
+        stored_manifest,
+        run_records,
         synthetic_skew,
         synthetic_uniform,
         synthetic_cardinality,

@@ -190,6 +190,14 @@ rules AS (
   UNION ALL SELECT uri, 'no_header', 1 FROM statistics WHERE NOT has_header)"""
 
 
+DAMAGED_LINES = f"""{RAW},
+damaged AS (
+  SELECT 'events/day=' || day AS uri, event_id + 1 AS "offset",
+         CASE WHEN event_id % 211 = 0 THEN 'line_too_long' WHEN event_id % 223 = 0 THEN 'invalid_utf8'
+              WHEN event_id % 227 = 0 THEN 'malformed_line' WHEN event_id % 229 = 0 THEN 'group_field_too_long' END AS rule
+  FROM clean)"""
+
+
 def bucket(uri: str, seed: int, offset: str, buckets: int) -> str:
     head = (
         f"('0x' || substr(sha256(encode('{uri}') || unhex('00') || unhex(printf('%016x', {seed})) || "
@@ -319,6 +327,12 @@ UNION ALL SELECT 'packed', COUNT(*) FROM (SELECT DISTINCT day, bucket FROM entri
     "hash_sample_type_shares": f"WITH {SAMPLED} SELECT event_type, COUNT(*) AS n FROM sampled GROUP BY event_type",
     "result_violations": f"""WITH {DAMAGED_RESULT}
 SELECT violation, COUNT(*) AS groups, CAST(SUM(n) AS BIGINT) AS lines FROM found GROUP BY violation""",
+    "validated_result": f"""WITH {ORDER_STATES}
+SELECT COUNT(*) AS group_count, CAST(SUM(purchase_count) AS BIGINT) AS total_count,
+       CAST(SUM(sum_minor) AS BIGINT) AS total_sum_minor, CAST(0 AS BIGINT) AS violations, FALSE AS too_many_groups,
+       SUM(purchase_count) = (SELECT COUNT(*) FROM orders) AS valid
+FROM order_states""",
+    "rejected_result": "SELECT COUNT(DISTINCT o_custkey) > 10 AS too_many_groups, FALSE AS valid FROM orders",
     "duplicate_keys": """SELECT CAST(o_custkey AS VARCHAR) AS category_id, o_orderpriority || '.' || o_orderstatus AS category_code,
        COUNT(*) AS n FROM orders GROUP BY 1, 2 HAVING COUNT(*) > 1""",
     "result_diff": f"""WITH {judged("code")},
@@ -380,6 +394,9 @@ FROM statistics""",
     "preflight_first_errors": f"""WITH {DIRTY}
 SELECT 'events/day=' || day AS uri, event_id AS "offset", 'malformed_line' AS rule
 FROM dirty WHERE kind = 'MALFORMED' ORDER BY uri, "offset" LIMIT 20""",
+    "damaged_line_rules": f"WITH {DAMAGED_LINES} SELECT rule, COUNT(*) AS n FROM damaged WHERE rule IS NOT NULL GROUP BY rule",
+    "damaged_first_errors": f"""WITH {DAMAGED_LINES}
+SELECT uri, "offset", rule FROM damaged WHERE rule IS NOT NULL ORDER BY uri, "offset" LIMIT 20""",
     "reconciliation": f"""WITH {judged("code")}, n AS (SELECT COUNT(*) AS n FROM valid)
 SELECT n AS counted, n AS preflighted, n AS in_result, TRUE AS reconciled FROM n""",
     "result_roundtrip": f"""WITH {ORDER_STATES}
@@ -393,6 +410,17 @@ FROM result""",
     "csv_file_offsets": f"""WITH {LINES}
 SELECT kind, COUNT(*) AS n, CAST(SUM(strlen(value) + 1) AS BIGINT) AS bytes, CAST(0 AS BIGINT) AS gaps
 FROM lines WHERE kind <> 'HEADER' GROUP BY kind""",
+    "stored_manifest": f"""WITH {LINES}
+SELECT CAST(SUM(strlen(value) + 1) AS BIGINT) AS bytes, CAST(0 AS BIGINT) AS strays, CAST(0 AS BIGINT) AS drifted FROM lines""",
+    "run_records": f"""WITH {judged("id")},
+counted AS (SELECT COUNT(*) AS purchases, COUNT(DISTINCT group_key) AS groups, CAST(SUM(minor) AS BIGINT) AS total_sum_minor FROM valid),
+broken AS (SELECT COUNT(*) AS malformed FROM judged WHERE reason = 'MALFORMED_CSV'),
+routes AS (SELECT * FROM (VALUES ('v2', 'partial'), ('v4', 'dictionary'), ('v5', 'packed')) AS t(variant, effective_variant))
+SELECT variant, effective_variant, TRUE AS success, purchases, CAST(NULL AS BIGINT) AS malformed, groups, total_sum_minor,
+       FALSE AS has_error, effective_variant <> 'partial' AS profiled
+FROM routes, counted
+UNION ALL
+SELECT 'v1', 'partial', FALSE, purchases, malformed, NULL, NULL, TRUE, FALSE FROM counted, broken""",
     "synthetic_skew": rollup(
         synthetic(f"CASE WHEN {draw('skew')} < 0.9 THEN 0 ELSE floor({draw('group')} * 32) END", 0.5),
         "drawn",

@@ -104,6 +104,13 @@ def run_preflight(
     )
 
 
+def manifest_entries(digests: DataFrame) -> DataFrame:
+    """Digests as a manifest is stored: an object for each file."""
+    return digests.select(
+        F.lit(M.SCHEMA_VERSION).alias("schemaVersion"), F.lit(M.POLICY_HASH).alias("policyHash"), "uri", "bytes", "sha256"
+    )
+
+
 def write_preflight(checked: Preflight, manifest_path: str, report_path: str) -> None:
     """Publish the manifest and the report of a valid preflight."""
     if not checked.valid:
@@ -111,10 +118,7 @@ def write_preflight(checked: Preflight, manifest_path: str, report_path: str) ->
     spark = checked.manifest.sparkSession
     writers.ensure_new(spark, manifest_path)
     writers.ensure_new(spark, report_path)
-    entries = checked.manifest.select(
-        F.lit(M.SCHEMA_VERSION).alias("schemaVersion"), F.lit(M.POLICY_HASH).alias("policyHash"), "uri", "bytes", "sha256"
-    )
-    writers.write_artifact(entries, manifest_path)
+    writers.write_artifact(manifest_entries(checked.manifest), manifest_path)
     report = spark.range(1).select(
         F.lit(M.SCHEMA_VERSION).alias("schemaVersion"),
         F.lit(checked.fingerprint).alias("inputFingerprint"),
@@ -344,6 +348,11 @@ def read_records(spark: SparkSession, paths: Sequence[str], profiles: DataFrame
         F.col("endToEndMillis").alias("end_to_end_ms"),
         F.when(needs, F.col("profiled")).otherwise(F.lit(0)).alias("profile_ms"),
         *(F.lit(None).cast("bigint").alias(c) for c in ("shuffle_bytes", "map_records", "reduce_records")),
+        "groups",
+        F.col("totalSumMinor").alias("total_sum_minor"),
+        F.element_at("counters", F.lit(M.VALID_PURCHASE)).alias("purchases"),
+        F.element_at("counters", F.lit(M.MALFORMED_CSV)).alias("malformed"),
+        "error",
     )
 
 

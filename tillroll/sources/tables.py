@@ -87,6 +87,26 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``uri, offset, value``: the clean events as CSV lines with one of every fault a line can have.
+
+    Some lines are too long, hold a byte that is no UTF-8, open a quote without closing it or have a
+    code that is too long; others start with a byte order mark, which is no fault.
+    """
+    cells = {
+        "brand": "CASE WHEN event_id % 211 = 0 THEN repeat('x', 70000) WHEN event_id % 227 = 0 THEN '\"open' ELSE brand END",
+        "category_code": "if(event_id % 229 = 0, repeat('c', 300), category_code)",
+        "price": "price_text",
+    }
+    line = f"concat_ws(',', {', '.join(cells.get(c, c) for c in EVENT_COLUMNS)})"
+    return events_as_raw(spark, sf_dir).selectExpr(
+        "concat('events/day=', day) AS uri",
+        "event_id + 1 AS offset",
+        f"""CASE WHEN event_id % 223 = 0 AND event_id % 211 <> 0 THEN CAST(concat(CAST({line} AS BINARY), X'FF') AS STRING)
+        WHEN event_id % 233 = 0 THEN concat('\ufeff', {line}) ELSE {line} END AS value""",
+    )
+
+
 def lineitem_as_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order line as a purchase of its part at its extended price."""
     return read_table(spark, sf_dir, "lineitem").selectExpr(
