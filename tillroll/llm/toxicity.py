@@ -183,7 +183,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, seed: int =
     known = F.broadcast(known.orderBy(F.xxhash64("id"), "id").limit(max_rows))
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.join(known, "id").withColumn("part", F.pmod(F.xxhash64("text"), F.lit(10)))
-    rows = stored(rows.dropDuplicates(["text"]).select("id", "text", "toxic", "part"), "labelled")
+    first = rows.groupBy("text").agg(F.min(F.struct("id", "toxic", "part")).alias("first"))
+    rows = stored(first.select("first.*", "text"), "labelled")
     counts = {(r.part, r.toxic): r.n for r in rows.groupBy("part", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     splits = [range(0, 5), range(5, 8), range(8, 10)]
     if any(sum(counts.get((p, c), 0) for p in split) < 5 for split in splits for c in (0, 1)):
