@@ -43,7 +43,9 @@ def corpus():
 def test_fingerprints_equal_brute_force(docs, monkeypatch, crowd):
     monkeypatch.setattr(spotsigs, "_CROWD", crowd)
     texts = corpus()
-    rows = {r.doc_id: r for r in spotsigs.fingerprints(clashing(docs([(3 * i, t) for i, t in enumerate(texts)]))).collect()}
+    frame = clashing(docs([(3 * i, t) for i, t in enumerate(texts)]))
+    rows = {r.doc_id: r for r in spotsigs.fingerprints(frame).collect()}
+    found = {r.doc_id: r for r in spotsigs.classes(frame).collect()}
     texts = [t or "" for t in texts]
     sets = [plain_signatures(t) for t in texts]
     parent = list(range(len(texts)))
@@ -64,28 +66,33 @@ def test_fingerprints_equal_brute_force(docs, monkeypatch, crowd):
             if jaccard(sets[i], sets[j]) >= 0.8:
                 a, b = sorted((top(i), top(j)))
                 parent[b] = a
-    assert [rows[3 * i].class_id for i in range(len(texts))] == [3 * top(i) for i in range(len(texts))]
+    assert all(found[i].fingerprint == rows[i].fingerprint for i in rows)
+    assert [found[3 * i].class_id for i in range(len(texts))] == [3 * top(i) for i in range(len(texts))]
 
 
-def test_order_over_many_ranges(spark):
+@pytest.mark.parametrize("rows_per_range, most", [(37, 4096), (1, 5), (10**6, 4096)])
+def test_order_over_many_ranges(docs, rows_per_range, most):
     rnd = random.Random(13)
-    keys = {(rnd.choice([-5, 0, 7, rnd.randint(-(10**12), 10**12)]), rnd.randint(0, 10**9)) for _ in range(400)}
-    df = spark.createDataFrame(sorted(keys, key=lambda k: hash(k)), "id long, digest long")
-    got = {(r.id, r.digest): (r.next_id, r.next_digest) for r in spotsigs.successors(df, rows_per_task=37).collect()}
-    order = sorted(keys)
-    assert got == dict(zip(order, order[1:] + order[:1]))
+    ids = {rnd.choice([-5, 0, 7, rnd.randint(-(10**12), 10**12)]) for _ in range(400)}
+    rows = [(i, f"text {i}") for i in ids] + [(7, "text 7"), (0, "text 0")]
+    frame = spotsigs.with_next_text(docs(rows), rows_per_range, most)
+    order = sorted(ids)
+    expected = dict(zip(order, order[1:] + order[:1]))
+    got = [(r.id, r.next_text) for r in frame.collect()]
+    assert sorted(got) == sorted((i, f"text {expected[i]}") for i, _ in rows)
 
 
 def test_repeated_rows_nulls_and_empty_table(docs):
     rows = [(1, "the house of cards"), (1, "the house of cards"), (2, "the house of cards"), (None, "x the y")]
-    got = sorted((str(r.doc_id), r.near_next, r.class_id) for r in spotsigs.fingerprints(docs(rows)).collect() if r.doc_id)
-    assert got == [("1", 1.0, 1), ("1", 1.0, 1), ("2", 0.0, 1)]
-    assert spotsigs.fingerprints(docs(rows)).count() == 4
-    assert spotsigs.fingerprints(docs([])).count() == 0
+    got = sorted((str(r.doc_id), r.near_next) for r in spotsigs.fingerprints(docs(rows)).collect())
+    assert got == [("1", 1.0), ("1", 1.0), ("2", 0.0), ("None", 0.0)]
+    assert sorted(f"{r.doc_id} {r.class_id}" for r in spotsigs.classes(docs(rows)).collect()) == ["1 1", "1 1", "2 1", "None None"]
+    assert spotsigs.fingerprints(docs([])).count() == 0 and spotsigs.classes(docs([])).count() == 0
     only = spotsigs.fingerprints(docs([(9, "abcd")])).first()
     assert (only.near_next, only.edited_sha256) == (1.0, hashlib.sha256(b"abab").hexdigest())
 
 
 def test_no_python_in_the_plan(docs):
     plan = spotsigs.fingerprints(docs(["the a b"] * 3))._jdf.queryExecution().toString()
+    plan += spotsigs.classes(docs(["the a b"] * 3))._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))

@@ -7,7 +7,9 @@ signatures of each set (the prefix) and an exact Jaccard similarity.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import components, parts_of, stored
@@ -61,44 +63,50 @@ def likeness(a: str, b: str) -> Column:
     return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(same / (F.size(a) + F.size(b) - same))
 
 
+#: Stands for a null ``doc_id`` in keys; as the smallest long it comes first, as nulls do.
+_NULL_ID = -(1 << 63)
+
+
 def _texts(docs: DataFrame) -> DataFrame:
-    """``doc_id, id, digest, text``: ``id`` and ``digest`` are a document's key. Rows equal in both are one document."""
+    """``id, digest, text``: ``id`` and ``digest`` are a document's key. Rows equal in both are one document."""
     rows = docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "coalesce(CAST(text AS STRING), '') AS text")
-    return rows.selectExpr("doc_id", "coalesce(doc_id, -9223372036854775808) AS id", "xxhash64(text) AS digest", "text")
+    return rows.select(F.coalesce("doc_id", F.lit(_NULL_ID)).alias("id"), F.xxhash64("text").alias("digest"), "text")
 
 
-def successors(rows: DataFrame, rows_per_task: int = 100_000) -> DataFrame:
-    """``id, digest, next_id, next_digest`` of the distinct keys: the next in ascending order, the first after the last.
-
-    Keys are dealt by range, each finds the next in its range, and the last of a range takes the first of the next range.
-    """
+def _ranges(rows: DataFrame, rows_per_range: int, most: int) -> list[tuple[int, int]]:
+    """The smallest key of each of at most about ``most`` ranges of keys, in order."""
     keys = stored(rows.select("id", "digest").distinct(), "keys")
-    parts = parts_of(keys.count(), rows_per_task)
+    parts = min(parts_of(keys.count(), rows_per_range), most)
     ranged = keys.repartitionByRange(parts, "id", "digest").withColumn("part", F.spark_partition_id())
-    ranged = stored(ranged, "ranges")
-    # a row for each range
     heads = ranged.groupBy("part").agg(F.min(F.struct("id", "digest")).alias("head"))
-    after = heads.selectExpr(
-        "part", "coalesce(lead(head) OVER (ORDER BY part), first(head) OVER (ORDER BY part)) AS following"
-    )
-    inside = ranged.selectExpr(
-        "id", "digest", "part", "lead(struct(id, digest)) OVER (PARTITION BY part ORDER BY id, digest) AS next"
-    )
-    return inside.join(after, "part").selectExpr(
-        "id", "digest", "coalesce(next, following).id AS next_id", "coalesce(next, following).digest AS next_digest"
-    )
+    return sorted(tuple(r.head) for r in heads.collect())  # a row for each range
+
 
+def with_next_text(docs: DataFrame, rows_per_range: int = 2_000, most_ranges: int = 4_096) -> DataFrame:
+    """``id, digest, text, next_text`` of every row; the next document is that of the next key in ascending order, the
+    first after the last.
 
-def with_next_text(docs: DataFrame) -> DataFrame:
-    """``doc_id, id, digest, text, next_text`` of every row, the next document being that of ``successors``."""
+    Texts move once, to the range of their key. The first document of a range goes to the end of the range before as
+    well (that of the first to the end of the last), so each range can tell what follows its documents.
+    """
     rows = _texts(docs)
-    order = stored(successors(rows), "successors")
-    before = order.selectExpr("next_id AS id", "next_digest AS digest", "id AS before_id", "digest AS before_digest")
-    given = rows.select("id", "digest", "text").join(before, ["id", "digest"])
-    given = given.groupBy(F.col("before_id").alias("id"), F.col("before_digest").alias("digest")).agg(
-        F.first("text").alias("next_text")
-    )
-    return rows.join(given, ["id", "digest"])
+    heads = _ranges(rows, rows_per_range, most_ranges)
+    if not heads:
+        return rows.withColumn("next_text", F.col("text"))
+    table = [{"id": i, "digest": d} for i, d in heads]
+    literal = F.from_json(F.lit(json.dumps(table)), "array<struct<id:bigint,digest:bigint>>")
+    key = F.struct("id", "digest")
+    part = F.size(F.filter(literal, lambda h: h <= key)) - 1
+    rows = rows.withColumn("own", part)
+    first = F.get(literal, F.col("own")) == key
+    before = F.pmod(F.col("own") - 1, F.lit(len(heads)))
+    places = F.array(F.struct(F.col("own").alias("part"), F.lit(False).alias("copy")))
+    copies = F.array(F.struct(before.alias("part"), F.lit(True).alias("copy")))
+    rows = rows.withColumn("place", F.explode(F.when(first, F.concat(places, copies)).otherwise(places)))
+    rows = rows.select("id", "digest", "text", "place.part", "place.copy")
+    ranked = rows.withColumn("number", F.dense_rank().over(Window.partitionBy("part").orderBy("copy", "id", "digest")))
+    following = Window.partitionBy("part").orderBy("number").rangeBetween(1, 1)
+    return ranked.withColumn("next_text", F.first("text").over(following)).where("NOT copy").drop("part", "copy", "number")
 
 
 def _banded(sets: DataFrame, percent: int) -> DataFrame:
@@ -153,26 +161,22 @@ def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, percent: int)
     return both.where(f"same * {100 + percent} >= n * {percent}").select("u", "v")
 
 
-def fingerprints(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_signatures, class_id``.
+def fingerprints(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_signatures``.
 
     The edited text has its last ``floor(n_chars / 2)`` code points replaced by the first as many (or all) of the next
     document's text; documents follow one another by ``doc_id`` and text, the first after the last, so a single document
-    follows itself. A fingerprint is written as 32 hexadecimal digits of its set of signatures. Documents whose sets have
-    a Jaccard similarity of ``percent`` hundredths or more hang together in a class, named by its smallest ``doc_id``;
-    texts without a word have the empty set and are one class. Every row gives a row; equal rows are one document in the
-    order. Null texts count as empty, a null ``doc_id`` comes first. Other columns are ignored; no rows give none.
+    follows itself. A fingerprint is written as 32 hexadecimal digits of its set of signatures; ``near_edited`` and
+    ``near_next`` are Jaccard similarities of the sets. Every row gives a row; equal rows are one document in the order.
+    Null texts count as empty, a null ``doc_id`` comes first. Other columns are ignored; no rows give none.
     """
     rows = with_next_text(docs).selectExpr(
         "*", "length(text) AS n_chars", "concat(left(text, length(text) - length(text) div 2), left(next_text, length(text) div 2)) AS edited"
     )
     for text, out in (("text", "own"), ("edited", "changed"), ("next_text", "following")):
         rows = with_signatures(rows, text, out)
-    needed = f"CAST(({percent} * size(own) + 99) div 100 AS INT)"
-    rows = rows.select(
-        "doc_id",
-        "id",
-        "digest",
+    return rows.select(
+        F.nullif("id", F.lit(_NULL_ID)).alias("doc_id"),
         F.col("n_chars").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
         _written("own").alias("fingerprint"),
@@ -180,13 +184,30 @@ def fingerprints(docs: DataFrame, percent: int = 80) -> DataFrame:
         likeness("own", "changed").alias("near_edited"),
         likeness("own", "following").alias("near_next"),
         F.size("own").alias("n_signatures"),
+    )
+
+
+def classes(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """``doc_id, fingerprint, class_id`` of every row.
+
+    Documents whose sets of signatures have a Jaccard similarity of ``percent`` hundredths or more hang together in a
+    class, named by its smallest ``doc_id``; texts without a word have the empty set and are one class. Rows of null
+    ``doc_id`` name a class only if all in it are null. Other columns are ignored; no rows give none.
+    """
+    needed = f"CAST(({percent} * size(own) + 99) div 100 AS INT)"
+    rows = with_signatures(_texts(docs), "text", "own").select(
+        F.nullif("id", F.lit(_NULL_ID)).alias("doc_id"),
+        "id",
+        "digest",
+        _written("own").alias("fingerprint"),
+        F.size("own").alias("n"),
         F.xxhash64("own").alias("node"),
         F.expr(f"slice(own, 1, size(own) - {needed} + 1)").alias("prefix"),
     )
     rows = stored(rows, "fingerprints")
     sets = rows.groupBy("node").agg(
         F.min("doc_id").alias("first"),
-        F.first("n_signatures").alias("n"),
+        F.first("n").alias("n"),
         F.first("prefix").alias("prefix"),
         F.min(F.struct("id", "digest")).alias("key"),
     )
@@ -196,7 +217,7 @@ def fingerprints(docs: DataFrame, percent: int = 80) -> DataFrame:
     named = named.select("node", "first", F.coalesce("component", "node").alias("component"))
     smallest = named.groupBy("component").agg(F.min("first").alias("class_id"))
     named = named.join(smallest, "component").select("node", "class_id")
-    return rows.join(named, "node").drop("node", "prefix", "id", "digest")
+    return rows.join(named, "node").select("doc_id", "fingerprint", "class_id")
 
 
 def _written(signatures: str) -> Column:
