@@ -56,7 +56,7 @@ def test_odd_texts_have_scores(judged):
 def test_features():
     weights = {"idiot": 3.0, "vequ-": 2.0}
     names = toxicity.FEATURES
-    row = dict(zip(names, toxicity.features("You, 1diot! VEQUxx is here", toxicity.Lexicon(weights))))
+    row = dict(zip(names, toxicity.features("You, 1diot! VEQUXX is here", toxicity.Lexicon(weights))))
     assert row["hit_density"] == pytest.approx(2 / 5) and row["hit_most"] == 3.0
     assert row["second_person"] == pytest.approx(1 / 5) and row["hit_near_second_person"] == pytest.approx(2 / 5)
     assert row["capital_words"] == 1 / 5 and row["exclamations"] == 1 / 5
