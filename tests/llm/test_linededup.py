@@ -38,10 +38,10 @@ def corpus(seed, n=120):
     return rows + [(n, None), (None, rows[3][1])]
 
 
-@pytest.mark.parametrize("crowd", [200, 2])
+@pytest.mark.parametrize("picked", [1 << 18, 4])
 @pytest.mark.parametrize("percent", [80, 60])
-def test_equals_brute_force(docs, monkeypatch, crowd, percent):
-    monkeypatch.setattr(linededup, "_CROWD", crowd)
+def test_equals_brute_force(docs, monkeypatch, picked, percent):
+    monkeypatch.setattr(linededup, "_PICKED", picked)
     rows = corpus(percent)
     expected = plain(rows, percent)
     got = {r.doc_id: r for r in linededup.deduplicate(clashing(docs(rows)), percent).collect()}

@@ -24,6 +24,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a stored table that nothing reads any more."""
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def parts_of(amount: int, each: int) -> int:
     """How many parts of at most about ``each`` hold ``amount``; one at least."""
     return max(1, math.ceil(amount / each))

@@ -9,17 +9,15 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import stored
+from tillroll.llm.common import discard, stored
 
 #: Words are counted in this many buckets of their hash (a power of two), whatever the vocabulary: any order of words is
 #: correct, so a bucket's count will do for rarity, and the ranks are a table of this size.
 _BUCKET_BITS = 14
 _BUCKETS = 1 << _BUCKET_BITS
-#: Prefix words that more sets share are first compared with their earliest set alone.
-_CROWD = 200
 #: Buckets of documents by which those are picked that hold candidates; the list of buckets is broadcast.
 _PICKED = 1 << 18
 
@@ -30,21 +28,31 @@ def _texts(docs: DataFrame) -> DataFrame:
     return texts.selectExpr("doc_id", "xxhash64(text) & 4294967295 AS digest", "text")
 
 
-def _hashes(texts: DataFrame) -> DataFrame:
-    """``doc_id, place, h``: a row for each line that has words, with the hashes of its words, repeats included.
+def _words(texts: DataFrame) -> DataFrame:
+    """``doc_id, place, words``: a row for each line that has words, with its words, repeats included.
 
     Words are what stands between white space of ASCII, lower-cased. ``place`` is digest and line number in one.
     """
     lines = texts.selectExpr("doc_id", "digest", "posexplode(split(text, '\n')) AS (line, words)")
     trimmed = lines.selectExpr("doc_id", "digest << 31 | line AS place", "trim(BOTH ' \t\r\f\u000B' FROM lower(words)) AS words")
-    return trimmed.where("words <> ''").selectExpr(
-        "doc_id", "place", "transform(split(words, '[ \t\r\f\u000B]+'), w -> xxhash64(w)) AS h"
+    return trimmed.where("words <> ''").selectExpr("doc_id", "place", "split(words, '[ \t\r\f\u000B]+') AS words")
+
+
+def _hashed(lines: DataFrame) -> DataFrame:
+    """``doc_id, place, k1, k2, hashes``: the line's set of words by a key of 128 bits and by 32 bits of each word."""
+    distinct = F.sort_array(F.array_distinct(F.transform("words", lambda w: F.xxhash64(w))))
+    return lines.select("doc_id", "place", distinct.alias("h")).selectExpr(
+        "doc_id",
+        "place",
+        "xxhash64(h) AS k1",
+        "xxhash64(1, h) AS k2",
+        "transform(h, x -> CAST(x >> 32 AS INT)) AS hashes",
     )
 
 
-def _ranks(hashes: DataFrame) -> Column:
+def _ranks(hashed: DataFrame) -> Column:
     """An array literal: for each bucket the rank of its number of words, rare ones first."""
-    words = hashes.selectExpr("explode(h) AS h").selectExpr(f"h & {_BUCKETS - 1} AS bucket")
+    words = hashed.selectExpr("explode(hashes) AS h").selectExpr(f"h & {_BUCKETS - 1} AS bucket")
     counts = dict(words.groupBy("bucket").count().collect())  # at most _BUCKETS rows
     ranks = [0] * _BUCKETS
     for rank, bucket in enumerate(sorted(range(_BUCKETS), key=lambda b: (counts.get(b, 0), b))):
@@ -52,62 +60,109 @@ def _ranks(hashes: DataFrame) -> Column:
     return F.from_json(F.lit(json.dumps(ranks, separators=(",", ":"))), "array<bigint>")
 
 
-def _tokens(hashes: DataFrame, ranks: Column) -> DataFrame:
-    """``doc_id, place, tokens``: the distinct words of the line as longs, rare ones first. A hash's bucket is put as its
-    rank into the upper bits, so the longs tell words apart as 63 bits of the hashes do."""
+def _sets(hashed: DataFrame, ranks: Column, percent: int) -> DataFrame:
+    """``doc_id, place, n, parity, prefix`` of each different set, at its first line.
+
+    ``parity`` has a bit for whether an odd number of words falls on it; ``prefix`` has the hashes of the rarest words,
+    as many as two similar sets cannot both do without.
+    """
     ranked = F.transform(
-        "h",
-        lambda h: F.shiftleft(F.get(ranks, h.bitwiseAND(F.lit(_BUCKETS - 1)).cast("int")), 63 - _BUCKET_BITS).bitwiseOR(
-            F.shiftrightunsigned(h, _BUCKET_BITS + 1)
+        "hashes",
+        lambda h: F.shiftleft(F.get(ranks, h.bitwiseAND(F.lit(_BUCKETS - 1))), 32).bitwiseOR(
+            h.cast("long").bitwiseAND(F.lit((1 << 32) - 1))
         ),
     )
-    return hashes.select("doc_id", "place", F.sort_array(F.array_distinct(ranked)).alias("tokens"))
-
-
-def _sets(tokens: DataFrame, percent: int) -> DataFrame:
-    """``doc_id, place, n, k1, k2, parity, prefix``: a line's set by size, key, parity signature and prefix (halves)."""
-    needed = f"CAST(({percent} * n + 99) div 100 AS INT)"
-    return tokens.selectExpr("*", "size(tokens) AS n").selectExpr(
+    rows = hashed.select("doc_id", "place", "k1", "k2", F.sort_array(ranked).alias("t")).selectExpr("*", "size(t) AS n")
+    # smaller sets are similar enough to equal ones only
+    rows = rows.where(f"n * {100 - percent} >= {percent}").selectExpr(
         "doc_id",
         "place",
+        "k1",
+        "k2",
         "n",
-        "xxhash64(tokens) AS k1",
-        "xxhash64(1, tokens) AS k2",
-        "aggregate(tokens, 0L, (a, t) -> a ^ shiftleft(1L, CAST(t & 63 AS INT))) AS parity",
-        f"transform(slice(tokens, 1, n - {needed} + 1), t -> CAST(t >> 32 AS INT)) AS prefix",
+        "aggregate(t, 0L, (a, x) -> a ^ shiftleft(1L, CAST(x & 63 AS INT))) AS parity",
+        f"transform(slice(t, 1, n - CAST(({percent} * n + 99) div 100 AS INT) + 1), x -> CAST((x << 32) >> 32 AS INT)) AS prefix",
     )
+    sets = rows.groupBy("k1", "k2").agg(
+        F.min(F.struct("doc_id", "place")).alias("at"), *(F.first(c).alias(c) for c in ("n", "parity", "prefix"))
+    )
+    return sets.select("at.*", "n", "parity", "prefix")
 
 
 def _similar(a: str, b: str, percent: int) -> str:
-    """Length, position and signature filters on columns of two prefix rows; what fails cannot be similar enough."""
+    """Length, position and signature filters on the columns of two prefix rows; what fails is not similar enough.
+
+    Of two similar sets, a common word is within the prefix of the larger and within a shorter one of the smaller.
+    """
     overlap = f"(({percent} * ({a}.n + {b}.n) + {99 + percent}) div {100 + percent})"
+
+    def short(x: str) -> str:
+        return f"{x}.p <= {x}.n - (({2 * percent} * {x}.n + {99 + percent}) div {100 + percent})"
+
     return (
         f"{a}.n * 100 >= {b}.n * {percent} AND {b}.n * 100 >= {a}.n * {percent}"
-        f" AND least({a}.n - {a}.p, {b}.n - {b}.p) + least({a}.p, {b}.p) >= {overlap}"
         f" AND bit_count({a}.parity ^ {b}.parity) <= {a}.n + {b}.n - 2 * {overlap}"
+        f" AND least({a}.n - {a}.p, {b}.n - {b}.p) + least({a}.p, {b}.p) >= {overlap}"
+        f" AND if({a}.n >= {b}.n, {short(b)}, {short(a)})"
     )
 
 
+_LATER = "struct(a.doc_id, a.place) > struct(b.doc_id, b.place)"
+
+
 def _pairs(later: DataFrame, earlier: DataFrame, percent: int) -> DataFrame:
     """Places of ``later`` and ``earlier`` sets that share a prefix word and pass the filters."""
     joined = later.alias("a").join(earlier.alias("b"), "token")
-    order = "struct(a.doc_id, a.place) > struct(b.doc_id, b.place)"
-    return joined.where(f"{order} AND {_similar('a', 'b', percent)}").selectExpr(
+    return joined.where(f"{_similar('a', 'b', percent)} AND {_LATER}").selectExpr(
         "a.doc_id AS doc_id", "a.place AS place", "b.doc_id AS other_id", "b.place AS other"
     )
 
 
-def _verified(texts: DataFrame, ranks: Column, pairs: DataFrame, percent: int) -> DataFrame:
-    """Places of later sets whose Jaccard similarity with an earlier one is high enough."""
-    pairs = stored(pairs.distinct(), "pairs")
-    wanted = pairs.select("doc_id", "place").unionByName(pairs.selectExpr("other_id AS doc_id", "other AS place")).distinct()
-    bucket = f"xxhash64(doc_id) & {_PICKED - 1}"
+def _candidates(words: DataFrame, percent: int) -> DataFrame:
+    """Pairs of places, and whether the earlier is the ``head``.
+
+    The sets of one size that share a prefix word have their earliest as head. A set that seems similar to the head is
+    paired with it alone at this word, else with all earlier sets of the word: groups of many similar sets yield a pair
+    for each set, not all pairs. Sets that turn out not to be similar to their head are paired anew by the caller.
+    """
+    group = Window.partitionBy("token", "n").orderBy("doc_id", "place")
+    # both sides of the join have the same rows and columns, and so one exchange; the window keeps its order. The filters,
+    # which all rows pass, are those that Spark would add on one side.
+    spread = words.where("token IS NOT NULL AND n IS NOT NULL AND parity IS NOT NULL").repartition("token")
+    headed = spread.withColumn("head", F.first(F.struct("doc_id", "place", "n", "p", "parity")).over(group))
+    alike = f"{_similar('a', 'head', percent)} AND NOT (a.doc_id <=> head.doc_id AND a.place = head.place)"
+    headed = headed.alias("a").withColumn("alike", F.expr(alike))
+    other = spread.select("token", "doc_id", "place", "n", "p", "parity")
+    meet = f"a.token = b.token AND NOT alike AND {_similar('a', 'b', percent)} AND {_LATER}"
+    joined = headed.alias("a").join(other.alias("b"), F.expr(meet), "left").where("alike OR b.place IS NOT NULL")
+    return joined.selectExpr(
+        "a.doc_id AS doc_id",
+        "a.place AS place",
+        "if(alike, head.doc_id, b.doc_id) AS other_id",
+        "if(alike, head.place, b.place) AS other",
+        "alike AS head",
+    )
+
+
+def _in_buckets(rows: DataFrame, wanted: DataFrame, *columns: str) -> DataFrame:
+    """The rows that fall in a bucket (by hash of ``columns``) of a wanted one; the few others are left to a join."""
+    bucket = f"xxhash64({', '.join(columns)}) & {_PICKED - 1}"
     # at most _PICKED rows of a long
-    picked = F.broadcast(wanted.selectExpr(f"{bucket} AS bucket").distinct())
-    near = texts.withColumn("bucket", F.expr(bucket)).join(picked, "bucket", "left_semi")
-    sets = _tokens(_hashes(near), ranks).distinct()
-    mine = sets.selectExpr("doc_id AS id", "place AS at", "tokens AS mine")
-    other = sets.selectExpr("doc_id AS id", "place AS at", "tokens AS theirs")
+    buckets = F.broadcast(wanted.selectExpr(f"{bucket} AS bucket").distinct())
+    return rows.withColumn("bucket", F.expr(bucket)).join(buckets, "bucket", "left_semi").drop("bucket")
+
+
+def _verified(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Places of later sets whose Jaccard similarity with an earlier one is high enough, by 64 bits of each word."""
+    wanted = pairs.select("doc_id", "place").unionByName(pairs.selectExpr("other_id AS doc_id", "other AS place"))
+    wanted = stored(wanted.distinct(), "wanted")
+    lines = _in_buckets(_words(_in_buckets(texts, wanted, "doc_id")), wanted, "doc_id", "place")
+    sets = lines.select("doc_id", "place", F.array_distinct(F.transform("words", lambda w: F.xxhash64(w))).alias("h")).join(
+        wanted.selectExpr("doc_id AS id", "place AS at"), F.expr("doc_id <=> id AND place = at"), "left_semi"
+    )
+    sets = stored(sets.distinct(), "sets")
+    mine = sets.selectExpr("doc_id AS id", "place AS at", "h AS mine")
+    other = sets.selectExpr("doc_id AS id", "place AS at", "h AS theirs")
     both = pairs.join(mine, F.expr("doc_id <=> id AND place = at")).drop("id", "at")
     both = both.join(other, F.expr("other_id <=> id AND other = at")).selectExpr(
         "doc_id", "place", "size(array_intersect(mine, theirs)) AS same", "size(mine) + size(theirs) AS n"
@@ -115,27 +170,27 @@ def _verified(texts: DataFrame, ranks: Column, pairs: DataFrame, percent: int) -
     return both.where(f"same * {100 + percent} >= n * {percent}").select("doc_id", "place").distinct()
 
 
-def _near(texts: DataFrame, ranks: Column, lines: DataFrame, percent: int) -> DataFrame:
-    """First lines of sets for which there is a similar set with an earlier first line."""
-    sets = lines.groupBy("k1", "k2").agg(
-        F.min(F.struct("doc_id", "place")).alias("at"),
-        *(F.first(c).alias(c) for c in ("n", "parity", "prefix")),
-    )
-    # smaller sets are similar enough to equal ones only
-    words = sets.where(f"n * {100 - percent} >= {percent}").selectExpr(
-        "at.doc_id AS doc_id", "at.place AS place", "n", "parity", "posexplode(prefix) AS (p, token)"
-    )
-    words = words.withColumn("shared", F.expr("count(1) OVER (PARTITION BY token)"))
-    few = words.where(f"shared BETWEEN 2 AND {_CROWD}").drop("shared")
-    crowd = stored(words.where(f"shared > {_CROWD}").drop("shared"), "crowd")
-    heads = crowd.groupBy("token").agg(F.min(F.struct("doc_id", "place", "n", "parity", "p")).alias("head"))
-    heads = heads.select("token", "head.*")
-    found = stored(
-        _verified(texts, ranks, _pairs(few, few, percent).unionByName(_pairs(crowd, heads, percent)), percent), "near"
-    )
-    rest = crowd.alias("c").join(found.alias("f"), F.expr("c.doc_id <=> f.doc_id AND c.place = f.place"), "left_anti")
-    more = _verified(texts, ranks, _pairs(rest, crowd, percent), percent)
-    return found.unionByName(more)
+def _without(rows: DataFrame, done: DataFrame) -> DataFrame:
+    return rows.alias("r").join(done.alias("d"), F.expr("r.doc_id <=> d.doc_id AND r.place = d.place"), "left_anti")
+
+
+def _near(texts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """First lines of sets for which there is a similar set with an earlier first line.
+
+    One similar earlier set is enough, so each set is first held against the earliest of its candidates, then, if that
+    fails, against all; sets that were paired with heads only are paired with all at last.
+    """
+    words = sets.selectExpr("doc_id", "place", "n", "parity", "posexplode(prefix) AS (p, token)")
+    pairs = stored(_candidates(words, percent), "pairs")
+    earliest = pairs.groupBy("doc_id", "place").agg(F.min(F.struct("other_id", "other")).alias("first"))
+    found = stored(_verified(texts, earliest.select("doc_id", "place", "first.*"), percent), "near")
+    left = stored(_without(pairs, found), "left")
+    more = stored(_verified(texts, left.drop("head").distinct(), percent), "near")
+    rest = _without(left.where("head").select("doc_id", "place").distinct(), more)
+    rest = stored(words.alias("w").join(rest.alias("s"), F.expr("w.doc_id <=> s.doc_id AND w.place = s.place"), "left_semi"), "rest")
+    again = _pairs(rest, _in_buckets(words, rest, "token"), percent).distinct()
+    last = _verified(texts, stored(again, "pairs"), percent)
+    return found.unionByName(more).unionByName(last).distinct()
 
 
 def removed_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -146,16 +201,17 @@ def removed_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     their sets of words is at least ``percent`` hundredths. Lines without a word match nothing.
 
     Equal sets are grouped by a key of 128 bits and represented by their first line. In a group of many similar sets
-    nearly all match the earliest, so prefix words shared by a crowd meet that alone first, and only sets without a match
-    so far meet the rest of the crowd: no line is missed, and the pairs of a group are not all made.
+    nearly all match the earliest, which they meet first; only sets without a match so far meet the others. No line is
+    missed, and the pairs of a group are not all made.
     """
     texts = _texts(docs)
-    ranks = _ranks(_hashes(texts))
-    lines = stored(_sets(_tokens(_hashes(texts), ranks), percent), "lines")
+    lines = stored(_hashed(_words(texts)), "lines")
     firsts = lines.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "place")).alias("at"), F.count(F.lit(1)).alias("copies"))
     copies = lines.select("doc_id", "place", "k1", "k2").join(firsts.where("copies > 1"), ["k1", "k2"])
-    copies = copies.where("struct(doc_id, place) > at").select("doc_id", "place").distinct()
-    places = copies.unionByName(_near(texts, ranks, lines, percent)).selectExpr(
+    copies = stored(copies.where("struct(doc_id, place) > at").select("doc_id", "place").distinct(), "copies")
+    sets = stored(_sets(lines, _ranks(lines), percent), "sets")
+    discard(lines)  # the largest table; nothing below reads it
+    places = copies.unionByName(_near(texts, sets, percent)).selectExpr(
         "doc_id", "place >> 31 AS digest", "CAST(place & 2147483647 AS INT) AS line"
     )
     return places.groupBy("doc_id", "digest").agg(F.sort_array(F.collect_list("line")).alias("removed"))
@@ -171,14 +227,16 @@ def deduplicate(docs: DataFrame, percent: int = 80) -> DataFrame:
     removed = removed_lines(docs, percent).select(F.struct("doc_id", "digest", "removed").alias("hit"))
     rows = docs.select(F.struct("doc_id", "text").alias("key"), F.struct("*").alias("row"))
     same = "CAST(key.doc_id AS BIGINT) <=> hit.doc_id AND xxhash64(coalesce(CAST(key.text AS STRING), '')) & 4294967295 = hit.digest"
+    lines = "split(CAST(key.text AS STRING), '\n')"
+    rows = rows.withColumn("n_lines", F.expr(f"coalesce(size({lines}), 1)"))
     rows = rows.join(removed, F.expr(same), "left").selectExpr(
-        "row", "key.text AS text", "split(CAST(key.text AS STRING), '\n') AS lines", "hit.removed AS removed"
+        "row", "key.text AS text", "n_lines", f"{lines} AS lines", "hit.removed AS removed"
     )
     kept = "transform(array_except(sequence(0, size(lines) - 1), removed), i -> lines[i])"
     rows = rows.selectExpr(
         "row",
         f"CASE WHEN removed IS NULL THEN text ELSE array_join({kept}, '\n') END AS text",
-        "coalesce(size(lines), 1) AS n_lines",
+        "n_lines",
         "coalesce(removed, CAST(array() AS ARRAY<INT>)) AS removed_lines",
     )
     out = []
