@@ -167,7 +167,11 @@ def _verified(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     both = both.join(other, F.expr("other_id <=> id AND other = at")).selectExpr(
         "doc_id", "place", "size(array_intersect(mine, theirs)) AS same", "size(mine) + size(theirs) AS n"
     )
-    return both.where(f"same * {100 + percent} >= n * {percent}").select("doc_id", "place").distinct()
+    verified = both.where(f"same * {100 + percent} >= n * {percent}").select("doc_id", "place").distinct()
+    verified = stored(verified, "verified")
+    discard(sets)
+    discard(wanted)
+    return verified
 
 
 def _without(rows: DataFrame, done: DataFrame) -> DataFrame:
@@ -183,13 +187,17 @@ def _near(texts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     words = sets.selectExpr("doc_id", "place", "n", "parity", "posexplode(prefix) AS (p, token)")
     pairs = stored(_candidates(words, percent), "pairs")
     earliest = pairs.groupBy("doc_id", "place").agg(F.min(F.struct("other_id", "other")).alias("first"))
-    found = stored(_verified(texts, earliest.select("doc_id", "place", "first.*"), percent), "near")
+    found = _verified(texts, earliest.select("doc_id", "place", "first.*"), percent)
     left = stored(_without(pairs, found), "left")
-    more = stored(_verified(texts, left.drop("head").distinct(), percent), "near")
+    discard(pairs)
+    more = _verified(texts, left.drop("head").distinct(), percent)
     rest = _without(left.where("head").select("doc_id", "place").distinct(), more)
     rest = stored(words.alias("w").join(rest.alias("s"), F.expr("w.doc_id <=> s.doc_id AND w.place = s.place"), "left_semi"), "rest")
-    again = _pairs(rest, _in_buckets(words, rest, "token"), percent).distinct()
-    last = _verified(texts, stored(again, "pairs"), percent)
+    discard(left)
+    again = stored(_pairs(rest, _in_buckets(words, rest, "token"), percent).distinct(), "pairs")
+    last = _verified(texts, again, percent)
+    discard(again)
+    discard(rest)
     return found.unionByName(more).unionByName(last).distinct()
 
 
@@ -211,7 +219,9 @@ def removed_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     copies = stored(copies.where("struct(doc_id, place) > at").select("doc_id", "place").distinct(), "copies")
     sets = stored(_sets(lines, _ranks(lines), percent), "sets")
     discard(lines)  # the largest table; nothing below reads it
-    places = copies.unionByName(_near(texts, sets, percent)).selectExpr(
+    near = _near(texts, sets, percent)
+    discard(sets)
+    places = copies.unionByName(near).selectExpr(
         "doc_id", "place >> 31 AS digest", "CAST(place & 2147483647 AS INT) AS line"
     )
     return places.groupBy("doc_id", "digest").agg(F.sort_array(F.collect_list("line")).alias("removed"))
