@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tillroll.session import new_shared_path
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -17,10 +19,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once as Parquet into the shared folder and read back.
 
-    Cuts the lineage: what reads it twice computes it once, and a lost executor costs a read, not the work.
+    Cuts the lineage: what reads it twice computes it once, and a lost executor costs a read, not the work. The shuffle
+    files of the write are deleted with its end, not when the driver happens to collect garbage.
     """
     path = new_shared_path(df.sparkSession, label)
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP)
+    conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(_CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

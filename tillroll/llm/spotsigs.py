@@ -1,7 +1,7 @@
 """SpotSigs fingerprints; DataFrame operations only.
 
 A signature is a chain of content words that follows a common word (the anchor). A text's fingerprint is its set of
-signatures. Sets are partitioned by their size, and compared only within reach of the threshold, through the few smallest
+signatures. Sets are partitioned by their size, and compared only within reach of the threshold, through the few rarest
 signatures of each set (the prefix) and an exact Jaccard similarity.
 """
 
@@ -12,7 +12,7 @@ import json
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import components, parts_of, stored
+from tillroll.llm.common import components, discard, parts_of, stored
 
 #: Common words of English, German, French and Spanish that can be anchors.
 ANCHORS = (
@@ -21,8 +21,10 @@ ANCHORS = (
     "sie und von war wie zu au aux ce dans de du elle en est et il la le les mais ne ou où par pas pour que qui se sur "
     "un une con del el ella era está ha las lo los más no para pero por su sus te una y"
 ).split()
-#: Prefix signatures that more sets share are first compared with the smallest set alone.
-_CROWD = 200
+#: Sets that share a prefix signature with more than this many are first compared with the smallest of them alone.
+_CROWD = 3
+#: Signatures are counted in this many buckets (a power of two); any order of signatures is correct, rare ones first is cheap.
+_BUCKETS = 1 << 14
 #: Buckets of documents by which those are picked that are to be verified; the list of buckets is broadcast.
 _PICKED = 1 << 18
 
@@ -109,40 +111,83 @@ def with_next_text(docs: DataFrame, rows_per_range: int = 2_000, most_ranges: in
     return ranked.withColumn("next_text", F.first("text").over(following)).where("NOT copy").drop("part", "copy", "number")
 
 
+def _ranks(sets: DataFrame) -> Column:
+    """An array literal: for each bucket of signatures the rank of their number in ``own``, rare ones first."""
+    # explode would filter by size(own), and Spark compute signatures anew for that, word by word
+    counts = sets.selectExpr("explode_outer(own) AS s").groupBy(F.expr(f"CAST(s & {_BUCKETS - 1} AS INT)").alias("bucket")).count()
+    counts = dict(counts.collect())  # at most _BUCKETS rows
+    ranks = [0] * _BUCKETS
+    for rank, bucket in enumerate(sorted(range(_BUCKETS), key=lambda k: (counts.get(k, 0), k))):
+        ranks[bucket] = rank
+    return F.from_json(F.lit(json.dumps(ranks, separators=(",", ":"))), "array<int>")
+
+
+def _prefix(own: str, ranks: Column, percent: int) -> Column:
+    """The rarest signatures of a set, as many as two similar sets cannot both do without; none of a set so small that
+    only equal ones are similar enough."""
+    rank = F.transform(own, lambda s: F.struct(F.get(ranks, s.bitwiseAND(F.lit(_BUCKETS - 1)).cast("int")).alias("r"), s.alias("s")))
+    size = F.size(own)
+    count = size - F.expr(f"CAST(({percent} * size({own}) + 99) div 100 AS INT)") + 1
+    rarest = F.transform(F.slice(F.sort_array(rank), 1, count), lambda x: x["s"])
+    return F.when(size * (100 - percent) >= percent, rarest).otherwise(F.array().cast("array<bigint>"))
+
+
 def _banded(sets: DataFrame, percent: int) -> DataFrame:
-    """A row for each set and prefix signature. Sets of one ``band`` of sizes, or of neighbouring ones, are in reach."""
+    """``signature, node, n, p, band, shared`` for each set and prefix signature that ``shared`` sets have, two or more.
+
+    ``p`` is the place in the prefix; sets of one ``band`` of sizes, or of neighbouring ones, are in reach.
+    """
+    rows = sets.selectExpr("node", "n", "posexplode(prefix) AS (p, signature)")
+    shared = rows.groupBy("signature").agg(F.count(F.lit(1)).alias("shared")).where("shared > 1")
     band = f"CAST(floor(ln(n) / ln({100 / percent})) AS INT)"
-    return sets.where("n > 0").selectExpr("node", "n", f"{band} AS band", "explode(prefix) AS signature")
+    return rows.join(shared, "signature").selectExpr("signature", "node", "n", "p", f"{band} AS band", "shared")
+
+
+def _reach(percent: int) -> str:
+    """Length and position filters on two prefix rows ``a`` and ``b``; what fails is not similar enough."""
+    overlap = f"(({percent} * (a.n + b.n) + {99 + percent}) div {100 + percent})"
+    return (
+        f"a.n * 100 >= b.n * {percent} AND b.n * 100 >= a.n * {percent}"
+        f" AND least(a.n - a.p, b.n - b.p) + least(a.p, b.p) >= {overlap}"
+    )
 
 
-def _pairs(left: DataFrame, right: DataFrame, percent: int, condition: str) -> DataFrame:
-    """Sets that share a prefix signature, with sizes in reach; the left one searches its own band and that below."""
-    probing = left.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1)))
-    joined = probing.alias("a").join(right.alias("b"), ["signature", "band"])
-    reach = f"a.n * {percent} <= b.n * 100 AND b.n <= a.n AND (b.n < a.n OR a.node < b.node)"
-    return joined.where(f"{reach} AND ({condition})").selectExpr("signature", "a.node AS u", "b.node AS v")
+def _pairs(left: DataFrame, right: DataFrame, condition: str) -> DataFrame:
+    """``u, v``, the smaller node first, of rows that share a prefix signature, in this band or a neighbouring one."""
+    probing = left.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
+    joined = probing.alias("a").join(right.alias("b"), ["signature", "band"]).where(f"a.node <> b.node AND {condition}")
+    return joined.selectExpr("least(a.node, b.node) AS u", "greatest(a.node, b.node) AS v")
 
 
 def links(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``u, v``: links that hold together all sets (``node, n, prefix, id, digest`` of a text that has it) with a Jaccard
     similarity of ``percent`` hundredths or more.
 
-    Prefix signatures that a crowd shares don't make all its pairs: each of the crowd meets its smallest first, and only
-    those not linked with that meet the others. Two sets linked with it hang together by it.
+    Prefix signatures that a crowd shares don't make all its pairs: each of the crowd first meets the smallest of its
+    band. Those that hang together by that need not meet again; all others do.
     """
-    rows = _banded(sets, percent).withColumn("shared", F.expr("count(1) OVER (PARTITION BY signature)"))
-    few = rows.where(f"shared BETWEEN 2 AND {_CROWD}").drop("shared")
-    crowd = stored(rows.where(f"shared > {_CROWD}").drop("shared"), "crowd")
-    heads = crowd.groupBy("signature").agg(F.min(F.struct("node", "n")).alias("head")).select("signature", "head.*")
-    near = "a.n * {0} <= b.n * 100 AND b.n * {0} <= a.n * 100 AND a.node <> b.node".format(percent)
-    to_head = crowd.alias("a").join(heads.alias("b"), "signature").where(near).selectExpr("signature", "a.node AS u", "b.node AS v")
-    first = _verified(docs, sets, _pairs(few, few, percent, "true").selectExpr("u", "v").unionByName(to_head.select("u", "v")), percent)
-    first = stored(first, "links")
-    held = to_head.join(first, ["u", "v"], "left_semi").selectExpr("signature", "u AS node")
-    held = held.unionByName(heads.select("signature", "node"))
-    rest = crowd.join(held, ["signature", "node"], "left_anti")
-    others = _pairs(rest, crowd, percent, "true").unionByName(_pairs(crowd, rest, percent, "true")).select("u", "v")
-    return first.unionByName(_verified(docs, sets, others, percent))
+    rows = stored(_banded(sets, percent), "banded")
+    few = rows.where(f"shared <= {_CROWD}")
+    crowd = rows.where(f"shared > {_CROWD}")
+    heads = crowd.groupBy("signature", "band").agg(F.min(F.struct("node", "n", "p")).alias("head"))
+    heads = heads.select("signature", "band", "head.*")
+    to_head = crowd.alias("a").join(heads.alias("b"), ["signature", "band"]).where(f"a.node <> b.node AND {_reach(percent)}")
+    to_head = to_head.selectExpr("least(a.node, b.node) AS u", "greatest(a.node, b.node) AS v")
+    pairs = _pairs(few, few, f"a.node < b.node AND {_reach(percent)}").unionByName(to_head)
+    first = _verified(docs, sets, pairs, percent)
+    parts = components(first).withColumnRenamed("component", "part")
+    crowd = stored(crowd.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node")), "crowd")
+    discard(rows)
+    # what hangs together with the first of all that share a signature meets only what does not
+    main = crowd.groupBy("signature").agg(F.min(F.struct("part", "node")).alias("least"), F.max("part").alias("most"))
+    main = main.where("least.part <> most").selectExpr("signature", "least.part AS main")
+    mixed = crowd.join(main, "signature")
+    rest = mixed.where("part <> main")
+    once = "(b.part = b.main OR a.node < b.node)"
+    others = _pairs(rest, mixed, f"a.part <> b.part AND {once} AND {_reach(percent)}")
+    more = _verified(docs, sets, others, percent)
+    discard(crowd)
+    return first.unionByName(more)
 
 
 def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -156,27 +201,31 @@ def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, percent: int)
     near = _texts(docs).withColumn("bucket", F.expr(bucket)).join(picked, "bucket", "left_semi").select("id", "digest", "text")
     made = with_signatures(near, "text", "signatures").select("id", "digest", "signatures")
     made = made.join(wanted, ["id", "digest"]).groupBy("node").agg(F.first("signatures").alias("signatures"))
+    made = stored(made, "made")
     both = pairs.join(made.selectExpr("node AS u", "signatures AS a"), "u").join(made.selectExpr("node AS v", "signatures AS b"), "v")
     both = both.selectExpr("u", "v", "size(array_intersect(a, b)) AS same", "size(a) + size(b) AS n")
-    return both.where(f"same * {100 + percent} >= n * {percent}").select("u", "v")
+    verified = stored(both.where(f"same * {100 + percent} >= n * {percent}").select("u", "v"), "links")
+    for spent in (made, wanted, pairs):
+        discard(spent)
+    return verified
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_signatures``.
+def fingerprints(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_signatures, class_id``.
 
     The edited text has its last ``floor(n_chars / 2)`` code points replaced by the first as many (or all) of the next
     document's text; documents follow one another by ``doc_id`` and text, the first after the last, so a single document
     follows itself. A fingerprint is written as 32 hexadecimal digits of its set of signatures; ``near_edited`` and
-    ``near_next`` are Jaccard similarities of the sets. Every row gives a row; equal rows are one document in the order.
-    Null texts count as empty, a null ``doc_id`` comes first. Other columns are ignored; no rows give none.
+    ``near_next`` are Jaccard similarities of the sets; ``class_id`` is that of :func:`classes`, over all documents. Every
+    row gives a row; equal rows are one document in the order. Null texts count as empty, a null ``doc_id`` comes first.
+    Other columns are ignored; no rows give none.
     """
     rows = with_next_text(docs).selectExpr(
         "*", "length(text) AS n_chars", "concat(left(text, length(text) - length(text) div 2), left(next_text, length(text) div 2)) AS edited"
     )
     for text, out in (("text", "own"), ("edited", "changed"), ("next_text", "following")):
         rows = with_signatures(rows, text, out)
-    return rows.select(
-        F.nullif("id", F.lit(_NULL_ID)).alias("doc_id"),
+    columns = [
         F.col("n_chars").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
         _written("own").alias("fingerprint"),
@@ -184,7 +233,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         likeness("own", "changed").alias("near_edited"),
         likeness("own", "following").alias("near_next"),
         F.size("own").alias("n_signatures"),
-    )
+    ]
+    return _classed(docs, rows, columns, percent)
 
 
 def classes(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -194,16 +244,16 @@ def classes(docs: DataFrame, percent: int = 80) -> DataFrame:
     class, named by its smallest ``doc_id``; texts without a word have the empty set and are one class. Rows of null
     ``doc_id`` name a class only if all in it are null. Other columns are ignored; no rows give none.
     """
-    needed = f"CAST(({percent} * size(own) + 99) div 100 AS INT)"
-    rows = with_signatures(_texts(docs), "text", "own").select(
-        F.nullif("id", F.lit(_NULL_ID)).alias("doc_id"),
-        "id",
-        "digest",
-        _written("own").alias("fingerprint"),
-        F.size("own").alias("n"),
-        F.xxhash64("own").alias("node"),
-        F.expr(f"slice(own, 1, size(own) - {needed} + 1)").alias("prefix"),
-    )
+    rows = with_signatures(_texts(docs), "text", "own")
+    return _classed(docs, rows, [_written("own").alias("fingerprint")], percent)
+
+
+def _classed(docs: DataFrame, rows: DataFrame, columns: list[Column], percent: int) -> DataFrame:
+    """``doc_id``, the ``columns`` of ``rows`` (``id, digest, own`` and more, a row for each of ``docs``) and ``class_id``."""
+    ranks = _ranks(with_signatures(_texts(docs), "text", "own"))
+    doc_id = F.nullif("id", F.lit(_NULL_ID)).alias("doc_id")
+    prefix = _prefix("own", ranks, percent).alias("prefix")
+    rows = rows.select(doc_id, *columns, "id", "digest", F.size("own").alias("n"), F.xxhash64("own").alias("node"), prefix)
     rows = stored(rows, "fingerprints")
     sets = rows.groupBy("node").agg(
         F.min("doc_id").alias("first"),
@@ -216,8 +266,9 @@ def classes(docs: DataFrame, percent: int = 80) -> DataFrame:
     named = sets.select("node", "first").join(labels, "node", "left")
     named = named.select("node", "first", F.coalesce("component", "node").alias("component"))
     smallest = named.groupBy("component").agg(F.min("first").alias("class_id"))
-    named = named.join(smallest, "component").select("node", "class_id")
-    return rows.join(named, "node").select("doc_id", "fingerprint", "class_id")
+    named = stored(named.join(smallest, "component").select("node", "class_id"), "named")
+    discard(sets)
+    return rows.join(named, "node").drop("node", "n", "prefix", "id", "digest")
 
 
 def _written(signatures: str) -> Column:
