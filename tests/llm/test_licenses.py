@@ -55,6 +55,20 @@ def test_every_notice_is_found_with_a_word_more(docs):
         assert label in rows[i].labels.split(",")
 
 
+@pytest.mark.parametrize(
+    "text, labels",
+    [
+        ("under the terms of the GNU General Public License", "gpl"),
+        ("Licensed under the GNU General Public License", "gpl"),
+        ("Licensed under the Apache License, Version 1.1", "apache"),
+        ("under the terms of the GNU Lesser General Public License", "gpl,lgpl"),
+        ("Licensed under the GNU General Public License version 2", "gpl,gpl-2.0"),
+    ],
+)
+def test_variants_need_their_telling_words(docs, text, labels):
+    assert licenses.scan(docs([text])).first().labels == labels
+
+
 def test_repeated_rows_and_empty_table(docs):
     rows = [(1, "mit license"), (1, "mit license"), (1, "apache license"), (None, "mit license")]
     got = sorted((str(r.doc_id), r.n_base, r.base_labels) for r in licenses.scan(docs(rows)).collect())

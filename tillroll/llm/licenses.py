@@ -39,13 +39,16 @@ NOTICES = {
     "licensed under cc by nc 4 0": "cc-by-nc-4.0",
     "licensed under a creative commons attribution license": "cc-by",
 }
+#: Words that tell one license from another; a notice that has them is verified only with all of them.
+TELLING = frozenset("affero apache attribution by cc commons creative eclipse general gnu lesser mit mozilla nc sa version 0 2 3 4".split())
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: What parts words: all of ASCII but digits and (lower-cased) letters.
 _GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def _templates(spark: SparkSession, base: dict[str, str], notices: dict[str, str]) -> DataFrame:
-    """A row for each pair of neighbouring words: ``template, label, exact, pairs`` (their number), ``place, w1, w2``."""
+    """A row for each pair of neighbouring words: ``template, label, exact, pairs`` (their number),
+    ``needed`` (the places of telling words), ``place, w1, w2``."""
     rows = []
     for exact, phrases in ((True, base), (False, notices)):
         for phrase, label in phrases.items():
@@ -53,9 +56,11 @@ def _templates(spark: SparkSession, base: dict[str, str], notices: dict[str, str
             if len(words) < 2:
                 raise ValueError(f"A phrase needs two words: {phrase}")
             pairs = list(zip(words, words[1:], strict=False))
+            needed = [i for i, w in enumerate(words) if w in TELLING]
             number = len({r[0] for r in rows})
-            rows += [(number, label, exact, len(pairs), place, a, b) for place, (a, b) in enumerate(pairs)]
-    return spark.createDataFrame(rows, "template int, label string, exact boolean, pairs int, place int, w1 string, w2 string")
+            rows += [(number, label, exact, len(pairs), needed, place, a, b) for place, (a, b) in enumerate(pairs)]
+    schema = "template int, label string, exact boolean, pairs int, needed array<int>, place int, w1 string, w2 string"
+    return spark.createDataFrame(rows, schema)
 
 
 def _words(docs: DataFrame) -> DataFrame:
@@ -67,7 +72,7 @@ def _words(docs: DataFrame) -> DataFrame:
 
 
 def votes(docs: DataFrame, base: dict[str, str] = BASE, notices: dict[str, str] = NOTICES) -> DataFrame:
-    """``doc_id, digest, template, label, exact, pairs, diagonal, place``: each match of a pair of words, once."""
+    """``doc_id, digest, template, label, exact, pairs, needed, diagonal, place``: each match of a pair of words, once."""
     pairs = F.transform("words", lambda w, i: F.struct(w.alias("w1"), F.get("words", i + 1).alias("w2")))
     grams = _words(docs).select("doc_id", "digest", F.posexplode(pairs).alias("at", "gram"))
     grams = grams.select("doc_id", "digest", "at", "gram.w1", "gram.w2", F.xxhash64("gram.w1", "gram.w2").alias("hash"))
@@ -75,7 +80,7 @@ def votes(docs: DataFrame, base: dict[str, str] = BASE, notices: dict[str, str]
     index = F.broadcast(_templates(docs.sparkSession, base, notices).withColumn("hash", F.xxhash64("w1", "w2")))
     found = grams.join(index, ["hash", "w1", "w2"])
     return found.select(
-        "doc_id", "digest", "template", "label", "exact", "pairs", (F.col("at") - F.col("place")).alias("diagonal"), "place"
+        "doc_id", "digest", "template", "label", "exact", "pairs", "needed", (F.col("at") - F.col("place")).alias("diagonal"), "place"
     ).distinct()
 
 
@@ -83,20 +88,20 @@ def spans(matches: DataFrame, least_cover: float = 0.7, slack: int = 2) -> DataF
     """``doc_id, digest, label, exact, start, cover`` of the verified spans.
 
     A phrase of the base stands where all its pairs vote for one diagonal. For a notice, diagonals of one document at most
-    ``slack`` apart are one span; it is verified if its different pairs are ``least_cover`` of the notice's or more. Of
-    notices that start within ``slack`` words of one another those that are covered best stay.
+    ``2 * slack`` apart are one span, so it is at most that much longer than the notice; it is verified if its different
+    pairs are ``least_cover`` of the notice's or more, and if each telling word of the notice is in one of them. Of
+    notices that start within ``2 * slack`` words of one another those that are covered best stay.
     """
-    key = ["doc_id", "digest", "template", "label", "exact", "pairs"]
+    key = ["doc_id", "digest", "template", "label", "exact", "pairs", "needed"]
     lines = matches.groupBy(*key, "diagonal").agg(F.count(F.lit(1)).alias("n"), F.collect_set("place").alias("places"))
     exact = lines.where("exact AND n = pairs").select("doc_id", "digest", "label", "exact", F.col("diagonal").alias("start"), F.lit(1.0).alias("cover"))
-    order = Window.partitionBy("doc_id", "digest", "template").orderBy("diagonal")
-    apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(order) > slack, F.lit(True))
-    runs = lines.where("NOT exact").withColumn("run", F.sum(apart.cast("int")).over(order))
-    merged = runs.groupBy(*key, "run").agg(
-        F.min("diagonal").alias("start"), F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n")
-    )
-    merged = merged.withColumn("cover", F.col("n") / F.col("pairs")).where(F.col("cover") >= least_cover)
-    nearby = Window.partitionBy("doc_id", "digest").orderBy("start").rangeBetween(-slack, slack)
+    width = 2 * slack
+    within = Window.partitionBy("doc_id", "digest", "template").orderBy("diagonal").rangeBetween(0, width)
+    merged = lines.where("NOT exact").withColumn("places", F.array_distinct(F.flatten(F.collect_list("places").over(within))))
+    told = F.forall("needed", lambda w: F.array_contains("places", w) | F.array_contains("places", w - 1))
+    merged = merged.withColumn("start", F.col("diagonal")).withColumn("cover", F.size("places") / F.col("pairs"))
+    merged = merged.where((F.col("cover") >= least_cover) & told)
+    nearby = Window.partitionBy("doc_id", "digest").orderBy("start").rangeBetween(-width, width)
     merged = merged.withColumn("best", F.max("cover").over(nearby)).where("cover = best")
     return exact.unionByName(merged.select("doc_id", "digest", "label", "exact", F.greatest("start", F.lit(0)).alias("start"), "cover"))
 
