@@ -35,8 +35,13 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = linededup.deduplicate(table(spark, sf_dir, "documents"), percent=80)
-    removed = F.array_join("removed_lines", ",")
-    return done.select("doc_id", "n_lines", F.size("removed_lines").alias("n_removed"), removed.alias("removed_lines"))
+    return done.select(
+        "doc_id",
+        "n_lines",
+        F.size("removed_lines").alias("n_removed"),
+        F.array_join("removed_lines", ",").alias("removed_lines"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
 
 
 def op6_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
