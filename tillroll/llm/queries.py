@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, licenses, linededup, packing, sharding, simhash, spotsigs, topk, toxicity, urlrules
+from tillroll.llm import bpe, licenses, linededup, packing, phrases, sharding, simhash, spotsigs, topk, toxicity, urlrules
 from tillroll.llm.common import table
 
 
@@ -65,6 +65,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), max_words=5, min_count=100, best=2000)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_toxicity": op2_toxicity,
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": op8_licenses,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_sharding": op10_sharding,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLES: dict[str, str] = {
@@ -93,5 +98,47 @@ WITH v AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+""",
+    "op13_collocations": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), worded AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), grams AS (
+  SELECT lang, k, unnest(list_transform(generate_series(1, len(w) - k + 1), lambda i: w[i:i + k - 1])) AS g
+  FROM worded, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(w) >= k
+), f AS (
+  SELECT lang, k, g, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 100
+), total AS (
+  SELECT lang, sum(len(w)) AS n FROM worded GROUP BY lang
+), cuts AS (
+  SELECT c.lang, c.k, c.g, c.a, t.n, j, l.a AS l, r.a AS r,
+         CAST(1000 AS HUGEINT) * c.a * t.n // (CAST(l.a AS HUGEINT) * r.a) AS score
+  FROM f c
+  JOIN (SELECT unnest([1, 2, 3, 4]) AS j) ON j < c.k
+  JOIN f l ON l.lang = c.lang AND l.g = c.g[1:j]
+  JOIN f r ON r.lang = c.lang AND r.g = c.g[j + 1:c.k]
+  JOIN total t ON t.lang = c.lang
+), lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1
+), inner_parts AS (
+  SELECT lang, g[1:k - 1] AS g, max(a) AS most FROM f WHERE k > 2 GROUP BY ALL
+  UNION ALL
+  SELECT lang, g[2:k] AS g, max(a) AS most FROM f WHERE k > 2 GROUP BY ALL
+), contained AS (
+  SELECT lang, g, max(most) AS most FROM inner_parts GROUP BY ALL
+), ranked AS (
+  SELECT o.lang, array_to_string(o.g, ' ') AS phrase, o.a, o.l, o.r, o.n, o.score,
+         row_number() OVER (PARTITION BY o.lang ORDER BY o.score DESC, o.a DESC, array_to_string(o.g, ' ')) AS rank
+  FROM lowest o LEFT JOIN contained c ON c.lang = o.lang AND c.g = o.g
+  WHERE c.most IS NULL OR 100 * c.most < 100 * o.a
+)
+SELECT lang, CAST(rank AS INTEGER) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000
 """,
 }
