@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, licenses, linededup, packing, phrases, sharding, simhash, spotsigs, topk, toxicity, urlrules
+from tillroll.llm import bpe, exactdedup, licenses, linededup, packing, phrases, sharding, simhash, spotsigs, topk, toxicity, urlrules
 from tillroll.llm.common import table
 
 
@@ -65,6 +65,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdedup.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"), max_words=5, min_count=100, best=2000)
 
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": op8_licenses,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_sharding": op10_sharding,
+    "op12_exact_dedup": op12_exact_dedup,
     "op13_collocations": op13_collocations,
 }
 
@@ -98,6 +103,13 @@ WITH v AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+""",
+    "op12_exact_dedup": """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, CAST(count(*) OVER same AS BIGINT) AS group_size,
+       row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+WINDOW same AS (PARTITION BY coalesce(text, ''))
 """,
     "op13_collocations": r"""
 WITH pieces AS (
