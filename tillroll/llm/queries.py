@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, exactdedup, licenses, linededup, packing, phrases, sharding, simhash, spotsigs, topk, toxicity, urlrules
+from tillroll.llm import bpe, exactdedup, licenses, linededup, packing, phrases, sharding, simhash, spotsigs, topk, toxicity, urlrules, whitening
 from tillroll.llm.common import table
 
 
@@ -65,6 +65,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = whitening.whiten(table(spark, sf_dir, "embeddings"), count=8, scale=1024)
+    return done.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.deduplicate(table(spark, sf_dir, "documents"))
 
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": op8_licenses,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_sharding": op10_sharding,
+    "op11_whitening": op11_whitening,
     "op12_exact_dedup": op12_exact_dedup,
     "op13_collocations": op13_collocations,
 }
