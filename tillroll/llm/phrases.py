@@ -21,8 +21,8 @@ from tillroll.llm.common import discard, stored
 
 #: A separator is never part of a word, so it can stand in the stream of words for the end of a piece.
 _SEPARATORS, _END = r"[.,;:!?\x0a-\x0d]+", "."
-#: Text that is split at once, and pairs that a task counts at once.
-_SLICE_BYTES, _PAIRS_AT_ONCE = 8 << 20, 4_000_000
+#: Text that is split at once, pairs that a task counts at once, and rows that it hands over at once.
+_SLICE_BYTES, _PAIRS_AT_ONCE, _ROWS_AT_ONCE = 2 << 20, 2_000_000, 100_000
 _FOUND = "lang string, rank int, phrase string, a long, l long, r long, n long, score long"
 _BLOCKED = 8  # a node with children at an eighth of all digits, or more, gets a block of slots of its own
 
@@ -250,14 +250,16 @@ def _count_pairs(trie: Broadcast | None):
                 held.append((states[at].astype(np.int64) << 32) | states[at + 1])
                 size += len(at)
                 if size >= _PAIRS_AT_ONCE:
-                    yield counted(held)
+                    yield from counted(held)
                     held, size = [], 0
         if size:
-            yield counted(held)
+            yield from counted(held)
 
-    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
+    def counted(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         pairs, counts = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(counts.astype(np.int64))], ["pair", "a"])
+        for start in range(0, len(pairs), _ROWS_AT_ONCE):
+            part = slice(start, start + _ROWS_AT_ONCE)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[part]), pa.array(counts[part].astype(np.int64))], ["pair", "a"])
 
     return run
 
