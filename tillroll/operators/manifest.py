@@ -12,13 +12,12 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.text import utf16_order
 from tillroll.model import POLICY_HASH, SCHEMA_VERSION
+from tillroll.operators import digests
 from tillroll.session import fail_if
 from tillroll.sources.files import InputFile
 
 # Files up to this size are hashed as one value; larger ones are streamed.
 _WHOLE_FILE_BYTES = 64 * 1024 * 1024
-# A digest is combined as eight words of 32 bits, each of which fits a bigint.
-_WORDS = 8
 
 
 def _file_hasher() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
@@ -68,24 +67,8 @@ def file_manifest(spark: SparkSession, files: Sequence[InputFile]) -> DataFrame:
 
 
 def line_manifest(lines: DataFrame) -> DataFrame:
-    """``uri, bytes, sha256`` per file or slice from ``uri, offset, value``, in one splittable aggregate.
-
-    Each line is hashed with its position and all 256 bits of the hashes are combined one by one, so
-    order and task boundaries do not matter and nothing is collected. The digest notices changed,
-    lost, added and moved lines; it is not the digest of the file's bytes.
-    """
-    hashed = lines.select(
-        "uri",
-        (F.octet_length("value") + 1).cast("bigint").alias("size"),
-        F.sha2(F.concat_ws(":", F.col("offset").cast("string"), "value").cast("binary"), 256).alias("hash"),
-    )
-    width = 64 // _WORDS
-    words = [F.bit_xor(F.conv(F.substring("hash", 1 + i * width, width), 16, 10).cast("bigint")) for i in range(_WORDS)]
-    combined = hashed.groupBy("uri").agg(
-        F.sum("size").alias("bytes"), *(word.alias(f"w{i}") for i, word in enumerate(words))
-    )
-    text = F.concat_ws(":", *(F.col(f"w{i}").cast("string") for i in range(_WORDS)))
-    return combined.select("uri", "bytes", F.sha2(text.cast("binary"), 256).alias("sha256"))
+    """``uri, bytes, sha256`` per file or slice from ``uri, offset, value``, see :func:`digests.line_digest`."""
+    return digests.line_digest(lines)
 
 
 def row_text(*columns: str) -> str:

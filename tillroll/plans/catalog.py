@@ -13,7 +13,7 @@ from tillroll.functions.keys import sample_bucket
 from tillroll.functions.money import average_minor, format_minor, with_minor
 from tillroll.model import EVENT_COLUMNS, HEADER_LINE, GroupMode
 from tillroll.operators import aggregate as agg
-from tillroll.operators import compare, manifest, preflight, profile, sample, summary
+from tillroll.operators import compare, digests, manifest, preflight, profile, sample, summary
 from tillroll.operators import dictionary as dic
 from tillroll.operators.prepare import PREPARED_COLUMNS, prepare, purchases_only
 from tillroll.plans import runs
@@ -354,6 +354,37 @@ def input_drift(spark: SparkSession, sf: str) -> DataFrame:
     return manifest.input_drift(*_manifests(spark, sf))
 
 
+def repeated_line_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Slices that hold some lines twice, against slices that on even days hold as many others twice."""
+    events = tables.events_as_raw(spark, sf).withColumn("kind", F.lit("EVENT"))
+    number, odd = F.col("event_id") % 4, F.right("day", F.lit(2)).cast("int") % 2 == 1
+
+    def doubled(which: Column, dropped: Column) -> DataFrame:
+        copies = F.when(which, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+        rows = events.where(~dropped).withColumn("copy", F.explode(copies))
+        return manifest.line_manifest(_line_table(rows).withColumn("offset", F.lit(0).cast("bigint")))
+
+    before = doubled(number == 0, number == 1)
+    after = doubled((number == 0) | (number == 1), ((number == 0) & ~odd) | ((number == 1) & odd))
+    return manifest.input_drift(before, after)
+
+
+#: Positions are event ids here, so that blocks are small.
+BLOCKS = digests.Shape(block_bytes=256, fanout=8, height=4)
+
+
+def block_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """The tree of block digests over the damaged events of every day."""
+    return digests.tree(_line_table(tables.events_dirty(spark, sf)), BLOCKS)
+
+
+def block_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """The blocks in which the damaged events differ from the clean ones."""
+    clean = tables.events_as_raw(spark, sf).withColumn("kind", F.lit("EVENT"))
+    trees = [digests.tree(_line_table(t), BLOCKS) for t in (clean, tables.events_dirty(spark, sf))]
+    return digests.tree_drift(*trees, BLOCKS)
+
+
 def manifest_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
     return manifest.manifest_fingerprint(_manifests(spark, sf)[1])
 
@@ -605,6 +636,9 @@ QUERIES: dict[str, Query] = {
         result_diff,
         slice_manifest,
         input_drift,
+        repeated_line_drift,
+        block_manifest,
+        block_drift,
         manifest_fingerprint,
         provenance_match,
         dictionary_checksum,

@@ -149,18 +149,46 @@ ROW_TEXT = " || ';' || ".join(
 )
 
 
+WORD_SUMS = ", ".join(f"SUM(('0x' || substr(hash, {1 + 8 * i}, 8))::HUGEINT) AS w{i}" for i in range(8))
+#: Sums modulo 2 ** 64, as one text.
+WORDS_TEXT = " || ':' || ".join(f"(w{i} % 18446744073709551616)" for i in range(8))
+
+
+def summed_digest(name: str, source: str) -> str:
+    """CTEs ending in ``name``: one digest per ``uri`` over the ``place, value`` of the rows of ``source``."""
+    return f"""{name}_hashed AS (SELECT uri, value, sha256(place || ':' || value) AS hash FROM {source}),
+{name}_words AS (
+  SELECT uri, CAST(SUM(strlen(value) + 1) AS BIGINT) AS bytes, COUNT(*) AS lines, {WORD_SUMS} FROM {name}_hashed GROUP BY uri),
+{name} AS (SELECT uri, bytes, sha256(lines || ':' || {WORDS_TEXT}) AS sha256 FROM {name}_words)"""
+
+
+def placed(source: str, kind: str) -> str:
+    return f"(SELECT day AS uri, event_id AS place, {ROW_TEXT.replace('kind', kind)} AS value FROM {source})"
+
+
 def manifest(name: str, source: str, kind: str) -> str:
     """CTEs ending in ``name``: one digest per day over position and content of the day's events."""
-    words = ", ".join(
-        f"bit_xor(('0x' || substr(hash, {1 + 8 * i}, 8))::BIGINT) AS w{i}" for i in range(8)
-    )
-    return f"""{name}_hashed AS (
-  SELECT day, value, sha256(event_id || ':' || value) AS hash
-  FROM (SELECT day, event_id, {ROW_TEXT.replace("kind", kind)} AS value FROM {source})),
-{name}_words AS (
-  SELECT day, CAST(SUM(strlen(value) + 1) AS BIGINT) AS bytes, {words} FROM {name}_hashed GROUP BY day),
-{name} AS (
-  SELECT day AS uri, bytes, sha256({" || ':' || ".join(f"w{i}" for i in range(8))}) AS sha256 FROM {name}_words)"""
+    return summed_digest(name, placed(source, kind))
+
+
+def block_tree(name: str, source: str, kind: str, block: int, fanout: int, height: int) -> str:
+    """CTEs ending in ``name``: the nodes of the tree over blocks of the day's events."""
+    levels = [
+        f"""{name}_0 AS (
+  SELECT uri, 0 AS level, node, first_byte, last_byte, lines, sha256(lines || ':' || {WORDS_TEXT}) AS sha256
+  FROM (SELECT uri, place // {block} AS node, MIN(place) AS first_byte, MAX(place + strlen(value)) AS last_byte,
+               COUNT(*) AS lines, {WORD_SUMS}
+        FROM (SELECT *, sha256(place || ':' || value) AS hash FROM {placed(source, kind)}) GROUP BY ALL))"""
+    ]
+    for level in range(1, height + 1):
+        levels.append(
+            f"""{name}_{level} AS (
+  SELECT uri, {level} AS level, node // {fanout} AS node, MIN(first_byte) AS first_byte, MAX(last_byte) AS last_byte,
+         CAST(SUM(lines) AS BIGINT) AS lines, sha256(string_agg(node || ':' || sha256, chr(10) ORDER BY node)) AS sha256
+  FROM {name}_{level - 1} GROUP BY uri, node // {fanout})"""
+        )
+    union = " UNION ALL ".join(f"SELECT * FROM {name}_{level}" for level in range(height + 1))
+    return ", ".join([*levels, f"{name} AS ({union})"])
 
 
 POLICY_HASH = "e8cfaa885aa0cabdc51d54c4ee15e5c7a82b70c3cb69406582ed58c47ed2e117"
@@ -350,6 +378,25 @@ SELECT uri, CASE WHEN d.sha256 IS NULL THEN 'missing' WHEN c.sha256 IS NULL THEN
                  WHEN c.bytes <> d.bytes THEN 'bytes' ELSE 'content' END AS change
 FROM clean_manifest c FULL JOIN dirty_manifest d USING (uri)
 WHERE c.bytes IS DISTINCT FROM d.bytes OR c.sha256 IS DISTINCT FROM d.sha256""",
+    "repeated_line_drift": f"""WITH {DIRTY},
+swapped AS (
+  SELECT side, day AS uri, 0 AS place, {ROW_TEXT.replace("kind", "'EVENT'")} AS value
+  FROM (SELECT *, unnest([0, 1]) AS side FROM clean), (SELECT unnest([1, 2]) AS copy)
+  WHERE CASE event_id % 4 WHEN 0 THEN side = 0 OR right(day, 2)::INT % 2 = 1 WHEN 1 THEN side = 1 AND right(day, 2)::INT % 2 = 0 ELSE copy = 1 END),
+l AS (SELECT uri, place, value FROM swapped WHERE side = 0), r AS (SELECT uri, place, value FROM swapped WHERE side = 1),
+{summed_digest("left_digest", "l")}, {summed_digest("right_digest", "r")}
+SELECT uri, CASE WHEN d.sha256 IS NULL THEN 'missing' WHEN c.sha256 IS NULL THEN 'added'
+                 WHEN c.bytes <> d.bytes THEN 'bytes' ELSE 'content' END AS change
+FROM left_digest c FULL JOIN right_digest d USING (uri)
+WHERE c.bytes IS DISTINCT FROM d.bytes OR c.sha256 IS DISTINCT FROM d.sha256""",
+    "block_manifest": f"""WITH {DIRTY}, {block_tree("dirty_tree", "dirty", "kind", 256, 8, 4)}
+SELECT uri, level, node, first_byte, last_byte, lines, sha256 FROM dirty_tree""",
+    "block_drift": f"""WITH {DIRTY}, {block_tree("clean_tree", "clean", "'EVENT'", 256, 8, 4)},
+{block_tree("dirty_tree", "dirty", "kind", 256, 8, 4)}
+SELECT uri, least(c.first_byte, d.first_byte) AS first_byte, greatest(c.last_byte, d.last_byte) AS last_byte,
+       CASE WHEN d.sha256 IS NULL THEN 'missing' WHEN c.sha256 IS NULL THEN 'added' ELSE 'content' END AS change
+FROM (SELECT * FROM clean_tree WHERE level = 0) c FULL JOIN (SELECT * FROM dirty_tree WHERE level = 0) d USING (uri, node)
+WHERE c.sha256 IS DISTINCT FROM d.sha256""",
     "manifest_fingerprint": f"""WITH {DIRTY}, {DIRTY_MANIFEST}, f AS ({fingerprint("dirty_manifest")})
 SELECT input_fingerprint, '{POLICY_HASH}' AS policy_hash, CAST(1 AS INTEGER) AS schema_version, files FROM f""",
     "provenance_match": f"""WITH {DIRTY}, {CLEAN_MANIFEST}, {DIRTY_MANIFEST},
