@@ -6,7 +6,8 @@ import pytest
 from tillroll.functions.keys import sample_bucket
 from tillroll.model import HEADER_LINE, POLICY_HASH
 from tillroll.operators import manifest, preflight
-from tillroll.sources.files import InputError, files_at, list_csv, scan_lines
+from tillroll.sources import byteranges
+from tillroll.sources.files import InputError, files_at, list_csv, scan_lines, scan_lines_by_splits
 
 GOOD = "t,purchase,1,1,a,b,1,u,s"
 
@@ -32,8 +33,9 @@ def test_listing(spark, tmp_path):
         list_csv(spark, str(tmp_path / "c.txt"))
 
 
+@pytest.mark.parametrize("scan", [scan_lines, scan_lines_by_splits])
 @pytest.mark.parametrize("split_bytes", ["128m", "5000b", "333b"])
-def test_offsets_do_not_depend_on_splits(spark, tmp_path, split_bytes):
+def test_offsets_do_not_depend_on_splits(spark, tmp_path, split_bytes, scan):
     rng, want = random.Random(1), {}
     for name, mark, tail in (("a b.csv", True, True), ("b.csv", False, False), ("c.csv", True, False), ("empty.csv", False, True)):
         lines = [("x" * rng.randrange(60) + rng.choice(["", "é", "\r", "﻿"])).encode() for _ in range(900)]
@@ -48,7 +50,7 @@ def test_offsets_do_not_depend_on_splits(spark, tmp_path, split_bytes):
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
-        rows = scan_lines(spark, list_csv(spark, str(tmp_path))).selectExpr("uri", "offset", "CAST(value AS BINARY) AS v").collect()
+        rows = scan(spark, list_csv(spark, str(tmp_path))).selectExpr("uri", "offset", "CAST(value AS BINARY) AS v").collect()
     finally:
         for key in settings:
             spark.conf.unset(key)
@@ -56,6 +58,33 @@ def test_offsets_do_not_depend_on_splits(spark, tmp_path, split_bytes):
     assert {(r.uri, r.offset): bytes(r.v) for r in rows} == want
 
 
+def test_lines_longer_than_a_read_and_ranges_without_a_line(spark, tmp_path, monkeypatch):
+    texts = [b"a" * 100, b"", b"b" * 7, b"c" * 300, b"d"]
+    (tmp_path / "x.csv").write_bytes(b"\n".join(texts))
+    size, uri = (tmp_path / "x.csv").stat().st_size, f"file:{tmp_path}/x.csv"
+    monkeypatch.setattr(byteranges, "_READ_BYTES", 16)
+    reader = byteranges.line_source()({"files": f'[["{uri}", {size}]]', "taskBytes": "10"}).reader(None)
+    got = [
+        (offset, value)
+        for part in reader.partitions()
+        for batch in reader.read(part)
+        for offset, value in zip(batch["offset"].to_pylist(), batch["value"].to_pylist(), strict=True)
+    ]
+    starts = [sum(len(t) + 1 for t in texts[:i]) for i in range(len(texts))]
+    assert got == list(zip(starts, texts, strict=True))
+
+
+def test_small_files_share_a_task():
+    files = [("a", 5), ("b", 5), ("c", 25), ("d", 0), ("e", 1)]
+    assert byteranges.tasks_of(files, 10) == [[("a", 0, 5), ("b", 0, 5)], [("c", 0, 10)], [("c", 10, 20)], [("c", 20, 25), ("e", 0, 1)]]
+
+
+def test_each_byte_is_read_once(spark, tmp_path):
+    write(tmp_path / "a.csv", HEADER_LINE, *[GOOD] * 50)
+    plan = scan_lines(spark, list_csv(spark, str(tmp_path)))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BatchScan") == 1 and "Join" not in plan and "Exchange" not in plan
+
+
 def rules_of(spark, path, mode="category_id"):
     files = list_csv(spark, path)
     counted = {r.rule: r.n for r in preflight.rule_counts(preflight.inspect_files(spark, files, mode)).collect()}

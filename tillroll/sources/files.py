@@ -12,8 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# A broadcast split table stays below this many rows of four numbers (about 150 MB).
-_BROADCAST_SPLITS = 2_000_000
+from tillroll.sources import byteranges
 
 
 class InputError(ValueError):
@@ -136,12 +135,23 @@ def _split_bytes(spark: SparkSession, files: Sequence[InputFile]) -> int:
 
 
 def scan_lines(spark: SparkSession, files: Sequence[InputFile]) -> DataFrame:
-    """``uri, offset, value``: every line with its exact byte offset, from splittable reads.
+    """``uri, offset, value``: every line with its exact byte offset, each byte read once.
+
+    Tasks open byte ranges themselves, see :mod:`tillroll.sources.byteranges`. Stores that only Spark's readers can open
+    are read twice, by :func:`scan_lines_by_splits`.
+    """
+    if not all(byteranges.can_open(f.uri) for f in files):
+        return scan_lines_by_splits(spark, files)
+    lines = byteranges.scan(spark, [(f.uri, f.bytes) for f in files], _split_bytes(spark, files))
+    return lines.withColumn("value", F.col("value").cast("string"))
+
+
+def scan_lines_by_splits(spark: SparkSession, files: Sequence[InputFile]) -> DataFrame:
+    """:func:`scan_lines` from Spark's text reader, which does not tell where its splits' first lines begin.
 
     A line's offset is the bytes in earlier splits of its file plus the bytes before it in its own
     split. The first part is one small aggregate (a row per split); the second runs inside the
-    scanning task. The lines meet the small table in a broadcast join, unless there are more than two
-    million splits (256 TB in splits of 128 MiB); files are told apart by a 64-bit hash there.
+    scanning task. Files are told apart by a 64-bit hash in the join.
     """
     lines = scan_splits(spark, files)
     per_split = lines.groupBy("uri", "split_start").agg(
@@ -157,9 +167,6 @@ def scan_lines(spark: SparkSession, files: Sequence[InputFile]) -> DataFrame:
         F.coalesce(F.sum("split_bytes").over(earlier), F.lit(0)).alias("base"),
         F.when(F.col("file_size") - F.sum("split_bytes").over(whole) >= 2, 3).otherwise(0).alias("mark"),
     )
-    splits = sum(f.bytes // _split_bytes(spark, files) + 1 for f in files)
-    if splits <= _BROADCAST_SPLITS:
-        bases = F.broadcast(bases)
     placed = lines.select(F.col("value").cast("binary"), "uri", "split_start").mapInArrow(
         _position_counter(), "value binary, uri string, split_start bigint, within bigint"
     )
