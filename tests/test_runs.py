@@ -1,4 +1,5 @@
 import json
+import threading
 from pathlib import Path
 
 import pytest
@@ -299,3 +300,57 @@ def test_reconciliation(spark):
     assert tuple(row) == (4, 4, 4, True)
     short = partial(prepared).where("group_key = '9'")
     assert compare.reconciliation(profile.tally(prepared), statistics, short).first().reconciled is False
+
+
+def test_of_many_writers_one_publishes(spark, tmp_path):
+    target, won, lost = str(tmp_path / "out"), [], []
+    staged = [tmp_path / f"staged-{i}" for i in range(8)]
+    for folder in staged:
+        folder.mkdir()
+        (folder / "who").write_text(folder.name)
+    ready = threading.Barrier(len(staged))
+
+    def publish(folder):
+        ready.wait()
+        try:
+            writers.publish(spark, str(folder), target)
+            won.append(folder.name)
+        except writers.OutputError as error:
+            lost.append(str(error))
+
+    threads = [threading.Thread(target=publish, args=(folder,)) for folder in staged]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    assert len(won) == 1 and len(lost) == 7
+    assert [p.name for p in (tmp_path / "out").iterdir()] == ["who"] and (tmp_path / "out" / "who").read_text() == won[0]
+    assert not list(tmp_path.glob("*.claim"))
+
+
+def test_a_claim_keeps_others_out(spark, tmp_path):
+    (tmp_path / "staged").mkdir()
+    (tmp_path / "out.claim").touch()
+    with pytest.raises(writers.OutputError, match="another writer"):
+        writers.publish(spark, str(tmp_path / "staged"), str(tmp_path / "out"))
+    writers.release_claim(spark, str(tmp_path / "out"))
+    writers.publish(spark, str(tmp_path / "staged"), str(tmp_path / "out"))
+    with pytest.raises(writers.OutputError, match="cannot take"):
+        writers.publish(spark, str(tmp_path / "out"), str(tmp_path / "out"))
+
+
+def test_many_parts_become_one_file(spark, tmp_path):
+    rows = spark.range(50_000).selectExpr(
+        "concat('k', id * 7919 % 50000) AS group_key", "id AS sum_minor", "1L AS purchase_count", "'1.00' AS total_revenue", "'1.00' AS average_revenue"
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        writers.export_csv(rows.repartition(5), str(tmp_path / "parts"))
+        writers.export_csv(rows.repartition(3), str(tmp_path / "one.csv"), single=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = sorted((tmp_path / "parts").glob("part-*"))
+    whole = (tmp_path / "one.csv").read_bytes()
+    assert len(parts) > 1 and whole == b"".join(p.read_bytes() for p in parts)
+    lines = whole.decode().split("\r\n")
+    assert len(lines) == 50_002 and lines[1:-1] == sorted(lines[1:-1]) and not list(tmp_path.glob("*tmp*"))

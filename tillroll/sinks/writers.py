@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,12 +48,63 @@ def staging_path(path: str) -> str:
     return f"{path.rstrip('/')}.tmp-{uuid.uuid4().hex}"
 
 
+def claim_path(target: str) -> str:
+    return f"{target.rstrip('/')}.claim"
+
+
+def _claim(spark: SparkSession, target: str) -> str | None:
+    """Make the claim file of ``target``; None if another writer holds it.
+
+    The store makes the file only if it is not there, in one step: HDFS and object stores by a create that does not
+    overwrite, the local file system by its own call, as Hadoop's looks first and writes afterwards there.
+    """
+    path = claim_path(target)
+    jpath, fs = hadoop_path(spark, path)
+    try:
+        if fs.makeQualified(jpath).toUri().getScheme() == "file":
+            fs.mkdirs(jpath.getParent())
+            plain = spark._jvm.java.nio.file.Path.of(fs.makeQualified(jpath).toUri().getPath(), _no_strings(spark))
+            spark._jvm.java.nio.file.Files.createFile(plain, _no_attributes(spark))
+        else:
+            fs.create(jpath, False).close()
+    except Py4JJavaError as error:
+        kind = error.java_exception.getClass().getSimpleName()
+        if kind in ("FileAlreadyExistsException", "AlreadyBeingCreatedException") or fs.exists(jpath):
+            return None
+        raise
+    return path
+
+
+def _no_strings(spark: SparkSession):
+    return spark.sparkContext._gateway.new_array(spark._jvm.java.lang.String, 0)
+
+
+def _no_attributes(spark: SparkSession):
+    return spark.sparkContext._gateway.new_array(spark._jvm.java.nio.file.attribute.FileAttribute, 0)
+
+
 def publish(spark: SparkSession, staged: str, target: str) -> None:
-    """Rename a finished staging path to its target, which must still be free."""
-    source, fs = hadoop_path(spark, staged)
-    destination, _ = hadoop_path(spark, target)
-    if fs.exists(destination) or not fs.rename(source, destination):
-        raise OutputError(f"{target} cannot take the finished output")
+    """Rename a finished staging path to its target, which must still be free.
+
+    A rename alone would not do: two writers can both find the target free, and on some stores the second rename moves
+    its folder below the first. So a writer first claims the target, and only who holds the claim looks and renames. A
+    writer that dies in between leaves a claim that keeps others out until :func:`release_claim`.
+    """
+    claim = _claim(spark, target)
+    if claim is None:
+        raise OutputError(f"{target} is being published by another writer ({claim_path(target)})")
+    try:
+        source, fs = hadoop_path(spark, staged)
+        destination, _ = hadoop_path(spark, target)
+        if fs.exists(destination) or not fs.rename(source, destination):
+            raise OutputError(f"{target} cannot take the finished output")
+    finally:
+        discard(spark, claim)
+
+
+def release_claim(spark: SparkSession, target: str) -> None:
+    """Take away the claim that a dead writer left on ``target``."""
+    discard(spark, claim_path(target))
 
 
 def discard(spark: SparkSession, staged: str) -> None:
@@ -106,24 +158,86 @@ def export_lines(rows: DataFrame) -> DataFrame:
 def export_csv(rows: DataFrame, path: str, single: bool = False) -> None:
     """RFC 4180 records with CRLF line ends, sorted over the part files of a folder; the first has the header.
 
-    ``single`` asks for one file instead, which one task writes.
+    ``single`` asks for one file instead: the part files are written all the same and then put together, in key order.
     """
     spark = rows.sparkSession
     ensure_new(spark, path)
     staged = staging_path(path)
     try:
-        lines = export_lines(rows)
-        ordered = lines.repartition(1).sortWithinPartitions("position") if single else lines.orderBy("position")
+        ordered = export_lines(rows).orderBy("position")
         ordered.select("value").write.mode("errorifexists").text(staged, lineSep="\r\n")
-        publish(spark, _parts(spark, staged)[0] if single else staged, path)
+        if single:
+            whole = f"{staged.rstrip('/')}.whole"
+            try:
+                join_parts(spark, staged, whole)
+                publish(spark, whole, path)
+            finally:
+                discard(spark, whole)
+        else:
+            publish(spark, staged, path)
     finally:
         discard(spark, staged)
 
 
-def _parts(spark: SparkSession, directory: str) -> list[str]:
+def join_parts(spark: SparkSession, directory: str, target: str) -> None:
+    """The bytes of a folder's part files as one new file, none of them through one task.
+
+    HDFS strings the blocks of the parts together by itself. On a file system that all tasks share, each part has its
+    known place in the new file, and tasks copy parts there side by side; a task that runs again writes the same bytes to
+    the same place. Object stores can do neither: there the parts stay a folder.
+    """
+    parts = _sized_parts(spark, directory)
+    jpath, fs = hadoop_path(spark, target)
+    scheme = fs.makeQualified(jpath).toUri().getScheme()
+    if scheme == "hdfs":
+        fs.create(jpath, False).close()
+        filled = [path for path, size in parts if size]
+        if filled:
+            sources = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Path, len(filled))
+            for i, path in enumerate(filled):
+                sources[i] = hadoop_path(spark, path)[0]
+            fs.concat(jpath, sources)
+    elif scheme == "file":
+        plain = fs.makeQualified(jpath).toUri().getPath()
+        with open(plain, "xb") as made:
+            made.truncate(sum(size for _, size in parts))
+        places, place = [], 0
+        for path, size in parts:
+            if size:
+                places.append((hadoop_path(spark, path)[0].toUri().getPath(), place, size))
+            place += size
+        if places:
+            frame = spark.createDataFrame(places, "path string, place bigint, size bigint")
+            spread = frame.repartition(len(places), "place")
+            copied = spread.mapInArrow(_copier(plain), "copied bigint").agg(F.sum("copied").alias("n")).first()["n"]
+            if copied != place:
+                raise OutputError(f"Only {copied} of {place} bytes reached {target}")
+    else:
+        raise OutputError(f"A store of scheme {scheme} cannot put part files together; export a folder instead")
+
+
+def _copier(target: str, chunk_bytes: int = 8 << 20) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Copies each part to its place in ``target``; nested so that it travels to executors by value."""
+
+    def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                done = 0
+                with open(row["path"], "rb") as source, open(target, "r+b") as whole:
+                    whole.seek(row["place"])
+                    while chunk := source.read(min(chunk_bytes, row["size"] - done)):
+                        whole.write(chunk)
+                        done += len(chunk)
+                yield pa.RecordBatch.from_arrays([pa.array([done], pa.int64())], names=["copied"])
+
+    return copy
+
+
+def _sized_parts(spark: SparkSession, directory: str) -> list[tuple[str, int]]:
+    """Part files in the order in which Spark numbers them, and their sizes."""
     jpath, fs = hadoop_path(spark, directory)
-    paths = (s.getPath() for s in fs.listStatus(jpath))
-    return sorted(p.toString() for p in paths if p.getName().startswith("part-"))
+    found = [s for s in fs.listStatus(jpath) if s.getPath().getName().startswith("part-")]
+    return sorted((s.getPath().toString(), s.getLen()) for s in found)
 
 
 def _filled(spark: SparkSession, directory: str) -> list[str]:
