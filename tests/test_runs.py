@@ -100,7 +100,7 @@ def test_failures_publish_nothing(spark, events, tmp_path, monkeypatch):
     events.write_text(original + "broken\n")
     with pytest.raises(runs.RunFailed, match="malformed_line"):
         runs.run_aggregate(spark, list_csv(spark, str(events)), str(out))
-    late = runs.run_preflight(spark, list_csv(spark, str(events)), "category_id", tally=True)
+    late = runs.run_preflight(spark, list_csv(spark, str(events)), "category_id")
     late.errors.clear()
     monkeypatch.setattr(runs, "run_preflight", lambda *a, **b: late)
     with pytest.raises(runs.RunFailed, match="malformed during the run"):
@@ -354,3 +354,25 @@ def test_many_parts_become_one_file(spark, tmp_path):
     assert len(parts) > 1 and whole == b"".join(p.read_bytes() for p in parts)
     lines = whole.decode().split("\r\n")
     assert len(lines) == 50_002 and lines[1:-1] == sorted(lines[1:-1]) and not list(tmp_path.glob("*tmp*"))
+
+
+def test_a_report_vouches_for_lines_it_knows(spark, events, tmp_path, monkeypatch):
+    files = list_csv(spark, str(events))
+    checked = runs.run_preflight(spark, files, "category_id")
+    runs.write_preflight(checked, str(tmp_path / "m.json"), str(tmp_path / "p.json"))
+    digested = []
+    digest = runs.manifest.file_manifest
+    monkeypatch.setattr(runs.manifest, "file_manifest", lambda *a: digested.append(a) or digest(*a))
+    report, entries = str(tmp_path / "p.json"), read_manifest(spark, str(tmp_path / "m.json"))
+    record = runs.run_aggregate(spark, files, str(tmp_path / "a"), stored_report=report, stored_manifest=entries)
+    assert record["inputFingerprint"] == checked.fingerprint and not digested
+    # A line that stands twice in the place of another that stands twice is other content.
+    twice = [EVENTS[0], EVENTS[0], EVENTS[2]], [EVENTS[1].replace("8.00", "4.50"), EVENTS[1].replace("8.00", "4.50"), EVENTS[2]]
+    contents = []
+    for lines in twice:
+        events.write_text("\n".join([HEADER_LINE, *lines]) + "\n")
+        contents.append(runs.run_preflight(spark, list_csv(spark, str(events)), "category_id").content)
+    assert contents[0] != contents[1]
+    with pytest.raises(runs.RunFailed):
+        runs.run_aggregate(spark, list_csv(spark, str(events)), str(tmp_path / "b"), stored_report=report, stored_manifest=entries)
+    assert digested

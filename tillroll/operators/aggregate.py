@@ -73,9 +73,14 @@ def pack(prepared: DataFrame, dictionary: DataFrame, slice_column: str, ids: int
     Rows are reduced to states before ids are looked up and before anything is collected; an array
     has ``ids`` entries at most.
     """
+    return pack_states(partial_states(prepared, slice_column), dictionary, slice_column, ids)
+
+
+def pack_states(states: DataFrame, dictionary: DataFrame, slice_column: str, ids: int = PACKED_IDS) -> DataFrame:
+    """:func:`pack` from states that exist already, one for each slice and key."""
     if ids < 1:
         raise ValueError("ids must be positive")
-    states = encode(partial_states(prepared, slice_column), dictionary)
+    states = encode(states, dictionary)
     entry = F.struct("id", "sum_minor", "purchase_count")
     return states.groupBy(slice_column, F.expr(f"id div {ids} AS bucket")).agg(
         F.array_sort(F.collect_list(entry)).alias("entries")
@@ -114,6 +119,20 @@ def aggregate(
     return merge_packed(pack(prepared, dictionary, slice_column, packed_ids), dictionary)
 
 
+def route_states(states: DataFrame, strategy: str, dictionary: DataFrame | None, slice_column: str) -> DataFrame:
+    """:func:`aggregate` from stored states of each slice and key, without another look at the rows."""
+    strategy = VARIANTS.get(strategy, strategy)
+    if strategy not in STRATEGIES:
+        raise ValueError(f"Unknown strategy: {strategy}")
+    if strategy == "partial":
+        return merge_states(states)
+    if dictionary is None:
+        raise ValueError(f"Strategy {strategy} needs a dictionary")
+    if strategy == "packed":
+        return merge_packed(pack_states(states, dictionary, slice_column), dictionary)
+    return decode(encode(merge_states(states), dictionary), dictionary).select("group_key", "sum_minor", "purchase_count")
+
+
 def result_rows(states: DataFrame) -> DataFrame:
     """States with their total and average as plain two-decimal text."""
     return states.selectExpr(

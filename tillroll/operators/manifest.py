@@ -66,6 +66,14 @@ def file_manifest(spark: SparkSession, files: Sequence[InputFile]) -> DataFrame:
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
+def file_stamps(spark: SparkSession, files: Sequence[InputFile]) -> DataFrame:
+    """``uri, bytes, modified`` of each file as the store lists it; nothing is read."""
+    listed = spark.read.format("binaryFile").load([f.spark_path for f in files])
+    return listed.select(
+        F.col("_metadata.file_path").alias("uri"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified")
+    )
+
+
 def line_manifest(lines: DataFrame) -> DataFrame:
     """``uri, bytes, sha256`` per file or slice from ``uri, offset, value``, see :func:`digests.line_digest`."""
     return digests.line_digest(lines)

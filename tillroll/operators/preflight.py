@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from tillroll import model as M
 from tillroll.functions.csvline import parse_event_lines
 from tillroll.model import GroupMode
+from tillroll.operators import digests
 from tillroll.operators.aggregate import exact_sum
 from tillroll.operators.prepare import prepare
 from tillroll.sources.files import InputFile, scan_splits
@@ -87,22 +89,41 @@ def file_statistics(
 def tally_files(spark: SparkSession, files: Sequence[InputFile], mode: GroupMode | str) -> DataFrame:
     """Everything a run needs to know of its lines, from one scan.
 
-    A row per file, fault, outcome and group: ``n, sum_minor, missing_code`` and ``opening``, which
-    says what the first line of the file was. :func:`statistics_of` rolls it up to preflight
-    statistics; outcome counts and group states are plain sums over it.
+    A row per file (and region of it), fault, outcome and group: ``n, sum_minor, missing_code``, the
+    sums of :mod:`digests` over the lines and ``opening``, which says what the first line of the
+    file was. :func:`statistics_of` rolls it up to preflight statistics, :func:`outcomes_of` to a
+    digest; outcome counts and group states are plain sums over it.
     """
     starts = F.when(F.col("split_start") == 0, F.monotonically_increasing_id())
-    faulty = _with_fault(scan_splits(spark, files).withColumn("_position", starts), GroupMode.of(mode))
-    prepared = prepare(faulty, mode, keep=("uri", "_position", "fault"))
+    region = F.expr(f"split_start div {digests.REGION_BYTES}")
+    lines = scan_splits(spark, files).withColumns({"_position": starts, "_region": region})
+    faulty = _with_fault(lines, GroupMode.of(mode))
+    prepared = prepare(faulty, mode, keep=("uri", "_position", "_region", "fault", "value"))
     opening = F.col("_position") * 2 + (F.col("reason") != M.HEADER).cast("bigint")
-    return prepared.withColumn("opening", opening).groupBy("uri", "fault", "reason", "group_key").agg(
+    placed = prepared.withColumn("opening", opening)
+    keep = ("uri", "_region", "fault", "reason", "group_key", "price_minor", "missing_code", "opening")
+    hashed = digests.with_quick_words(placed, "value", keep)
+    return hashed.groupBy("uri", "_region", "fault", "reason", "group_key").agg(
         F.count(F.lit(1)).alias("n"),
         exact_sum("price_minor").alias("sum_minor"),
         F.count_if("missing_code").alias("missing_code"),
         F.min("opening").alias("opening"),
+        *digests.word_sums(),
     )
 
 
+def outcomes_of(tallied: DataFrame) -> tuple[dict[str, int], str]:
+    """Lines per outcome, and a digest of all lines of all files.
+
+    The digest does not depend on the order of the lines, and counts repeated ones as often as they occur; a result is a
+    function of just that. The input was read for it by the scan that made the tally.
+    """
+    rows = tallied.groupBy("reason").agg(exact_sum("n").alias("n"), *digests.merged_words()).collect()
+    sums = [sum(int(r[w]) for r in rows) % (1 << 64) for w in digests.WORDS]
+    text = ":".join(map(str, [sum(r["n"] for r in rows), *sums]))
+    return {r["reason"]: r["n"] for r in rows}, hashlib.sha256(text.encode()).hexdigest()
+
+
 def statistics_of(tallied: DataFrame, files: Sequence[InputFile]) -> DataFrame:
     """:func:`inspect_files` from the tally, with a row for every file."""
     listed = tallied.sparkSession.createDataFrame([(f.uri,) for f in files], "uri string")

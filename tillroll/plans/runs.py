@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import datetime
 import time
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll import model as M
@@ -16,11 +16,10 @@ from tillroll.model import DEFAULT_SEED, GroupMode
 from tillroll.operators import aggregate as agg
 from tillroll.operators import compare, manifest, preflight, profile, sample
 from tillroll.operators import dictionary as dic
-from tillroll.operators.prepare import prepare
 from tillroll.session import materialize
 from tillroll.sinks import writers
 from tillroll.sources.artifacts import read_artifact, read_manifest
-from tillroll.sources.files import InputFile, files_at, list_csv, scan_lines, scan_splits
+from tillroll.sources.files import InputFile, files_at, list_csv, scan_lines
 from tillroll.sources.results import parse_result_lines, read_result_lines
 
 
@@ -30,7 +29,7 @@ class RunFailed(RuntimeError):
 
 _REPORT = (
     "schemaVersion int, inputFingerprint string, groupMode string, validPurchaseCount bigint, lines bigint, "
-    "errors array<string>"
+    "errors array<string>, contentDigest string"
 )
 _PROFILE = (
     "schemaVersion int, inputFingerprint string, groupMode string, policyHash string, validPurchaseCount bigint, "
@@ -44,32 +43,38 @@ _RECORD = (
 )
 
 
+#: Size and time by file.
+Stamps = dict[str, tuple[int, datetime.datetime]]
+
+
 @dataclass
 class Preflight:
     files: list[InputFile]
     mode: GroupMode
     statistics: DataFrame  # a row per file; using it again scans the files again unless there is a tally
-    manifest: DataFrame  # a row per file, stored
+    manifest: DataFrame | None  # a row per file, stored; not made if a stored report vouches for the lines
     fingerprint: str
     lines: int
     valid_purchases: int
     errors: list[str] = field(default_factory=list)
-    tallied: DataFrame | None = None  # outcomes and states of the same scan, stored
+    tallied: DataFrame | None = None  # outcomes, states and digests of the same scan, stored
+    counters: dict[str, int] = field(default_factory=dict)  # lines per outcome
+    content: str | None = None  # digest of the lines of that scan
+    stamps: Stamps | None = None  # of the files before the first read
 
     @property
     def valid(self) -> bool:
         return not self.errors
 
     @property
-    def counters(self) -> dict[str, int]:
-        """Lines per outcome."""
-        rows = self.tallied.groupBy("reason").agg(F.sum("n").alias("n"))
-        return {r.reason: r.n for r in rows.collect()}
+    def file_states(self) -> DataFrame:
+        """One state for each file and group."""
+        valid = self.tallied.where(F.col("reason") == M.VALID_PURCHASE)
+        return agg.merge_states(valid.select("uri", "group_key", "sum_minor", F.col("n").alias("purchase_count")), "uri", "group_key")
 
     @property
     def states(self) -> DataFrame:
-        valid = self.tallied.where(F.col("reason") == M.VALID_PURCHASE)
-        return agg.merge_states(valid.select("group_key", "sum_minor", F.col("n").alias("purchase_count")))
+        return agg.merge_states(self.file_states)
 
 
 def run_preflight(
@@ -77,18 +82,27 @@ def run_preflight(
     files: Sequence[InputFile],
     mode: GroupMode | str,
     max_errors: int = M.MAX_REPORTED_ERRORS,
-    tally: bool = False,
+    known: Row | None = None,
 ) -> Preflight:
-    """Check and digest event files. Offsets of broken lines are looked up only when there are any.
+    """Check and digest event files, in two reads: one for the digests of files, one for the lines.
 
-    With ``tally`` the scan that checks the lines also yields outcomes and group states.
+    The scan that checks the lines also yields their digest, outcomes and group states. Offsets of
+    broken lines are looked up only when there are any. ``known`` is the stored report of an earlier
+    preflight: if the lines have the digest it states, they are the input of its fingerprint, and the
+    files are not read for that again; ``manifest`` is missing then.
     """
     mode = GroupMode.of(mode)
-    digests = materialize(manifest.file_manifest(spark, files))
-    tallied = materialize(preflight.tally_files(spark, files, mode)) if tally else None
-    statistics = preflight.statistics_of(tallied, files) if tally else preflight.inspect_files(spark, files, mode)
+    stamps = _stamps(spark, files)
+    tallied = materialize(preflight.tally_files(spark, files, mode))
+    statistics = preflight.statistics_of(tallied, files)
     totals = preflight.preflight_totals(statistics).first()
-    fingerprint = manifest.manifest_fingerprint(digests).first()["input_fingerprint"]
+    counters, content = preflight.outcomes_of(tallied)
+    digests, fingerprint = None, None
+    if known is not None and known["contentDigest"] == content:
+        fingerprint = known["inputFingerprint"]
+    else:
+        digests = materialize(manifest.file_manifest(spark, files))
+        fingerprint = manifest.manifest_fingerprint(digests).first()["input_fingerprint"]
     errors: list[str] = []
     if totals["errors"]:
         located = preflight.line_violations(scan_lines(spark, files), mode)
@@ -99,8 +113,9 @@ def run_preflight(
         errors = [
             f"{r.rule}: {r.uri}" + ("" if r.rule == preflight.NO_HEADER else f"@{r.offset}") for r in reported.collect()
         ]
+    lines, purchases = totals["lines"], totals["valid_purchases"]
     return Preflight(
-        list(files), mode, statistics, digests, fingerprint, totals["lines"], totals["valid_purchases"], errors, tallied
+        list(files), mode, statistics, digests, fingerprint, lines, purchases, errors, tallied, counters, content, stamps
     )
 
 
@@ -125,6 +140,7 @@ def write_preflight(checked: Preflight, manifest_path: str, report_path: str) ->
         F.lit(checked.mode.value).alias("groupMode"),
         F.lit(checked.valid_purchases).alias("validPurchaseCount"),
         F.lit(checked.lines).alias("lines"),
+        F.lit(checked.content).alias("contentDigest"),
         F.array().cast("array<string>").alias("errors"),
     )
     writers.write_artifact(report, report_path)
@@ -142,9 +158,32 @@ def _unchanged(stored: DataFrame, current: DataFrame, max_errors: int = M.MAX_RE
         raise RunFailed(f"The input is not the same any more: {[f'{r.change} {r.uri}' for r in changed]}")
 
 
-def _matches_report(spark: SparkSession, path: str, checked: Preflight) -> None:
-    """The stored preflight report at ``path`` speaks of this input, mode and number of purchases."""
-    report = read_artifact(spark, path, _REPORT).first()
+def _stamps(spark: SparkSession, files: Sequence[InputFile]) -> Stamps:
+    """Size and time of each file, as many entries as ``files`` has."""
+    columns = manifest.file_stamps(spark, files).toArrow().to_pydict()
+    return dict(zip(columns["uri"], zip(columns["bytes"], columns["modified"], strict=True), strict=True))
+
+
+def _same_files(before: Stamps, spark: SparkSession, files: Sequence[InputFile]) -> None:
+    """Sizes and times of the files are what they were before the first read."""
+    now = _stamps(spark, files)
+    _refuse(uri for uri in before.keys() | now.keys() if before.get(uri) != now.get(uri))
+
+
+def _sizes_match(stored: DataFrame, stamps: Stamps) -> None:
+    """The files have the names and sizes that a stored manifest lists."""
+    listed = stored.select("uri", "bytes").toArrow().to_pydict()
+    sizes = dict(zip(listed["uri"], listed["bytes"], strict=True))
+    _refuse(uri for uri in sizes.keys() | stamps.keys() if uri not in stamps or stamps[uri][0] != sizes.get(uri))
+
+
+def _refuse(changed: Iterable[str]) -> None:
+    if names := sorted(changed)[: M.MAX_REPORTED_ERRORS]:
+        raise RunFailed(f"The input is not the same any more: {names}")
+
+
+def _matches_report(report: Row | None, checked: Preflight) -> None:
+    """The stored preflight report speaks of this input, mode and number of purchases."""
     mine = (M.SCHEMA_VERSION, checked.fingerprint, checked.mode.value, checked.valid_purchases, checked.lines)
     if report is None or tuple(report)[:5] != mine or report.errors:
         raise RunFailed(f"The preflight report is of another input or mode: {report}, now {mine}")
@@ -164,17 +203,17 @@ def run_profile(
 ) -> Profile:
     """Outcome counts, purchases per group and the group dictionary, from one pass over the lines.
 
-    All of it belongs to the files as digested before that pass; if they are others afterwards, the
+    All of it belongs to the files as digested; if their sizes or times are others afterwards, the
     run fails.
     """
     began = time.monotonic()
-    checked = run_preflight(spark, files, mode, tally=True)
+    checked = run_preflight(spark, files, mode)
     if not checked.valid:
         raise RunFailed(f"The input breaks rules: {checked.errors}")
     reasons = checked.tallied.groupBy("reason").agg(F.sum("n").alias("n"))
     groups = materialize(checked.states.select("group_key", "purchase_count"))
     dictionary = materialize(dic.build_dictionary(groups, max_keys))
-    _unchanged(checked.manifest, manifest.file_manifest(spark, files))
+    _same_files(checked.stamps, spark, files)
     return Profile(checked, reasons, groups, dictionary, round((time.monotonic() - began) * 1000))
 
 
@@ -255,8 +294,11 @@ def run_aggregate(
 
     Published only if the input passes preflight and matches its manifest and preflight report (if
     given), no damaged line turned up, the written result validates and adds up to the counted
-    purchases, and the input is still the same afterwards. Otherwise :class:`RunFailed` is raised
-    and the target does not exist; the record of the failed run is written to ``failed_record``.
+    purchases, and the files have the same sizes and times afterwards. Otherwise :class:`RunFailed` is
+    raised and the target does not exist; the record of the failed run is written to ``failed_record``.
+
+    Counters, states and the digest of the lines come from one scan. The files are read once more for
+    their published digests, unless the stored report knows the lines by their digest already.
     """
     began, started = time.monotonic(), datetime.datetime.now(datetime.timezone.utc)
     record = {
@@ -274,26 +316,25 @@ def run_aggregate(
     writers.ensure_apart(spark, output, *(f.uri for f in files))
     staged = writers.staging_path(output)
     try:
-        checked = run_preflight(spark, files, mode, tally=True)
+        report = read_artifact(spark, stored_report, _REPORT).first() if stored_report is not None else None
+        checked = run_preflight(spark, files, mode, known=report)
         record |= {"inputFingerprint": checked.fingerprint, "preprocessingMillis": _since(began)}
         record |= {"counters": checked.counters}
         if not checked.valid:
             raise RunFailed(f"The input breaks rules: {checked.errors}")
         if stored_manifest is not None:
-            _unchanged(stored_manifest, checked.manifest)
+            if checked.manifest is None:
+                _sizes_match(stored_manifest, checked.stamps)
+            else:
+                _unchanged(stored_manifest, checked.manifest)
         if stored_report is not None:
-            _matches_report(spark, stored_report, checked)
+            _matches_report(report, checked)
         if dictionary is not None and "checksum" in dictionary.columns:
             dictionary = check_dictionary(dictionary, checked.fingerprint, mode)
         if checked.counters.get(M.MALFORMED_CSV, 0):
             raise RunFailed("Lines turned out malformed during the run")
         preflighted = time.monotonic()
-        if agg.VARIANTS.get(strategy, strategy) == "partial":
-            states = checked.states
-        else:
-            prepared = prepare(parse_event_lines(scan_splits(spark, files)), mode)
-            states = agg.aggregate(prepared, strategy, dictionary)
-        writers.stage_result(states, staged)
+        writers.stage_result(agg.route_states(checked.file_states, strategy, dictionary, "uri"), staged)
         record["jobMillis"] = _since(preflighted)
         checks = compare.validate_result(
             parse_result_lines(read_result_lines(spark, staged)), checked.valid_purchases, max_keys
@@ -304,7 +345,7 @@ def run_aggregate(
             raise RunFailed(f"The result has {checks['group_count']} groups, more than {max_keys}")
         if not checks["valid"] or counted != checked.valid_purchases:
             raise RunFailed(f"Sums or counts differ: {checks.asDict()}, counted {counted}")
-        _unchanged(checked.manifest, manifest.file_manifest(spark, files))
+        _same_files(checked.stamps, spark, files)
         record |= {"success": True, "endToEndMillis": _since(began)}
         writers.write_artifact(_record_row(spark, record), f"{staged}/_run-manifest.json")
         writers.publish(spark, staged, output)
@@ -378,7 +419,7 @@ def run_sample(
     staged = writers.staging_path(directory)
     try:
         writers.write_sample(kept, staged)
-        _unchanged(stored_manifest, manifest.file_manifest(spark, files))
+        _same_files(source.stamps, spark, files)
         writers.publish(spark, staged, directory)
     finally:
         writers.discard(spark, staged)
