@@ -292,6 +292,7 @@ ID_RESULT = rollup(judged("id"), "valid")
 ORACLES: dict[str, str] = {
     "purchase_value_by_category_id": rollup(RAW, "clean WHERE event_type = 'purchase'", "category_id"),
     "purchase_value_by_category_code": rollup(judged("code"), "valid"),
+    "incremental_rollup": rollup(judged("code"), "valid"),
     "purchase_value_by_category_root": rollup(judged("root"), "valid"),
     "order_value_by_customer": rollup(ORDERS, "orders_minor", "customer"),
     "order_value_by_priority": rollup(ORDERS, "orders_minor", "split_part(priority, '.', 1)"),
