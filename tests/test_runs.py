@@ -42,8 +42,11 @@ def test_every_route_gives_one_result(spark, events, tmp_path):
     files = list_csv(spark, str(events.parent))
     profiled = runs.run_profile(spark, files, "category_id")
     assert {tuple(r) for r in profiled.reasons.collect()} == {("HEADER", 1), ("VALID_PURCHASE", 4), ("NON_PURCHASE", 1)}
-    runs.write_dictionary(profiled, str(tmp_path / "groups.json"))
-    dictionary = read_dictionary(spark, str(tmp_path / "groups.json"))
+    runs.write_dictionary(profiled, str(tmp_path / "groups"))
+    dictionary = read_dictionary(spark, str(tmp_path / "groups"))
+    runs.write_dictionary_object(profiled, str(tmp_path / "groups.json"))
+    single = read_dictionary(spark, str(tmp_path / "groups.json"))
+    assert runs.check_dictionary(single, profiled.preflight.fingerprint, "category_id").exceptAll(dictionary.select("id", "group_key")).isEmpty()
     for strategy in ("v1", "v2", "v4", "v5"):
         out = str(tmp_path / strategy)
         record = runs.run_aggregate(spark, files, out, "category_id", strategy, dictionary)
@@ -60,8 +63,9 @@ def test_every_route_gives_one_result(spark, events, tmp_path):
     # A dictionary of other input, or a damaged one, is refused.
     with pytest.raises(runs.RunFailed, match="of another input or damaged"):
         runs.check_dictionary(dictionary, "other", "category_id")
-    with pytest.raises(runs.RunFailed, match="of another input or damaged"):
-        runs.check_dictionary(dictionary.where("id = 0"), profiled.preflight.fingerprint, "category_id")
+    for stored in (dictionary, single):
+        with pytest.raises(runs.RunFailed, match="of another input or damaged"):
+            runs.check_dictionary(stored.where("id = 0"), profiled.preflight.fingerprint, "category_id")
     with pytest.raises(Exception, match="More than 1 groups"):
         runs.run_profile(spark, files, "category_id", max_keys=1)
     with pytest.raises(runs.RunFailed, match="2 groups, more than 1"):

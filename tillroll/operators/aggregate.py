@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.money import average_minor, format_minor
+from tillroll.functions.sums import exact_sum
 from tillroll.operators.dictionary import decode, encode
 
 STRATEGIES = ("partial", "dictionary", "packed")
@@ -20,12 +21,6 @@ VARIANTS = {"v1": "partial", "v2": "partial", "v3": "partial", "v4": "dictionary
 PACKED_IDS = 1024
 
 
-def exact_sum(column: str) -> Column:
-    """A ``bigint`` sum that fails on overflow whether or not the session runs in ANSI mode."""
-    total, message = f"try_sum({column})", f"Sum of {column} leaves the range of bigint"
-    return F.expr(f"if({total} IS NULL AND count({column}) > 0, raise_error('{message}'), {total})")
-
-
 def key_or_blank() -> Column:
     """The group key, or an empty text, which is no key, on rows that are no valid purchase.
 

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillroll.functions.text import has_line_break_or_tab, utf16_length, utf16_order
 from tillroll.model import MAX_KEY_BYTES, POLICY_HASH, SCHEMA_VERSION, GroupMode
-from tillroll.session import at_most, fail_if, materialize
+from tillroll.operators import digests
+from tillroll.operators.digests import Shape
+from tillroll.session import fail_if, materialize, row_count
 
 def counted_groups(prepared: DataFrame) -> DataFrame:
     """Valid purchases per key. The blank group of all other rows counts zero and falls away."""
@@ -15,13 +22,52 @@ def counted_groups(prepared: DataFrame) -> DataFrame:
     return counted.where(F.col("purchase_count") > 0)
 
 
+class TooManyGroups(ValueError):
+    """There are more groups than the caller allows."""
+
+
 def guarded(groups: DataFrame, max_keys: int | None) -> DataFrame:
-    """``groups`` as it is, or a failed job if it has more than ``max_keys`` rows."""
+    """``groups`` stored, or :class:`TooManyGroups` if it has more than ``max_keys`` rows; it is worked out once."""
     if max_keys is None:
         return groups
     if max_keys < 1:
         raise ValueError("max_keys must be positive")
-    return at_most(groups, max_keys, "group_key", f"More than {max_keys} groups")
+    groups = materialize(groups)
+    if (count := groups.count()) > max_keys:
+        raise TooManyGroups(f"More than {max_keys} groups: {count}")
+    return groups
+
+
+def guard_rows(rows: DataFrame, max_keys: int | None, key: str = "group_key") -> DataFrame:
+    """``rows`` as they are; a task that meets more than ``max_keys`` keys fails the job, before anything is shuffled.
+
+    A task keeps that many 64-bit hashes of keys at most. Keys that are too many only together are left to
+    :func:`guarded`, which counts them exactly after the grouping.
+    """
+    if max_keys is None:
+        return rows
+    if max_keys < 1:
+        raise ValueError("max_keys must be positive")
+    hashed = rows.withColumn("_key", F.when(F.col(key).isNotNull(), F.xxhash64(key)))
+    schema = StructType([f for f in hashed.schema.fields if f.name != "_key"])
+    return hashed.mapInArrow(_key_counter(max_keys), schema)
+
+
+def _key_counter(max_keys: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Nested so that it travels to executors by value."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            at = batch.schema.get_field_index("_key")
+            seen.update(pc.unique(batch.column(at)).drop_null().to_pylist())
+            if len(seen) > max_keys:
+                raise ValueError(f"More than {max_keys} groups")
+            yield pa.RecordBatch.from_arrays(
+                [c for i, c in enumerate(batch.columns) if i != at], names=[n for n in batch.schema.names if n != "_key"]
+            )
+
+    return check
 
 
 def build_dictionary(groups: DataFrame, max_keys: int | None = None) -> DataFrame:
@@ -90,6 +136,38 @@ def dictionary_checksum(dictionary: DataFrame, fingerprint: Column, mode: GroupM
     return provenance.withColumn("checksum", F.sha2(F.concat(head, "body"), 256)).drop("body")
 
 
+#: Ids to a block of the digest, 1024 blocks to a node above.
+RANGES = Shape(block_bytes=4096)
+
+
+def _as_lines(dictionary: DataFrame) -> DataFrame:
+    return dictionary.select(F.lit("dictionary").alias("uri"), F.col("id").cast("bigint").alias("offset"), F.col("group_key").alias("value"))
+
+
+def dictionary_digest(dictionary: DataFrame, fingerprint: Column, mode: GroupMode | str) -> DataFrame:
+    """Provenance and a digest over all ids and keys, of a dictionary of any size.
+
+    Tasks add up hashes of entries by ranges of ids (:mod:`digests`); no row, task or text holds the keys. An empty
+    dictionary has a digest too.
+    """
+    root = digests.line_digest(_as_lines(dictionary)).agg(F.coalesce(F.max("sha256"), F.lit("")).alias("root"))
+    head = ("input_fingerprint", "group_mode", "policy_hash", "groups", "root")
+    rows = root.select(
+        fingerprint.alias("input_fingerprint"),
+        F.lit(GroupMode.of(mode).value).alias("group_mode"),
+        F.lit(POLICY_HASH).alias("policy_hash"),
+        row_count(dictionary).alias("groups"),
+        "root",
+    )
+    text = F.concat_ws("|", *(F.col(c).cast("string") for c in head))
+    return rows.select(*head[:-1], F.sha2(text.cast("binary"), 256).alias("digest"))
+
+
+def dictionary_tree(dictionary: DataFrame, shape: Shape = RANGES) -> DataFrame:
+    """Digests of ranges of ids under one root; two trees tell by :func:`digests.tree_drift` in which ranges they differ."""
+    return digests.tree(_as_lines(dictionary), shape)
+
+
 def dictionary_violations(dictionary: DataFrame, max_keys: int | None = None) -> DataFrame:
     """``id, group_key, rule`` for every entry that breaks a rule.
 

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.operators.aggregate import exact_sum
+from tillroll.functions.sums import exact_sum
 from tillroll.session import fail_if, materialize, select_in_steps
 
 WORDS = tuple(f"w{i}" for i in range(8))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.text import utf16_order
 from tillroll.operators.aggregate import exact_sum
-from tillroll.operators.dictionary import counted_groups, guarded
+from tillroll.operators.dictionary import counted_groups, guard_rows, guarded
 
 
 def reason_counts(prepared: DataFrame) -> DataFrame:
@@ -21,8 +21,12 @@ def missing_code_count(prepared: DataFrame) -> DataFrame:
 
 
 def group_counts(prepared: DataFrame, max_keys: int | None = None) -> DataFrame:
-    """Valid purchases per group in key order; with ``max_keys`` set, more groups fail the job."""
-    return guarded(counted_groups(prepared), max_keys).orderBy(F.expr(utf16_order("group_key")))
+    """Valid purchases per group in key order; with ``max_keys`` set, more groups fail the job.
+
+    A task that meets too many groups fails at once; the exact count is taken from the groups, which are made once.
+    """
+    needed = prepared.select("group_key", "price_minor") if max_keys else prepared
+    return guarded(counted_groups(guard_rows(needed, max_keys)), max_keys).orderBy(F.expr(utf16_order("group_key")))
 
 
 def tally(prepared: DataFrame) -> DataFrame:

@@ -411,6 +411,15 @@ def dictionary_checksum(spark: SparkSession, sf: str) -> DataFrame:
     return dic.dictionary_checksum(group_dictionary(spark, sf), F.lit("events"), CODE)
 
 
+def dictionary_digest(spark: SparkSession, sf: str) -> DataFrame:
+    return dic.dictionary_digest(group_dictionary(spark, sf), F.lit("events"), CODE)
+
+
+def dictionary_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """Digests of eight ids each of the code dictionary, and those above."""
+    return dic.dictionary_tree(group_dictionary(spark, sf), digests.Shape(block_bytes=8, fanout=4, height=5))
+
+
 def _damaged_dictionary(spark: SparkSession, sf: str) -> DataFrame:
     """The code dictionary with repeated, swapped, overlong and unsafe entries."""
     entry, key = F.col("id"), F.col("group_key")
@@ -656,6 +665,8 @@ QUERIES: dict[str, Query] = {
         manifest_fingerprint,
         provenance_match,
         dictionary_checksum,
+        dictionary_digest,
+        dictionary_ranges,
         dictionary_violations,
         state_violations,
         packed_violations,

@@ -171,14 +171,14 @@ def manifest(name: str, source: str, kind: str) -> str:
     return summed_digest(name, placed(source, kind))
 
 
-def block_tree(name: str, source: str, kind: str, block: int, fanout: int, height: int) -> str:
-    """CTEs ending in ``name``: the nodes of the tree over blocks of the day's events."""
+def block_tree(name: str, source: str, block: int, fanout: int, height: int) -> str:
+    """CTEs ending in ``name``: the nodes of the tree over blocks of ``uri, place, value``."""
     levels = [
         f"""{name}_0 AS (
   SELECT uri, 0 AS level, node, first_byte, last_byte, lines, sha256(lines || ':' || {WORDS_TEXT}) AS sha256
   FROM (SELECT uri, place // {block} AS node, MIN(place) AS first_byte, MAX(place + strlen(value)) AS last_byte,
                COUNT(*) AS lines, {WORD_SUMS}
-        FROM (SELECT *, sha256(place || ':' || value) AS hash FROM {placed(source, kind)}) GROUP BY ALL))"""
+        FROM (SELECT *, sha256(place || ':' || value) AS hash FROM {source}) GROUP BY ALL))"""
     ]
     for level in range(1, height + 1):
         levels.append(
@@ -390,10 +390,10 @@ SELECT uri, CASE WHEN d.sha256 IS NULL THEN 'missing' WHEN c.sha256 IS NULL THEN
                  WHEN c.bytes <> d.bytes THEN 'bytes' ELSE 'content' END AS change
 FROM left_digest c FULL JOIN right_digest d USING (uri)
 WHERE c.bytes IS DISTINCT FROM d.bytes OR c.sha256 IS DISTINCT FROM d.sha256""",
-    "block_manifest": f"""WITH {DIRTY}, {block_tree("dirty_tree", "dirty", "kind", 256, 8, 4)}
+    "block_manifest": f"""WITH {DIRTY}, {block_tree("dirty_tree", placed("dirty", "kind"), 256, 8, 4)}
 SELECT uri, level, node, first_byte, last_byte, lines, sha256 FROM dirty_tree""",
-    "block_drift": f"""WITH {DIRTY}, {block_tree("clean_tree", "clean", "'EVENT'", 256, 8, 4)},
-{block_tree("dirty_tree", "dirty", "kind", 256, 8, 4)}
+    "block_drift": f"""WITH {DIRTY}, {block_tree("clean_tree", placed("clean", "'EVENT'"), 256, 8, 4)},
+{block_tree("dirty_tree", placed("dirty", "kind"), 256, 8, 4)}
 SELECT uri, least(c.first_byte, d.first_byte) AS first_byte, greatest(c.last_byte, d.last_byte) AS last_byte,
        CASE WHEN d.sha256 IS NULL THEN 'missing' WHEN c.sha256 IS NULL THEN 'added' ELSE 'content' END AS change
 FROM (SELECT * FROM clean_tree WHERE level = 0) c FULL JOIN (SELECT * FROM dirty_tree WHERE level = 0) d USING (uri, node)
@@ -412,6 +412,16 @@ SELECT 'events' AS input_fingerprint, 'CATEGORY_CODE' AS group_mode, '{POLICY_HA
        sha256('1|events|CATEGORY_CODE|{POLICY_HASH}' ||
               string_agg(chr(10) || length(group_key) || ':' || group_key, '' ORDER BY id)) AS checksum
 FROM dictionary""",
+    "dictionary_digest": f"""WITH {dictionary("code")},
+entries AS (SELECT 'dictionary' AS uri, id AS place, group_key AS value FROM dictionary),
+{summed_digest("whole", "entries")},
+head AS (SELECT (SELECT COUNT(*) FROM dictionary) AS groups, sha256 AS root FROM whole)
+SELECT 'events' AS input_fingerprint, 'CATEGORY_CODE' AS group_mode, '{POLICY_HASH}' AS policy_hash, groups,
+       sha256('events|CATEGORY_CODE|{POLICY_HASH}|' || groups || '|' || root) AS digest FROM head""",
+    "dictionary_ranges": f"""WITH {dictionary("code")},
+entries AS (SELECT 'dictionary' AS uri, id AS place, group_key AS value FROM dictionary),
+{block_tree("ranges", "entries", 8, 4, 5)}
+SELECT uri, level, node, first_byte, last_byte, lines, sha256 FROM ranges""",
     "dictionary_violations": f"""WITH {dictionary("code")},
 damaged AS (
   SELECT id, CASE WHEN id % 10 = 3 THEN group_key || chr(9) || 'x' WHEN id % 10 = 5 THEN rpad(group_key, 300, 'z')

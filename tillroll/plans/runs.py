@@ -246,8 +246,38 @@ def read_profiles(spark: SparkSession, directories: Sequence[str]) -> DataFrame:
     return spark.read.schema(_PROFILE).json([f"{d.rstrip('/')}/profile.json" for d in directories])
 
 
+#: Most groups of a dictionary that is published as one object.
+MAX_OBJECT_KEYS = 100_000
+
+
 def write_dictionary(profiled: Profile, path: str) -> None:
-    """Publish the dictionary with its provenance and checksum as one JSON object."""
+    """Publish the dictionary as a folder: entries as JSON lines in id order, spread over files, and a head.
+
+    The head has provenance, number of groups and the digest over all entries, which tasks add up.
+    """
+    spark, mode = profiled.dictionary.sparkSession, profiled.preflight.mode
+    writers.ensure_new(spark, path)
+    staged = writers.staging_path(path)
+    head = dic.dictionary_digest(profiled.dictionary, F.lit(profiled.preflight.fingerprint), mode).select(
+        F.lit(M.SCHEMA_VERSION).alias("schemaVersion"),
+        F.col("input_fingerprint").alias("inputFingerprint"),
+        F.col("group_mode").alias("groupMode"),
+        F.col("policy_hash").alias("policyHash"),
+        "groups",
+        "digest",
+    )
+    entries = profiled.dictionary.repartitionByRange("id").sortWithinPartitions("id")
+    try:
+        writers.write_artifact(entries.select("id", F.col("group_key").alias("group")), f"{staged}/entries.json")
+        writers.write_artifact(head.coalesce(1), f"{staged}/head.json")
+        writers.publish(spark, staged, path)
+    finally:
+        writers.discard(spark, staged)
+
+
+def write_dictionary_object(profiled: Profile, path: str) -> None:
+    """Publish a dictionary of at most a hundred thousand groups as one JSON object, with the checksum of its one text."""
+    dic.guarded(profiled.dictionary, MAX_OBJECT_KEYS)
     fingerprint = F.lit(profiled.preflight.fingerprint)
     head = dic.dictionary_checksum(profiled.dictionary, fingerprint, profiled.preflight.mode).first()
     gathered = profiled.dictionary.agg(F.array_sort(F.collect_list(F.struct("id", "group_key"))).alias("entries"))
@@ -266,10 +296,12 @@ def check_dictionary(stored: DataFrame, fingerprint: str, mode: GroupMode | str)
     """``id, group_key`` of a stored dictionary that belongs to this input and is undamaged."""
     mode = GroupMode.of(mode)
     rows = stored.select("id", "group_key")
-    provenance = ("input_fingerprint", "group_mode", "policy_hash", "checksum")
+    by_object = "checksum" in stored.columns
+    provenance = ("input_fingerprint", "group_mode", "policy_hash", "checksum" if by_object else "digest")
     head = stored.select(*provenance).distinct().limit(2).collect()
     if head:
-        recomputed = dic.dictionary_checksum(rows, F.lit(fingerprint), mode).first()
+        recompute = dic.dictionary_checksum if by_object else dic.dictionary_digest
+        recomputed = recompute(rows, F.lit(fingerprint), mode).first()
         if len(head) > 1 or any(head[0][c] != recomputed[c] for c in provenance):
             raise RunFailed("The dictionary is of another input or damaged")
     if not dic.dictionary_violations(rows).isEmpty():
@@ -329,7 +361,7 @@ def run_aggregate(
                 _unchanged(stored_manifest, checked.manifest)
         if stored_report is not None:
             _matches_report(report, checked)
-        if dictionary is not None and "checksum" in dictionary.columns:
+        if dictionary is not None and {"checksum", "digest"} & set(dictionary.columns):
             dictionary = check_dictionary(dictionary, checked.fingerprint, mode)
         if checked.counters.get(M.MALFORMED_CSV, 0):
             raise RunFailed("Lines turned out malformed during the run")

@@ -80,12 +80,3 @@ def fail_if(condition: Column, message: Column | str, value: Column) -> Column:
 def row_count(df: DataFrame) -> Column:
     """The number of rows of ``df`` as a scalar subquery, known before the outer stage starts."""
     return df.agg(F.count(F.lit(1)).alias("n")).scalar()
-
-
-def at_most(df: DataFrame, limit: int, column: str, message: str) -> DataFrame:
-    """``df`` unchanged when it has no more than ``limit`` rows, otherwise a failed job.
-
-    The count is a subquery, so it is settled before any row of ``df`` is moved: a later
-    single-task step or broadcast never sees more than ``limit`` rows.
-    """
-    return df.withColumn(column, fail_if(row_count(df) > limit, message, F.col(column)))

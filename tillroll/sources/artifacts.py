@@ -47,8 +47,25 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(uri.alias("uri"), "bytes", "sha256")
 
 
+_HEAD = "schemaVersion int, inputFingerprint string, groupMode string, policyHash string, groups bigint, digest string"
+
+
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
-    """``id, group_key`` plus the provenance columns, from one dictionary object."""
+    """``id, group_key`` plus the provenance columns: ``digest`` from a dictionary folder, ``checksum`` from one object."""
+    jpath, fs = hadoop_path(spark, f"{path.rstrip('/')}/head.json")
+    if fs.exists(jpath):
+        head = spark.read.schema(_HEAD).json(f"{path.rstrip('/')}/head.json").first()
+        if head is None:
+            raise InputError(f"The dictionary at {path} has no head")
+        entries = spark.read.schema("id bigint, group string").json(f"{path.rstrip('/')}/entries.json")
+        return entries.select(
+            "id",
+            F.col("group").alias("group_key"),
+            F.lit(head["inputFingerprint"]).alias("input_fingerprint"),
+            F.lit(head["groupMode"]).alias("group_mode"),
+            F.lit(head["policyHash"]).alias("policy_hash"),
+            F.lit(head["digest"]).alias("digest"),
+        )
     return read_artifact(spark, path, _DICTIONARY).select(
         F.posexplode("groups").alias("id", "group_key"),
         F.col("inputFingerprint").alias("input_fingerprint"),
