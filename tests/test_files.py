@@ -7,7 +7,7 @@ from tillroll.functions.keys import sample_bucket
 from tillroll.model import HEADER_LINE, POLICY_HASH
 from tillroll.operators import manifest, preflight
 from tillroll.sources import byteranges
-from tillroll.sources.files import InputError, files_at, list_csv, scan_lines, scan_lines_by_splits
+from tillroll.sources.files import InputError, files_at, hadoop_path, list_csv, scan_lines, scan_lines_by_splits
 
 GOOD = "t,purchase,1,1,a,b,1,u,s"
 
@@ -33,6 +33,34 @@ def test_listing(spark, tmp_path):
         list_csv(spark, str(tmp_path / "c.txt"))
 
 
+ODD_NAMES = ("é ü.csv", "a%20b.csv", "a+b&c=d;e,f.csv", "it's (1)!.csv", "x#y?.csv", "no\u00a0break.csv", "日本.csv", "[*]{a}.csv", "a~$@.csv")
+
+
+def test_names_are_escaped_as_spark_reports_them(spark, tmp_path):
+    for name in ODD_NAMES:
+        write(tmp_path / name, HEADER_LINE)
+    files = list_csv(spark, str(tmp_path))
+    jpath, fs = hadoop_path(spark, str(tmp_path))
+    spelled = [s.getPath().toString() for s in fs.listStatus(jpath)]
+    asked = {spark._jvm.org.apache.hadoop.fs.Path(p).toUri().toString() for p in spelled}
+    assert {f.uri for f in files} == asked and len(files) == len(ODD_NAMES)
+    assert files_at(spark, [f.uri for f in files]) == sorted(files, key=lambda f: f.uri)
+    for scan in (scan_lines, scan_lines_by_splits):
+        assert {r.uri for r in scan(spark, files).select("uri").collect()} == asked
+    with pytest.raises(InputError, match="No such input"):
+        files_at(spark, [files[0].uri, files[0].uri + "x.csv"])
+
+
+def test_many_names_need_no_call_each(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    for number in range(3000):
+        (tmp_path / "in" / f"{number:05}.csv").write_bytes(b"x" * (number % 7))
+    files = list_csv(spark, str(tmp_path / "in"))
+    monkeypatch.setattr("tillroll.sources.files.hadoop_path", None)  # would be asked for each file
+    found = files_at(spark, spark.createDataFrame([(f.uri,) for f in files], "uri string"))
+    assert found == files and [f.bytes for f in found] == [i % 7 for i in range(3000)]
+
+
 @pytest.mark.parametrize("scan", [scan_lines, scan_lines_by_splits])
 @pytest.mark.parametrize("split_bytes", ["128m", "5000b", "333b"])
 def test_offsets_do_not_depend_on_splits(spark, tmp_path, split_bytes, scan):

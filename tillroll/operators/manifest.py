@@ -14,6 +14,7 @@ from tillroll.functions.text import utf16_order
 from tillroll.model import POLICY_HASH, SCHEMA_VERSION
 from tillroll.operators import digests
 from tillroll.session import fail_if
+from tillroll.sources import byteranges
 from tillroll.sources.files import InputFile
 
 # Files up to this size are hashed as one value; larger ones are streamed.
@@ -23,12 +24,13 @@ _WHOLE_FILE_BYTES = 64 * 1024 * 1024
 def _file_hasher() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """SHA-256 of whole files in fixed memory; nested so that it travels to executors by value."""
 
+    address_of = byteranges.address_of
+
     def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for uri in batch["uri"]:
-                local = uri.startswith("file:/") and not uri.startswith("file://")
-                store, path = pafs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1) if local else uri)
+                store, path = pafs.FileSystem.from_uri(address_of(uri))
                 digest, size = hashlib.sha256(), 0
                 with store.open_input_stream(path) as stream:
                     while chunk := stream.read(8 << 20):

@@ -149,7 +149,7 @@ def write_preflight(checked: Preflight, manifest_path: str, report_path: str) ->
 def files_of_manifest(spark: SparkSession, path: str) -> tuple[list[InputFile], DataFrame]:
     """The files a stored manifest names, and its entries."""
     entries = read_manifest(spark, path)
-    return files_at(spark, [r.uri for r in entries.select("uri").orderBy("uri").toLocalIterator()]), entries
+    return files_at(spark, entries), entries
 
 
 def _unchanged(stored: DataFrame, current: DataFrame, max_errors: int = M.MAX_REPORTED_ERRORS) -> None:

@@ -8,12 +8,19 @@ known of other ranges.
 from __future__ import annotations
 
 import json
+import re
+import sys
+import urllib.parse
 import weakref
 from collections.abc import Iterator, Sequence
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource
 
+# What tasks need of this module travels with them: executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SOURCE = "tillroll_lines"
 SCHEMA = "uri string, offset bigint, value binary"
 #: Schemes of stores that tasks can open themselves.
@@ -27,6 +34,14 @@ def can_open(uri: str) -> bool:
     return uri.partition(":")[0] in SCHEMES
 
 
+def address_of(uri: str) -> str:
+    """``uri`` as Arrow's file systems take it."""
+    uri = re.sub(r"[^\x00-\x7f]+", lambda found: urllib.parse.quote(found.group()), uri)
+    if uri.startswith("file:/") and not uri.startswith("file://"):
+        return uri.replace("file:/", "file:///", 1)
+    return "s3:" + uri[4:] if uri.startswith("s3a:") else uri
+
+
 def tasks_of(files: Sequence[tuple[str, int]], task_bytes: int) -> list[list[tuple[str, int, int]]]:
     """Ranges ``(uri, start, end)`` of ``(uri, bytes)`` for each task: parts of a large file, or some small files."""
     tasks: list[list[tuple[str, int, int]]] = [[]]
@@ -43,8 +58,8 @@ def tasks_of(files: Sequence[tuple[str, int]], task_bytes: int) -> list[list[tup
 
 
 def line_source() -> type[DataSource]:
-    """The data source class; made in here so that it travels by value and executors need not have this package."""
-    plan, read_bytes, schema = tasks_of, _READ_BYTES, SCHEMA
+    """The data source class, with the sizes that hold now."""
+    plan, address, read_bytes, schema = tasks_of, address_of, _READ_BYTES, SCHEMA
 
     from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -68,12 +83,7 @@ def line_source() -> type[DataSource]:
     def lines_of(uri: str, start: int, end: int):
         import pyarrow.fs as pafs
 
-        address = uri
-        if uri.startswith("file:/") and not uri.startswith("file://"):
-            address = uri.replace("file:/", "file:///", 1)
-        elif uri.startswith("s3a:"):
-            address = "s3:" + uri[4:]
-        store, path = pafs.FileSystem.from_uri(address)
+        store, path = pafs.FileSystem.from_uri(address(uri))
         with store.open_input_file(path) as stream:
             # The byte before the range tells whether a line begins with it.
             place = max(0, start - 1)

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import re
+import unicodedata
+import urllib.parse
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,20 +35,45 @@ def hadoop_path(spark: SparkSession, path: str):
     return jpath, jpath.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def _named(uri: str, size: int) -> InputFile:
+    return InputFile(uri, size, re.sub(r"([\[\]{}*?\\])", r"\\\1", urllib.parse.unquote(uri)))
+
+
+def _uri(spark: SparkSession, qualified) -> str:
+    return spark._jvm.org.apache.hadoop.fs.Path(qualified.toString()).toUri().toString()
+
+
 def _input_file(spark: SparkSession, fs, status) -> InputFile:
-    path = fs.makeQualified(status.getPath()).toString()
-    uri = spark._jvm.org.apache.hadoop.fs.Path(path).toUri().toString()
-    return InputFile(uri, status.getLen(), re.sub(r"([\[\]{}*?\\])", r"\\\1", path))
+    return _named(_uri(spark, fs.makeQualified(status.getPath())), status.getLen())
+
+
+def escaped(name: str) -> str:
+    """A file name as it stands in a URI: as Java escapes it, letters of all scripts stay."""
+
+    def escape(found: re.Match) -> str:
+        char = found.group()
+        plain = ord(char) > 127 and unicodedata.category(char) not in ("Zs", "Zl", "Zp", "Cc")
+        return char if plain else urllib.parse.quote(char)
+
+    return re.sub(r"[^A-Za-z0-9_\-!.~'()*,;:$&+=@]", escape, name)
 
 
 def list_csv(spark: SparkSession, location: str) -> list[InputFile]:
-    """A file, or the ``*.csv`` files directly inside a directory, in path order."""
+    """A file, or the ``*.csv`` files directly inside a directory, in path order.
+
+    A directory is listed in one call, where its store can be opened from Python as well.
+    """
     jpath, fs = hadoop_path(spark, location)
     if not fs.exists(jpath):
         raise InputError(f"No such input: {location}")
     status = fs.getFileStatus(jpath)
+    parent = _uri(spark, fs.makeQualified(jpath)).rstrip("/")
     if status.isFile():
         found = [_input_file(spark, fs, status)]
+    elif byteranges.can_open(parent):
+        store, path = pafs.FileSystem.from_uri(byteranges.address_of(parent))
+        listed = (i for i in store.get_file_info(pafs.FileSelector(path)) if i.is_file and i.base_name.endswith(".csv"))
+        found = [_named(f"{parent}/{escaped(i.base_name)}", i.size) for i in listed]
     else:
         children = (s for s in fs.listStatus(jpath) if s.isFile())
         found = [_input_file(spark, fs, s) for s in children if s.getPath().getName().endswith(".csv")]
@@ -54,16 +82,57 @@ def list_csv(spark: SparkSession, location: str) -> list[InputFile]:
     return check_inputs(sorted(found, key=lambda f: f.spark_path))
 
 
-def files_at(spark: SparkSession, uris: Sequence[str]) -> list[InputFile]:
-    """Exactly the named files, as a manifest lists them."""
-    found = []
-    for uri in uris:
-        jpath = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
+def _sizes() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Sizes of named files, null for what is no file; nested so that it travels to executors by value."""
+    address_of = byteranges.address_of
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            uris = batch.column("uri").to_pylist()
+            stores: dict[str, tuple[pafs.FileSystem, list[int], list[str]]] = {}
+            for at, uri in enumerate(uris):
+                # The store of a scheme and host is opened once; what is left of the address is the path in it.
+                parts = urllib.parse.urlsplit(address_of(uri))
+                if (key := f"{parts.scheme}://{parts.netloc}") not in stores:
+                    stores[key] = pafs.FileSystem.from_uri(f"{key}/")[0], [], []
+                own = parts.path if parts.scheme in ("file", "hdfs") else parts.netloc + parts.path
+                stores[key][1].append(at)
+                stores[key][2].append(urllib.parse.unquote(own))
+            sizes: list[int | None] = [None] * len(uris)
+            for store, places, paths in stores.values():
+                for at, info in zip(places, store.get_file_info(paths), strict=True):
+                    sizes[at] = info.size if info.is_file else None
+            yield pa.RecordBatch.from_arrays([batch.column("uri"), pa.array(sizes, pa.int64())], names=["uri", "bytes"])
+
+    return look_up
+
+
+def files_at(spark: SparkSession, names: Sequence[str] | DataFrame) -> list[InputFile]:
+    """Exactly the named files (URIs, or a table with ``uri``), as a manifest lists them, in the order of their names.
+
+    Tasks look the names up, many at a time. Stores that only Spark can open are asked file by file.
+    """
+    if not isinstance(names, DataFrame):
+        if not names:
+            return check_inputs([])
+        names = spark.createDataFrame([(u,) for u in names], "uri string")
+    names = names.select("uri")
+    schemes = {r[0] for r in names.select(F.substring_index("uri", ":", 1)).distinct().limit(100).collect()}
+    if all(byteranges.can_open(f"{s}:") for s in schemes):
+        found = names.repartition(spark.sparkContext.defaultParallelism).mapInArrow(_sizes(), "uri string, bytes bigint")
+        listed = found.orderBy("uri").toArrow().to_pydict()
+        files = [(u, n) for u, n in zip(listed["uri"], listed["bytes"], strict=True)]
+        if missing := [u for u, n in files if n is None]:
+            raise InputError(f"No such input: {missing[0]}")
+        return check_inputs([_named(u, n) for u, n in files])
+    files = []
+    for row in names.orderBy("uri").toLocalIterator():
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row["uri"]))
         fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
         if not fs.exists(jpath):
-            raise InputError(f"No such input: {uri}")
-        found.append(_input_file(spark, fs, fs.getFileStatus(jpath)))
-    return check_inputs(found)
+            raise InputError(f"No such input: {row['uri']}")
+        files.append(_input_file(spark, fs, fs.getFileStatus(jpath)))
+    return check_inputs(files)
 
 
 def check_inputs(files: Sequence[InputFile]) -> list[InputFile]:
