@@ -1,4 +1,8 @@
+import random
+import statistics
+
 import pytest
+from pyspark.sql import functions as F
 
 from tillroll.operators.summary import run_summary
 from tillroll.sources.workload import synthetic_rows
@@ -23,6 +27,23 @@ def test_medians_and_speedup(spark):
     assert got["v1"].map_output_median_records is None and got["v1"].reduce_input_median_records == 5
 
 
+@pytest.mark.parametrize("kind", ["bigint", "decimal(20,3)", "double"])
+def test_medians_of_many_values(spark, kind):
+    rng, rows = random.Random(4), []
+    for variant, draw in (
+        ("v1", lambda: rng.randrange(10**6)), ("v2", lambda: rng.choice([-5, 0, 7])), ("v3", lambda: -rng.randrange(1, 2**40)),
+        ("v4", lambda: rng.choice([2**50, 2**50 + 1, 3])), ("v5", lambda: 4),
+    ):
+        rows += [run(variant, draw()) for _ in range(rng.choice([301, 400]))]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(5).withColumn("job_ms", F.col("job_ms").cast(kind))
+    names = ["v1", "v2", "v3", "v4", "v5"]
+    got = {r.variant: r for r in run_summary(frame, names, 3).collect()}
+    for name in names:
+        jobs = [r[4] for r in rows if r[0] == name]
+        assert got[name].job_median_ms == statistics.median(jobs) and got[name].runs == len(jobs)
+        assert (got[name].job_min_ms, got[name].job_max_ms) == (min(jobs), max(jobs))
+
+
 def test_too_few_runs_fail(spark):
     records = [run("v1", 1, success=False), run("v1", 1, warmup=True)]
     with pytest.raises(Exception, match="fewer valid measured runs"):

@@ -66,22 +66,15 @@ def file_statistics(
     mode = GroupMode.of(mode)
     faulty = _with_fault(lines.withColumn("_position", F.when(starts_file, position)), mode)
     prepared = prepare(faulty, mode, keep=("uri", "_position", "fault"))
-    # Lines are first counted per file and outcome, in each task; the few counts are laid out after.
     outcome = F.coalesce("fault", F.when(F.col("reason") == M.VALID_PURCHASE, "valid_purchases"), F.lit("other"))
     opening = F.col("_position") * 2 + (F.col("reason") != M.HEADER).cast("bigint")
-    counted = prepared.select("uri", outcome.alias("outcome"), opening.alias("opening")).groupBy("uri", "outcome")
-    counted = counted.agg(F.count(F.lit(1)).alias("n"), F.min("opening").alias("opening"))
+    counted = prepared.select("uri", outcome.alias("outcome"), opening.alias("opening"))
     if listed is not None:
-        counted = counted.unionByName(
-            listed.selectExpr("uri", "'other' AS outcome", "0L AS n", "CAST(NULL AS BIGINT) AS opening")
-        )
-
-    def lines_with(name: str) -> Column:
-        return F.expr(f"sum(if(outcome = '{name}', n, 0))").alias(name)
-
+        # No line has the outcome null.
+        counted = counted.unionByName(listed.selectExpr("uri", "CAST(NULL AS STRING) AS outcome", "CAST(NULL AS BIGINT) AS opening"))
     return counted.groupBy("uri").agg(
-        F.sum("n").alias("lines"),
-        *(lines_with(name) for name in ("valid_purchases", *LINE_FAULTS)),
+        F.count("outcome").alias("lines"),
+        *(F.count_if(F.col("outcome") == name).alias(name) for name in ("valid_purchases", *LINE_FAULTS)),
         F.expr("coalesce(min(opening) % 2 = 0, false)").alias("has_header"),
     )
 

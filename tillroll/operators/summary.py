@@ -7,48 +7,56 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.session import fail_if, materialize
+from tillroll.session import fail_if
 
 _METRICS = ("job_ms", "end_to_end_ms", "with_profile_ms", "shuffle_bytes", "map_records", "reduce_records")
 
 
-def _medians(runs: DataFrame) -> DataFrame:
+def _measures(runs: DataFrame) -> DataFrame:
+    """``variant, effective_variant, metric, value, bucket``: a row for each run and metric.
+
+    Buckets are in the order of the values, some thousands over the whole range of numbers; null values have none. Whole
+    numbers stay such, others are decimals.
+    """
+    integral = all(t in ("tinyint", "smallint", "int", "bigint") for c, t in runs.dtypes if c in _METRICS)
+    kind = "bigint" if integral else "decimal(38,6)"
+    cells = F.array(*(F.struct(F.lit(m).alias("metric"), F.col(m).cast(kind).alias("value")) for m in _METRICS))
+    long = runs.select("variant", "effective_variant", F.inline(cells))
+    number = F.col("value").cast("double")
+    return long.withColumn("bucket", F.floor(F.signum(number) * F.log2(F.abs(number) + 1) * 256))
+
+
+def _medians(measures: DataFrame, tallied: DataFrame) -> DataFrame:
     """``variant, metric, median``, null where a run lacks the metric.
 
-    Equal values are counted first and dealt by range of variant, metric and value. Totals of the
-    few ranges say which of them hold the middle; only those are counted through, each by itself.
+    Totals of the buckets, which ``tallied`` counts, say which of them hold the middle; only the different values of those
+    are counted through.
     """
-    exact = {m: F.col(m).cast("decimal(38,6)") for m in _METRICS}
-    metrics = F.create_map(*(part for m, value in exact.items() for part in (F.lit(m), value)))
-    long = runs.select("variant", F.explode(metrics).alias("metric", "value"))
-    counted = long.groupBy("variant", "metric", "value").agg(F.count(F.lit(1)).alias("n"))
-    ranged = counted.repartitionByRange("variant", "metric", "value").withColumn("part", F.spark_partition_id())
-    ranged = materialize(ranged)
     group = Window.partitionBy("variant", "metric")
-    sizes = ranged.groupBy("variant", "metric", "part").agg(
-        F.sum("n").alias("size"), F.sum(F.when(F.col("value").isNull(), F.col("n"))).alias("nulls")
-    )
-    # A row for each range, variant and metric.
-    sizes = sizes.select(
+    sizes = tallied.select(
         "variant",
         "metric",
-        "part",
-        "size",
-        (F.sum("size").over(group.orderBy("part")) - F.col("size")).alias("before"),
-        F.sum("size").over(group).alias("total"),
-        F.coalesce(F.sum("nulls").over(group), F.lit(0)).alias("nulls"),
+        "bucket",
+        "n",
+        (F.sum("n").over(group.orderBy(F.col("bucket").asc_nulls_first())) - F.col("n")).alias("before"),
+        F.sum("n").over(group).alias("total"),
+        F.sum(F.when(F.col("bucket").isNull(), F.col("n")).otherwise(0)).over(group).alias("nulls"),
     )
     lower = F.call_function("div", F.col("total") + 1, F.lit(2))
     upper = F.call_function("div", F.col("total") + 2, F.lit(2))
-    middle = sizes.where((upper > F.col("before")) & (lower <= F.col("before") + F.col("size")))
-    upto = Window.partitionBy("variant", "metric", "part").orderBy("value")
-    ranked = ranged.join(middle, ["variant", "metric", "part"]).withColumn("last", F.col("before") + F.sum("n").over(upto))
+    middle = sizes.where((F.col("nulls") == 0) & (upper > F.col("before")) & (lower <= F.col("before") + F.col("n")))
+    # Two buckets at most for each variant and metric.
+    inside = measures.join(F.broadcast(middle.drop("n", "nulls")), ["variant", "metric", "bucket"])
+    keys = ("variant", "metric", "bucket", "before", "total")
+    counted = inside.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.partitionBy("variant", "metric", "bucket").orderBy("value")
+    ranked = counted.withColumn("last", F.col("before") + F.sum("n").over(upto))
 
     def at(rank):
         return F.max(F.when(rank.between(F.col("last") - F.col("n") + 1, F.col("last")), F.col("value")))
 
-    median = F.when(F.max("nulls") == 0, ((at(lower) + at(upper)) / 2).cast("double"))
-    return ranked.groupBy("variant", "metric").agg(median.alias("median"))
+    both = at(lower).cast("decimal(38,6)") + at(upper).cast("decimal(38,6)")
+    return ranked.groupBy("variant", "metric").agg((both / 2).cast("double").alias("median"))
 
 
 def run_summary(
@@ -62,14 +70,22 @@ def run_summary(
     baseline = baseline or variants[0]
     measured = records.where(F.col("success") & ~F.col("warmup") & F.col("variant").isin(*variants))
     measured = measured.withColumn("with_profile_ms", F.col("end_to_end_ms") + F.col("profile_ms"))
-    extent = measured.groupBy("variant").agg(
-        F.count(F.lit(1)).alias("runs"),
-        F.min("job_ms").alias("job_min_ms"),
-        F.max("job_ms").alias("job_max_ms"),
-        F.array_join(F.array_sort(F.collect_set("effective_variant")), ",").alias("effective_variant"),  # names of routes
+    measures = _measures(measured)
+    # One aggregate gives the extent of the runs as well as the totals of the buckets.
+    tallied = measures.groupBy("variant", "metric", "bucket").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("value").alias("least"),
+        F.max("value").alias("most"),
+        F.collect_set("effective_variant").alias("routes"),  # names of routes
+    )
+    extent = tallied.where(F.col("metric") == "job_ms").groupBy("variant").agg(
+        F.sum("n").alias("runs"),
+        F.min("least").cast(dict(measured.dtypes)["job_ms"]).alias("job_min_ms"),
+        F.max("most").cast(dict(measured.dtypes)["job_ms"]).alias("job_max_ms"),
+        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("routes")))), ",").alias("effective_variant"),
     )
     metric = {m: F.max(F.when(F.col("metric") == m, F.col("median"))).alias(m) for m in _METRICS}
-    wide = _medians(measured).groupBy("variant").agg(*metric.values())
+    wide = _medians(measures, tallied).groupBy("variant").agg(*metric.values())
     names = F.array(*(F.lit(v) for v in variants))
     asked = records.sparkSession.range(1).select(F.explode(names).alias("variant"))
     summary = asked.join(extent, "variant", "left").join(wide, "variant", "left")

@@ -204,8 +204,10 @@ def _packed(spark: SparkSession, sf: str, dictionary: DataFrame) -> DataFrame:
 
 
 def strategy_packed(spark: SparkSession, sf: str) -> DataFrame:
-    dictionary = _dictionary(spark, sf)
-    return agg.result_rows(agg.merge_packed(_packed(spark, sf, dictionary), dictionary))
+    """One scan: the dictionary comes from the states that are packed."""
+    daily = materialize(agg.partial_states(_purchases(spark, sf, ID, keep=("day",)), "day"))
+    dictionary = materialize(dic.build_dictionary(daily.select("group_key").distinct()))
+    return agg.result_rows(agg.merge_packed(agg.pack_states(daily, dictionary, "day", PACKED_IDS), dictionary))
 
 
 def packed_entries(spark: SparkSession, sf: str) -> DataFrame:

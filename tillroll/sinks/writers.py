@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,8 @@ from pyspark.sql import functions as F
 from tillroll.functions.text import csv_key_field, utf16_order
 from tillroll.model import EXPORT_COLUMNS, HEADER_LINE
 from tillroll.operators.aggregate import result_rows
-from tillroll.sources.files import hadoop_path
+from tillroll.sources import byteranges
+from tillroll.sources.files import escaped, hadoop_path
 
 
 class OutputError(ValueError):
@@ -250,6 +252,44 @@ def _filled(spark: SparkSession, directory: str) -> list[str]:
     return sorted(s.getPath().toString() for s in found if s.getLen() > 0)
 
 
+def _rename(spark: SparkSession, names: list[tuple[str, str]]) -> None:
+    """Give files new names, many at a time in tasks; one after another in stores that only Spark can open."""
+    jpath, fs = hadoop_path(spark, names[0][0])
+    if byteranges.can_open(fs.makeQualified(jpath).toUri().toString()):
+        pairs = [tuple(_escaped_uri(name) for name in pair) for pair in names]
+        frame = spark.createDataFrame(pairs, "old string, new string").repartition(spark.sparkContext.defaultParallelism)
+        moved = frame.mapInArrow(_mover(), "moved bigint").agg(F.coalesce(F.sum("moved"), F.lit(0)).alias("n")).first()["n"]
+        if moved != len(names):
+            raise OutputError(f"Only {moved} of {len(names)} files got their names")
+    else:
+        for old, new in names:
+            fs.rename(hadoop_path(spark, old)[0], hadoop_path(spark, new)[0])
+
+
+def _escaped_uri(path: str) -> str:
+    """``path``, which has a scheme, as a URI."""
+    head, _, name = path.rpartition("/")
+    scheme, colon, rest = head.partition(":")
+    return f"{scheme}{colon}{'/'.join(map(escaped, rest.split('/')))}/{escaped(name)}"
+
+
+def _mover() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Moves files; one that a task before it has moved already counts too. Nested so that it travels by value."""
+    address_of = byteranges.address_of
+
+    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = 0
+            for row in batch.to_pylist():
+                (store, old), (_, new) = (pafs.FileSystem.from_uri(address_of(row[k])) for k in ("old", "new"))
+                if store.get_file_info(old).type != pafs.FileType.NotFound:
+                    store.move(old, new)
+                done += store.get_file_info(new).type == pafs.FileType.File
+            yield pa.RecordBatch.from_arrays([pa.array([done], pa.int64())], names=["moved"])
+
+    return move
+
+
 def _header_first() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     header = HEADER_LINE
 
@@ -281,9 +321,7 @@ def write_sample(lines: DataFrame, directory: str) -> None:
             empty = spark.range(1).select(F.lit(HEADER_LINE).alias("value")).coalesce(1)
             empty.write.mode("overwrite").text(staged)
             parts = _filled(spark, staged)
-        for part in parts:
-            source, fs = hadoop_path(spark, part)
-            fs.rename(source, hadoop_path(spark, part.removesuffix(".txt") + ".csv")[0])
+        _rename(spark, [(part, part.removesuffix(".txt") + ".csv") for part in parts])
         publish(spark, staged, directory)
     finally:
         discard(spark, staged)
