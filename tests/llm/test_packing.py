@@ -12,6 +12,7 @@ from tillroll.llm import packing
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = [
     "", None, "  a  b\n\n c", "<|endoftext|>x <|startoftext|> y", "it's I'll", "日本語 123 ½", "a\x1cb\x85c d", "é ́x ΑΣ ΑΣΑ",
+    "Wow!? Été. Ça, fin; A.B. c.", "<|ENDOFTEXT|> It'S. NO.", "a.\u0301 b\u0301. x'. y.,z \u00d7. ß!", "end.", "A\u030a. ĳ. µ, ª.",
     "İstanbul K", "\t\ttab\r\n", "x" * 5000 + " " + "ab " * 9000,
 ]
 

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,12 +18,16 @@ from tillroll.llm.common import parts_of, stored
 
 #: Chunks between spaces whose ids each Python worker remembers, and their greatest length.
 _REMEMBERED, _REMEMBERED_LENGTH = 1_000_000, 64
+#: Marks that end a word of Latin letters before a blank or the end.
+_MARKS = r"([a-z\x{df}-\x{f6}\x{f8}-\x{ff}\x{c0}-\x{d6}\x{d8}-\x{de}])([.,;:!?]+)( |$)"
+#: Text that is encoded at once.
+_SLICE_BYTES = 4 << 20
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _SHARED: dict = {}
 
 
 class _Encoder:
-    """Ids of whole texts as little-endian bytes, for tokenizers that drop white space.
+    """Ids of whole texts, for tokenizers that drop white space, lower-case, and part letters from marks.
 
     White space ends a word in such a tokenizer, so a text's ids are those of its chunks between spaces and line ends.
     """
@@ -38,17 +43,32 @@ class _Encoder:
         found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
         return {c: np.array(e.ids, "<u4").tobytes() for c, e in zip(chunks, found, strict=True)}
 
-    def encode(self, text: str) -> bytes:
-        chunks, known = text.replace("\n", " ").split(" "), self.known
-        new = list({c for c in chunks if c not in known})
-        if new:
-            if len(known) + len(new) > _REMEMBERED:
-                known.clear()
-                new = list(set(chunks))
-            ids = self._ids(new)
-            known.update((c, i) for c, i in ids.items() if len(c) <= _REMEMBERED_LENGTH)
-            return b"".join([known[c] if c in known else ids[c] for c in chunks])
-        return b"".join([known[c] for c in chunks])
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, and where each text's begin; the last number is where all end.
+
+        Different chunks are looked up or encoded once; the ids of all are gathered from theirs.
+        """
+        texts = texts.take(pa.array(np.arange(len(texts))))  # a copy: slices share buffers with what lies before them
+        plain = pc.replace_substring(texts.cast(pa.large_string()), "\n", " ")
+        if not pc.any(pc.match_substring(plain, "<|"), min_count=0).as_py():
+            # The tokenizer lower-cases all but its special tokens, and parts letters from the marks behind them.
+            plain = pc.replace_substring_regex(pc.ascii_lower(plain), _MARKS, r"\1 \2\3")
+        parted = pc.split_pattern(plain, " ")
+        chunks = parted.flatten().dictionary_encode()
+        which, different = chunks.indices.to_numpy(zero_copy_only=False), chunks.dictionary.to_pylist()
+        known = self.known
+        new = [c for c in different if c not in known]
+        fresh = self._ids(new) if new else {}
+        found = [known[c] if c in known else fresh[c] for c in different]
+        if len(known) + len(new) > _REMEMBERED:
+            known.clear()
+        known.update((c, i) for c, i in fresh.items() if len(c) <= _REMEMBERED_LENGTH)
+        size = np.fromiter((len(f) // 4 for f in found), np.int64, len(found))
+        ids, first = np.frombuffer(b"".join(found), "<u4"), np.cumsum(size) - size
+        sizes = size[which]
+        ends = np.append(0, np.cumsum(sizes))
+        places = np.arange(ends[-1]) + np.repeat(first[which] - ends[:-1], sizes)
+        return ids[places], ends[parted.offsets.to_numpy()]
 
 
 def _encoder(path: str) -> _Encoder:
@@ -65,15 +85,19 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int =
         encoder, names = _encoder(tokenizer), [f.split()[0] for f in _PIECES.split(", ")]
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
         for batch in batches:
-            columns: list[list] = [[], [], [], [], []]
-            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                ids = encoder.encode(text.as_py()) + end
-                for number, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at : at + 4 * capacity]
-                    row = (doc_id.as_py(), number, at // 4, len(part) // 4, zlib.crc32(part))
-                    for column, value in zip(columns, row, strict=True):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+            sizes = pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64)
+            part = (np.cumsum(sizes) - sizes) // _SLICE_BYTES
+            cuts = np.flatnonzero(np.diff(part)) + 1
+            for start, stop in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+                ids, bounds = encoder.encode(batch.column(1)[start:stop])
+                columns: list[list] = [[], [], [], [], []]
+                for row, doc_id in enumerate(batch.column(0)[start:stop].to_pylist()):
+                    own = ids[bounds[row] : bounds[row + 1]].tobytes() + end
+                    for number, at in enumerate(range(0, len(own), 4 * capacity)):
+                        piece = own[at : at + 4 * capacity]
+                        for column, value in zip(columns, (doc_id, number, at // 4, len(piece) // 4, zlib.crc32(piece)), strict=True):
+                            column.append(value)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
