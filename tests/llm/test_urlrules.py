@@ -73,6 +73,16 @@ def test_confidence_equals_counts(spark):
         assert r.rarest in r.antecedent
 
 
+@pytest.mark.parametrize("others", [500, 25_000])
+def test_thirty_bad_pages_make_a_rule_at_every_size(spark, others):
+    frame = spark.range(others + 30).selectExpr(
+        "id AS page_id", "if(id < 30, concat('http://rare.org/', id, 'a'), concat('http://site', id % 50, '.com/', id, 'a')) AS url"
+    )
+    labels = frame.selectExpr("page_id AS doc_id", "if(page_id < 30 OR page_id % 10 = 0, 0, 1) AS quality", "0 AS toxic")
+    blocked = urlrules.judge(frame, labels, [], min_confidence=0.9).where("verdict = 'block'")
+    assert {r.page_id for r in blocked.collect()} == set(range(30))
+
+
 def test_empty_tables(spark):
     assert urlrules.judge(*tables(spark, []), RULES).count() == 0
     got = urlrules.judge(*tables(spark, [(1, "http://a.org/")], [(None, None, None), (1, None, None)]), RULES).first()

@@ -69,12 +69,18 @@ def mine(urls: DataFrame, min_support: float, min_count: int, min_confidence: fl
 
     ``urls`` has ``tokens, bad``. A combination must be on ``min_support`` of the labelled URLs, and on ``min_count`` of
     them, together with a bad label, and ``min_confidence`` of its URLs must be bad. ``rarest`` is its rarest token.
+
+    A token that is on fewer than ``min_count`` bad URLs is in no such combination and is left out before mining, so a
+    low count stays within reach on a large table.
     """
-    baskets = stored(
-        urls.select(F.when(F.col("bad"), F.array_append("tokens", F.lit(_BAD))).otherwise(F.col("tokens")).alias("items")),
-        "baskets",
-    )
-    n = baskets.count()
+    rows = stored(urls.select("tokens", "bad").withColumn("row", F.monotonically_increasing_id()), "labelled")
+    n = rows.count()
+    telling = rows.where("bad").select(F.explode("tokens").alias("token")).groupBy("token").count().where(F.col("count") >= min_count)
+    left = rows.select("row", F.explode("tokens").alias("token")).join(telling.select("token"), "token")
+    left = left.groupBy("row").agg(F.collect_list("token").alias("items"))
+    items = F.coalesce("items", F.array().cast("array<string>"))
+    with_label = F.when(F.col("bad"), F.array_append(items, F.lit(_BAD))).otherwise(items)
+    baskets = stored(rows.join(left, "row", "left").select(with_label.alias("items")), "baskets")
     empty = "number bigint, antecedent array<string>, confidence double, support double, rarest string"
     if n < min_count:
         return urls.sparkSession.createDataFrame([], empty)
@@ -109,7 +115,7 @@ def judge(
     pages: DataFrame,
     labels: DataFrame,
     rules: Sequence[tuple[str, str]],
-    min_support: float = 0.001,
+    min_support: float = 0.0,
     min_count: int = 20,
     min_confidence: float = 0.5,
 ) -> DataFrame:
@@ -117,7 +123,7 @@ def judge(
 
     The stated rule that fits decides; else a page is blocked if a mined rule fits, and allowed if none does. A page is bad
     if its label (``doc_id`` being the ``page_id``) has quality 0 or toxic 1; pages of one URL are one basket, bad if one
-    of them is. Without enough labels there are no mined rules. Null URLs and URLs without ``://`` have an empty host and
+    of them is. The same number of bad URLs makes a rule at every size of the table, unless ``min_support`` asks for a share. Without enough labels there are no mined rules. Null URLs and URLs without ``://`` have an empty host and
     path, no rule, and are allowed. Repeated rows stay rows; other columns are ignored; no rows give none.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"))
