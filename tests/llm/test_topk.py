@@ -66,3 +66,26 @@ def test_one_block():
             order = sorted(range(n), key=lambda i: (-scores[i], i))[:7]
             got = topk.best_rows(np.arange(n), slices, -1, query, 7)
             assert sorted(got) == sorted((i, int(scores[i])) for i in order)
+
+
+def test_large_components_keep_all_bits(spark):
+    rows = [(0, [2.0**-10, 0.0]), (1, [2.0**31, 1.0]), (2, [2.0**30, 2.0]), (3, [-(2.0**52), 3.0]), (4, [2.0**52, 0.0])]
+    assert answer(spark, rows) == plain(rows, 10)
+    assert {(v, s) for _, _, v, s in answer(spark, rows)} == {(1, 2**41), (2, 2**40), (3, -(2**62)), (4, 2**62)}
+
+
+def test_what_does_not_fit_a_long_fails(spark):
+    with pytest.raises(Exception, match="too large"):
+        answer(spark, [(0, [1e30]), (1, [1.0])])
+    with pytest.raises(Exception, match="does not fit a long"):
+        answer(spark, [(0, [2.0**40]), (1, [2.0**40]), (2, [1.0])])
+
+
+def test_clashing_extra_columns(spark):
+    from tests.llm.conftest import clashing
+
+    rows = [(i, [float(i % 7), float(i % 3)]) for i in range(201)]
+    df = clashing(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    vectors = topk.quantise(df)
+    found = topk.search(vectors.where("vec_id % 100 = 0"), vectors, 10)
+    assert {(r.query_id, r["rank"], r.vec_id, r.score) for r in found.collect()} == plain(rows, 10)

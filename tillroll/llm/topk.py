@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import parts_of, stored
@@ -24,14 +24,16 @@ _LONG = (-(1 << 63), (1 << 63) - 1)
 def quantise(rows: DataFrame, scale: int = 1024) -> DataFrame:
     """``vec_id, q``: ``floor(scale * x)`` of each component as a double.
 
-    Null vectors and vectors with null, infinite or NaN components are left out. A component of more than 40 bits is
-    held at that, so that sums stay whole numbers.
+    Null vectors and vectors with null, infinite or NaN components are left out. A component that does not fit a long then
+    fails the job.
     """
-    limit = 1 << 40
-    q = F.transform(
-        F.col("embedding"),
-        lambda x: F.greatest(F.lit(-limit), F.least(F.lit(limit), F.floor(x.cast("double") * scale).cast("long"))),
-    )
+
+    def whole(x: Column) -> Column:
+        scaled = x.cast("double") * scale
+        wide = F.raise_error(F.lit("A component of a vector is too large to be scaled to a long"))
+        return F.when(F.abs(scaled) >= float(1 << 63), wide).otherwise(F.floor(scaled).cast("long"))
+
+    q = F.transform(F.col("embedding"), whole)
     sound = F.forall("embedding", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     kept = rows.where(F.col("embedding").isNotNull() & F.coalesce(sound, F.lit(False)))
     return kept.select(F.col("vec_id").cast("long").alias("vec_id"), q.alias("q")).where("vec_id is not null")
@@ -46,7 +48,7 @@ def slices_of(values: np.ndarray) -> tuple[int, np.ndarray]:
     """Bits a component needs, and bitmaps by component and bit of the values raised by ``2 ** (bits - 1)``."""
     most = int(np.abs(values).max(initial=0))
     width = most.bit_length() + 1
-    raised = (values + (1 << (width - 1))).astype(np.uint64)
+    raised = values.astype(np.uint64) + np.uint64(1 << (width - 1))  # modulo 2 ** 64, which it stays below
     words = -(-len(values) // 64)
     out = np.zeros((values.shape[1], width, words * 8), np.uint8)
     for bit in range(width):
@@ -151,7 +153,9 @@ def best_rows(ids: np.ndarray, slices: np.ndarray, query_id: int, query: np.ndar
     for row in rows:
         word, bit = row // 64, row % 64
         score = base + sum(1 << p for p, m in enumerate(total) if m is not None and int(m[word]) >> bit & 1)
-        out.append((int(ids[row]), min(max(score, _LONG[0]), _LONG[1])))
+        if not _LONG[0] <= score <= _LONG[1]:
+            raise OverflowError(f"The score of {int(ids[row])} for {query_id} does not fit a long: {score}")
+        out.append((int(ids[row]), score))
     return out
 
 
@@ -161,7 +165,8 @@ def search(queries: DataFrame, vectors: DataFrame, k: int = 10, rows_per_block:
     Both tables have ``vec_id, q`` as ``quantise`` gives them. Ties go to the smaller ``vec_id``; rows with the query's
     own id are no candidates; only vectors of the query's length are. Repeated candidate rows count as rows, repeated
     queries as one; queries with one id and different vectors are ranked each for itself. Fewer candidates than ``k`` are
-    all returned, none give no rows. Scores beyond 64 bits are held at the bounds.
+    all returned, none give no rows. Sums are exact whatever their size; a score among the best that does not fit a long
+    fails the job.
 
     Blocks of rows meet chunks of queries under a key of both, a block of the index against one chunk in a row.
     """
