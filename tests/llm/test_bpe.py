@@ -33,6 +33,21 @@ def test_any_text(text):
     assert OWN.decode(ids) == text
 
 
+def test_every_character_is_split_like_the_library():
+    for start in range(0, 0x110000, 0x1000):
+        chars = [chr(c) for c in range(start, start + 0x1000) if not 0xD800 <= c < 0xE000]
+        text = "".join(f"a{c}'s 1{c}1 {c}{c}.{c}'ll\n" for c in chars)
+        own = [w for w in OWN.split(text)]
+        theirs = [text[a:b] for _, (a, b) in LIBRARY.pre_tokenizer.pre_tokenize_str(text)]
+        assert own == theirs, hex(start)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet=st.one_of(st.sampled_from(sorted(map(chr, OWN.disputed))[:400] + list("a1 's.\n")), st.characters(codec="utf-8")), max_size=40))
+def test_newer_scripts(text):
+    assert OWN.encode(text) == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
 def test_long_words_merge_alike():
     rnd = random.Random(4)
     for _ in range(20):

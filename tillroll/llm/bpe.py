@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import heapq
 import json
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 # Fixed value: how byte-level BPE of this vocabulary splits a text into words.
 _WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
@@ -29,13 +32,42 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(odd)}
 
 
+#: Planes of Unicode that have letters or digits; the rest is private, unassigned, or for marks.
+_PLANES = (0x00, 0x01, 0x02, 0x03, 0x0E)
+
+
+@functools.cache
+def _disputed(path: str) -> dict[int, str]:
+    """Characters that the tokenizers library takes for a letter, digit or neither where the ``regex`` package differs.
+
+    The two know different versions of Unicode. The library's own splitter is asked about every character: one that stays
+    with a letter before it is a letter, one that stays with a digit a digit. Each is mapped to a character of its class
+    that no rule of the splitter names.
+    """
+    splitter = Tokenizer.from_file(path).pre_tokenizer
+    kinds = [(regex.compile(r"\p{L}"), "a", "z"), (regex.compile(r"\p{N}"), "1", "0")]
+    found: dict[int, str] = {}
+    for plane in _PLANES:
+        for start in range(plane << 16, (plane + 1) << 16, 1 << 12):
+            chars = [chr(c) for c in range(max(start, 128), start + (1 << 12)) if not 0xD800 <= c < 0xE000]
+            for known, before, stand_in in kinds:
+                # Each character stands between a letter (or digit) and a mark; a word that has both tells its class.
+                pieces = splitter.pre_tokenize_str("".join(f"{before}{c}\n" for c in chars))
+                begins = {at for _, (at, _) in pieces}
+                for number, char in enumerate(chars):
+                    joined = 3 * number + 1 not in begins
+                    if joined != bool(known.match(char)):
+                        found[ord(char)] = stand_in if joined else found.get(ord(char), "#")
+    return found
+
+
 class Bpe:
     """Encoder and decoder of one vocabulary file.
 
     Merging works on ids: ``ranks`` has for two adjacent ids the rank of their merge and the id of the result.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, disputed: dict[int, str] | None = None) -> None:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         letters, vocab = _byte_letters(), spec["model"]["vocab"]
@@ -52,6 +84,8 @@ class Bpe:
         longest_first = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("|".join(map(regex.escape, longest_first))) if self.special else None
         self.words = regex.compile(_WORD)
+        self.disputed = _disputed(path) if disputed is None else disputed
+        self.high = re.compile(f"[{re.escape(chr(min(self.disputed)))}-\U0010ffff]") if self.disputed else None
         self.known: dict[str, tuple[int, bytes, bytes]] = {}
 
     def merge(self, word: bytes) -> list[int]:
@@ -99,10 +133,18 @@ class Bpe:
         """Words in order; a special token is a word of its own."""
         start = 0
         for match in self.cut.finditer(text) if self.cut else ():
-            yield from self.words.findall(text, start, match.start())
+            yield from self._plain(text[start : match.start()])
             yield match.group()
             start = match.end()
-        yield from self.words.findall(text, start) if start else self.words.findall(text)
+        yield from self._plain(text[start:] if start else text)
+
+    def _plain(self, text: str) -> list[str]:
+        """Words of a text without special tokens. Disputed characters are split by what stands in for them."""
+        if self.high and self.high.search(text):
+            stood_in = text.translate(self.disputed)
+            if stood_in != text:
+                return [text[m.start() : m.end()] for m in self.words.finditer(stood_in)]
+        return self.words.findall(text)
 
     def ids(self, word: str) -> list[int]:
         return [self.special[word]] if word in self.special else self.merge(word.encode())
@@ -129,17 +171,18 @@ class Bpe:
         return found
 
 
-def _bpe(path: str) -> Bpe:
+def _bpe(path: str, disputed: dict[int, str]) -> Bpe:
     if path not in _SHARED:
-        _SHARED[path] = Bpe(path)
+        _SHARED[path] = Bpe(path, disputed)
     return _SHARED[path]
 
 
 def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
     """``doc_id, ids`` of every row. Null and empty texts have no ids; other columns are ignored."""
+    disputed = _disputed(tokenizer)  # found once, by the driver
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _bpe(tokenizer)
+        bpe = _bpe(tokenizer, disputed)
         for batch in batches:
             ids = pa.array([bpe.encode(t.as_py()) for t in batch.column(1)], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
@@ -149,9 +192,10 @@ def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
 
 def decode(rows: DataFrame, tokenizer: str) -> DataFrame:
     """``doc_id, text`` of rows with ``doc_id, ids``; null ids give an empty text."""
+    disputed = _disputed(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _bpe(tokenizer)
+        bpe = _bpe(tokenizer, disputed)
         for batch in batches:
             texts = pa.array([bpe.decode(i.as_py() or []) for i in batch.column(1)], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), texts], ["doc_id", "text"])
@@ -165,9 +209,10 @@ def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
     Null and empty texts have no tokens and the digests of nothing. Rows stay as they are: repeated rows and null ids are
     kept, other columns ignored, an empty table gives no rows. A word of any length is encoded whole.
     """
+    disputed = _disputed(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, names = _bpe(tokenizer), ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+        bpe, names = _bpe(tokenizer, disputed), ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
         for batch in batches:
             counts, digests, decoded = [], [], []
             for text in batch.column(1):
