@@ -152,21 +152,40 @@ def _in_buckets(rows: DataFrame, wanted: DataFrame, *columns: str) -> DataFrame:
     return rows.withColumn("bucket", F.expr(bucket)).join(buckets, "bucket", "left_semi").drop("bucket")
 
 
+def _signatures(words: str) -> list[str]:
+    """SQL for 256 bits of a set of hashes, in four columns: a bit says whether an odd number of words falls on it."""
+    return [
+        f"aggregate({words}, 0L, (a, x) -> if((shiftrightunsigned(x, 6) & 3) = {k}, a ^ shiftleft(1L, CAST(x & 63 AS INT)), a)) AS s{k}"
+        for k in range(4)
+    ]
+
+
 def _verified(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Places of later sets whose Jaccard similarity with an earlier one is high enough, by 64 bits of each word."""
+    """Places of later sets whose Jaccard similarity with an earlier one is high enough, by 64 bits of each word.
+
+    Pairs meet signatures of 256 bits first. Sets differ in as many words as their signatures in bits, at least; only pairs
+    that may yet be similar meet the words, which are many times larger.
+    """
     wanted = pairs.select("doc_id", "place").unionByName(pairs.selectExpr("other_id AS doc_id", "other AS place"))
     wanted = stored(wanted.distinct(), "wanted")
     lines = _in_buckets(_words(_in_buckets(texts, wanted, "doc_id")), wanted, "doc_id", "place")
     sets = lines.select("doc_id", "place", F.array_distinct(F.transform("words", lambda w: F.xxhash64(w))).alias("h")).join(
         wanted.selectExpr("doc_id AS id", "place AS at"), F.expr("doc_id <=> id AND place = at"), "left_semi"
     )
-    sets = stored(sets.distinct(), "sets")
-    mine = sets.selectExpr("doc_id AS id", "place AS at", "h AS mine")
-    other = sets.selectExpr("doc_id AS id", "place AS at", "h AS theirs")
-    both = pairs.join(mine, F.expr("doc_id <=> id AND place = at")).drop("id", "at")
-    both = both.join(other, F.expr("other_id <=> id AND other = at")).selectExpr(
-        "doc_id", "place", "size(array_intersect(mine, theirs)) AS same", "size(mine) + size(theirs) AS n"
-    )
+    sets = stored(sets.distinct().selectExpr("*", "size(h) AS n", *_signatures("h")), "sets")
+    signs = [f"s{k}" for k in range(4)]
+    mine = sets.selectExpr("doc_id AS id", "place AS at", "n", *signs)
+    other = sets.selectExpr("doc_id AS id", "place AS at", "n AS m", *(f"{s} AS t{s[1:]}" for s in signs))
+    near = pairs.join(mine, F.expr("doc_id <=> id AND place = at")).drop("id", "at")
+    near = near.join(other, F.expr("other_id <=> id AND other = at")).drop("id", "at")
+    apart = " + ".join(f"bit_count(s{k} ^ t{k})" for k in range(4))
+    near = near.where(f"{apart} <= n + m - 2 * (({percent} * (n + m) + {99 + percent}) div {100 + percent})")
+    near = near.select("doc_id", "place", "other_id", "other")
+    # pairs lie by their other set already
+    theirs = sets.selectExpr("doc_id AS id", "place AS at", "h AS theirs")
+    both = near.join(theirs, F.expr("other_id <=> id AND other = at")).drop("id", "at", "other_id", "other")
+    both = both.join(sets.selectExpr("doc_id AS id", "place AS at", "h AS mine"), F.expr("doc_id <=> id AND place = at"))
+    both = both.selectExpr("doc_id", "place", "size(array_intersect(mine, theirs)) AS same", "size(mine) + size(theirs) AS n")
     verified = both.where(f"same * {100 + percent} >= n * {percent}").select("doc_id", "place").distinct()
     verified = stored(verified, "verified")
     discard(sets)
