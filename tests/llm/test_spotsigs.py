@@ -39,9 +39,9 @@ def corpus():
     return texts + [None, "", "rare words only here", "the of and", "ÄÖÜ émile 😀 the ½ x_y"]
 
 
-@pytest.mark.parametrize("crowd", [200, 2])
-def test_fingerprints_equal_brute_force(docs, monkeypatch, crowd):
-    monkeypatch.setattr(spotsigs, "_CROWD", crowd)
+@pytest.mark.parametrize("pivots", [1, 3])
+def test_fingerprints_equal_brute_force(docs, monkeypatch, pivots):
+    monkeypatch.setattr(spotsigs, "_PIVOTS", pivots)
     texts = corpus()
     frame = clashing(docs([(3 * i, t) for i, t in enumerate(texts)]))
     rows = {r.doc_id: r for r in spotsigs.fingerprints(frame).collect()}
@@ -96,3 +96,31 @@ def test_no_python_in_the_plan(docs):
     plan = spotsigs.fingerprints(docs(["the a b"] * 3))._jdf.queryExecution().toString()
     plan += spotsigs.classes(docs(["the a b"] * 3))._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_a_hot_group_of_near_copies_equals_brute_force(docs):
+    rnd = random.Random(14)
+    words = [f"w{i}" for i in range(300)]
+    base = [rnd.choice(["the", "of"]) if i % 3 == 0 else rnd.choice(words) for i in range(120)]
+    texts = []
+    for _ in range(1200):
+        copy = list(base)
+        for _ in range(rnd.randint(0, 7)):
+            copy[rnd.randrange(len(copy))] = rnd.choice(words)
+        texts.append(" ".join(copy))
+    sets = [plain_signatures(t) for t in texts]
+    parent = list(range(len(texts)))
+
+    def top(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            a, b = sorted((top(i), top(j)))
+            if a != b and jaccard(sets[i], sets[j]) >= 0.8:
+                parent[b] = a
+    found = {r.doc_id: r.class_id for r in spotsigs.classes(docs(texts)).collect()}
+    assert [found[i] for i in range(len(texts))] == [top(i) for i in range(len(texts))]
+    assert len(set(found.values())) > 1

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.session import new_shared_path
@@ -45,6 +45,18 @@ def parts_of(amount: int, each: int) -> int:
     return max(1, math.ceil(amount / each))
 
 
+def parity_bits(hashes: str) -> list[Column]:
+    """256 bits of a set of hashes, as columns ``s0`` to ``s3``: a bit says whether an odd number of hashes falls on it.
+
+    Two sets differ in as many hashes as in bits, at least."""
+    return [
+        F.expr(
+            f"aggregate({hashes}, 0L, (a, x) -> if((shiftrightunsigned(x, 6) & 3) = {k}, a ^ shiftleft(1L, CAST(x & 63 AS INT)), a))"
+        ).alias(f"s{k}")
+        for k in range(4)
+    ]
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, component`` of the undirected graph of ``links(u, v)``; a component is named by its smallest node.
 

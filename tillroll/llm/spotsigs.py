@@ -12,7 +12,7 @@ import json
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import components, discard, parts_of, stored
+from tillroll.llm.common import components, discard, parity_bits, parts_of, stored
 
 #: Common words of English, German, French and Spanish that can be anchors.
 ANCHORS = (
@@ -21,12 +21,14 @@ ANCHORS = (
     "sie und von war wie zu au aux ce dans de du elle en est et il la le les mais ne ou où par pas pour que qui se sur "
     "un une con del el ella era está ha las lo los más no para pero por su sus te una y"
 ).split()
-#: Sets that share a prefix signature with more than this many are first compared with the smallest of them alone.
-_CROWD = 3
+#: Sets that share a prefix signature are first compared with this many of them alone.
+_PIVOTS = 3
 #: Signatures are counted in this many buckets (a power of two); any order of signatures is correct, rare ones first is cheap.
 _BUCKETS = 1 << 14
-#: Buckets of documents by which those are picked that are to be verified; the list of buckets is broadcast.
+#: Buckets of sets by which those are picked that are to be verified; the list of buckets is broadcast.
 _PICKED = 1 << 18
+#: Columns of parity bits, 64 in each.
+_SIGNS = ("s0", "s1", "s2", "s3")
 
 
 def with_signatures(df: DataFrame, text: str, out: str, chain: int = 2, anchors: list[str] = ANCHORS) -> DataFrame:
@@ -132,81 +134,108 @@ def _prefix(own: str, ranks: Column, percent: int) -> Column:
     return F.when(size * (100 - percent) >= percent, rarest).otherwise(F.array().cast("array<bigint>"))
 
 
-def _banded(sets: DataFrame, percent: int) -> DataFrame:
-    """``signature, node, n, p, band, shared`` for each set and prefix signature that ``shared`` sets have, two or more.
+def _banded(sets: DataFrame, ranks: Column, percent: int) -> DataFrame:
+    """``signature, node, n, p, band, s0..s3`` for each set and prefix signature that two sets or more have.
 
-    ``p`` is the place in the prefix; sets of one ``band`` of sizes, or of neighbouring ones, are in reach.
+    ``p`` is the place in the prefix, ``s0`` to ``s3`` are parity bits of the whole set; sets of one ``band`` of sizes, or of
+    neighbouring ones, are in reach.
     """
-    rows = sets.selectExpr("node", "n", "posexplode(prefix) AS (p, signature)")
-    shared = rows.groupBy("signature").agg(F.count(F.lit(1)).alias("shared")).where("shared > 1")
     band = f"CAST(floor(ln(n) / ln({100 / percent})) AS INT)"
-    return rows.join(shared, "signature").selectExpr("signature", "node", "n", "p", f"{band} AS band", "shared")
+    known = sets.select("node", "n", F.expr(band).alias("band"), *parity_bits("own"), _prefix("own", ranks, percent).alias("prefix"))
+    known = stored(known.where("size(prefix) > 0"), "prefixes")
+    rows = known.selectExpr("node", "n", "band", *_SIGNS, "posexplode(prefix) AS (p, signature)")
+    shared = rows.groupBy("signature").agg(F.count(F.lit(1)).alias("shared")).where("shared > 1").select("signature")
+    banded = stored(rows.join(shared, "signature"), "banded")
+    discard(known)
+    return banded
+
+
+def _apart() -> str:
+    """Bits in which the sets of the rows ``a`` and ``b`` differ; they differ in as many signatures at least."""
+    return "(" + " + ".join(f"bit_count(a.{s} ^ b.{s})" for s in _SIGNS) + ")"
 
 
 def _reach(percent: int) -> str:
-    """Length and position filters on two prefix rows ``a`` and ``b``; what fails is not similar enough."""
+    """Length, position and parity filters on two prefix rows ``a`` and ``b``; what fails is not similar enough.
+
+    Two similar sets pass at the first signature that they share: all others that they share come after it in both.
+    """
     overlap = f"(({percent} * (a.n + b.n) + {99 + percent}) div {100 + percent})"
     return (
         f"a.n * 100 >= b.n * {percent} AND b.n * 100 >= a.n * {percent}"
-        f" AND least(a.n - a.p, b.n - b.p) + least(a.p, b.p) >= {overlap}"
+        f" AND least(a.n - a.p, b.n - b.p) >= {overlap} AND {_apart()} <= a.n + b.n - 2 * {overlap}"
     )
 
 
-def _pairs(left: DataFrame, right: DataFrame, condition: str) -> DataFrame:
-    """``u, v``, the smaller node first, of rows that share a prefix signature, in this band or a neighbouring one."""
-    probing = left.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
-    joined = probing.alias("a").join(right.alias("b"), ["signature", "band"]).where(f"a.node <> b.node AND {condition}")
-    return joined.selectExpr("least(a.node, b.node) AS u", "greatest(a.node, b.node) AS v")
+def _to_pivots(rows: DataFrame, percent: int) -> DataFrame:
+    """``u, v``: each set with the pivot that differs least from it, for each of the ``_PIVOTS`` choices of pivots.
 
+    Each group of sets that share a prefix signature and a band has the same number of pivots, whatever its size.
+    """
+    row = F.struct("node", "n", "p", *_SIGNS)
+    chosen = [F.min_by(row, F.xxhash64("node", F.lit(k))).alias(f"pivot{k}") for k in range(_PIVOTS)]
+    pivots = rows.groupBy("signature", "band").agg(*chosen)
+    each = F.explode(F.array(*(F.struct(F.lit(k).alias("choice"), F.col(f"pivot{k}").alias("pivot")) for k in range(_PIVOTS))))
+    pivots = pivots.select("signature", "band", each.alias("c")).select("signature", "band", "c.choice", "c.pivot.*")
+    met = rows.alias("a").join(pivots.alias("b"), ["signature", "band"]).where(f"a.node <> b.node AND {_reach(percent)}")
+    met = met.selectExpr("a.node AS node", "choice", "b.node AS pivot", f"{_apart()} AS apart")
+    closest = met.groupBy("node", "choice").agg(F.min(F.struct("apart", "pivot")).alias("to"))
+    return closest.selectExpr("least(node, to.pivot) AS u", "greatest(node, to.pivot) AS v").distinct()
+
+
+def _between_parts(rows: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """``u, v, pu, pv, apart``: pairs of sets of different ``parts`` (``node, part``) that pass the filters."""
+    rows = rows.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
+    several = rows.groupBy("signature").agg(F.min("part").alias("least"), F.max("part").alias("most"))
+    rows = stored(rows.join(several.where("least <> most").select("signature"), "signature"), "mixed")
+    probing = rows.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
+    met = probing.alias("a").join(rows.alias("b"), ["signature", "band"])
+    met = met.where(f"a.node < b.node AND a.part <> b.part AND {_reach(percent)}")
+    met = met.selectExpr("a.node AS u", "b.node AS v", "a.part AS pu", "b.part AS pv", f"{_apart()} AS apart")
+    pairs = stored(met.distinct(), "pairs")
+    discard(rows)
+    return pairs
 
-def links(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``u, v``: links that hold together all sets (``node, n, prefix, id, digest`` of a text that has it) with a Jaccard
-    similarity of ``percent`` hundredths or more.
 
-    Prefix signatures that a crowd shares don't make all its pairs: each of the crowd first meets the smallest of its
-    band. Those that hang together by that need not meet again; all others do.
+def links(sets: DataFrame, ranks: Column, percent: int) -> DataFrame:
+    """``u, v``: links that hold together all ``sets`` (``node, n, own``) with a Jaccard similarity of ``percent`` hundredths
+    or more.
+
+    Groups that share a prefix signature don't make all their pairs. Each set first meets the few pivots of its groups;
+    those that hang together by that need not meet again. All others do: first the closest pair of two parts, then, of
+    parts that are still apart, every pair that passes the filters.
     """
-    rows = stored(_banded(sets, percent), "banded")
-    few = rows.where(f"shared <= {_CROWD}")
-    crowd = rows.where(f"shared > {_CROWD}")
-    heads = crowd.groupBy("signature", "band").agg(F.min(F.struct("node", "n", "p")).alias("head"))
-    heads = heads.select("signature", "band", "head.*")
-    to_head = crowd.alias("a").join(heads.alias("b"), ["signature", "band"]).where(f"a.node <> b.node AND {_reach(percent)}")
-    to_head = to_head.selectExpr("least(a.node, b.node) AS u", "greatest(a.node, b.node) AS v")
-    pairs = _pairs(few, few, f"a.node < b.node AND {_reach(percent)}").unionByName(to_head)
-    first = _verified(docs, sets, pairs, percent)
-    parts = components(first).withColumnRenamed("component", "part")
-    crowd = stored(crowd.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node")), "crowd")
-    discard(rows)
-    # what hangs together with the first of all that share a signature meets only what does not
-    main = crowd.groupBy("signature").agg(F.min(F.struct("part", "node")).alias("least"), F.max("part").alias("most"))
-    main = main.where("least.part <> most").selectExpr("signature", "least.part AS main")
-    mixed = crowd.join(main, "signature")
-    rest = mixed.where("part <> main")
-    once = "(b.part = b.main OR a.node < b.node)"
-    others = _pairs(rest, mixed, f"a.part <> b.part AND {once} AND {_reach(percent)}")
-    more = _verified(docs, sets, others, percent)
-    discard(crowd)
-    return first.unionByName(more)
-
-
-def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``u, v`` whose sets, made again from the texts, are similar enough."""
-    pairs = stored(pairs.distinct(), "pairs")
+    rows = _banded(sets, ranks, percent)
+    found = _verified(sets, _to_pivots(rows, percent), percent)
+    parts = stored(components(found).withColumnRenamed("component", "part"), "parts")
+    pairs = _between_parts(rows, parts, percent)
+    for spent in (rows, parts):
+        discard(spent)
+    closest = pairs.groupBy(F.least("pu", "pv").alias("p"), F.greatest("pu", "pv").alias("q"))
+    closest = closest.agg(F.min(F.struct("apart", "u", "v")).alias("pair")).select("pair.u", "pair.v")
+    found = found.unionByName(_verified(sets, closest, percent))
+    parts = components(found)
+    left = pairs.join(parts.selectExpr("node AS u", "component AS cu"), "u", "left").join(
+        parts.selectExpr("node AS v", "component AS cv"), "v", "left"
+    )
+    left = left.where("coalesce(cu, u) <> coalesce(cv, v)").select("u", "v")
+    found = found.unionByName(_verified(sets, left, percent))
+    discard(pairs)
+    return found
+
+
+def _verified(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``u, v`` whose sets are similar enough."""
+    pairs = stored(pairs, "pairs")
     wanted = pairs.selectExpr("u AS node").unionByName(pairs.selectExpr("v AS node")).distinct()
-    wanted = stored(sets.select("node", "id", "digest").join(wanted, "node"), "wanted")
-    bucket = f"xxhash64(id, digest) & {_PICKED - 1}"
-    # at most _PICKED rows of a long
+    bucket = f"node & {_PICKED - 1}"
+    # at most _PICKED rows of a long; they spare most sets the shuffle where few are wanted
     picked = F.broadcast(wanted.selectExpr(f"{bucket} AS bucket").distinct())
-    near = _texts(docs).withColumn("bucket", F.expr(bucket)).join(picked, "bucket", "left_semi").select("id", "digest", "text")
-    made = with_signatures(near, "text", "signatures").select("id", "digest", "signatures")
-    made = made.join(wanted, ["id", "digest"]).groupBy("node").agg(F.first("signatures").alias("signatures"))
-    made = stored(made, "made")
-    both = pairs.join(made.selectExpr("node AS u", "signatures AS a"), "u").join(made.selectExpr("node AS v", "signatures AS b"), "v")
+    made = sets.select("node", "own").withColumn("bucket", F.expr(bucket)).join(picked, "bucket", "left_semi").drop("bucket")
+    both = pairs.join(made.selectExpr("node AS u", "own AS a"), "u").join(made.selectExpr("node AS v", "own AS b"), "v")
     both = both.selectExpr("u", "v", "size(array_intersect(a, b)) AS same", "size(a) + size(b) AS n")
     verified = stored(both.where(f"same * {100 + percent} >= n * {percent}").select("u", "v"), "links")
-    for spent in (made, wanted, pairs):
-        discard(spent)
+    discard(pairs)
     return verified
 
 
@@ -250,25 +279,17 @@ def classes(docs: DataFrame, percent: int = 80) -> DataFrame:
 
 def _classed(docs: DataFrame, rows: DataFrame, columns: list[Column], percent: int) -> DataFrame:
     """``doc_id``, the ``columns`` of ``rows`` (``id, digest, own`` and more, a row for each of ``docs``) and ``class_id``."""
-    ranks = _ranks(with_signatures(_texts(docs), "text", "own"))
     doc_id = F.nullif("id", F.lit(_NULL_ID)).alias("doc_id")
-    prefix = _prefix("own", ranks, percent).alias("prefix")
-    rows = rows.select(doc_id, *columns, "id", "digest", F.size("own").alias("n"), F.xxhash64("own").alias("node"), prefix)
-    rows = stored(rows, "fingerprints")
-    sets = rows.groupBy("node").agg(
-        F.min("doc_id").alias("first"),
-        F.first("n").alias("n"),
-        F.first("prefix").alias("prefix"),
-        F.min(F.struct("id", "digest")).alias("key"),
-    )
-    sets = stored(sets.select("node", "first", "n", "prefix", "key.*"), "sets")
-    labels = components(links(docs, sets, percent))
-    named = sets.select("node", "first").join(labels, "node", "left")
-    named = named.select("node", "first", F.coalesce("component", "node").alias("component"))
-    smallest = named.groupBy("component").agg(F.min("first").alias("class_id"))
-    named = stored(named.join(smallest, "component").select("node", "class_id"), "named")
+    rows = stored(rows.select(doc_id, *columns, F.xxhash64("own").alias("node")), "fingerprints")
+    # each text's signatures, once for texts that have the same
+    sets = with_signatures(_texts(docs), "text", "own").groupBy(F.xxhash64("own").alias("node"))
+    sets = stored(sets.agg(F.first("own").alias("own")).select("node", F.size("own").alias("n"), "own"), "sets")
+    labels = components(links(sets, _ranks(sets), percent))
     discard(sets)
-    return rows.join(named, "node").drop("node", "n", "prefix", "id", "digest")
+    named = rows.groupBy("node").agg(F.min("doc_id").alias("first")).join(labels, "node", "left")
+    named = stored(named.select("node", "first", F.coalesce("component", "node").alias("component")), "named")
+    smallest = named.groupBy("component").agg(F.min("first").alias("class_id"))
+    return rows.join(named.join(smallest, "component").select("node", "class_id"), "node").drop("node")
 
 
 def _written(signatures: str) -> Column:
