@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -63,12 +64,64 @@ def test_every_notice_is_found_with_a_word_more(docs):
         ("Licensed under the Apache License, Version 1.1", "apache"),
         ("under the terms of the GNU Lesser General Public License", "gpl,lgpl"),
         ("Licensed under the GNU General Public License version 2", "gpl,gpl-2.0"),
+        ("Licensed under the GNU Lesser General Public License version 3", "gpl,lgpl"),
+        ("Licensed under the GNU Affero General Public License, version 3", "agpl,gpl"),
+        ("Licensed under CC BY-ND 4.0", "cc-by-nd-4.0"),
+        ("Licensed under CC BY-NC-SA 4.0", "cc-by-nc-sa-4.0"),
+        ("Licensed under CC BY-SA-NC 4.0", ""),
+        (
+            "under the terms of the GNU General Public License as published by the Free Software Foundation; "
+            "either version 2 of the License, or (at your option) any later version",
+            "gpl,gpl-2.0",
+        ),
     ],
 )
 def test_variants_need_their_telling_words(docs, text, labels):
     assert licenses.scan(docs([text])).first().labels == labels
 
 
+def plain_notices(text, least_cover=0.7, width=4):
+    """Labels of the notices by votes that are counted one by one."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower())
+    spans = []
+    for phrase, label in licenses.NOTICES.items():
+        parts = phrase.split()
+        places = {}
+        for i in range(len(words) - 1):
+            for p in range(len(parts) - 1):
+                if words[i : i + 2] == parts[p : p + 2]:
+                    places.setdefault(i - p, set()).add(p)
+        needed = [p for p, w in enumerate(parts) if w in licenses.TELLING]
+        for start in places:
+            run = [(d, p) for d in places if start <= d <= start + width for p in places[d]]
+            covered = {p for _, p in run}
+            inside = words[min(d + p for d, p in run) : max(d + p for d, p in run) + 2]
+            rest = iter(inside)
+            told = all(p in covered or p - 1 in covered for p in needed) and all(parts[p] in rest for p in needed)
+            other = any(w in licenses.FORBIDDING and w not in parts for w in inside)
+            if len(covered) / (len(parts) - 1) >= least_cover and told and not other:
+                spans.append((start, len(covered) / (len(parts) - 1), label))
+    return {s[2] for s in spans if s[1] == max(t[1] for t in spans if abs(t[0] - s[0]) <= width)}
+
+
+def test_labels_of_the_vote_equal_brute_force(docs):
+    rnd = random.Random(8)
+    extra = ["lesser", "nd", "version", "2", "word", "the", "sa", "gnu"]
+    texts = []
+    for _ in range(150):
+        words = []
+        for phrase in rnd.sample(list(licenses.NOTICES), 2):
+            part = phrase.split()
+            for _ in range(rnd.randint(0, 3)):
+                at = rnd.randrange(len(part))
+                part[at : at + rnd.randint(0, 1)] = [rnd.choice(extra)] * rnd.randint(0, 2)
+            words += part + [rnd.choice(extra)] * rnd.randint(0, 6)
+        texts.append(" ".join(words))
+    for row in licenses.scan(docs(texts)).collect():
+        base = set(filter(None, row.base_labels.split(",")))
+        assert set(filter(None, row.labels.split(","))) == base | plain_notices(texts[row.doc_id])
+
+
 def test_repeated_rows_and_empty_table(docs):
     rows = [(1, "mit license"), (1, "mit license"), (1, "apache license"), (None, "mit license")]
     got = sorted((str(r.doc_id), r.n_base, r.base_labels) for r in licenses.scan(docs(rows)).collect())

@@ -3,7 +3,7 @@
 Every pair of neighbouring words of a document is joined to the places of the same pair in the templates. A match votes
 for the diagonal (place in the document less place in the template); votes are counted per diagonal, neighbouring
 diagonals are merged, so that a few words more or less do not break a match, and the spans are verified by the share of the
-template that they cover.
+template that they cover and by the words in them that tell licenses apart.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tillroll.llm.common import stored
+
 # Phrases that count wherever their words stand consecutively, and their labels.
 BASE = {
     "mit license": "mit",
@@ -27,8 +29,12 @@ NOTICES = {
     "licensed under the gnu general public license version 2": "gpl-2.0",
     "licensed under the gnu general public license version 3": "gpl-3.0",
     "under the terms of the gnu general public license as published by the free software foundation": "gpl",
+    "gnu general public license as published by the free software foundation either version 2 of the license": "gpl-2.0",
+    "gnu general public license as published by the free software foundation either version 3 of the license": "gpl-3.0",
     "under the terms of the gnu lesser general public license": "lgpl",
+    "licensed under the gnu lesser general public license": "lgpl",
     "under the terms of the gnu affero general public license": "agpl",
+    "licensed under the gnu affero general public license": "agpl",
     "redistribution and use in source and binary forms with or without modification are permitted": "bsd",
     "permission to use copy modify and or distribute this software for any purpose with or without fee": "isc",
     "subject to the terms of the mozilla public license": "mpl",
@@ -37,10 +43,17 @@ NOTICES = {
     "licensed under cc by 4 0": "cc-by-4.0",
     "licensed under cc by sa 4 0": "cc-by-sa-4.0",
     "licensed under cc by nc 4 0": "cc-by-nc-4.0",
+    "licensed under cc by nd 4 0": "cc-by-nd-4.0",
+    "licensed under cc by nc sa 4 0": "cc-by-nc-sa-4.0",
+    "licensed under cc by nc nd 4 0": "cc-by-nc-nd-4.0",
     "licensed under a creative commons attribution license": "cc-by",
 }
 #: Words that tell one license from another; a notice that has them is verified only with all of them.
-TELLING = frozenset("affero apache attribution by cc commons creative eclipse general gnu lesser mit mozilla nc sa version 0 2 3 4".split())
+TELLING = frozenset("affero apache attribution by cc commons creative eclipse general gnu lesser mit mozilla nc nd sa version 0 2 3 4".split())
+#: Words that make another license of one; a span that has one which its notice has not is no such notice.
+FORBIDDING = frozenset("affero lesser library nc nd noncommercial noderivatives noderivs sa sharealike".split())
+#: The template of the places of single words that tell or forbid.
+_MARK = -1
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: What parts words: all of ASCII but digits and (lower-cased) letters.
 _GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -48,7 +61,7 @@ _GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 def _templates(spark: SparkSession, base: dict[str, str], notices: dict[str, str]) -> DataFrame:
     """A row for each pair of neighbouring words: ``template, label, exact, pairs`` (their number),
-    ``needed`` (the places of telling words), ``place, w1, w2``."""
+    ``needed`` (the telling words and their places), ``place, w1, w2``; and one for each word that tells or forbids, without ``w2``."""
     rows = []
     for exact, phrases in ((True, base), (False, notices)):
         for phrase, label in phrases.items():
@@ -56,10 +69,11 @@ def _templates(spark: SparkSession, base: dict[str, str], notices: dict[str, str
             if len(words) < 2:
                 raise ValueError(f"A phrase needs two words: {phrase}")
             pairs = list(zip(words, words[1:], strict=False))
-            needed = [i for i, w in enumerate(words) if w in TELLING]
+            needed = [(i, w) for i, w in enumerate(words) if w in TELLING]
             number = len({r[0] for r in rows})
             rows += [(number, label, exact, len(pairs), needed, place, a, b) for place, (a, b) in enumerate(pairs)]
-    schema = "template int, label string, exact boolean, pairs int, needed array<int>, place int, w1 string, w2 string"
+    rows += [(_MARK, word, False, 0, [], 0, word, "") for word in sorted(TELLING | FORBIDDING)]
+    schema = "template int, label string, exact boolean, pairs int, needed array<struct<place:int,word:string>>, place int, w1 string, w2 string"
     return spark.createDataFrame(rows, schema)
 
 
@@ -72,10 +86,13 @@ def _words(docs: DataFrame) -> DataFrame:
 
 
 def votes(docs: DataFrame, base: dict[str, str] = BASE, notices: dict[str, str] = NOTICES) -> DataFrame:
-    """``doc_id, digest, template, label, exact, pairs, needed, diagonal, place``: each match of a pair of words, once."""
-    pairs = F.transform("words", lambda w, i: F.struct(w.alias("w1"), F.get("words", i + 1).alias("w2")))
-    grams = _words(docs).select("doc_id", "digest", F.posexplode(pairs).alias("at", "gram"))
-    grams = grams.select("doc_id", "digest", "at", "gram.w1", "gram.w2", F.xxhash64("gram.w1", "gram.w2").alias("hash"))
+    """``doc_id, digest, template, label, exact, pairs, needed, diagonal, place``: each match of a pair of words, once; and
+    with template -1 each place (``diagonal``) of a word (``label``) that tells or forbids."""
+    pairs = F.transform("words", lambda w, i: F.struct(i.alias("at"), w.alias("w1"), F.get("words", i + 1).alias("w2")))
+    marks = F.filter(pairs, lambda g: g["w1"].isin(sorted(TELLING | FORBIDDING)))
+    marks = F.transform(marks, lambda g: F.struct(g["at"].alias("at"), g["w1"].alias("w1"), F.lit("").alias("w2")))
+    grams = _words(docs).select("doc_id", "digest", F.explode(F.concat(pairs, marks)).alias("gram"))
+    grams = grams.select("doc_id", "digest", "gram.*", F.xxhash64("gram.w1", "gram.w2").alias("hash"))
     # the templates are the phrases given as parameters, a few hundred rows
     index = F.broadcast(_templates(docs.sparkSession, base, notices).withColumn("hash", F.xxhash64("w1", "w2")))
     found = grams.join(index, ["hash", "w1", "w2"])
@@ -89,23 +106,41 @@ def spans(matches: DataFrame, least_cover: float = 0.7, slack: int = 2) -> DataF
 
     A phrase of the base stands where all its pairs vote for one diagonal. For a notice, diagonals of one document at most
     ``2 * slack`` apart are one span, so it is at most that much longer than the notice; it is verified if its different
-    pairs are ``least_cover`` of the notice's or more, and if each telling word of the notice is in one of them. Of
-    notices that start within ``2 * slack`` words of one another those that are covered best stay.
+    pairs are ``least_cover`` of the notice's or more, if each telling word of the notice is in one of them, and if between
+    its first word and its last the telling words stand in the notice's order and no forbidding word that the notice has
+    not. Of notices that start within ``2 * slack`` words of one another those that are covered best stay.
     """
     key = ["doc_id", "digest", "template", "label", "exact", "pairs", "needed"]
-    lines = matches.groupBy(*key, "diagonal").agg(F.count(F.lit(1)).alias("n"), F.collect_set("place").alias("places"))
+    ends = (F.min("place").alias("low"), F.max("place").alias("high"))
+    lines = matches.where(F.col("template") != _MARK)
+    lines = lines.groupBy(*key, "diagonal").agg(F.count(F.lit(1)).alias("n"), F.collect_set("place").alias("places"), *ends)
     exact = lines.where("exact AND n = pairs").select("doc_id", "digest", "label", "exact", F.col("diagonal").alias("start"), F.lit(1.0).alias("cover"))
     width = 2 * slack
     within = Window.partitionBy("doc_id", "digest", "template").orderBy("diagonal").rangeBetween(0, width)
     merged = lines.where("NOT exact").withColumn("places", F.array_distinct(F.flatten(F.collect_list("places").over(within))))
-    told = F.forall("needed", lambda w: F.array_contains("places", w) | F.array_contains("places", w - 1))
+    merged = merged.withColumn("low", F.min(F.col("diagonal") + F.col("low")).over(within))
+    merged = merged.withColumn("high", F.max(F.col("diagonal") + F.col("high") + 1).over(within))
+    told = F.forall("needed", lambda w: F.array_contains("places", w["place"]) | F.array_contains("places", w["place"] - 1))
     merged = merged.withColumn("start", F.col("diagonal")).withColumn("cover", F.size("places") / F.col("pairs"))
-    merged = merged.where((F.col("cover") >= least_cover) & told)
+    merged = _in_order(merged.where((F.col("cover") >= least_cover) & told), matches)
     nearby = Window.partitionBy("doc_id", "digest").orderBy("start").rangeBetween(-width, width)
     merged = merged.withColumn("best", F.max("cover").over(nearby)).where("cover = best")
     return exact.unionByName(merged.select("doc_id", "digest", "label", "exact", F.greatest("start", F.lit(0)).alias("start"), "cover"))
 
 
+def _in_order(merged: DataFrame, matches: DataFrame) -> DataFrame:
+    """The spans ``low`` to ``high`` whose telling words stand in order and that hold no forbidding word of another license."""
+    marks = matches.where(F.col("template") == _MARK).groupBy(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
+    marks = marks.agg(F.sort_array(F.collect_set(F.struct(F.col("diagonal").alias("at"), F.col("label").alias("word")))).alias("marks"))
+    spans = merged.join(marks, F.expr("doc_id <=> _id AND digest = _digest"), "left")
+    inside = "filter(coalesce(marks, array()), m -> m.at BETWEEN low AND high)"
+    spans = spans.withColumn("inside", F.expr(f"transform({inside}, m -> m.word)"))
+    forbidding = ", ".join(f"'{word}'" for word in sorted(FORBIDDING))
+    ordered = "aggregate(inside, 0, (k, w) -> if(w <=> get(needed, k).word, k + 1, k)) = size(needed)"
+    other = f"exists(inside, w -> w IN ({forbidding}) AND NOT exists(needed, t -> t.word = w))"
+    return spans.where(f"{ordered} AND NOT {other}").drop("_id", "_digest", "marks", "inside")
+
+
 def scan(docs: DataFrame, base: dict[str, str] = BASE, notices: dict[str, str] = NOTICES) -> DataFrame:
     """``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score`` of every row.
 
@@ -115,7 +150,7 @@ def scan(docs: DataFrame, base: dict[str, str] = BASE, notices: dict[str, str] =
     texts count as empty. Equal rows give equal rows, rows of one ``doc_id`` and different texts are judged each for
     itself; other columns are ignored; no rows give none.
     """
-    found = spans(votes(docs, base, notices))
+    found = spans(stored(votes(docs, base, notices), "votes"))
     start = F.when(F.col("exact"), F.col("start").cast("long"))
     found = found.groupBy("doc_id", "digest").agg(
         F.count(start).alias("n_base"),
