@@ -1,3 +1,4 @@
+import datetime
 import hashlib
 import random
 
@@ -5,6 +6,7 @@ import pytest
 
 from tillroll.operators import digests, manifest
 from tillroll.operators.digests import Shape
+from tillroll.plans.catalog import block_drift, block_manifest
 from tillroll.session import materialize
 
 SCHEMA = "uri string, offset bigint, value string"
@@ -91,6 +93,32 @@ def test_trees_that_are_too_small_fail(spark):
             Shape(*bad)
 
 
+def test_forests_have_room_for_any_file(spark):
+    shape = Shape(100, 2, 2, forest=True)
+    rows = [*lines_of("a", made(7, 300)), *lines_of("b", made(8, 5))]
+    other = [(u, o, "changed" if i == 250 else v) for i, (u, o, v) in enumerate(rows)]
+    trees = [digests.tree(spark.createDataFrame(x, SCHEMA).repartition(5), shape) for x in (rows, other)]
+    got = {(r.uri, r.level, r.node): (r.first_byte, r.last_byte, r.lines, r.sha256) for r in trees[0].collect()}
+    assert got == brute_tree(rows, shape) and max(n for _, level, n in got if level == 2) > 0
+    (found,) = digests.tree_drift(*trees, shape).collect()
+    assert found.uri == "a" and found.change == "content" and found.first_byte <= rows[250][1] <= found.last_byte
+    with pytest.raises(ValueError):
+        digests.roots(trees[0], shape)
+
+
+@pytest.mark.parametrize("query", [block_manifest, block_drift])
+def test_block_queries_take_any_event_id(spark, tmp_path, query):
+    ts = datetime.datetime(2024, 5, 4, 12)
+    events = [(i, ts, 1, "purchase", 1.5, '{"k": 3}') for i in (0, 89, 300, 2_000_000, 5_999_999)]
+    frame = spark.createDataFrame(events, "event_id long, ts timestamp, user_id long, event_type string, value double, props string")
+    frame.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    rows = query(spark, str(tmp_path)).collect()
+    if query is block_drift:
+        assert {(r.first_byte // 256, r.change) for r in rows} == {(0, "content")}
+    else:
+        assert sorted((r.node, r.lines) for r in rows if r.level == 4) == [(0, 3), (1, 1), (5, 1)]
+
+
 def test_drift_names_the_blocks(spark):
     shape = Shape(100, 3, 5)
     base = made(5, 400)

@@ -68,12 +68,14 @@ def line_digest(lines: DataFrame) -> DataFrame:
 class Shape:
     """Blocks of ``block_bytes``; ``fanout`` neighbours under one node, ``height`` levels above the blocks.
 
-    The standard shape covers a file of a pebibyte; of its nodes none has more than 1024 children.
+    The standard shape covers a file of a pebibyte; of its nodes none has more than 1024 children. A file with more blocks
+    than the tree has room for fails, unless the shape is that of a ``forest``: then it has several nodes at the top.
     """
 
     block_bytes: int = 1 << 20
     fanout: int = 1024
     height: int = 3
+    forest: bool = False
 
     def __post_init__(self) -> None:
         if not (0 < self.block_bytes <= REGION_BYTES and self.fanout > 1 and self.height > 0):
@@ -125,13 +127,13 @@ def tree(lines: DataFrame, shape: Shape = Shape()) -> DataFrame:
     """All nodes of the tree of every file, from ``level`` 0, the blocks, to the one root at ``shape.height``.
 
     The input is read once; a level is made from the one below it. A file with more blocks than the shape has room for
-    fails.
+    fails, or has as many roots as it takes if the shape is that of a forest.
     """
     nodes = materialize(blocks(lines, shape))
     levels = [nodes]
     for level in range(1, shape.height + 1):
         nodes = _parents(nodes, level, shape)
-        if level == shape.height:
+        if level == shape.height and not shape.forest:
             message = F.concat(F.lit("More blocks than the tree has room for: "), F.col("uri"))
             nodes = nodes.withColumn("node", fail_if(F.col("node") > 0, message, F.col("node")))
         nodes = materialize(nodes)
@@ -144,6 +146,8 @@ def tree(lines: DataFrame, shape: Shape = Shape()) -> DataFrame:
 
 def roots(nodes: DataFrame, shape: Shape = Shape()) -> DataFrame:
     """``uri, bytes, sha256``: a manifest of roots. ``bytes`` counts up to the end of the last line."""
+    if shape.forest:
+        raise ValueError("A file may have several roots in a forest")
     top = nodes.where(F.col("level") == shape.height)
     return top.select("uri", (F.col("last_byte") + 1).alias("bytes"), "sha256")
 

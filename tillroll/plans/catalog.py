@@ -384,8 +384,8 @@ def repeated_line_drift(spark: SparkSession, sf: str) -> DataFrame:
     return manifest.input_drift(before, after)
 
 
-#: Positions are event ids here, so that blocks are small.
-BLOCKS = digests.Shape(block_bytes=256, fanout=8, height=4)
+#: Positions are event ids here, so that blocks are small. Beyond 1,048,576 ids a day has several nodes at the top level.
+BLOCKS = digests.Shape(block_bytes=256, fanout=8, height=4, forest=True)
 
 
 def block_manifest(spark: SparkSession, sf: str) -> DataFrame:
