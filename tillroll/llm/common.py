@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.session import new_shared_path
 
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: What holds while a table is stored: shuffle files go with the end of the write, and a batch of rows for Python is of
+#: so many bytes at most (a single larger row is a batch). Spark's own limit is a number of rows, of any size.
+_STORING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,15 +32,37 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     path = new_shared_path(df.sparkSession, label)
     conf = df.sparkSession.conf
-    before = conf.get(_CLEANUP)
-    conf.set(_CLEANUP, "true")
+    before = {key: conf.get(key) for key in _STORING}
     try:
+        for key, value in _STORING.items():
+            conf.set(key, value)
         df.write.parquet(path)
     finally:
-        conf.set(_CLEANUP, before)
+        for key, value in before.items():
+            conf.set(key, value)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _give_back() -> None:
+    """Hand memory that is free within this process back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
+def map_batches(rows: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``rows.mapInArrow``; a Python worker, which waits for further tasks, does not keep what a task has freed."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+
+    return rows.mapInArrow(task, schema)
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a stored table that nothing reads any more."""
     for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:

@@ -17,7 +17,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import discard, stored
+from tillroll.llm.common import discard, map_batches, stored
 
 #: A separator is never part of a word, so it can stand in the stream of words for the end of a piece.
 _SEPARATORS, _END = r"[.,;:!?\x0a-\x0d]+", "."
@@ -213,7 +213,7 @@ def _encoded(texts: DataFrame, vocabulary: DataFrame, shards: int) -> DataFrame:
             known[lang] = own["word"].combine_chunks().cast(pa.large_string()), own["id"].to_numpy()
         sent, last = spark.sparkContext.broadcast(known), shard == shards - 1
         schema = "ids binary" if last else "lang string, texts array<string>, ids binary"
-        done = stored(rows.mapInArrow(_encode(sent, last), schema), "encoded")
+        done = stored(map_batches(rows, _encode(sent, last), schema), "encoded")
         if shard:
             discard(rows)
         sent.destroy()
@@ -275,11 +275,11 @@ def _pairs(encoded: DataFrame, known: DataFrame, shards: int, words: int, min_co
         trie = spark.sparkContext.broadcast(DoubleArray(matrix, part["id"].to_numpy()))
         sent.append(trie)
         if shard < shards - 1:
-            filled = stored(rows.mapInArrow(_fill(trie), "ids binary, states binary"), "states")
+            filled = stored(map_batches(rows, _fill(trie), "ids binary, states binary"), "states")
             if shard:
                 discard(rows)
             rows = filled
-    pairs = rows.mapInArrow(_count_pairs(trie), "pair long, a long").groupBy("pair").agg(F.sum("a").alias("a"))
+    pairs = map_batches(rows, _count_pairs(trie), "pair long, a long").groupBy("pair").agg(F.sum("a").alias("a"))
     left, right = F.shiftright("pair", 32).cast("int"), F.col("pair").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
     frequent = stored(
         pairs.where(F.col("a") >= min_count).select(left.alias("left"), right.alias("right"), "a"), "pairs"
@@ -340,7 +340,7 @@ def collocations(
     other; texts of any length are read whole; other columns are ignored; empty tables, or too few words, give no rows.
     """
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
-    counted = texts.mapInArrow(_count_words, "lang string, word string, a long").groupBy("lang", "word").agg(F.sum("a").alias("a"))
+    counted = map_batches(texts, _count_words, "lang string, word string, a long").groupBy("lang", "word").agg(F.sum("a").alias("a"))
     words = stored(counted.where((F.col("a") >= min_count) | F.col("word").isNull()), "words")
     totals = words.where("word IS NULL").select("lang", F.col("a").alias("n"))
     vocabulary, shards = _numbered(words.where("word IS NOT NULL"), ["lang", "word"], max_vocabulary)
