@@ -93,3 +93,14 @@ def test_keep_clean(spark, docs):
     kept, scores = toxicity.keep_clean(frame, table), toxicity.judge(frame, table)
     assert kept.columns == frame.columns
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in scores.collect() if r.score < 0.5}
+
+
+def test_keep_clean_sends_each_text_once(spark, docs, monkeypatch):
+    rows, labels = corpus(300)
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    sent, map_batches = [], toxicity.map_batches
+    monkeypatch.setattr(toxicity, "map_batches", lambda df, *more: sent.append(df.schema.simpleString()) or map_batches(df, *more))
+    kept = toxicity.keep_clean(clashing(docs(rows)), table)
+    assert sent[-1].count("text:string") == 1
+    texts = dict(rows)
+    assert all(r.text == texts[r.doc_id] for r in kept.collect())

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tillroll.llm.common import parts_of, stored
+from tillroll.llm.common import map_batches, parts_of, stored
 
 #: Chunks between spaces whose ids each Python worker remembers, and their greatest length.
 _REMEMBERED, _REMEMBERED_LENGTH = 1_000_000, 64
@@ -102,7 +102,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int =
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
-    return rows.mapInArrow(run, _PIECES)
+    return map_batches(rows, run, _PIECES)
 
 
 class BestFit:
@@ -175,4 +175,4 @@ def pack(
                 [*batch.columns, numbers, offsets], [*batch.schema.names, "sequence_id", "offset"]
             )
 
-    return dealt.sortWithinPartitions("doc_id", "piece", "ids_crc32").mapInArrow(run, schema)
+    return map_batches(dealt.sortWithinPartitions("doc_id", "piece", "ids_crc32"), run, schema)

@@ -17,7 +17,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import stored
+from tillroll.llm.common import map_batches, stored
 
 #: Words by which a text speaks to someone, in English, German, French and Spanish.
 SECOND_PERSON = frozenset(
@@ -31,6 +31,8 @@ _PREFIXES = (4, 5, 6)
 #: Words between a term of the lexicon and a second person at most.
 _NEAR = 5
 _REMEMBERED, _REMEMBERED_LENGTH = 500_000, 64
+#: Rows that a task hands over at once.
+_ROWS_AT_ONCE = 1000
 FEATURES = (
     "hit_density hits hit_weight hit_most hit_kinds second_person hit_near_second_person capitals capital_words "
     "punctuation exclamations odd_words words word_length"
@@ -111,21 +113,24 @@ def features(text: str | None, lexicon: Lexicon) -> list[float]:
     ]
 
 
-def with_features(rows: DataFrame, weights: dict[str, float]) -> DataFrame:
-    """``rows`` with ``text`` replaced by the features."""
+def with_features(rows: DataFrame, weights: dict[str, float], keep_text: bool = False) -> DataFrame:
+    """``rows`` with ``text`` replaced by the features, or followed by them."""
     kept = [c for c in rows.columns if c != "text"]
-    schema = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept] + [f"{f} double" for f in FEATURES]
+    schema = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept] + ["text string"] * keep_text
     rows = rows.select(*kept, F.col("text").cast("string"))
+    kept += ["text"] * keep_text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(weights)
         for batch in batches:
-            values = [features(t.as_py(), lexicon) for t in batch.column(len(kept))]
-            columns = np.array(values, np.float64).reshape(len(values), len(FEATURES)).T
-            arrays = [*batch.columns[: len(kept)], *map(pa.array, columns)]
-            yield pa.RecordBatch.from_arrays(arrays, [*kept, *FEATURES])
+            for start in range(0, batch.num_rows, _ROWS_AT_ONCE):
+                part = batch.slice(start, _ROWS_AT_ONCE)
+                values = [features(t.as_py(), lexicon) for t in part.columns[-1]]
+                columns = np.array(values, np.float64).reshape(len(values), len(FEATURES)).T
+                arrays = [*part.columns[: len(kept)], *map(pa.array, columns)]
+                yield pa.RecordBatch.from_arrays(arrays, [*kept, *FEATURES])
 
-    return rows.mapInArrow(run, ", ".join(schema))
+    return map_batches(rows, run, ", ".join(schema + [f"{f} double" for f in FEATURES]))
 
 
 def mine(rows: DataFrame, least_docs: int = 4, least_weight: float = 2.0, max_terms: int = 20_000) -> dict[str, float]:
@@ -138,7 +143,7 @@ def mine(rows: DataFrame, least_docs: int = 4, least_weight: float = 2.0, max_te
                 flags = np.full(len(found), toxic.as_py(), np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(flags)], ["term", "toxic"])
 
-    counted = rows.select("text", F.col("toxic").cast("int")).mapInArrow(run, "term string, toxic int")
+    counted = map_batches(rows.select("text", F.col("toxic").cast("int")), run, "term string, toxic int")
     counted = counted.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic"))
     n, toxic = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     usual = math.log((toxic + 0.5) / (n - toxic + 0.5))
@@ -203,17 +208,24 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, seed: int =
     return Model(weights, trees, calibration)
 
 
+def _scored(rows: DataFrame, model: Model, keep_text: bool = False) -> DataFrame:
+    """``row``, ``text`` if it is kept, and ``score`` of ``row, text``."""
+    if model.trees is None:
+        scored = rows.withColumn("score", F.lit(float(model.constant)))
+    else:
+        made = _assembled(with_features(rows, model.weights, keep_text))
+        scored = model.calibration.transform(_margin(model.trees, made))
+    bounded = F.greatest(F.lit(0.0), F.least(F.lit(1.0), "score")).alias("score")
+    return scored.select("row", *["text"] * keep_text, bounded)
+
+
 def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of every row and ``score``, from 0 to 1. Only ``text`` enters the score.
 
     Null and empty texts are scored as texts without words. Repeated rows are scored alike; no rows give none.
     """
     rows = docs.select(F.struct(*keep).alias("row"), F.col("text").cast("string").alias("text"))
-    if model.trees is None:
-        scored = rows.withColumn("score", F.lit(float(model.constant)))
-    else:
-        scored = model.calibration.transform(_margin(model.trees, _assembled(with_features(rows, model.weights))))
-    return scored.select("row.*", F.greatest(F.lit(0.0), F.least(F.lit(1.0), "score")).alias("score"))
+    return _scored(rows, model).select("row.*", "score")
 
 
 def judge(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -229,6 +241,9 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFra
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose score is below ``threshold``, as they are."""
-    rows = docs.select(F.struct("*").alias("whole"), "text")
-    scored = score(rows, fit(docs, labels), ["whole"])
-    return scored.where(F.col("score") < threshold).select(*(F.col("whole").getField(c).alias(c) for c in docs.columns))
+    # a text goes to Python and back once, not beside a row that holds it as well
+    others = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("row")
+    rows = docs.select(others, F.col("text").cast("string").alias("text"))
+    scored = _scored(rows, fit(docs, labels), keep_text=True).where(F.col("score") < threshold)
+    text = F.col("text").cast(docs.schema["text"].dataType).alias("text")
+    return scored.select(*(text if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns))
