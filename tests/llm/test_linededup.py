@@ -68,3 +68,19 @@ def test_repeated_rows_long_line_and_empty_table(docs):
 def test_no_python_in_the_plan(docs):
     plan = linededup.deduplicate(docs(["a b c d e"] * 3))._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_pairs_that_only_few_parity_bits_take_for_similar_are_not_made(spark, docs, monkeypatch):
+    hashed = spark.range(4000).selectExpr("concat('w', id) AS word", "CAST(xxhash64(concat('w', id)) >> 32 AS INT) AS h").collect()
+    alike = {}
+    for r in hashed:  # two words each that fall on one of 64 bits, and on different ones of 256
+        alike.setdefault(r.h & 63, {}).setdefault(r.h >> 6 & 3, r.word)
+    (a, c), (b, d) = ([own[k] for k in sorted(own)][:2] for own in list(alike.values())[:2])
+    common = [f"common{i}" for i in range(7)]
+    often = [" ".join(x) for x in (common[:3], common[3:6], [common[6]], [a, b], [c, d])]
+    texts = ["\n".join(often)] * 10 + [" ".join(["rare", *common, *two]) for two in ((a, b), (c, d))]
+    hashes = linededup._hashed(linededup._words(linededup._texts(docs(texts))))
+    sets = linededup._sets(hashes, linededup._ranks(hashes), 80)
+    words = sets.selectExpr("*", "posexplode(prefix) AS (p, token)").drop("prefix")
+    assert sets.count() == 2 and words.groupBy("token").count().where("count > 1").count() == 1
+    assert linededup._candidates(words, 80).count() == 0

@@ -18,6 +18,8 @@ from tillroll.llm.common import discard, stored
 #: correct, so a bucket's count will do for rarity, and the ranks are a table of this size.
 _BUCKET_BITS = 14
 _BUCKETS = 1 << _BUCKET_BITS
+#: Columns of parity bits in the index, 64 in each.
+_SIGNS = ("s0", "s1", "s2", "s3")
 #: Buckets of documents by which those are picked that hold candidates; the list of buckets is broadcast.
 _PICKED = 1 << 18
 
@@ -61,10 +63,10 @@ def _ranks(hashed: DataFrame) -> Column:
 
 
 def _sets(hashed: DataFrame, ranks: Column, percent: int) -> DataFrame:
-    """``doc_id, place, n, parity, prefix`` of each different set, at its first line.
+    """``doc_id, place, n, s0..s3, prefix`` of each different set, at its first line.
 
-    ``parity`` has a bit for whether an odd number of words falls on it; ``prefix`` has the hashes of the rarest words,
-    as many as two similar sets cannot both do without.
+    ``s0`` to ``s3`` have a bit each for whether an odd number of words falls on it; ``prefix`` has the hashes of the rarest
+    words, as many as two similar sets cannot both do without.
     """
     ranked = F.transform(
         "hashes",
@@ -80,13 +82,13 @@ def _sets(hashed: DataFrame, ranks: Column, percent: int) -> DataFrame:
         "k1",
         "k2",
         "n",
-        "aggregate(t, 0L, (a, x) -> a ^ shiftleft(1L, CAST(x & 63 AS INT))) AS parity",
+        *_signatures("t"),
         f"transform(slice(t, 1, n - CAST(({percent} * n + 99) div 100 AS INT) + 1), x -> CAST((x << 32) >> 32 AS INT)) AS prefix",
     )
     sets = rows.groupBy("k1", "k2").agg(
-        F.min(F.struct("doc_id", "place")).alias("at"), *(F.first(c).alias(c) for c in ("n", "parity", "prefix"))
+        F.min(F.struct("doc_id", "place")).alias("at"), *(F.first(c).alias(c) for c in ("n", *_SIGNS, "prefix"))
     )
-    return sets.select("at.*", "n", "parity", "prefix")
+    return sets.select("at.*", "n", *_SIGNS, "prefix")
 
 
 def _similar(a: str, b: str, percent: int) -> str:
@@ -99,9 +101,10 @@ def _similar(a: str, b: str, percent: int) -> str:
     def short(x: str) -> str:
         return f"{x}.p <= {x}.n - (({2 * percent} * {x}.n + {99 + percent}) div {100 + percent})"
 
+    apart = " + ".join(f"bit_count({a}.{s} ^ {b}.{s})" for s in _SIGNS)
     return (
         f"{a}.n * 100 >= {b}.n * {percent} AND {b}.n * 100 >= {a}.n * {percent}"
-        f" AND bit_count({a}.parity ^ {b}.parity) <= {a}.n + {b}.n - 2 * {overlap}"
+        f" AND {apart} <= {a}.n + {b}.n - 2 * {overlap}"
         f" AND least({a}.n - {a}.p, {b}.n - {b}.p) + least({a}.p, {b}.p) >= {overlap}"
         f" AND if({a}.n >= {b}.n, {short(b)}, {short(a)})"
     )
@@ -128,11 +131,11 @@ def _candidates(words: DataFrame, percent: int) -> DataFrame:
     group = Window.partitionBy("token", "n").orderBy("doc_id", "place")
     # both sides of the join have the same rows and columns, and so one exchange; the window keeps its order. The filters,
     # which all rows pass, are those that Spark would add on one side.
-    spread = words.where("token IS NOT NULL AND n IS NOT NULL AND parity IS NOT NULL").repartition("token")
-    headed = spread.withColumn("head", F.first(F.struct("doc_id", "place", "n", "p", "parity")).over(group))
+    spread = words.where(" AND ".join(f"{c} IS NOT NULL" for c in ("token", "n", *_SIGNS))).repartition("token")
+    headed = spread.withColumn("head", F.first(F.struct("doc_id", "place", "n", "p", *_SIGNS)).over(group))
     alike = f"{_similar('a', 'head', percent)} AND NOT (a.doc_id <=> head.doc_id AND a.place = head.place)"
     headed = headed.alias("a").withColumn("alike", F.expr(alike))
-    other = spread.select("token", "doc_id", "place", "n", "p", "parity")
+    other = spread.select("token", "doc_id", "place", "n", "p", *_SIGNS)
     meet = f"a.token = b.token AND NOT alike AND {_similar('a', 'b', percent)} AND {_LATER}"
     joined = headed.alias("a").join(other.alias("b"), F.expr(meet), "left").where("alike OR b.place IS NOT NULL")
     return joined.selectExpr(
@@ -173,9 +176,8 @@ def _verified(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
         wanted.selectExpr("doc_id AS id", "place AS at"), F.expr("doc_id <=> id AND place = at"), "left_semi"
     )
     sets = stored(sets.distinct().selectExpr("*", "size(h) AS n", *_signatures("h")), "sets")
-    signs = [f"s{k}" for k in range(4)]
-    mine = sets.selectExpr("doc_id AS id", "place AS at", "n", *signs)
-    other = sets.selectExpr("doc_id AS id", "place AS at", "n AS m", *(f"{s} AS t{s[1:]}" for s in signs))
+    mine = sets.selectExpr("doc_id AS id", "place AS at", "n", *_SIGNS)
+    other = sets.selectExpr("doc_id AS id", "place AS at", "n AS m", *(f"{s} AS t{s[1:]}" for s in _SIGNS))
     near = pairs.join(mine, F.expr("doc_id <=> id AND place = at")).drop("id", "at")
     near = near.join(other, F.expr("other_id <=> id AND other = at")).drop("id", "at")
     apart = " + ".join(f"bit_count(s{k} ^ t{k})" for k in range(4))
@@ -203,7 +205,7 @@ def _near(texts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     One similar earlier set is enough, so each set is first held against the earliest of its candidates, then, if that
     fails, against all; sets that were paired with heads only are paired with all at last.
     """
-    words = sets.selectExpr("doc_id", "place", "n", "parity", "posexplode(prefix) AS (p, token)")
+    words = sets.selectExpr("doc_id", "place", "n", *_SIGNS, "posexplode(prefix) AS (p, token)")
     pairs = stored(_candidates(words, percent), "pairs")
     earliest = pairs.groupBy("doc_id", "place").agg(F.min(F.struct("other_id", "other")).alias("first"))
     found = _verified(texts, earliest.select("doc_id", "place", "first.*"), percent)
