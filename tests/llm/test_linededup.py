@@ -84,3 +84,31 @@ def test_pairs_that_only_few_parity_bits_take_for_similar_are_not_made(spark, do
     words = sets.selectExpr("*", "posexplode(prefix) AS (p, token)").drop("prefix")
     assert sets.count() == 2 and words.groupBy("token").count().where("count > 1").count() == 1
     assert linededup._candidates(words, 80).count() == 0
+
+
+def test_only_wanted_lines_are_split_into_words(docs, monkeypatch):
+    monkeypatch.setattr(linededup, "_PICKED", 1)
+    texts = linededup._texts(docs(["\n".join(f"Word{i} a{j}" for j in range(50)) for i in range(40)] + [(None, "x\ny")]))
+    places = texts.selectExpr("doc_id", "digest << 31 | 1 AS place").where("doc_id IS NULL OR doc_id < 20")
+    wanted = places.unionByName(places.selectExpr("doc_id", "place + 0 AS place").where("doc_id = 3").selectExpr("doc_id", "place + 4 AS place"))
+    got = {(r.doc_id, r.place & 2147483647): list(r.words) for r in linededup._picked(texts, wanted).collect()}
+    assert got == {(i, 1): [f"word{i}", "a1"] for i in range(20)} | {(3, 5): ["word3", "a5"], (None, 1): ["y"]}
+
+
+@pytest.mark.parametrize("percent", [55, 80, 95])
+def test_sets_of_different_classes_of_size_meet(docs, percent):
+    rnd, rows = random.Random(percent), []
+    for group in range(40):
+        words = [f"g{group}w{i}" for i in range(rnd.randint(4, 90))]
+        shorter = [words[: max(1, -(-len(words) * percent // 100) + d)] for d in (-1, 0, 1)]
+        rows.append((group, "\n".join(" ".join(x) for x in rnd.sample([words, rnd.choice(shorter), rnd.choice(shorter)], 3))))
+    expected = plain(rows, percent)
+    got = {r.doc_id: list(r.removed_lines) for r in linededup.deduplicate(docs(rows), percent).collect()}
+    assert got == {doc_id: expected.get(doc_id, []) for doc_id, _ in rows}
+
+
+def test_sets_of_other_sizes_do_not_meet(spark):
+    words = spark.range(200).selectExpr("id AS doc_id", "id AS place", "CAST(id + 5 AS INT) AS n", *(f"0L AS s{k}" for k in range(4)), "0 AS p", "7 AS token")
+    met = linededup._classed(words, 80)
+    assert met.groupBy("meeting").count().agg({"count": "max"}).first()[0] < 150
+    assert met.where("home").count() == 200

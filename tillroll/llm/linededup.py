@@ -8,6 +8,7 @@ signature rule out most pairs, and the Jaccard similarity of the rest is verifie
 from __future__ import annotations
 
 import json
+import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,12 +17,14 @@ from tillroll.llm.common import discard, stored
 
 #: Words are counted in this many buckets of their hash (a power of two), whatever the vocabulary: any order of words is
 #: correct, so a bucket's count will do for rarity, and the ranks are a table of this size.
-_BUCKET_BITS = 14
+_BUCKET_BITS = 18
 _BUCKETS = 1 << _BUCKET_BITS
 #: Columns of parity bits in the index, 64 in each.
 _SIGNS = ("s0", "s1", "s2", "s3")
-#: Buckets of documents by which those are picked that hold candidates; the list of buckets is broadcast.
+#: The list of lines to verify is broadcast if there are at most this many; else texts and list are shuffled.
 _PICKED = 1 << 18
+#: Sets meet within classes of size, each this power of the threshold wide.
+_CLASS = 4
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -36,7 +39,12 @@ def _words(texts: DataFrame) -> DataFrame:
     Words are what stands between white space of ASCII, lower-cased. ``place`` is digest and line number in one.
     """
     lines = texts.selectExpr("doc_id", "digest", "posexplode(split(text, '\n')) AS (line, words)")
-    trimmed = lines.selectExpr("doc_id", "digest << 31 | line AS place", "trim(BOTH ' \t\r\f\u000B' FROM lower(words)) AS words")
+    return _split(lines.selectExpr("doc_id", "digest << 31 | line AS place", "words"))
+
+
+def _split(lines: DataFrame) -> DataFrame:
+    """``lines`` that have words, with ``words``, the text of a line, split into them."""
+    trimmed = lines.selectExpr("doc_id", "place", "trim(BOTH ' \t\r\f\u000B' FROM lower(words)) AS words")
     return trimmed.where("words <> ''").selectExpr("doc_id", "place", "split(words, '[ \t\r\f\u000B]+') AS words")
 
 
@@ -53,13 +61,12 @@ def _hashed(lines: DataFrame) -> DataFrame:
 
 
 def _ranks(hashed: DataFrame) -> Column:
-    """An array literal: for each bucket the rank of its number of words, rare ones first."""
+    """An array literal: for each bucket four times the binary logarithm of its number of words, rounded down."""
     words = hashed.selectExpr("explode(hashes) AS h").selectExpr(f"h & {_BUCKETS - 1} AS bucket")
-    counts = dict(words.groupBy("bucket").count().collect())  # at most _BUCKETS rows
     ranks = [0] * _BUCKETS
-    for rank, bucket in enumerate(sorted(range(_BUCKETS), key=lambda b: (counts.get(b, 0), b))):
-        ranks[bucket] = rank
-    return F.from_json(F.lit(json.dumps(ranks, separators=(",", ":"))), "array<bigint>")
+    for bucket, count in words.groupBy("bucket").count().collect():  # at most _BUCKETS rows
+        ranks[bucket] = int(4 * math.log2(count))
+    return F.from_json(F.lit(json.dumps(ranks, separators=(",", ":"))), "array<int>")
 
 
 def _sets(hashed: DataFrame, ranks: Column, percent: int) -> DataFrame:
@@ -70,7 +77,7 @@ def _sets(hashed: DataFrame, ranks: Column, percent: int) -> DataFrame:
     """
     ranked = F.transform(
         "hashes",
-        lambda h: F.shiftleft(F.get(ranks, h.bitwiseAND(F.lit(_BUCKETS - 1))), 32).bitwiseOR(
+        lambda h: F.shiftleft(F.get(ranks, h.bitwiseAND(F.lit(_BUCKETS - 1))).cast("long"), 32).bitwiseOR(
             h.cast("long").bitwiseAND(F.lit((1 << 32) - 1))
         ),
     )
@@ -91,25 +98,40 @@ def _sets(hashed: DataFrame, ranks: Column, percent: int) -> DataFrame:
     return sets.select("at.*", "n", *_SIGNS, "prefix")
 
 
+def _overlap(n: str, m: str, percent: int) -> str:
+    """How many words two similar sets of these sizes share at least."""
+    return f"(({percent} * ({n} + {m}) + {99 + percent}) div {100 + percent})"
+
+
 def _similar(a: str, b: str, percent: int) -> str:
     """Length, position and signature filters on the columns of two prefix rows; what fails is not similar enough.
 
-    Of two similar sets, a common word is within the prefix of the larger and within a shorter one of the smaller.
+    Two similar sets pass at the first word of the order that they share: what comes before it, in either, is not in the
+    other, and all that they share is yet to come.
     """
-    overlap = f"(({percent} * ({a}.n + {b}.n) + {99 + percent}) div {100 + percent})"
-
-    def short(x: str) -> str:
-        return f"{x}.p <= {x}.n - (({2 * percent} * {x}.n + {99 + percent}) div {100 + percent})"
-
+    overlap = _overlap(f"{a}.n", f"{b}.n", percent)
     apart = " + ".join(f"bit_count({a}.{s} ^ {b}.{s})" for s in _SIGNS)
     return (
         f"{a}.n * 100 >= {b}.n * {percent} AND {b}.n * 100 >= {a}.n * {percent}"
+        f" AND {a}.p + {b}.p <= {a}.n + {b}.n - 2 * {overlap}"
+        f" AND least({a}.n - {a}.p, {b}.n - {b}.p) >= {overlap}"
         f" AND {apart} <= {a}.n + {b}.n - 2 * {overlap}"
-        f" AND least({a}.n - {a}.p, {b}.n - {b}.p) + least({a}.p, {b}.p) >= {overlap}"
-        f" AND if({a}.n >= {b}.n, {short(b)}, {short(a)})"
     )
 
 
+def _classed(words: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``words`` with ``meeting``, their word and class of size in one, and whether they are at ``home`` there.
+
+    Each row is in the class of its size and, as a guest, in the next one if that has larger sets in reach. Of two similar
+    sets in different classes the smaller is a guest of the larger, and the first word that they share is in its short prefix.
+    """
+    width = _CLASS * math.log(100 / percent) or 1.0
+    own = f"CAST(floor(ln(n) / {width}) AS INT)"
+    next_too = f"floor(ln(n * 100 / {percent}) / {width}) > {own} AND p <= n - {_overlap('n', 'n', percent)}"
+    rows = words.selectExpr("*", f"explode(if({next_too}, array({own}, {own} + 1), array({own}))) AS class")
+    return rows.selectExpr("CAST(token AS BIGINT) << 16 | class AS meeting", f"class = {own} AS home", *words.columns)
+
+
 _LATER = "struct(a.doc_id, a.place) > struct(b.doc_id, b.place)"
 
 
@@ -124,20 +146,23 @@ def _pairs(later: DataFrame, earlier: DataFrame, percent: int) -> DataFrame:
 def _candidates(words: DataFrame, percent: int) -> DataFrame:
     """Pairs of places, and whether the earlier is the ``head``.
 
-    The sets of one size that share a prefix word have their earliest as head. A set that seems similar to the head is
+    The sets of one size that share a prefix word have their earliest as head. A set meets those of its class of size. A set that seems similar to the head is
     paired with it alone at this word, else with all earlier sets of the word: groups of many similar sets yield a pair
     for each set, not all pairs. Sets that turn out not to be similar to their head are paired anew by the caller.
     """
-    group = Window.partitionBy("token", "n").orderBy("doc_id", "place")
+    group = Window.partitionBy("meeting", "n").orderBy("doc_id", "place").rowsBetween(Window.unboundedPreceding, 0)
     # both sides of the join have the same rows and columns, and so one exchange; the window keeps its order. The filters,
     # which all rows pass, are those that Spark would add on one side.
-    spread = words.where(" AND ".join(f"{c} IS NOT NULL" for c in ("token", "n", *_SIGNS))).repartition("token")
-    headed = spread.withColumn("head", F.first(F.struct("doc_id", "place", "n", "p", *_SIGNS)).over(group))
+    spread = _classed(words, percent).select("meeting", "home", "doc_id", "place", "n", "p", *_SIGNS)
+    spread = spread.where(" AND ".join(f"{c} IS NOT NULL" for c in ("meeting", "n", "p", *_SIGNS))).repartition("meeting")
+    # a struct of these would travel through the sort beside the columns
+    heads = {f"head_{c}": F.first(c).over(group) for c in ("doc_id", "place", "n", "p", *_SIGNS)}
+    headed = spread.withColumns(heads).withColumn("head", F.struct(*(F.col(f"head_{c}").alias(c) for c in ("doc_id", "place", "n", "p", *_SIGNS))))
     alike = f"{_similar('a', 'head', percent)} AND NOT (a.doc_id <=> head.doc_id AND a.place = head.place)"
-    headed = headed.alias("a").withColumn("alike", F.expr(alike))
-    other = spread.select("token", "doc_id", "place", "n", "p", *_SIGNS)
-    meet = f"a.token = b.token AND NOT alike AND {_similar('a', 'b', percent)} AND {_LATER}"
-    joined = headed.alias("a").join(other.alias("b"), F.expr(meet), "left").where("alike OR b.place IS NOT NULL")
+    headed = headed.alias("a").withColumn("alike", F.expr(alike)).where("home OR NOT alike")
+    # two guests of a class meet where they are at home
+    meet = f"a.meeting = b.meeting AND NOT alike AND (a.home OR b.home) AND {_similar('a', 'b', percent)} AND {_LATER}"
+    joined = headed.alias("a").join(spread.alias("b"), F.expr(meet), "left").where("alike OR b.place IS NOT NULL")
     return joined.selectExpr(
         "a.doc_id AS doc_id",
         "a.place AS place",
@@ -147,12 +172,15 @@ def _candidates(words: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _in_buckets(rows: DataFrame, wanted: DataFrame, *columns: str) -> DataFrame:
-    """The rows that fall in a bucket (by hash of ``columns``) of a wanted one; the few others are left to a join."""
-    bucket = f"xxhash64({', '.join(columns)}) & {_PICKED - 1}"
-    # at most _PICKED rows of a long
-    buckets = F.broadcast(wanted.selectExpr(f"{bucket} AS bucket").distinct())
-    return rows.withColumn("bucket", F.expr(bucket)).join(buckets, "bucket", "left_semi").drop("bucket")
+def _picked(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``doc_id, place, words`` of the ``wanted`` lines (``doc_id, place``); no other line of a text is split into words."""
+    lists = wanted.groupBy("doc_id", F.expr("place >> 31").alias("digest")).agg(F.collect_list("place").alias("places"))
+    lists = lists.select(F.struct("*").alias("list"))
+    if wanted.count() <= _PICKED:
+        lists = F.broadcast(lists)
+    held = texts.join(lists, F.expr("doc_id <=> list.doc_id AND digest = list.digest"))
+    lines = held.selectExpr("doc_id", "split(text, '\n') AS lines", "explode(list.places) AS place")
+    return _split(lines.selectExpr("doc_id", "place", "lines[CAST(place & 2147483647 AS INT)] AS words"))
 
 
 def _signatures(words: str) -> list[str]:
@@ -171,10 +199,8 @@ def _verified(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """
     wanted = pairs.select("doc_id", "place").unionByName(pairs.selectExpr("other_id AS doc_id", "other AS place"))
     wanted = stored(wanted.distinct(), "wanted")
-    lines = _in_buckets(_words(_in_buckets(texts, wanted, "doc_id")), wanted, "doc_id", "place")
-    sets = lines.select("doc_id", "place", F.array_distinct(F.transform("words", lambda w: F.xxhash64(w))).alias("h")).join(
-        wanted.selectExpr("doc_id AS id", "place AS at"), F.expr("doc_id <=> id AND place = at"), "left_semi"
-    )
+    lines = _picked(texts, wanted)
+    sets = lines.select("doc_id", "place", F.array_distinct(F.transform("words", lambda w: F.xxhash64(w))).alias("h"))
     sets = stored(sets.distinct().selectExpr("*", "size(h) AS n", *_signatures("h")), "sets")
     mine = sets.selectExpr("doc_id AS id", "place AS at", "n", *_SIGNS)
     other = sets.selectExpr("doc_id AS id", "place AS at", "n AS m", *(f"{s} AS t{s[1:]}" for s in _SIGNS))
@@ -215,7 +241,7 @@ def _near(texts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     rest = _without(left.where("head").select("doc_id", "place").distinct(), more)
     rest = stored(words.alias("w").join(rest.alias("s"), F.expr("w.doc_id <=> s.doc_id AND w.place = s.place"), "left_semi"), "rest")
     discard(left)
-    again = stored(_pairs(rest, _in_buckets(words, rest, "token"), percent).distinct(), "pairs")
+    again = stored(_pairs(rest, words, percent).distinct(), "pairs")
     last = _verified(texts, again, percent)
     discard(again)
     discard(rest)
