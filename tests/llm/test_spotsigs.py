@@ -124,3 +124,26 @@ def test_a_hot_group_of_near_copies_equals_brute_force(docs):
     found = {r.doc_id: r.class_id for r in spotsigs.classes(docs(texts)).collect()}
     assert [found[i] for i in range(len(texts))] == [top(i) for i in range(len(texts))]
     assert len(set(found.values())) > 1
+
+
+def test_more_rounds_of_pivots_leave_fewer_pairs_between_parts(spark, monkeypatch):
+    rnd = random.Random(5)
+    own = [sorted(rnd.sample(range(27), 24)) for _ in range(400)]
+    own = sorted({tuple(o) for o in own})
+    schema = "node long, n int, own array<bigint>"
+    sets = spark.createDataFrame([(i, len(o), list(o)) for i, o in enumerate(own)], schema)
+    between, made = spotsigs._between_parts, []
+
+    def counted(*args):
+        pairs = between(*args)
+        made.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(spotsigs, "_between_parts", counted)
+    monkeypatch.setattr(spotsigs, "_PIVOTS", 1)
+    labels = []
+    for rounds in (1, 3):
+        monkeypatch.setattr(spotsigs, "_ROUNDS", rounds)
+        found = spotsigs.links(sets, spotsigs._ranks(sets), 80)
+        labels.append({tuple(r) for r in spotsigs.components(found).collect()})
+    assert labels[0] == labels[1] and made[1] * 2 < made[0]

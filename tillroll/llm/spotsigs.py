@@ -8,6 +8,7 @@ signatures of each set (the prefix) and an exact Jaccard similarity.
 from __future__ import annotations
 
 import json
+import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,10 +24,10 @@ ANCHORS = (
 ).split()
 #: Sets that share a prefix signature are first compared with this many of them alone.
 _PIVOTS = 3
+#: Rounds of pivots; in the later ones only sets of groups that don't hang together yet meet new pivots.
+_ROUNDS = 3
 #: Signatures are counted in this many buckets (a power of two); any order of signatures is correct, rare ones first is cheap.
-_BUCKETS = 1 << 14
-#: Buckets of sets by which those are picked that are to be verified; the list of buckets is broadcast.
-_PICKED = 1 << 18
+_BUCKETS = 1 << 18
 #: Columns of parity bits, 64 in each.
 _SIGNS = ("s0", "s1", "s2", "s3")
 
@@ -114,13 +115,12 @@ def with_next_text(docs: DataFrame, rows_per_range: int = 2_000, most_ranges: in
 
 
 def _ranks(sets: DataFrame) -> Column:
-    """An array literal: for each bucket of signatures the rank of their number in ``own``, rare ones first."""
+    """An array literal: for each bucket of signatures four times the binary logarithm of their number in ``own``, rounded down."""
     # explode would filter by size(own), and Spark compute signatures anew for that, word by word
     counts = sets.selectExpr("explode_outer(own) AS s").groupBy(F.expr(f"CAST(s & {_BUCKETS - 1} AS INT)").alias("bucket")).count()
-    counts = dict(counts.collect())  # at most _BUCKETS rows
     ranks = [0] * _BUCKETS
-    for rank, bucket in enumerate(sorted(range(_BUCKETS), key=lambda k: (counts.get(k, 0), k))):
-        ranks[bucket] = rank
+    for bucket, count in counts.where("bucket IS NOT NULL").collect():  # at most _BUCKETS rows
+        ranks[bucket] = int(4 * math.log2(count))
     return F.from_json(F.lit(json.dumps(ranks, separators=(",", ":"))), "array<int>")
 
 
@@ -143,10 +143,13 @@ def _banded(sets: DataFrame, ranks: Column, percent: int) -> DataFrame:
     band = f"CAST(floor(ln(n) / ln({100 / percent})) AS INT)"
     known = sets.select("node", "n", F.expr(band).alias("band"), *parity_bits("own"), _prefix("own", ranks, percent).alias("prefix"))
     known = stored(known.where("size(prefix) > 0"), "prefixes")
-    rows = known.selectExpr("node", "n", "band", *_SIGNS, "posexplode(prefix) AS (p, signature)")
+    # parity bits are many times a signature's size; they are joined to what is left
+    rows = known.selectExpr("node", "posexplode(prefix) AS (p, signature)")
     shared = rows.groupBy("signature").agg(F.count(F.lit(1)).alias("shared")).where("shared > 1").select("signature")
-    banded = stored(rows.join(shared, "signature"), "banded")
+    rows = stored(rows.join(shared, "signature"), "shared")
+    banded = stored(rows.join(known.drop("prefix"), "node"), "banded")
     discard(known)
+    discard(rows)
     return banded
 
 
@@ -167,34 +170,38 @@ def _reach(percent: int) -> str:
     )
 
 
-def _to_pivots(rows: DataFrame, percent: int) -> DataFrame:
-    """``u, v``: each set with the pivot that differs least from it, for each of the ``_PIVOTS`` choices of pivots.
+def _to_pivots(rows: DataFrame, percent: int, turn: int = 0) -> DataFrame:
+    """``u, v``: each set with the pivot of another part that differs least from it, for each of the ``_PIVOTS`` choices.
 
-    Each group of sets that share a prefix signature and a band has the same number of pivots, whatever its size.
+    Each group of sets that share a prefix signature and a band has the same number of pivots, whatever its size, and others
+    in each ``turn``.
     """
-    row = F.struct("node", "n", "p", *_SIGNS)
-    chosen = [F.min_by(row, F.xxhash64("node", F.lit(k))).alias(f"pivot{k}") for k in range(_PIVOTS)]
+    row = F.struct("node", "part", "n", "p", *_SIGNS)
+    chosen = [F.min_by(row, F.xxhash64("node", F.lit(turn * _PIVOTS + k))).alias(f"pivot{k}") for k in range(_PIVOTS)]
     pivots = rows.groupBy("signature", "band").agg(*chosen)
     each = F.explode(F.array(*(F.struct(F.lit(k).alias("choice"), F.col(f"pivot{k}").alias("pivot")) for k in range(_PIVOTS))))
     pivots = pivots.select("signature", "band", each.alias("c")).select("signature", "band", "c.choice", "c.pivot.*")
-    met = rows.alias("a").join(pivots.alias("b"), ["signature", "band"]).where(f"a.node <> b.node AND {_reach(percent)}")
+    met = rows.alias("a").join(pivots.alias("b"), ["signature", "band"]).where(f"a.part <> b.part AND {_reach(percent)}")
     met = met.selectExpr("a.node AS node", "choice", "b.node AS pivot", f"{_apart()} AS apart")
     closest = met.groupBy("node", "choice").agg(F.min(F.struct("apart", "pivot")).alias("to"))
     return closest.selectExpr("least(node, to.pivot) AS u", "greatest(node, to.pivot) AS v").distinct()
 
 
-def _between_parts(rows: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """``u, v, pu, pv, apart``: pairs of sets of different ``parts`` (``node, part``) that pass the filters."""
-    rows = rows.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
+def _mixed(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """``rows`` of the signatures whose sets don't all hang together by the links ``found``, with the ``part`` of each set."""
+    parts = components(found).withColumnRenamed("component", "part")
+    rows = rows.drop("part").join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
     several = rows.groupBy("signature").agg(F.min("part").alias("least"), F.max("part").alias("most"))
-    rows = stored(rows.join(several.where("least <> most").select("signature"), "signature"), "mixed")
+    return stored(rows.join(several.where("least <> most").select("signature"), "signature"), "mixed")
+
+
+def _between_parts(rows: DataFrame, percent: int) -> DataFrame:
+    """``u, v, pu, pv, apart``: pairs of sets of different parts that pass the filters."""
     probing = rows.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
     met = probing.alias("a").join(rows.alias("b"), ["signature", "band"])
     met = met.where(f"a.node < b.node AND a.part <> b.part AND {_reach(percent)}")
     met = met.selectExpr("a.node AS u", "b.node AS v", "a.part AS pu", "b.part AS pv", f"{_apart()} AS apart")
-    pairs = stored(met.distinct(), "pairs")
-    discard(rows)
-    return pairs
+    return stored(met.distinct(), "pairs")
 
 
 def links(sets: DataFrame, ranks: Column, percent: int) -> DataFrame:
@@ -202,15 +209,20 @@ def links(sets: DataFrame, ranks: Column, percent: int) -> DataFrame:
     or more.
 
     Groups that share a prefix signature don't make all their pairs. Each set first meets the few pivots of its groups;
-    those that hang together by that need not meet again. All others do: first the closest pair of two parts, then, of
+    those that hang together by that need not meet again, the others meet new pivots in further rounds. Those still apart meet: first the closest pair of two parts, then, of
     parts that are still apart, every pair that passes the filters.
     """
     rows = _banded(sets, ranks, percent)
-    found = _verified(sets, _to_pivots(rows, percent), percent)
-    parts = stored(components(found).withColumnRenamed("component", "part"), "parts")
-    pairs = _between_parts(rows, parts, percent)
-    for spent in (rows, parts):
-        discard(spent)
+    found = _verified(sets, _to_pivots(rows.withColumn("part", F.col("node")), percent), percent)
+    for turn in range(1, _ROUNDS):
+        mixed = _mixed(rows, found)
+        discard(rows)
+        rows = mixed
+        found = found.unionByName(_verified(sets, _to_pivots(rows, percent, turn), percent))
+    mixed = _mixed(rows, found)
+    discard(rows)
+    pairs = _between_parts(mixed, percent)
+    discard(mixed)
     closest = pairs.groupBy(F.least("pu", "pv").alias("p"), F.greatest("pu", "pv").alias("q"))
     closest = closest.agg(F.min(F.struct("apart", "u", "v")).alias("pair")).select("pair.u", "pair.v")
     found = found.unionByName(_verified(sets, closest, percent))
@@ -228,10 +240,7 @@ def _verified(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs ``u, v`` whose sets are similar enough."""
     pairs = stored(pairs, "pairs")
     wanted = pairs.selectExpr("u AS node").unionByName(pairs.selectExpr("v AS node")).distinct()
-    bucket = f"node & {_PICKED - 1}"
-    # at most _PICKED rows of a long; they spare most sets the shuffle where few are wanted
-    picked = F.broadcast(wanted.selectExpr(f"{bucket} AS bucket").distinct())
-    made = sets.select("node", "own").withColumn("bucket", F.expr(bucket)).join(picked, "bucket", "left_semi").drop("bucket")
+    made = sets.select("node", "own").join(wanted, "node", "left_semi")
     both = pairs.join(made.selectExpr("node AS u", "own AS a"), "u").join(made.selectExpr("node AS v", "own AS b"), "v")
     both = both.selectExpr("u", "v", "size(array_intersect(a, b)) AS same", "size(a) + size(b) AS n")
     verified = stored(both.where(f"same * {100 + percent} >= n * {percent}").select("u", "v"), "links")
